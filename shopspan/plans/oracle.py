@@ -207,3 +207,190 @@ LEFT JOIN t_global USING (year_number, week_number) JOIN t_batch USING (hhn)"""
 ORACLE["household_weeks"] = "SELECT * FROM t_hh"
 ORACLE["household_batches"] = """
 SELECT hhn, unique_hhn_num, unique_hhn_num // 100 AS hhn_batch_num FROM t_batch"""
+
+# --- windows, splits, sampling ----------------------------------------------------
+
+# CRC-32 of the household id's text (reflected polynomial 0xEDB88320), spelled out
+# because DuckDB has no such function: a table built bit by bit, then a fold over bytes.
+CTES["t_crc_table"] = """
+SELECT list(v ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[],
+                        lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384)
+                                          ELSE c >> 1 END, i) AS v
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def _crc(text: str) -> str:
+    return (
+        f"xor(list_reduce(list_transform(range(1, length({text}) + 1), "
+        f"lambda p: CAST(ascii(substr({text}, p, 1)) AS BIGINT)), "
+        "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+    )
+
+
+CTES["t_hash"] = f"""
+SELECT hhn, {_crc("s")} AS crc, {_crc("'123:' || s")} AS sample_crc, {_crc("'101:' || s")} AS fold_crc
+FROM (SELECT hhn, CAST(hhn AS VARCHAR) AS s FROM (SELECT DISTINCT hhn FROM t_hh)), t_crc_table"""
+SPACE = "CAST(4294967296 AS DOUBLE)"
+CTES["t_axis_end"] = f"SELECT week_end_date - 7 AS last_week FROM t_date WHERE date = {END}"
+ORACLE["week_window"] = f"""
+SELECT last_week - 7 * ({N_WEEKS} - 1) AS start_week_ending_date, last_week AS end_week_ending_date,
+       {N_WEEKS} AS n_weeks FROM t_axis_end"""
+CTES["t_window"] = f"""
+SELECT year_number, week_number, week_ending_date, hhn, n_transaction, n_ecomm_trans,
+       maxsales_location_id, sales_dollars, extended_cost, units_sales, unit_offer_ratio,
+       points_earned, points_redeemed, redeem_count, divisional_regional_rollup, median_sales,
+       median_units_sales, avg_n_transaction, avg_n_ecomm_trans
+FROM t_hh WHERE week_ending_date < {END} AND week_ending_date >= {END} - 7 * {N_WEEKS}"""
+ORACLE["history_window"] = "SELECT * FROM t_window"
+ORACLE["hash_split_train_test"] = f"""
+SELECT part, hhn, count(*) AS n_weeks
+FROM t_window JOIN t_hash USING (hhn)
+JOIN (VALUES ('train', CAST(0.0 AS DOUBLE), CAST(0.7 AS DOUBLE)),
+             ('test', CAST(0.7 AS DOUBLE), CAST(1.0 AS DOUBLE))) s(part, lo, hi)
+  ON crc > lo * {SPACE} AND crc <= hi * {SPACE}
+GROUP BY 1, 2"""
+ORACLE["prediction_halves"] = f"""
+SELECT half, hhn, count(*) AS n_weeks
+FROM t_window JOIN t_hash USING (hhn)
+JOIN (VALUES ('low', CAST(0.0 AS DOUBLE), CAST(0.5 AS DOUBLE)),
+             ('high', CAST(0.5 AS DOUBLE), CAST(1.0 AS DOUBLE))) s(half, lo, hi)
+  ON crc > lo * {SPACE} AND crc <= hi * {SPACE}
+GROUP BY 1, 2"""
+CTES["t_size"] = """
+SELECT hhn, (count(*) - 1) // 4 AS size_bin FROM t_window GROUP BY 1"""
+CTES["t_bin"] = "SELECT size_bin, count(*) AS hh_count FROM t_size GROUP BY 1"
+CTES["t_cutoff"] = "SELECT CAST(floor(quantile_cont(hh_count, 0.6)) AS BIGINT) AS cutoff FROM t_bin"
+ORACLE["size_bins"] = "SELECT * FROM t_bin"
+ORACLE["bin_cutoff"] = "SELECT * FROM t_cutoff"
+CTES["t_kept"] = """
+SELECT hhn FROM (
+  SELECT hhn, row_number() OVER (PARTITION BY size_bin ORDER BY sample_crc, hhn) AS place
+  FROM t_size JOIN t_hash USING (hhn)), t_cutoff
+WHERE place <= cutoff"""
+ORACLE["undersample"] = """
+SELECT hhn, week_ending_date, n_transaction FROM t_window WHERE hhn IN (SELECT hhn FROM t_kept)"""
+ORACLE["folds"] = """
+SELECT hhn, CAST(fold_crc % 5 AS INTEGER) AS fold
+FROM t_hash WHERE hhn IN (SELECT hhn FROM t_window)"""
+
+# --- features -----------------------------------------------------------------------
+
+CTES["t_lookup"] = """
+SELECT CAST(row_number() OVER (ORDER BY divisional_regional_rollup) AS INTEGER) AS div_reg_index,
+       divisional_regional_rollup
+FROM (SELECT DISTINCT divisional_regional_rollup FROM t_window)"""
+ORACLE["region_lookup"] = "SELECT * FROM t_lookup"
+CTES["t_small_lookup"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY divisional_regional_rollup) AS INTEGER) AS div_reg_index,
+       divisional_regional_rollup
+FROM (SELECT DISTINCT divisional_regional_rollup FROM t_window JOIN t_hash USING (hhn)
+      WHERE crc > 0 AND crc <= CAST(0.01 AS DOUBLE) * {SPACE})"""
+ORACLE["region_index"] = """
+SELECT hhn, week_ending_date, divisional_regional_rollup,
+       coalesce(div_reg_index, (SELECT div_reg_index FROM t_small_lookup
+                                WHERE divisional_regional_rollup = 'NATION_1')) AS div_reg_index
+FROM t_hh LEFT JOIN t_small_lookup USING (divisional_regional_rollup)"""
+ORACLE["unseen_regions"] = """
+SELECT DISTINCT divisional_regional_rollup FROM t_hh
+WHERE divisional_regional_rollup NOT IN (SELECT divisional_regional_rollup FROM t_small_lookup)"""
+ORACLE["region_cardinality"] = """
+SELECT count(DISTINCT div_reg_index) + 1 AS div_reg_unique_count
+FROM t_window JOIN t_lookup USING (divisional_regional_rollup)"""
+CTES["t_feature"] = """
+SELECT hhn, week_ending_date, CAST(n_transaction AS INTEGER) AS n_transaction,
+       CAST(n_ecomm_trans AS INTEGER) AS n_ecomm_trans,
+       greatest(sales_dollars, 0) AS sales_dollars, greatest(extended_cost, 0) AS extended_cost,
+       greatest(units_sales, 0) AS units_sales, greatest(points_earned, 0) AS points_earned,
+       greatest(points_redeemed, 0) AS points_redeemed,
+       CAST(trunc(redeem_count) AS BIGINT) AS redeem_count,
+       CAST(avg_n_transaction AS DOUBLE) AS avg_n_transaction,
+       CAST(avg_n_ecomm_trans AS DOUBLE) AS avg_n_ecomm_trans,
+       median_sales, median_units_sales, unit_offer_ratio,
+       cos(week_number * (2 * pi()) / 52) AS week_in_year_cos,
+       sin(week_number * (2 * pi()) / 52) AS week_in_year_sin, div_reg_index
+FROM t_window JOIN t_lookup USING (divisional_regional_rollup)"""
+_RESCALED = (
+    "n_transaction n_ecomm_trans sales_dollars extended_cost units_sales points_earned "
+    "points_redeemed redeem_count avg_n_transaction avg_n_ecomm_trans median_sales "
+    "median_units_sales"
+).split()
+_PLAIN = "unit_offer_ratio week_in_year_cos week_in_year_sin".split()
+_NUMERIC = ", ".join(
+    [f"round(ln(1 + {c}), 6) AS {c}" for c in _RESCALED] + [f"round({c}, 6) AS {c}" for c in _PLAIN]
+)
+ORACLE["features"] = f"SELECT hhn, week_ending_date, {_NUMERIC}, div_reg_index FROM t_feature"
+
+# --- sequences ----------------------------------------------------------------------
+
+CTES["t_axis"] = """
+SELECT min(week_ending_date) AS first_week, max(week_ending_date) AS last_week,
+       (max(week_ending_date) - min(week_ending_date)) // 7 + 1 AS n_axis FROM t_window"""
+_ZERO = ", ".join(f"coalesce({c}, 0) AS {c}" for c in _RESCALED + _PLAIN)
+CTES["t_grid"] = """
+SELECT hhn, start, CAST(unnest(generate_series(CAST(start AS TIMESTAMP), CAST(last_week AS TIMESTAMP),
+                                               INTERVAL 7 DAY)) AS DATE) AS week_ending_date
+FROM (SELECT hhn, min(week_ending_date) AS start FROM t_feature GROUP BY 1), t_axis"""
+CTES["t_dense"] = f"""
+SELECT hhn, week_ending_date, CAST((week_ending_date - first_week) // 7 AS INTEGER) AS k,
+       CAST((week_ending_date - start) // 7 AS INTEGER) AS t, {_ZERO},
+       CAST(coalesce(div_reg_index, 0) AS DOUBLE) AS div_reg_index,
+       CAST(coalesce(n_transaction, 0) > 0 AS INTEGER) AS event
+FROM t_grid LEFT JOIN t_feature USING (hhn, week_ending_date), t_axis"""
+ORACLE["densify"] = f"SELECT hhn, week_ending_date, k, t, {_NUMERIC}, div_reg_index FROM t_dense"
+_AHEAD = "(PARTITION BY hhn ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+_LATER = "(PARTITION BY hhn ORDER BY t ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+CTES["t_target"] = f"""
+SELECT *, coalesce(min(CASE WHEN event = 1 THEN t END) OVER {_AHEAD},
+                   max(t) OVER (PARTITION BY hhn) + 1) - t AS tte,
+       max(event) OVER {_AHEAD} AS u
+FROM t_dense"""
+ORACLE["tte_discrete"] = "SELECT hhn, k, t, event, tte FROM t_target"
+ORACLE["tte_continuous"] = f"""
+SELECT hhn, k, t, 7 * t AS elapsed,
+       7 * (coalesce(min(CASE WHEN event = 1 THEN t END) OVER {_LATER},
+                     max(t) OVER (PARTITION BY hhn)) - t) AS tte
+FROM t_dense"""
+ORACLE["censoring"] = f"""
+SELECT hhn, k, max(event) OVER {_AHEAD} AS u_discrete,
+       coalesce(max(event) OVER {_LATER}, 0) AS u_continuous FROM t_dense"""
+ORACLE["sequence_lengths"] = "SELECT hhn, count(*) AS seq_length FROM t_dense GROUP BY 1"
+N_CUT = 17
+CTES["t_train"] = f"""
+SELECT now.hhn, next.k, next.t, {", ".join("now." + c for c in _RESCALED + _PLAIN)},
+       now.div_reg_index, next.event, next.tte, next.u
+FROM t_dense now
+JOIN (SELECT hhn, k, t, event, coalesce(min(CASE WHEN event = 1 THEN t END) OVER {_AHEAD},
+                                        max(t) OVER (PARTITION BY hhn) + 1) - t AS tte,
+             max(event) OVER {_AHEAD} AS u
+      FROM t_dense, t_axis WHERE k < n_axis - {N_CUT}) next
+  ON now.hhn = next.hhn AND now.k + 1 = next.k"""
+_PAIR = f"hhn, k, t, {_NUMERIC}, div_reg_index, event, tte, u"
+ORACLE["train_sequences"] = f"SELECT {_PAIR} FROM t_train"
+CTES["t_pair"] = f"""
+SELECT now.hhn, next.k, next.t, {", ".join("now." + c for c in _RESCALED + _PLAIN)},
+       now.div_reg_index, next.event, next.tte, next.u
+FROM t_target now JOIN t_target next ON now.hhn = next.hhn AND now.k + 1 = next.k"""
+ORACLE["valid_sequences"] = f"""
+SELECT {_PAIR}, CAST(k >= n_axis - {N_CUT} AS DOUBLE) AS weight
+FROM t_pair, t_axis WHERE k < n_axis - {N_CUT} + 5
+  AND hhn IN (SELECT hhn FROM t_pair, t_axis WHERE k BETWEEN n_axis - {N_CUT} AND n_axis - {N_CUT} + 4)"""
+CTES["t_valid"] = f"""
+SELECT t_pair.*, CAST(k >= n_axis - {N_CUT} AS DOUBLE) AS weight, n_axis, n_axis - {N_CUT} AS begin_k
+FROM t_pair, t_axis
+WHERE hhn IN (SELECT hhn FROM t_pair, t_axis WHERE k >= n_axis - {N_CUT})"""
+CTES["t_since"] = """
+SELECT hhn, CAST(any_value(begin_k) - 1 - coalesce(max(k) FILTER (tte = 0 AND k < begin_k), 0)
+                 AS INTEGER) AS time_since,
+       max(k) FILTER (tte = 0 AND k < begin_k) IS NOT NULL AS is_valid
+FROM t_valid GROUP BY 1"""
+ORACLE["time_since_last_event"] = "SELECT * FROM t_since"
+_MASKED = ", ".join(
+    [f"coalesce(round(ln(1 + {c}), 6), 0.133713) AS {c}" for c in _RESCALED]
+    + [f"coalesce(round({c}, 6), 0.133713) AS {c}" for c in _PLAIN + ["div_reg_index"]]
+)
+ORACLE["dense_export_roundtrip"] = f"""
+SELECT hhn, t, {_MASKED}, CAST(tte AS DOUBLE) AS tte, CAST(u AS DOUBLE) AS u,
+       CASE WHEN u IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS weight
+FROM (SELECT hhn, CAST(unnest(range(1, n_axis)) AS INTEGER) AS t FROM (SELECT DISTINCT hhn, n_axis FROM t_valid))
+LEFT JOIN (SELECT * EXCLUDE (weight) FROM t_valid) USING (hhn, t)"""

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopspan.functions.dates import normalize_end_date
+from shopspan.functions.dates import weeks_between
 from shopspan.operators import calendar as cal
-from shopspan.operators import weekly
+from shopspan.operators import features as feat
+from shopspan.operators import sampling, weekly
+from shopspan.operators import sequences as seq
 from shopspan.plans.sample_setting import END_DATE, SAMPLE_PARAMS
+from shopspan.schemas import ALL_FEATURES, NUMERIC_FEATURES
 from shopspan.sources import tables as src
+from shopspan.sources.staging import staged
 
 P = SAMPLE_PARAMS
 REGISTRY: dict = {}
@@ -136,3 +140,203 @@ def household_weeks(spark, folder):
 def household_batches(spark, folder):
     t, store_weeks = _store_weeks(spark, folder)
     return weekly.household_batches(weekly.household_totals(store_weeks, t.dim_date), 100)
+
+
+# --- windows, splits, sampling ------------------------------------------------
+
+
+def _window_rows(spark, folder):
+    """Every household's rows inside the training window."""
+    t, rows = _household_weeks(spark, folder)
+    return t, sampling.subset(rows, END_DATE, P.n_weeks_total_train, fraction=None)
+
+
+@query
+def week_window(spark, folder):
+    t, rows = _household_weeks(spark, folder)
+    cal.week_window(t.dim_date, rows, END_DATE, P.n_weeks_total_pred)
+    first = F.date_sub("week_ending_date", 7 * (P.n_weeks_total_pred - 1))
+    last = cal.last_complete_week(t.dim_date, END_DATE)
+    return last.select(
+        first.alias("start_week_ending_date"),
+        F.col("week_ending_date").alias("end_week_ending_date"),
+        (weeks_between("week_ending_date", first) + 1).cast("int").alias("n_weeks"),
+    )
+
+
+@query
+def history_window(spark, folder):
+    return _window_rows(spark, folder)[1]
+
+
+@query
+def hash_split_train_test(spark, folder):
+    _, rows = _household_weeks(spark, folder)
+    train = sampling.train_subset(rows, P).select(F.lit("train").alias("part"), "hhn")
+    test = sampling.test_subset(rows, P).select(F.lit("test").alias("part"), "hhn")
+    return train.unionByName(test).groupBy("part", "hhn").agg(F.count(F.lit(1)).alias("n_weeks"))
+
+
+@query
+def prediction_halves(spark, folder):
+    _, rows = _household_weeks(spark, folder)
+    low = sampling.prediction_half(rows, P, True).select(F.lit("low").alias("half"), "hhn")
+    high = sampling.prediction_half(rows, P, False).select(F.lit("high").alias("half"), "hhn")
+    return low.unionByName(high).groupBy("half", "hhn").agg(F.count(F.lit(1)).alias("n_weeks"))
+
+
+@query
+def size_bins(spark, folder):
+    return sampling.size_bins(_window_rows(spark, folder)[1])
+
+
+@query
+def bin_cutoff(spark, folder):
+    return sampling.bin_cutoff(
+        sampling.size_bins(_window_rows(spark, folder)[1]), P.undersample_quantile
+    )
+
+
+@query
+def undersample(spark, folder):
+    _, rows = _window_rows(spark, folder)
+    kept = sampling.undersample(rows, P.undersample_quantile, P.sample_seed)
+    return kept.select("hhn", "week_ending_date", "n_transaction")
+
+
+@query
+def folds(spark, folder):
+    _, rows = _window_rows(spark, folder)
+    return sampling.assign_folds(rows.select("hhn").distinct(), P.n_folds, P.fold_seed)
+
+
+# --- features -----------------------------------------------------------------
+
+
+@query
+def region_lookup(spark, folder):
+    return feat.region_lookup(_window_rows(spark, folder)[1])
+
+
+@query
+def region_index(spark, folder):
+    _, rows = _household_weeks(spark, folder)
+    lookup = staged(feat.region_lookup(sampling.subset(rows, END_DATE, 156, 0.01)), "regions")
+    indexed = feat.with_region_index(rows, lookup, P.default_region)
+    return indexed.select("hhn", "week_ending_date", feat.REGION, "div_reg_index")
+
+
+@query
+def unseen_regions(spark, folder):
+    _, rows = _household_weeks(spark, folder)
+    lookup = feat.region_lookup(sampling.subset(rows, END_DATE, 156, 0.01))
+    return feat.unseen_regions(rows, lookup)
+
+
+@query
+def region_cardinality(spark, folder):
+    _, rows = _window_rows(spark, folder)
+    lookup = staged(feat.region_lookup(rows), "regions")
+    return feat.region_cardinality(feat.with_region_index(rows, lookup, P.default_region))
+
+
+def _features(spark, folder):
+    _, rows = _window_rows(spark, folder)
+    lookup = staged(feat.region_lookup(rows), "regions")
+    return rows, feat.household_features(rows, lookup, P.default_region)
+
+
+@query
+def features(spark, folder):
+    rows = feat.rescale(_features(spark, folder)[1])
+    return rounded(rows, 6, *NUMERIC_FEATURES)
+
+
+# --- sequences ----------------------------------------------------------------
+
+
+def _dense(spark, folder):
+    rows, inputs = _features(spark, folder)
+    axis = seq.read_axis(rows)
+    return feat.rescale(seq.densify(inputs, axis)), seq.axis_length(axis)
+
+
+@query
+def densify(spark, folder):
+    dense, _ = _dense(spark, folder)
+    return rounded(dense, 6, *ALL_FEATURES)
+
+
+def _targets(spark, folder, **kind):
+    return seq.with_targets(seq.flag_events(_dense(spark, folder)[0]), **kind)
+
+
+@query
+def tte_discrete(spark, folder):
+    return _targets(spark, folder).select("hhn", "k", "t", "event", "tte")
+
+
+@query
+def tte_continuous(spark, folder):
+    # Elapsed days instead of steps as the time scale.
+    dense = seq.flag_events(_dense(spark, folder)[0]).withColumn("elapsed", F.col("t") * 7)
+    rows = seq.with_targets(dense, discrete=False, position="elapsed")
+    return rows.select("hhn", "k", "t", "elapsed", "tte")
+
+
+@query
+def censoring(spark, folder):
+    rows = seq.flag_events(_dense(spark, folder)[0])
+    return rows.select(
+        "hhn", "k",
+        seq.uncensored_discrete().alias("u_discrete"),
+        seq.uncensored_continuous().alias("u_continuous"),
+    )
+
+
+@query
+def sequence_lengths(spark, folder):
+    return seq.sequence_lengths(_dense(spark, folder)[0])
+
+
+def _train(spark, folder):
+    dense, n_axis = _dense(spark, folder)
+    return seq.train_sequences(dense, n_axis, P.n_validation_steps)
+
+
+def _valid(spark, folder):
+    """Held-out sequences with the step at which the evaluation starts."""
+    dense, n_axis = _dense(spark, folder)
+    n = P.n_testing_steps
+    return seq.valid_sequences(dense, n_axis, n, n), n_axis, n_axis - n
+
+
+@query
+def train_sequences(spark, folder):
+    rows = _train(spark, folder)
+    return rounded(rows, 6, *ALL_FEATURES)
+
+
+@query
+def valid_sequences(spark, folder):
+    dense, n_axis = _dense(spark, folder)
+    rows = seq.valid_sequences(dense, n_axis, P.n_testing_steps, 5)
+    return rounded(rows, 6, *ALL_FEATURES)
+
+
+@query
+def time_since_last_event(spark, folder):
+    rows, _, begin = _valid(spark, folder)
+    return seq.time_since_last_event(rows, begin - 1)
+
+
+@query
+def dense_export_roundtrip(spark, folder):
+    rows, n_axis, _ = _valid(spark, folder)
+    columns = [*ALL_FEATURES, "tte", "u"]
+    fills = [P.mask_value] * len(ALL_FEATURES) + [3.5, P.censor_dummy]
+    packed = seq.pack_sequences(rows, n_axis - 1, columns, fills)
+    unpacked = seq.unpack_sequences(packed, columns).withColumn(
+        "weight", seq.mask_weight(P.mask_value, ALL_FEATURES[0])
+    )
+    return rounded(seq.unmask(unpacked, ["tte"]), 6, *ALL_FEATURES)
