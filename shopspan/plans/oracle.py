@@ -281,11 +281,13 @@ SELECT CAST(row_number() OVER (ORDER BY divisional_regional_rollup) AS INTEGER)
        divisional_regional_rollup
 FROM (SELECT DISTINCT divisional_regional_rollup FROM t_window)"""
 ORACLE["region_lookup"] = "SELECT * FROM t_lookup"
-CTES["t_small_lookup"] = f"""
+CTES["t_small_lookup"] = """
 SELECT CAST(row_number() OVER (ORDER BY divisional_regional_rollup) AS INTEGER) AS div_reg_index,
        divisional_regional_rollup
-FROM (SELECT DISTINCT divisional_regional_rollup FROM t_window JOIN t_hash USING (hhn)
-      WHERE crc > 0 AND crc <= CAST(0.01 AS DOUBLE) * {SPACE})"""
+FROM (SELECT DISTINCT divisional_regional_rollup FROM t_hh
+      WHERE divisional_regional_rollup IN (
+        SELECT n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'AMERICA' AND s_acctbal > 0))"""
 ORACLE["region_index"] = """
 SELECT hhn, week_ending_date, divisional_regional_rollup,
        coalesce(div_reg_index, (SELECT div_reg_index FROM t_small_lookup
@@ -394,3 +396,234 @@ SELECT hhn, t, {_MASKED}, CAST(tte AS DOUBLE) AS tte, CAST(u AS DOUBLE) AS u,
        CASE WHEN u IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS weight
 FROM (SELECT hhn, CAST(unnest(range(1, n_axis)) AS INTEGER) AS t FROM (SELECT DISTINCT hhn, n_axis FROM t_valid))
 LEFT JOIN (SELECT * EXCLUDE (weight) FROM t_valid) USING (hhn, t)"""
+
+# --- Weibull functions --------------------------------------------------------------
+
+CTES["t_scored"] = """
+SELECT hhn, k, t, tte, u, prior, begin_k, round(t / prior, 6) AS alpha,
+       round(0.75::DOUBLE + prior / (prior + 8), 6) AS beta
+FROM (SELECT *, CAST(coalesce(sum(event) OVER (PARTITION BY hhn ORDER BY t
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS BIGINT) AS prior
+      FROM t_valid)"""
+ORACLE["weibull_functions"] = """
+SELECT hhn, k, round(h, 5) AS cumulative_hazard, round(beta / alpha * pow(s / alpha, beta - 1), 5) AS hazard,
+       round(1 - exp(-h), 5) AS cdf,
+       round(beta / alpha * pow(s / alpha, beta - 1) * exp(-h), 5) AS pdf,
+       round(1 - exp(-h1), 5) AS cmf, round((1 - exp(-h1)) - (1 - exp(-h)), 5) AS pmf,
+       round(CASE WHEN beta <= 1 THEN 0 ELSE alpha * pow(greatest(beta - 1, 0) / beta, 1 / beta) END, 5) AS mode,
+       round(alpha * gamma(1 + 1 / beta), 5) AS mean,
+       round(alpha * pow(-ln(0.5::DOUBLE), 1 / beta), 5) AS median,
+       round(beta / alpha * pow((t + s) / alpha, beta - 1) * exp(gone - ahead), 5) AS excess_pdf,
+       round(1 - exp(gone - ahead), 5) AS excess_cdf,
+       round(alpha * pow(gone - ln(0.5::DOUBLE), 1 / beta) - t, 5) AS excess_median
+FROM (SELECT *, tte + 1 AS s, pow((tte + 1) / alpha, beta) AS h, pow((tte + 2) / alpha, beta) AS h1,
+             pow(t / alpha, beta) AS gone, pow((t + tte + 1) / alpha, beta) AS ahead FROM t_scored)"""
+ORACLE["output_transform"] = """
+SELECT hhn, k, round(10 * exp(0.4::DOUBLE * (prior / t)), 5) AS alpha,
+       round(5 / (1 + exp(-(0.4::DOUBLE * (u - 0.5) - ln(4.0::DOUBLE)))), 5) AS beta FROM t_scored"""
+CTES["t_loglik"] = """
+SELECT hhn, k, u * ((h1 - h0) + ln(1 - exp(-(h1 - h0)))) - h1 AS discrete,
+       u * (-h0 + ln(1 - exp(-(h1 - h0)))) - (1 - u) * h1 AS discrete_equality,
+       u * (ln(beta) + beta * ln((tte + 1) / alpha)) - h1 AS continuous,
+       u * (ln(beta) + beta * ln((tte + 1 + 1e-7) / alpha)) - pow((tte + 1 + 1e-7) / alpha, beta) AS continuous_eps,
+       u * ln(beta / alpha * pow((tte + 1) / alpha, beta - 1)) - h1 AS continuous_equality,
+       u * ((h1 - he) + ln(1 - (1 - 1e-7) * exp(-(h1 - he)))) - h1 AS training
+FROM (SELECT *, pow(tte / alpha, beta) AS h0, pow((tte + 1) / alpha, beta) AS h1,
+             pow((tte + 1e-7) / alpha, beta) AS he FROM t_scored)"""
+ORACLE["censored_loglik"] = """
+SELECT hhn, k, round(discrete, 5) AS discrete, round(discrete_equality, 5) AS discrete_equality,
+       round(continuous, 5) AS continuous, round(continuous_equality, 5) AS continuous_equality,
+       round(training, 5) AS training FROM t_loglik"""
+ORACLE["loss"] = """
+SELECT round(avg(-least(greatest(training, ln(1e-5)), ln(1 - 1e-5))), 6) AS discrete_loss,
+       round(avg(-least(greatest(continuous_eps, ln(1e-6)), ln(1 - 1e-6))), 6) AS continuous_loss
+FROM t_loglik"""
+ORACLE["init_alpha"] = """
+SELECT round(avg(tte), 6) AS mean_tte, round(avg(u), 6) AS mean_u,
+       round(-1 / ln(1 - 1 / (avg(tte) + 1)) / avg(u), 6) AS init_alpha FROM t_train"""
+
+# --- segments -----------------------------------------------------------------------
+
+CTES["t_step"] = """
+SELECT hhn, k, t, tte, u, t - 1 - last_event AS recency, n_events, region_id,
+       CAST(floor(log2(t - last_event)) AS INTEGER) AS recency_bin,
+       CAST(least(floor(n_events * 5 / t), 4) AS INTEGER) AS frequency_bin
+FROM (SELECT *, coalesce(max(CASE WHEN event = 1 THEN t END) OVER past, 0) AS last_event,
+             CAST(coalesce(sum(event) OVER past, 0) + 1 AS BIGINT) AS n_events,
+             CAST(last_value(nullif(div_reg_index, 0) IGNORE NULLS) OVER (PARTITION BY hhn ORDER BY t
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS region_id
+      FROM t_train
+      WINDOW past AS (PARTITION BY hhn ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+ORACLE["step_segments"] = """
+SELECT hhn, k, recency, n_events, region_id, recency_bin, frequency_bin FROM t_step"""
+ORACLE["tte_histogram"] = """
+SELECT region_id, recency_bin, frequency_bin, tte, u, CAST(count(*) AS DOUBLE) AS weight
+FROM t_step GROUP BY 1, 2, 3, 4, 5"""
+ORACLE["current_segments"] = """
+SELECT *, CAST(floor(log2(recency + 1)) AS INTEGER) AS recency_bin,
+       CAST(least(floor(n_events * 5 / n_steps), 4) AS INTEGER) AS frequency_bin
+FROM (SELECT hhn, CAST((any_value(last_week) - max(week_ending_date) FILTER (n_transaction > 0)) // 7
+                       AS INTEGER) AS recency,
+             count(*) FILTER (n_transaction > 0) AS n_events,
+             CAST((any_value(last_week) - min(week_ending_date)) // 7 + 1 AS INTEGER) AS n_steps,
+             arg_max(div_reg_index, week_ending_date) AS region_id
+      FROM t_feature, t_axis GROUP BY 1)"""
+
+# --- churn metrics ------------------------------------------------------------------
+
+CTES["t_frame"] = """
+SELECT hhn, alpha, beta, tte, begin_k - 1 - last_event AS since
+FROM t_scored
+JOIN (SELECT hhn, max(k) AS last_event FROM t_scored WHERE tte = 0 AND k < begin_k GROUP BY 1)
+  USING (hhn)
+WHERE k = begin_k"""
+ORACLE["eval_frame"] = "SELECT * FROM t_frame"
+CTES["t_outcome"] = """
+SELECT hhn, box_width, CAST(tte > box_width - since AS INTEGER) AS churned,
+       round(1 - (1 - exp(-pow((box_width - since + 1) / alpha, beta))), 9) AS score
+FROM t_frame, (SELECT CAST(unnest(range(10, 17)) AS INTEGER) AS box_width)
+WHERE box_width >= since"""
+ORACLE["box_outcomes"] = "SELECT * FROM t_outcome"
+CTES["t_calibration"] = """
+SELECT box_width, bin, coalesce(mean_label, 0) AS mean_label, coalesce(mean_score, 0) AS mean_score,
+       coalesce(n, 0) / total AS fraction
+FROM (SELECT box_width, total, CAST(unnest(range(1, 11)) AS INTEGER) AS bin
+      FROM (SELECT box_width, count(*) AS total FROM t_outcome GROUP BY 1))
+LEFT JOIN (SELECT box_width, bin, avg(churned) AS mean_label, avg(score) AS mean_score, count(*) AS n
+           FROM t_outcome JOIN (SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS bin)
+             ON score <= bin / 10 AND (score > (bin - 1) / 10 OR bin = 1)
+           GROUP BY 1, 2) USING (box_width, bin)"""
+ORACLE["calibration"] = """
+SELECT box_width, bin, round(mean_label, 6) AS mean_label, round(mean_score, 6) AS mean_score,
+       round(fraction, 6) AS fraction FROM t_calibration"""
+CTES["t_ece"] = """
+SELECT box_width, sum(fraction * abs(mean_label - mean_score)) AS ece FROM t_calibration GROUP BY 1"""
+ORACLE["calibration_error"] = "SELECT box_width, round(ece, 6) AS ece FROM t_ece"
+
+
+def _curves(rows: str, keys: str) -> str:
+    """Counts per distinct score and their running sums down the scores."""
+    return f"""
+SELECT *, CAST(sum(pos) OVER down AS BIGINT) AS cum_pos, CAST(sum(neg) OVER down AS BIGINT) AS cum_neg,
+       CAST(sum(pos) OVER (PARTITION BY {keys}) AS BIGINT) AS all_pos,
+       CAST(sum(neg) OVER (PARTITION BY {keys}) AS BIGINT) AS all_neg,
+       row_number() OVER down AS place, lead(pos) OVER down AS next_pos, lead(neg) OVER down AS next_neg
+FROM (SELECT {keys}, score, CAST(sum(churned) AS BIGINT) AS pos,
+             CAST(sum(1 - churned) AS BIGINT) AS neg FROM {rows} GROUP BY ALL)
+WINDOW down AS (PARTITION BY {keys} ORDER BY score DESC)"""
+
+
+CTES["t_curve"] = _curves("t_outcome", "box_width")
+ORACLE["roc_points"] = """
+SELECT box_width, round(score, 6) AS threshold, round(cum_neg / all_neg, 6) AS fpr,
+       round(cum_pos / all_pos, 6) AS tpr
+FROM t_curve WHERE place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+UNION ALL SELECT DISTINCT box_width, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM t_curve"""
+ORACLE["pr_points"] = """
+SELECT box_width, round(score, 6) AS threshold, round(cum_pos / (cum_pos + cum_neg), 6) AS "precision",
+       round(cum_pos / all_pos, 6) AS recall
+FROM t_curve WHERE cum_pos - pos < all_pos
+UNION ALL SELECT DISTINCT box_width, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE) FROM t_curve"""
+
+
+def _auc(curve: str, keys: str) -> str:
+    return f"""
+SELECT {keys}, sum(neg * (2 * cum_pos - pos)) / (2.0::DOUBLE * any_value(all_pos * all_neg)) AS auc,
+       sum(pos / any_all * (cum_pos / (cum_pos + cum_neg))) AS ap
+FROM (SELECT *, all_pos AS any_all FROM {curve}) GROUP BY {keys}"""
+
+
+CTES["t_auc"] = _auc("t_curve", "box_width")
+CTES["t_metric"] = """
+SELECT box_width, auc, ap, ece, frac_in_box, observations
+FROM t_auc JOIN t_ece USING (box_width)
+JOIN (SELECT box_width, avg(1 - churned) AS frac_in_box, count(*) AS observations
+      FROM t_outcome GROUP BY 1) USING (box_width)"""
+ORACLE["horizon_metrics"] = """
+SELECT box_width, round(auc, 6) AS auc, round(ap, 6) AS ap, round(ece, 6) AS ece,
+       round(frac_in_box, 6) AS frac_in_box, observations FROM t_metric"""
+ORACLE["mean_metrics"] = """
+SELECT round(avg(auc), 6) AS mean_auc, round(avg(ap), 6) AS mean_ap, round(avg(ece), 6) AS mean_ece
+FROM t_metric"""
+CTES["t_fold_outcome"] = """
+SELECT hhn, CAST(fold_crc % 5 AS INTEGER) AS fold, model, box_width,
+       CAST(tte > box_width - since AS INTEGER) AS churned,
+       round(1 - (1 - exp(-pow((box_width - since + 1) / alpha,
+                               CASE WHEN model = 'champion' THEN 1 ELSE beta END))), 9) AS score
+FROM t_frame JOIN t_hash USING (hhn), (SELECT unnest(['champion', 'challenger']) AS model),
+     (SELECT CAST(unnest(range(10, 17)) AS INTEGER) AS box_width)
+WHERE box_width >= since"""
+CTES["t_fold_curve"] = _curves("t_fold_outcome", "fold, model, box_width")
+CTES["t_fold_auc"] = _auc("t_fold_curve", "fold, model, box_width")
+CTES["t_fold_ece"] = """
+SELECT fold, model, box_width, sum(n * abs(label - prob)) / sum(n) AS ece
+FROM (SELECT fold, model, box_width, bin, avg(churned) AS label, avg(score) AS prob, count(*) AS n
+      FROM t_fold_outcome JOIN (SELECT unnest(range(1, 11)) AS bin)
+        ON score <= bin / 10 AND (score > (bin - 1) / 10 OR bin = 1)
+      GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3"""
+CTES["t_fold"] = """
+SELECT fold, model, avg(auc) AS mean_auc, avg(ap) AS mean_ap, avg(ece) AS mean_ece
+FROM t_fold_auc JOIN t_fold_ece USING (fold, model, box_width) GROUP BY 1, 2"""
+ORACLE["fold_metrics"] = """
+SELECT fold, model, round(mean_auc, 6) AS mean_auc, round(mean_ap, 6) AS mean_ap,
+       round(mean_ece, 6) AS mean_ece FROM t_fold"""
+CTES["t_test"] = """
+SELECT *, gap / (spread / sqrt(n_folds)) AS statistic
+FROM (SELECT avg(champion) AS mean_champion, avg(challenger) AS mean_challenger,
+             avg(champion - challenger) AS gap, stddev_samp(champion - challenger) AS spread,
+             count(*) AS n_folds
+      FROM (SELECT fold, max(mean_auc) FILTER (model = 'champion') AS champion,
+                   max(mean_auc) FILTER (model = 'challenger') AS challenger
+            FROM t_fold GROUP BY 1))"""
+# Student's distribution function has a closed form for four degrees of freedom.
+CTES["t_test_p"] = """
+SELECT *, 0.5 + statistic * (statistic * statistic + 6) / (2 * pow(statistic * statistic + 4, 1.5)) AS p_value
+FROM t_test"""
+ORACLE["fold_compare"] = """
+SELECT round(mean_champion, 5) AS mean_champion, round(mean_challenger, 5) AS mean_challenger,
+       round(gap, 5) AS gap, round(spread, 5) AS spread, n_folds, round(statistic, 5) AS statistic,
+       round(p_value, 5) AS p_value, CASE WHEN p_value <= 0.05 THEN 'promote' ELSE 'keep' END AS decision
+FROM t_test_p"""
+ORACLE["best_run"] = """
+SELECT fold, model, round(mean_auc, 6) AS mean_auc FROM t_fold WHERE fold * 10 <= 24
+ORDER BY t_fold.mean_auc DESC LIMIT 1"""
+
+# --- business reports -----------------------------------------------------------------
+
+CTES["t_one"] = "SELECT hhn, score, churned FROM t_outcome WHERE box_width = 13"
+
+
+def _report(n: int, name: str) -> str:
+    edges = [1.0 / n * (i + 1) for i in range(n)]
+    segment = " + ".join(f"CAST(score >= {e!r}::DOUBLE AS INTEGER)" for e in edges[:-1])
+    ranges = ", ".join(f"'{lo:.2f} - {hi:.2f}'" for lo, hi in zip([0.0, *edges], edges))
+    return f"""
+SELECT segment, {name} AS segment_name, ([{ranges}])[segment + 1] AS prob_range,
+       round(avg(score), 6) AS mean_prob, round(median(score), 6) AS median_prob,
+       count(*) AS total_count, CAST(sum(churned) AS BIGINT) AS churned,
+       round(sum(churned) / count(*) * 100, 6) AS percent_churned,
+       round(sum(churned) * 100.0::DOUBLE / (SELECT sum(churned) FROM t_one), 6) AS percent_of_total_churned
+FROM (SELECT *, {segment} AS segment FROM t_one) GROUP BY segment"""
+
+
+ORACLE["risk_report"] = _report(4, "(['Low', 'Medium', 'High', 'At Risk'])[segment + 1]")
+ORACLE["risk_report_deciles"] = _report(10, "CAST(segment AS VARCHAR)")
+ORACLE["risk_report_check"] = """
+SELECT segment, round(segment / 10, 2) AS left_edge, round((segment + 1) / 10, 2) AS right_edge,
+       count(score) AS total_count, CAST(coalesce(sum(churned), 0) AS BIGINT) AS churned,
+       round(sum(churned) * 100.0::DOUBLE / nullif(count(score), 0), 6) AS percent_churned
+FROM (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS segment)
+LEFT JOIN t_one ON score >= 0.1::DOUBLE * segment
+  AND (score < 0.1::DOUBLE * (segment + 1) OR (segment = 9 AND score <= 1))
+GROUP BY segment"""
+ORACLE["score_histogram"] = """
+SELECT series, bin, count(v) AS n
+FROM (SELECT unnest(['model', 'truth']) AS series), (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS bin)
+LEFT JOIN (SELECT series, bin, 1 AS v FROM (
+             SELECT 'model' AS series, CAST(least(floor((score - (SELECT min(score) FROM t_one))
+               / (SELECT max(score) - min(score) FROM t_one) * 10), 9) AS INTEGER) AS bin FROM t_one
+             UNION ALL SELECT 'truth', least(churned * 10, 9) FROM t_one)) USING (series, bin)
+GROUP BY 1, 2"""
+ORACLE["scale_up"] = """
+SELECT count(*) AS n_rows, CAST(sum(churned) AS BIGINT) AS n_churned,
+       count(*) / 0.025::DOUBLE AS n_rows_scaled FROM t_one"""

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopspan.functions.dates import weeks_between
+from shopspan.functions import weibull as wb
 from shopspan.operators import calendar as cal
+from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
+from shopspan.operators import fitting, reports
 from shopspan.operators import sampling, weekly
 from shopspan.operators import sequences as seq
 from shopspan.plans.sample_setting import END_DATE, SAMPLE_PARAMS
@@ -218,18 +221,23 @@ def region_lookup(spark, folder):
     return feat.region_lookup(_window_rows(spark, folder)[1])
 
 
+def _one_banner_lookup(spark, folder):
+    """All household weeks, and a lookup that only knows the regions of one banner."""
+    t, rows = _household_weeks(spark, folder)
+    known = weekly.listed_stores(t.dim_location, ("AMERICA",)).select(feat.REGION).distinct()
+    return rows, staged(feat.region_lookup(rows.join(known, feat.REGION, "left_semi")), "regions")
+
+
 @query
 def region_index(spark, folder):
-    _, rows = _household_weeks(spark, folder)
-    lookup = staged(feat.region_lookup(sampling.subset(rows, END_DATE, 156, 0.01)), "regions")
+    rows, lookup = _one_banner_lookup(spark, folder)
     indexed = feat.with_region_index(rows, lookup, P.default_region)
     return indexed.select("hhn", "week_ending_date", feat.REGION, "div_reg_index")
 
 
 @query
 def unseen_regions(spark, folder):
-    _, rows = _household_weeks(spark, folder)
-    lookup = feat.region_lookup(sampling.subset(rows, END_DATE, 156, 0.01))
+    rows, lookup = _one_banner_lookup(spark, folder)
     return feat.unseen_regions(rows, lookup)
 
 
@@ -340,3 +348,280 @@ def dense_export_roundtrip(spark, folder):
         "weight", seq.mask_weight(P.mask_value, ALL_FEATURES[0])
     )
     return rounded(seq.unmask(unpacked, ["tte"]), 6, *ALL_FEATURES)
+
+
+# --- Weibull functions ----------------------------------------------------------
+
+
+def _gap_rule(paired, *keep):
+    """Simple closed-form parameters, so that results can be checked in SQL:
+    alpha is the mean gap between purchases so far, beta grows with their number."""
+    before = Window.partitionBy("hhn").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    prior = F.coalesce(F.sum("event").over(before), F.lit(0)) + 1
+    return paired.select("hhn", "k", "t", "tte", "u", *keep, prior.alias("prior")).withColumns(
+        {
+            "alpha": F.round(F.col("t") / F.col("prior"), 6),
+            "beta": F.round(0.75 + F.col("prior") / (F.col("prior") + 8), 6),
+        }
+    )
+
+
+def _scored_valid(spark, folder):
+    rows, _, begin = _valid(spark, folder)
+    return _gap_rule(rows), begin
+
+
+@query
+def weibull_functions(spark, folder):
+    rows, _ = _scored_valid(spark, folder)
+    t, a, b = F.col("tte") + 1, F.col("alpha"), F.col("beta")
+    out = rows.select(
+        "hhn", "k",
+        wb.cumulative_hazard(t, a, b).alias("cumulative_hazard"),
+        wb.hazard(t, a, b).alias("hazard"),
+        wb.cdf(t, a, b).alias("cdf"),
+        wb.pdf(t, a, b).alias("pdf"),
+        wb.cmf(t, a, b).alias("cmf"),
+        wb.pmf(t, a, b).alias("pmf"),
+        wb.mode(a, b).alias("mode"),
+        wb.mean(a, b).alias("mean"),
+        wb.quantile(a, b, 0.5).alias("median"),
+        wb.excess_pdf(F.col("t"), t, a, b).alias("excess_pdf"),
+        wb.excess_cdf(F.col("t"), t, a, b).alias("excess_cdf"),
+        wb.excess_quantile(F.col("t"), a, b, 0.5).alias("excess_median"),
+    )
+    return rounded(out, 5, *out.columns[2:])
+
+
+@query
+def output_transform(spark, folder):
+    rows, _ = _scored_valid(spark, folder)
+    alpha, beta = wb.output_transform(
+        F.col("prior") / F.col("t"), F.col("u") - 0.5, init_alpha=10.0, max_beta=5.0, scale=0.4
+    )
+    return rows.select(
+        "hhn", "k", F.round(alpha, 5).alias("alpha"), F.round(beta, 5).alias("beta")
+    )
+
+
+@query
+def censored_loglik(spark, folder):
+    rows, _ = _scored_valid(spark, folder)
+    t, a, b, u = F.col("tte"), F.col("alpha"), F.col("beta"), F.col("u")
+    out = rows.select(
+        "hhn", "k",
+        wb.discrete_loglik(t, a, b, u).alias("discrete"),
+        wb.discrete_loglik(t, a, b, u, equality=True).alias("discrete_equality"),
+        wb.continuous_loglik(t + 1, a, b, u).alias("continuous"),
+        wb.continuous_loglik(t + 1, a, b, u, equality=True).alias("continuous_equality"),
+        wb.training_loglik(t, a, b, u).alias("training"),
+    )
+    return rounded(out, 5, *out.columns[2:])
+
+
+@query
+def loss(spark, folder):
+    rows, _ = _scored_valid(spark, folder)
+    t, a, b, u = F.col("tte"), F.col("alpha"), F.col("beta"), F.col("u")
+    return rows.agg(
+        F.round(F.avg(wb.loss(t, a, b, u, clip_prob=1e-5)), 6).alias("discrete_loss"),
+        F.round(F.avg(wb.loss(t + 1, a, b, u, "continuous")), 6).alias("continuous_loss"),
+    )
+
+
+@query
+def init_alpha(spark, folder):
+    rows = fitting.init_alpha(_train(spark, folder))
+    return rounded(rows, 6, "mean_tte", "mean_u", "init_alpha")
+
+
+# --- fitting and scoring --------------------------------------------------------
+
+
+def _train_segments(spark, folder):
+    return fitting.with_step_segments(_train(spark, folder))
+
+
+@query
+def step_segments(spark, folder):
+    rows = _train_segments(spark, folder)
+    return rows.select(
+        "hhn", "k", "recency", "n_events", "region_id", "recency_bin", "frequency_bin"
+    )
+
+
+@query
+def current_segments(spark, folder):
+    rows, inputs = _features(spark, folder)
+    return fitting.current_segments(inputs, seq.read_axis(rows))
+
+
+@query
+def tte_histogram(spark, folder):
+    return fitting.tte_histogram(_train_segments(spark, folder), fitting.CANDIDATES["regional"])
+
+
+@query
+def fit_weibull(spark, folder):
+    train = staged(_train_segments(spark, folder), "train")
+    start = fitting.init_alpha(train).first()["init_alpha"]
+    fitted = fitting.fit_candidates(train, start)
+    return rounded(fitted, 4, "alpha", "beta", "mean_loglik")
+
+
+@query
+def score_households(spark, folder):
+    train = staged(_train_segments(spark, folder), "train")
+    start = fitting.init_alpha(train).first()["init_alpha"]
+    fitted = staged(fitting.fit_candidates(train, start), "fitted")
+    rows, inputs = _features(spark, folder)
+    scored = fitting.score(fitting.current_segments(inputs, seq.read_axis(rows)), fitted)
+    return rounded(scored.select("hhn", "alpha", "beta"), 4, "alpha", "beta")
+
+
+# --- churn metrics ----------------------------------------------------------------
+
+
+def _frame(spark, folder):
+    rows, begin = _scored_valid(spark, folder)
+    return ev.evaluation_frame(rows, begin, P.consider_last_event)
+
+
+def _outcomes(spark, folder):
+    # Nine digits, so that two engines agree on which scores are equal.
+    rows = ev.box_outcomes(
+        _frame(spark, folder), P.n_testing_steps, P.min_box_width, P.consider_last_event
+    )
+    return staged(rounded(rows, 9, "score"), "outcomes")
+
+
+@query
+def eval_frame(spark, folder):
+    return _frame(spark, folder)
+
+
+@query
+def box_outcomes(spark, folder):
+    return _outcomes(spark, folder)
+
+
+@query
+def calibration(spark, folder):
+    bins = ev.probability_bins(_outcomes(spark, folder))
+    return rounded(bins, 6, "mean_label", "mean_score", "fraction")
+
+
+@query
+def calibration_error(spark, folder):
+    ece = ev.calibration_error(ev.probability_bins(_outcomes(spark, folder)))
+    return rounded(ece, 6, "ece")
+
+
+@query
+def roc_points(spark, folder):
+    points = ev.roc_points(ev.score_steps(_outcomes(spark, folder)))
+    return rounded(points, 6, "fpr", "tpr", "threshold")
+
+
+@query
+def pr_points(spark, folder):
+    points = ev.pr_points(ev.score_steps(_outcomes(spark, folder)))
+    return rounded(points, 6, "precision", "recall", "threshold")
+
+
+@query
+def horizon_metrics(spark, folder):
+    metrics = ev.horizon_metrics(_outcomes(spark, folder))
+    return rounded(metrics, 6, "auc", "ap", "ece", "frac_in_box")
+
+
+@query
+def mean_metrics(spark, folder):
+    means = ev.mean_metrics(ev.horizon_metrics(_outcomes(spark, folder)))
+    return rounded(means, 6, "mean_auc", "mean_ap", "mean_ece")
+
+
+def _fold_metrics(spark, folder):
+    rows, begin = _scored_valid(spark, folder)
+    models = F.array(
+        F.struct(F.lit("champion").alias("model"), F.col("alpha"), F.lit(1.0).alias("beta")),
+        F.struct(F.lit("challenger").alias("model"), F.col("alpha"), F.col("beta")),
+    )
+    both = sampling.assign_folds(rows, P.n_folds, P.fold_seed).select(
+        "hhn", "fold", "k", "tte", F.explode(models).alias("m")
+    ).select("hhn", "fold", "k", "tte", "m.*")
+    by = ("fold", "model")
+    frame = ev.evaluation_frame(both, begin, P.consider_last_event, by)
+    outcomes = ev.box_outcomes(
+        frame, P.n_testing_steps, P.min_box_width, P.consider_last_event, by
+    )
+    outcomes = staged(rounded(outcomes, 9, "score"), "outcomes")
+    return ev.mean_metrics(ev.horizon_metrics(outcomes, by), by)
+
+
+@query
+def fold_metrics(spark, folder):
+    return rounded(_fold_metrics(spark, folder), 6, "mean_auc", "mean_ap", "mean_ece")
+
+
+@query
+def fold_compare(spark, folder):
+    scores = _fold_metrics(spark, folder)
+    per_fold = scores.groupBy("fold").pivot("model", ["champion", "challenger"]).agg(
+        F.first("mean_auc")
+    )
+    test = ev.promotion(ev.paired_t_test(per_fold, "champion", "challenger"), P.t_test_level)
+    return rounded(
+        test, 5, "mean_champion", "mean_challenger", "gap", "spread", "statistic", "p_value"
+    )
+
+
+@query
+def best_run(spark, folder):
+    """Runs are the folds' challengers and champions, started one hour apart."""
+    runs = _fold_metrics(spark, folder).withColumn(
+        "start_time",
+        F.lit(END_DATE).cast("timestamp") - F.make_dt_interval(hours=F.col("fold") * 10),
+    )
+    best = ev.best_run(runs, F.lit(END_DATE).cast("timestamp"), P.recent_runs_hours)
+    return rounded(best.select("fold", "model", "mean_auc"), 6, "mean_auc")
+
+
+# --- business reports ---------------------------------------------------------------
+
+
+def _one_horizon(spark, folder):
+    rows = _outcomes(spark, folder).where(F.col("box_width") == P.n_weeks_churn)
+    return rows.select("hhn", "score", "churned")
+
+
+@query
+def risk_report(spark, folder):
+    report = reports.risk_report(_one_horizon(spark, folder), 4, reports.FOUR_BIN_NAMES)
+    return rounded(
+        report, 6, "mean_prob", "median_prob", "percent_churned", "percent_of_total_churned"
+    )
+
+
+@query
+def risk_report_deciles(spark, folder):
+    report = reports.risk_report(_one_horizon(spark, folder), 10)
+    return rounded(
+        report, 6, "mean_prob", "median_prob", "percent_churned", "percent_of_total_churned"
+    )
+
+
+@query
+def risk_report_check(spark, folder):
+    check = reports.risk_report_check(_one_horizon(spark, folder), 10)
+    return rounded(check, 6, "percent_churned")
+
+
+@query
+def score_histogram(spark, folder):
+    return reports.score_histogram(_one_horizon(spark, folder))
+
+
+@query
+def scale_up(spark, folder):
+    return reports.scale_up(_one_horizon(spark, folder), 0.025)
