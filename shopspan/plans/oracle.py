@@ -201,7 +201,7 @@ SELECT hhn, week_number, year_number, week_ending_date, n_transaction, n_ecomm_t
        CAST(unit_offer_ratio AS DOUBLE) AS unit_offer_ratio, points_earned, points_redeemed,
        redeem_count, region AS divisional_regional_rollup,
        CAST(median_sales AS DOUBLE) AS median_sales, median_units_sales, avg_n_transaction,
-       avg_n_ecomm_trans, unique_hhn_num // 25000 AS hhn_batch_num
+       avg_n_ecomm_trans, unique_hhn_num // 100 AS hhn_batch_num
 FROM t_total JOIN t_store ON maxsales_location_id = location_id
 LEFT JOIN t_global USING (year_number, week_number) JOIN t_batch USING (hhn)"""
 ORACLE["household_weeks"] = "SELECT * FROM t_hh"
@@ -618,7 +618,8 @@ LEFT JOIN t_one ON score >= 0.1::DOUBLE * segment
 GROUP BY segment"""
 ORACLE["score_histogram"] = """
 SELECT series, bin, count(v) AS n
-FROM (SELECT unnest(['model', 'truth']) AS series), (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS bin)
+FROM (SELECT series, CAST(unnest(range(0, 10)) AS INTEGER) AS bin
+      FROM (SELECT unnest(['model', 'truth']) AS series))
 LEFT JOIN (SELECT series, bin, 1 AS v FROM (
              SELECT 'model' AS series, CAST(least(floor((score - (SELECT min(score) FROM t_one))
                / (SELECT max(score) - min(score) FROM t_one) * 10), 9) AS INTEGER) AS bin FROM t_one
@@ -627,3 +628,194 @@ GROUP BY 1, 2"""
 ORACLE["scale_up"] = """
 SELECT count(*) AS n_rows, CAST(sum(churned) AS BIGINT) AS n_churned,
        count(*) / 0.025::DOUBLE AS n_rows_scaled FROM t_one"""
+
+# --- predictions ----------------------------------------------------------------------
+
+LAST_WEEK = "DATE '2001-07-29'"
+CTES["t_kpi"] = f"""
+SELECT hhn, {LAST_WEEK} AS max_week_ending_date, max(week_ending_date) AS last_event,
+       min(week_ending_date) AS first_event, sum(CAST(sales_dollars AS DECIMAL(38,4))) AS historical_sales,
+       CAST(sum(n_transaction) AS INTEGER) AS historical_transactions
+FROM t_hh WHERE week_ending_date BETWEEN {LAST_WEEK} - 7 * 155 AND {LAST_WEEK} GROUP BY 1"""
+CTES["t_recency"] = """
+SELECT *, CAST((max_week_ending_date - first_event) // 7 AS INTEGER) AS weeks_since_first_shop,
+       CAST((max_week_ending_date - last_event) // 7 AS INTEGER) AS weeks_since_last_shop,
+       CAST(ceil(((max_week_ending_date - first_event) / 7 + 1) / 4) AS INTEGER) AS tenure_4wk_periods,
+       CAST(greatest(0, 13 - (max_week_ending_date - last_event) // 7) AS INTEGER) AS weeks_until_churned
+FROM t_kpi"""
+ORACLE["household_kpis"] = """
+SELECT * REPLACE (CAST(historical_sales AS DOUBLE) AS historical_sales), 156 AS historical_kpis_num_weeks
+FROM t_recency"""
+CTES["t_churn"] = f"""
+SELECT {END} AS prediction_date, max_week_ending_date, hhn, alpha, beta,
+       exp(-pow(weeks_until_churned / alpha, beta)) AS churn_probability,
+       13 AS churn_definition_weeks, weeks_until_churned, weeks_since_last_shop,
+       weeks_since_first_shop, 'gap-rule' AS model_version
+FROM t_recency
+JOIN (SELECT hhn, round(n_steps / n_events, 6) AS alpha,
+             round(0.75::DOUBLE + n_events / (n_events + 8), 6) AS beta
+      FROM (SELECT hhn, count(*) FILTER (n_transaction > 0) AS n_events,
+                   (any_value(last_week) - min(week_ending_date)) // 7 + 1 AS n_steps
+            FROM t_feature, t_axis GROUP BY 1)) USING (hhn)"""
+ORACLE["churn_output"] = """
+SELECT * REPLACE (round(churn_probability, 6) AS churn_probability) FROM t_churn"""
+CTES["t_latest"] = """
+SELECT hhn, max_week_ending_date, prediction_date, churn_probability, weeks_since_last_shop, beta,
+       CASE WHEN weeks_until_churned = 0 THEN alpha + 1 ELSE alpha END AS alpha,
+       CASE WHEN weeks_until_churned = 0 THEN TIMESTAMP '2001-08-02 09:00:00'
+            ELSE TIMESTAMP '2001-08-02 06:00:00' END AS table_update_dt
+FROM t_churn"""
+ORACLE["latest_prediction"] = """
+SELECT hhn, max_week_ending_date, prediction_date, alpha, table_update_dt FROM t_latest"""
+
+# --- gold tables ------------------------------------------------------------------------
+
+
+def _tenure(years: int, week: str = LAST_WEEK) -> str:
+    return f"""
+SELECT hhn, {week} AS max_wed, first_event_trunc,
+       CAST(({week} - first_event_trunc) // 7 AS INTEGER) AS weeks_since_first_shop_trunc,
+       13 AS period_length_weeks,
+       CAST(ceil((({week} - first_event_trunc) // 7 + 1) / 13) AS BIGINT) AS n_periods_tenure
+FROM (SELECT hhn, min(week_end_date) - 7 AS first_event_trunc
+      FROM t_sale JOIN t_date ON fiscal_date = date JOIN t_customer ON customer_id = cx
+      WHERE date BETWEEN {week} - (364 * {years} - 1) AND {week} GROUP BY 1)"""
+
+
+def _annual(years: int, week: str = LAST_WEEK) -> str:
+    return f"""
+SELECT hhn, round(CAST(sum(merch_sales) AS DOUBLE) / n_periods_tenure * 4, 0) AS annualized_sales,
+       max_wed AS churn_max_week_ending_date
+FROM t_sale JOIN t_customer ON customer_id = cx JOIN t_item USING (item_id)
+JOIN ({_tenure(years, week)}) USING (hhn)
+WHERE hhn <> 0 AND card_type <> 'MACHINERY' AND financial = 'Y'
+  AND fiscal_date > first_event_trunc AND fiscal_date <= max_wed
+GROUP BY hhn, n_periods_tenure, max_wed"""
+
+
+ORACLE["base_tenure"] = _tenure(2)
+CTES["t_annual"] = _annual(2)
+CTES["t_annual_short"] = _annual(1)
+CTES["t_annual_before"] = _annual(1, f"{LAST_WEEK} - 7")
+ORACLE["annualized_sales"] = "SELECT * FROM t_annual"
+CTES["t_gold"] = """
+SELECT max_week_ending_date, hhn, p AS churn_probability, weeks_since_last_shop,
+       round(1 - exp(-pow(1 / alpha, beta)), 4) AS next_week_shop_prob, annualized_sales,
+       CASE WHEN p = 1 THEN 'Churned' WHEN p >= 0.75 THEN 'At Risk' WHEN p >= 0.5 THEN 'High'
+            WHEN p >= 0.25 THEN 'Med' ELSE 'Low' END AS churn_segment, prediction_date
+FROM (SELECT *, round(churn_probability, 4) AS p FROM t_latest)
+JOIN (SELECT hhn, churn_max_week_ending_date AS max_week_ending_date, annualized_sales FROM t_annual)
+  USING (hhn, max_week_ending_date)"""
+ORACLE["household_churn"] = "SELECT * FROM t_gold"
+
+# --- sinks --------------------------------------------------------------------------------
+
+ORACLE["merge_annualized_sales"] = """
+SELECT coalesce(n.hhn, o.hhn) AS hhn, coalesce(n.annualized_sales, o.annualized_sales) AS annualized_sales,
+       coalesce(n.churn_max_week_ending_date, o.churn_max_week_ending_date) AS churn_max_week_ending_date
+FROM t_annual n FULL JOIN t_annual_short o
+  ON n.hhn = o.hhn AND n.churn_max_week_ending_date = o.churn_max_week_ending_date"""
+ORACLE["merge_household_churn"] = """
+SELECT * REPLACE (CASE WHEN churn_segment = 'Churned' THEN 0 ELSE weeks_since_last_shop END
+                  AS weeks_since_last_shop) FROM t_gold"""
+ORACLE["partition_overwrite"] = """
+SELECT * FROM t_annual UNION ALL SELECT * FROM t_annual_before"""
+ORACLE["read_as_of"] = """
+SELECT *, 'version' AS pinned FROM t_annual_short UNION ALL SELECT *, 'time' FROM t_annual"""
+ORACLE["table_history"] = """
+SELECT version, committed_at, 'WRITE' AS operation, 9 AS days_since,
+       (SELECT count(*) FROM t_annual_short) AS n_live_rows
+FROM (VALUES (CAST(1 AS BIGINT), TIMESTAMP '2001-07-15'), (CAST(2 AS BIGINT), TIMESTAMP '2001-08-01'))
+  v(version, committed_at)"""
+
+# --- quality --------------------------------------------------------------------------------
+
+
+def _checks(table: str, columns: str, numeric: str, rules: dict[str, str]) -> list[str]:
+    parts = [
+        f"SELECT 'no_nulls:{c}', count(*) FILTER ({c} IS NULL), count(*) FILTER ({c} IS NULL) = 0 FROM {table}"
+        for c in columns.split()
+    ]
+    parts += [
+        f"SELECT 'not_all_zero:{c}', count(*) FILTER ({c} = 0), count(*) FILTER ({c} = 0) < count(*) FROM {table}"
+        for c in numeric.split()
+    ]
+    parts += [
+        f"SELECT '{name}', count(*) FILTER ({bad}), count(*) FILTER ({bad}) = 0 FROM {table}"
+        for name, bad in rules.items()
+    ]
+    return parts
+
+
+def _floors(table: str) -> list[str]:
+    return [
+        f"SELECT '{name}', min(v), min(v) >= 1 FROM "
+        f"(SELECT {measure} AS v FROM {table} GROUP BY year_number, week_number)"
+        for name, measure in (
+            ("rows_per_week", "count(*)"), ("sales_per_week", "sum(sales_dollars)"),
+            ("units_per_week", "sum(units_sales)"),
+        )
+    ]
+
+
+def _report_of(parts: list[str]) -> str:
+    return (
+        "SELECT a AS rule, CAST(b AS DOUBLE) AS observed, c AS passed FROM ("
+        + "\nUNION ALL ".join(parts) + ") r(a, b, c)"
+    )
+
+
+_HH_NUMERIC = (
+    "hhn week_number year_number n_transaction n_ecomm_trans maxsales_location_id sales_dollars "
+    "extended_cost units_sales unit_offer_ratio points_earned points_redeemed redeem_count "
+    "median_sales median_units_sales avg_n_transaction avg_n_ecomm_trans hhn_batch_num"
+)
+CTES["t_hh_money"] = "SELECT * REPLACE (CAST(sales_dollars AS DECIMAL(18,4)) AS sales_dollars) FROM t_hh"
+ORACLE["quality_report"] = _report_of(
+    _floors("t_hh_money")
+    + _checks(
+        "t_hh", _HH_NUMERIC + " week_ending_date divisional_regional_rollup", _HH_NUMERIC,
+        {
+            "avg_n_transaction_at_least_1": "avg_n_transaction < 1",
+            "avg_n_ecomm_trans_not_0": "avg_n_ecomm_trans = 0",
+            "unit_offer_ratio_in_0_1": "unit_offer_ratio < 0 OR unit_offer_ratio > 1",
+        },
+    )
+)
+_CX = (
+    "cx week_number year_number location_id n_transaction n_ecomm_trans sales_dollars extended_cost "
+    "sales_dollars_offer units_sales units_sales_offer points_earned points_redeemed redeem_count"
+)
+ORACLE["quality_customer_weeks"] = _report_of(_floors("t_cx") + _checks("t_cx", _CX, _CX, {}))
+_CHURN_NUMERIC = (
+    "hhn alpha beta churn_probability churn_definition_weeks weeks_until_churned "
+    "weeks_since_last_shop weeks_since_first_shop"
+)
+CTES["t_churn_stamped"] = "SELECT *, TIMESTAMP '2001-08-02' AS table_update_dt FROM t_churn"
+ORACLE["quality_churn_output"] = _report_of(
+    _checks(
+        "t_churn_stamped",
+        _CHURN_NUMERIC + " prediction_date max_week_ending_date model_version table_update_dt",
+        _CHURN_NUMERIC,
+        {
+            "churn_probability_in_0_1": "churn_probability < 0 OR churn_probability > 1",
+            "weeks_until_churned_in_range": "weeks_until_churned < 0 OR weeks_until_churned > 13",
+            "alpha_beta_positive": "alpha <= 0 OR beta <= 0",
+            "weeks_since_shop_in_range": "weeks_since_last_shop > 156 OR weeks_since_first_shop > 156",
+        },
+    )
+)
+ORACLE["quality_household_churn"] = _report_of(
+    ["SELECT 'exact_columns', 0, true"]
+    + _checks(
+        "t_gold",
+        "max_week_ending_date hhn churn_probability weeks_since_last_shop next_week_shop_prob "
+        "annualized_sales churn_segment prediction_date",
+        "", {"churn_probability_in_0_1": "churn_probability < 0 OR churn_probability > 1"},
+    )
+    + ["SELECT 'households_per_week', 0, true"]
+)
+ORACLE["low_weeks_except_holiday"] = """
+SELECT week_ending_date AS max_week_ending_date, count(*) AS n_households FROM t_hh
+WHERE week_ending_date NOT IN (SELECT week_end_date FROM t_date WHERE strftime(date, '%m-%d') = '12-25')
+GROUP BY 1 HAVING count(*) < 40"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,13 +14,17 @@ from shopspan.functions import weibull as wb
 from shopspan.operators import calendar as cal
 from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
-from shopspan.operators import fitting, reports
+from shopspan.operators import fitting, gold, quality, reports
+from shopspan.operators import predictions as pred
 from shopspan.operators import sampling, weekly
 from shopspan.operators import sequences as seq
 from shopspan.plans.sample_setting import END_DATE, SAMPLE_PARAMS
-from shopspan.schemas import ALL_FEATURES, NUMERIC_FEATURES
+from shopspan.schemas import ALL_FEATURES, HOUSEHOLD_CHURN_COLUMNS, NUMERIC_FEATURES
+from shopspan.plans.flow import RetentionFlow
+from shopspan.sources import sinks
 from shopspan.sources import tables as src
-from shopspan.sources.staging import staged
+from shopspan.sources.snapshots import SHORT_HISTORY, VersionedTable
+from shopspan.sources.staging import new_staging_path, staged
 
 P = SAMPLE_PARAMS
 REGISTRY: dict = {}
@@ -142,7 +147,8 @@ def household_weeks(spark, folder):
 @query
 def household_batches(spark, folder):
     t, store_weeks = _store_weeks(spark, folder)
-    return weekly.household_batches(weekly.household_totals(store_weeks, t.dim_date), 100)
+    totals = weekly.household_totals(store_weeks, t.dim_date)
+    return weekly.household_batches(totals, P.households_per_batch)
 
 
 # --- windows, splits, sampling ------------------------------------------------
@@ -625,3 +631,203 @@ def score_histogram(spark, folder):
 @query
 def scale_up(spark, folder):
     return reports.scale_up(_one_horizon(spark, folder), 0.025)
+
+
+# --- predictions ------------------------------------------------------------------
+
+LAST_WEEK = END_DATE - timedelta(days=3)
+FIRST_RUN, SECOND_RUN = datetime(2001, 8, 2, 6), datetime(2001, 8, 2, 9)
+
+
+@query
+def household_kpis(spark, folder):
+    _, rows = _household_weeks(spark, folder)
+    return pred.with_recency(pred.household_kpis(rows, LAST_WEEK, P.n_weeks_stats), P.n_weeks_churn)
+
+
+def _churn_output(spark, folder):
+    """Predictions with closed-form parameters: the mean gap between active weeks."""
+    t, all_rows = _household_weeks(spark, folder)
+    rows = sampling.prediction_subset(all_rows, P)
+    lookup = staged(feat.region_lookup(rows), "regions")
+    inputs = feat.household_features(rows, lookup, P.default_region)
+    current = fitting.current_segments(inputs, seq.read_axis(rows))
+    n, steps = F.col("n_events"), F.col("n_steps")
+    scored = current.withColumns(
+        {"alpha": F.round(steps / n, 6), "beta": F.round(0.75 + n / (n + 8), 6)}
+    )
+    kpis = pred.household_kpis(all_rows, LAST_WEEK, P.n_weeks_stats)
+    return t, pred.churn_output(scored, kpis, P.n_weeks_churn, "gap-rule", END_DATE)
+
+
+@query
+def churn_output(spark, folder):
+    rows = _churn_output(spark, folder)[1].drop("table_update_dt")
+    return rounded(rows, 6, "churn_probability")
+
+
+def _two_runs(spark, folder):
+    """All households in a first run; overdue ones again in a second, with new parameters."""
+    t, rows = _churn_output(spark, folder)
+    rows = staged(rows, "churn")
+    again = rows.where("weeks_until_churned = 0").withColumn("alpha", F.col("alpha") + 1)
+    return t, rows.withColumn("table_update_dt", F.lit(FIRST_RUN)).unionByName(
+        again.withColumn("table_update_dt", F.lit(SECOND_RUN))
+    )
+
+
+@query
+def latest_prediction(spark, folder):
+    rows = pred.latest_predictions(_two_runs(spark, folder)[1])
+    return rows.select("hhn", "max_week_ending_date", "prediction_date", "alpha", "table_update_dt")
+
+
+# --- gold tables --------------------------------------------------------------------
+
+
+def _gold_sources(t):
+    return (
+        src.gold_sales(t.retail_sale), src.gold_customers(t.dim_customer),
+        src.gold_items(t.dim_product),
+    )
+
+
+def _annualized(t, years=2, week=LAST_WEEK):
+    sales, customers, items = _gold_sources(t)
+    return gold.annualized_sales(
+        sales, customers, items, t.dim_date, week, P.excluded_card_types, years, P.period_weeks
+    )
+
+
+@query
+def base_tenure(spark, folder):
+    t, _ = _setting(spark, folder)
+    sales, customers, _ = _gold_sources(t)
+    return gold.base_tenure(sales, customers, t.dim_date, LAST_WEEK, P.lookback_years, P.period_weeks)
+
+
+@query
+def annualized_sales(spark, folder):
+    return _annualized(_setting(spark, folder)[0])
+
+
+def _household_churn(spark, folder):
+    t, runs = _two_runs(spark, folder)
+    return t, gold.household_churn(_annualized(t), pred.latest_predictions(runs))
+
+
+@query
+def household_churn(spark, folder):
+    return _household_churn(spark, folder)[1]
+
+
+# --- sinks ----------------------------------------------------------------------------
+
+
+@query
+def merge_annualized_sales(spark, folder):
+    """A one-year table merged with its two-year successor."""
+    t, _ = _setting(spark, folder)
+    path = new_staging_path(spark, "annualized")
+    part = "churn_max_week_ending_date"
+    for years in (1, 2):
+        sinks.merge_into(path, _annualized(t, years), part, **gold.ANNUALIZED_MERGE)
+    return spark.read.parquet(path)
+
+
+@query
+def merge_household_churn(spark, folder):
+    """First the overdue households with other values, then everyone."""
+    _, rows = _household_churn(spark, folder)
+    rows = staged(rows, "churn")
+    path = new_staging_path(spark, "household-churn")
+    early = rows.where("churn_segment = 'Churned'").withColumns(
+        {"annualized_sales": F.col("annualized_sales") + 1, "weeks_since_last_shop": F.lit(0).cast("short")}
+    )
+    for source in (early, rows):
+        sinks.merge_into(path, source, "max_week_ending_date", **gold.CHURN_MERGE)
+    return spark.read.parquet(path)
+
+
+@query
+def partition_overwrite(spark, folder):
+    """Two weeks are stored; then only the newer one is written again."""
+    t, _ = _setting(spark, folder)
+    path = new_staging_path(spark, "overwrite")
+    part = "churn_max_week_ending_date"
+    both = _annualized(t, 1).unionByName(_annualized(t, 1, LAST_WEEK - timedelta(days=7)))
+    sinks.overwrite(both, path, part)
+    again = staged(_annualized(t, 2), "again")
+    quality.require_single_value(again, part)
+    sinks.overwrite_partitions(again, path, part)
+    return spark.read.parquet(path)
+
+
+def _versions(spark, folder):
+    t, _ = _setting(spark, folder)
+    table = VersionedTable(spark, new_staging_path(spark, "versions"))
+    for years, at in ((1, datetime(2001, 6, 1)), (2, datetime(2001, 7, 15)), (1, datetime(2001, 8, 1))):
+        table.write(_annualized(t, years), at=at)
+    return table
+
+
+@query
+def read_as_of(spark, folder):
+    table = _versions(spark, folder)
+    by_version = table.read_as_of(version=0).withColumn("pinned", F.lit("version"))
+    by_time = table.read_as_of(timestamp=datetime(2001, 7, 20)).withColumn("pinned", F.lit("time"))
+    return by_version.unionByName(by_time)
+
+
+@query
+def table_history(spark, folder):
+    table = _versions(spark, folder)
+    now = datetime(2001, 8, 10)
+    days = table.last_operation(now).select("days_since").scalar()
+    table.expire(SHORT_HISTORY, now)
+    kept = table.history().select("version", "committed_at", "operation")
+    rows = table.read_as_of().agg(F.count(F.lit(1)).alias("n_live_rows"))
+    return kept.withColumns({"days_since": days, "n_live_rows": rows.scalar()})
+
+
+# --- quality --------------------------------------------------------------------------
+
+
+@query
+def quality_report(spark, folder):
+    t, rows = _household_weeks(spark, folder)
+    return quality.check_household_weeks(rows, P)
+
+
+@query
+def quality_customer_weeks(spark, folder):
+    return quality.check_customer_weeks(_customer_weeks(spark, folder)[2], P)
+
+
+@query
+def quality_churn_output(spark, folder):
+    return quality.check_churn_output(_churn_output(spark, folder)[1], P)
+
+
+@query
+def quality_household_churn(spark, folder):
+    t, rows = _household_churn(spark, folder)
+    return quality.check_household_churn(rows, t.dim_date, P, HOUSEHOLD_CHURN_COLUMNS)
+
+
+@query
+def low_weeks_except_holiday(spark, folder):
+    t, rows = _household_weeks(spark, folder)
+    weekly_rows = rows.withColumnRenamed("week_ending_date", "max_week_ending_date")
+    return quality.low_weeks_except_holiday(weekly_rows, t.dim_date, 40)
+
+
+# --- everything -------------------------------------------------------------------------
+
+
+@query
+def retention_flow(spark, folder):
+    tables = src.sales_tables(spark, folder)
+    flow = RetentionFlow(spark, tables, new_staging_path(spark, "flow"), P)
+    return rounded(flow.run(*_gold_sources(tables), prediction_date=END_DATE), 3,
+                   "churn_probability", "next_week_shop_prob")

@@ -15,6 +15,7 @@ SAMPLE_PARAMS = RetentionParams(
     test_frac=0.3,
     listed_banners=("AMERICA", "ASIA", "EUROPE"),
     default_region="NATION_1",
+    households_per_batch=100,
     excluded_card_types=("MACHINERY",),
     # Tables here have thousands of rows where production has billions.
     min_rows_per_week=1,

@@ -121,3 +121,24 @@ def sales_tables(spark: SparkSession, folder: str) -> SalesTables:
         dim_product(spark, folder),
         dim_customer(spark, folder),
     )
+
+
+# --- the same tables under the names the gold layer uses ---------------------------
+
+
+def gold_sales(sales: DataFrame) -> DataFrame:
+    return sales.select(
+        F.col("customer_id").alias("customer_hk"), F.col("item_id").alias("item_hk"),
+        "merch_sales", "fiscal_date",
+    )
+
+
+def gold_customers(customers: DataFrame) -> DataFrame:
+    return customers.select(
+        F.col("ldw_customer_id").alias("customer_hk"),
+        F.col("household_id").alias("current_household_id"), "current_card_type",
+    )
+
+
+def gold_items(products: DataFrame) -> DataFrame:
+    return products.select(F.col("id").alias("item_hk"), "financial_sale_flag")
