@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopspan.functions import measures as m
@@ -185,20 +183,30 @@ def household_store_weeks(
     )
 
 
+def rank_stores(store_weeks: DataFrame) -> DataFrame:
+    """Order a household week's stores by sales; the smaller id wins a tie.
+
+    There is one row per store in each window, so its size is bounded by the stores.
+    """
+    best_first = Window.partitionBy("hhn", "week_number", "year_number").orderBy(
+        F.desc("sales_dollars"), F.asc("location_id")
+    )
+    return store_weeks.withColumn("store_rank", F.row_number().over(best_first))
+
+
 def top_store() -> Column:
-    """Store with the highest sales; the smaller id wins a tie."""
-    return F.max_by("location_id", F.struct("sales_dollars", -F.col("location_id")))
+    return F.max(F.when(F.col("store_rank") == 1, F.col("location_id")))
 
 
 def top_stores(store_weeks: DataFrame) -> DataFrame:
-    return store_weeks.groupBy("hhn", "week_number", "year_number").agg(
-        top_store().alias("maxsales_location_id")
+    return rank_stores(store_weeks).where("store_rank = 1").select(
+        "hhn", "week_number", "year_number", F.col("location_id").alias("maxsales_location_id")
     )
 
 
 def household_totals(store_weeks: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row per household and week; sums and top store come from one aggregation."""
-    totals = store_weeks.groupBy("hhn", "week_number", "year_number").agg(
+    """One row per household and week; the ranking and the sums share one shuffle."""
+    totals = rank_stores(store_weeks).groupBy("hhn", "week_number", "year_number").agg(
         F.sum("n_transaction").alias("n_transaction"),
         m.sum_of_known(F.col("n_ecomm_trans")).alias("n_ecomm_trans"),
         *[F.sum(c).alias(c) for c in HOUSEHOLD_SUMS],
@@ -260,11 +268,6 @@ def finish_household_weeks(
     )
 
 
-class WeeklyTables(NamedTuple):
-    customer_weeks: DataFrame
-    household_weeks: DataFrame
-
-
 def build_household_weeks(
     customer_week_rows: DataFrame,
     tables,

@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
 
+# Columns used of the test star schema.
+STAR_SCHEMA = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 
 class SalesTables(NamedTuple):
     retail_sale: DataFrame
@@ -20,7 +34,8 @@ class SalesTables(NamedTuple):
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """Scan a table by its declared columns; nothing is inferred from the files."""
+    return spark.read.schema(STAR_SCHEMA[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def lower_case_columns(df: DataFrame) -> DataFrame:
