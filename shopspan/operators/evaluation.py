@@ -110,12 +110,12 @@ def score_steps(outcomes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     steps = outcomes.groupBy(*keys, "score").agg(
         F.sum("churned").alias("pos"), F.sum(1 - F.col("churned")).alias("neg")
     ).withColumn("step", F.lit(1).cast("bigint"))
-    summed = running_sums(steps, keys, [F.desc("score")], ["pos", "neg", "step"])
+    summed = running_sums(steps, keys, [F.desc("score")], ["pos", "neg", "step"]).drop("step")
     # One row per group and horizon.
-    totals = summed.groupBy(*keys).agg(
-        F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"), F.count(F.lit(1)).alias("n_steps")
+    totals = outcomes.groupBy(*keys).agg(
+        F.sum("churned").alias("all_pos"), F.sum(1 - F.col("churned")).alias("all_neg")
     )
-    return summed.drop("step").join(F.broadcast(totals), keys)
+    return summed.join(F.broadcast(totals), keys)
 
 
 def discrimination(steps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -131,6 +131,16 @@ def discrimination(steps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def _with_end_point(points: DataFrame, keys: list[str], end: dict, names: list[str]) -> DataFrame:
+    """Add a curve's fixed end beside the point of its highest score."""
+    point = F.struct("threshold", *names)
+    fixed = F.struct(
+        F.lit(None).cast("double").alias("threshold"), *[F.lit(end[n]).alias(n) for n in names]
+    )
+    both = F.when(F.col("cum_step") == 1, F.array(fixed, point)).otherwise(F.array(point))
+    return points.select(*keys, F.explode(both).alias("p")).select(*keys, "p.*")
+
+
 def roc_points(steps: DataFrame, by: tuple[str, ...] = (), drop_collinear: bool = True) -> DataFrame:
     """ROC curve from (0, 0); points between two equal moves lie on a line and are left out."""
     keys = [*by, "box_width"]
@@ -145,19 +155,14 @@ def roc_points(steps: DataFrame, by: tuple[str, ...] = (), drop_collinear: bool
             | (F.col("cum_step") == 1)
             | (F.col("next_pos") != F.col("pos"))
             | (F.col("next_neg") != F.col("neg"))
-            | (F.col("n_steps") <= 2)
         )
         kept = steps.join(following, [*keys, "cum_step"], "left").where(turns)
     points = kept.select(
-        *keys, F.col("score").alias("threshold"),
+        *keys, "cum_step", F.col("score").alias("threshold"),
         F.try_divide("cum_neg", "all_neg").alias("fpr"),
         F.try_divide("cum_pos", "all_pos").alias("tpr"),
     )
-    origin = steps.select(*keys).distinct().select(
-        *keys, F.lit(None).cast("double").alias("threshold"),
-        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
-    )
-    return points.unionByName(origin)
+    return _with_end_point(points, keys, {"fpr": 0.0, "tpr": 0.0}, ["fpr", "tpr"])
 
 
 def pr_points(steps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -165,15 +170,11 @@ def pr_points(steps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     keys = [*by, "box_width"]
     before_full = F.col("cum_pos") - F.col("pos") < F.col("all_pos")
     points = steps.where(before_full).select(
-        *keys, F.col("score").alias("threshold"),
+        *keys, "cum_step", F.col("score").alias("threshold"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-        (F.col("cum_pos") / F.col("all_pos")).alias("recall"),
-    )
-    end = steps.select(*keys).distinct().select(
-        *keys, F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
+        F.try_divide("cum_pos", "all_pos").alias("recall"),
     )
-    return points.unionByName(end)
+    return _with_end_point(points, keys, {"precision": 1.0, "recall": 0.0}, ["precision", "recall"])
 
 
 def box_shares(outcomes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from shopspan.config import RetentionParams
 from shopspan.functions.dates import normalize_end_date
 from shopspan.operators.ordering import ordered_positions
 from shopspan.schemas import SUBSET_COLUMNS, require_columns
+from shopspan.sources.staging import staged
 
 HASH_SPACE = 2**32
 
@@ -110,7 +111,8 @@ def kept_households(rows: DataFrame, quantile: float, seed: int) -> DataFrame:
     Oversize bins keep the households with the smallest salted hashes. The rank is
     taken over spread-out slices, so a bin may hold any share of all households.
     """
-    sizes = household_sizes(rows)
+    # One small row per household, read by the bins and by both kinds of bin below.
+    sizes = staged(household_sizes(rows), "household-sizes")
     bins = sizes.groupBy("size_bin").agg(F.count(F.lit(1)).alias("hh_count"))
     limits = bins.withColumn("cutoff", bin_cutoff(bins, quantile).scalar())
     # One row per bin of active weeks: at most a quarter of the window's weeks.

@@ -88,6 +88,18 @@ def flag_events(dense: DataFrame, feature: str = "n_transaction") -> DataFrame:
     return dense.withColumn("event", (F.col(feature) > 0).cast("int"))
 
 
+def left_padded(rows: DataFrame, n_steps: int) -> DataFrame:
+    """Place sequences that only know ``t`` = 1.. so that all end at step ``n_steps``."""
+    length = F.max("t").over(Window.partitionBy("hhn"))
+    return rows.withColumn("k", (F.col("t") + n_steps - length).cast("int"))
+
+
+def right_padded(rows: DataFrame) -> DataFrame:
+    """The reverse: ``t`` = 1.. from each household's first step on the common axis."""
+    first = F.min("k").over(Window.partitionBy("hhn"))
+    return rows.withColumn("t", (F.col("k") - first + 1).cast("int"))
+
+
 def sequence_lengths(rows: DataFrame) -> DataFrame:
     return rows.groupBy("hhn").agg(F.count(F.lit(1)).alias("seq_length"))
 

@@ -74,51 +74,73 @@ def sale_lines(
     return lines.join(stores, "location_id").join(items, "item_id")
 
 
+# Measure -> input column; all are sums over the lines of a transaction.
+LINE_SUMS = {
+    "sales_dollars": "sales",
+    "extended_cost": "cost",
+    "sales_dollars_offer": "sales_offer",
+    "extended_cost_offer": "cost_offer",
+    "units_sales": "units",
+    "units_sales_offer": "units_offer",
+    "units_sales_real": "units_real",
+    "units_sales_real_offer": "units_real_offer",
+    "sales_quantity": "quantity",
+    "sales_weight": "weight",
+    "points_earned": "points_in",
+    "points_redeemed": "points_out",
+    "redeem_count": "redeemed_units",
+}
+
+
 def line_measures(lines: DataFrame) -> DataFrame:
-    units, unit_offer = F.col("units"), m.offer_only(F.col("units"))
-    dropped, none = m.is_non_merch(), F.lit(None).cast("bigint")
+    units, units_offer = F.col("units"), m.offer_only(F.col("units"))
+    dropped = F.coalesce(m.is_non_merch(), F.lit(False))
     return lines.withColumn("units", m.units_sold()).select(
         *TRANSACTION_KEYS,
-        "sales", "cost", "units", "quantity", "weight", "points_issued", "points_redeemed",
+        "item_id", "sales", "cost", "units", "quantity", "weight",
         m.offer_only(F.col("sales")).alias("sales_offer"),
         m.offer_only(F.col("cost")).alias("cost_offer"),
-        unit_offer.alias("units_offer"),
+        units_offer.alias("units_offer"),
         F.when(dropped, 0).otherwise(units).alias("units_real"),
-        F.when(dropped, 0).otherwise(unit_offer).alias("units_real_offer"),
-        F.when(dropped, none).otherwise(F.col("item_id")).alias("item"),
-        F.when(dropped | ~F.coalesce(m.on_offer(), F.lit(False)), none)
-        .otherwise(F.col("item_id")).alias("item_offer"),
+        F.when(dropped, 0).otherwise(units_offer).alias("units_real_offer"),
+        F.coalesce("points_issued", F.lit(0)).alias("points_in"),
+        (-F.coalesce("points_redeemed", F.lit(0))).alias("points_out"),
         F.when(F.col("points_redeemed") < 0, units).otherwise(0).alias("redeemed_units"),
+        (~dropped).cast("int").alias("is_item"),
+        (~dropped & F.coalesce(m.on_offer(), F.lit(False))).cast("int").alias("is_offer_item"),
+    )
+
+
+def transaction_sums(lines: DataFrame) -> DataFrame:
+    """One row per date, customer, store and transaction."""
+    return lines.groupBy(*TRANSACTION_KEYS).agg(
+        F.max("fiscal_date").alias("transaction_dt"),
+        *[m.sum_or_zero(c).alias(name) for name, c in LINE_SUMS.items()],
+        F.count(F.lit(1)).alias("row_count"),
     )
 
 
 def transaction_grain(
     sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
 ) -> DataFrame:
-    """One row per date, customer, store and transaction with 16 measures.
+    """``transaction_sums`` plus the numbers of distinct items, in all and on offer.
 
-    Measures the caller does not use are pruned together with their inputs,
-    including the expansion the two distinct counts need.
+    Lines are first summed per item, so the distinct items are plain row counts; a
+    distinct aggregate would copy every line once per distinct column instead.
     """
     lines = line_measures(sale_lines(sales, dim_location, dim_product, key, banners))
-    return lines.groupBy(*TRANSACTION_KEYS).agg(
+    per_item = lines.groupBy(*TRANSACTION_KEYS, "item_id").agg(
+        *[F.sum(c).alias(c) for c in LINE_SUMS.values()],
+        F.max("is_item").alias("is_item"),
+        F.max("is_offer_item").alias("is_offer_item"),
+        F.count(F.lit(1)).alias("n_lines"),
+    )
+    return per_item.groupBy(*TRANSACTION_KEYS).agg(
         F.max("fiscal_date").alias("transaction_dt"),
-        m.sum_or_zero("sales").alias("sales_dollars"),
-        m.sum_or_zero("cost").alias("extended_cost"),
-        m.sum_or_zero("sales_offer").alias("sales_dollars_offer"),
-        m.sum_or_zero("cost_offer").alias("extended_cost_offer"),
-        m.sum_or_zero("units").alias("units_sales"),
-        m.sum_or_zero("units_offer").alias("units_sales_offer"),
-        m.sum_or_zero("units_real").alias("units_sales_real"),
-        m.sum_or_zero("units_real_offer").alias("units_sales_real_offer"),
-        F.count_distinct("item").alias("unique_item_count"),
-        F.count_distinct("item_offer").alias("unique_item_count_offer"),
-        m.sum_or_zero("quantity").alias("sales_quantity"),
-        m.sum_or_zero("weight").alias("sales_weight"),
-        m.sum_of_known(F.col("points_issued")).alias("points_earned"),
-        F.sum(-F.coalesce(F.col("points_redeemed"), F.lit(0))).alias("points_redeemed"),
-        m.sum_or_zero("redeemed_units").alias("redeem_count"),
-        F.count(F.lit(1)).alias("row_count"),
+        *[m.sum_or_zero(c).alias(name) for name, c in LINE_SUMS.items()],
+        F.sum("is_item").alias("unique_item_count"),
+        F.sum("is_offer_item").alias("unique_item_count_offer"),
+        F.sum("n_lines").alias("row_count"),
     )
 
 
@@ -155,9 +177,11 @@ def customer_weeks(flagged: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def build_customer_weeks(tables, key: KeyDates, banners) -> DataFrame:
-    transactions = transaction_grain(
+    lines = sale_lines(
         tables.retail_sale, tables.dim_location, tables.dim_product, key, banners
     )
+    # Measures the weekly tables do not carry are pruned together with their inputs.
+    transactions = transaction_sums(line_measures(lines))
     flagged = flag_ecommerce(transactions, ecommerce_flags(tables.retail_sale, key))
     return customer_weeks(flagged, tables.dim_date)
 

@@ -291,7 +291,7 @@ FROM (SELECT DISTINCT divisional_regional_rollup FROM t_hh
 ORACLE["region_index"] = """
 SELECT hhn, week_ending_date, divisional_regional_rollup,
        coalesce(div_reg_index, (SELECT div_reg_index FROM t_small_lookup
-                                WHERE divisional_regional_rollup = 'NATION_1')) AS div_reg_index
+                                WHERE divisional_regional_rollup = 'NATION_21')) AS div_reg_index
 FROM t_hh LEFT JOIN t_small_lookup USING (divisional_regional_rollup)"""
 ORACLE["unseen_regions"] = """
 SELECT DISTINCT divisional_regional_rollup FROM t_hh
@@ -478,6 +478,7 @@ JOIN (SELECT hhn, max(k) AS last_event FROM t_scored WHERE tte = 0 AND k < begin
   USING (hhn)
 WHERE k = begin_k"""
 ORACLE["eval_frame"] = "SELECT * FROM t_frame"
+ORACLE["packed_evaluation"] = "SELECT * FROM t_frame"
 CTES["t_outcome"] = """
 SELECT hhn, box_width, CAST(tte > box_width - since AS INTEGER) AS churned,
        round(1 - (1 - exp(-pow((box_width - since + 1) / alpha, beta))), 9) AS score

@@ -64,14 +64,6 @@ def _setting(spark, folder):
     return t, cal.build_span(t.dim_date, P)
 
 
-def _transactions(spark, folder):
-    t, span = _setting(spark, folder)
-    key = cal.read_key_dates(t.dim_date, span)
-    return t, key, weekly.transaction_grain(
-        t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners
-    )
-
-
 def _customer_weeks(spark, folder):
     t, span = _setting(spark, folder)
     key = cal.read_key_dates(t.dim_date, span)
@@ -116,13 +108,19 @@ def key_weeks(spark, folder):
 
 @query
 def transaction_grain(spark, folder):
-    _, _, transactions = _transactions(spark, folder)
-    return transactions
+    t, span = _setting(spark, folder)
+    key = cal.read_key_dates(t.dim_date, span)
+    return weekly.transaction_grain(
+        t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners
+    )
 
 
 @query
 def ecomm_flag_join(spark, folder):
-    t, key, transactions = _transactions(spark, folder)
+    t, span = _setting(spark, folder)
+    key = cal.read_key_dates(t.dim_date, span)
+    lines = weekly.sale_lines(t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners)
+    transactions = weekly.transaction_sums(weekly.line_measures(lines))
     flags = weekly.ecommerce_flags(t.retail_sale, key)
     return weekly.flag_ecommerce(transactions, flags).select(
         *weekly.TRANSACTION_KEYS, F.coalesce("ecomm_flag", F.lit(0)).alias("ecomm_flag")
@@ -506,6 +504,20 @@ def eval_frame(spark, folder):
     return _frame(spark, folder)
 
 
+@query
+def packed_evaluation(spark, folder):
+    """The same frame from the exported vectors: unpack, drop the filling, align, score."""
+    rows, n_axis, begin = _valid(spark, folder)
+    columns = [*ALL_FEATURES, "tte", "u"]
+    fills = [P.mask_value] * len(ALL_FEATURES) + [3.5, P.censor_dummy]
+    packed = staged(seq.pack_sequences(rows, n_axis - 1, columns, fills), "packed")
+    steps = seq.unmask(seq.unpack_sequences(packed, columns), ["tte"]).where("u IS NOT NULL")
+    aligned = seq.left_padded(steps, n_axis - 1).withColumns(
+        {"tte": F.col("tte").cast("int"), "event": (F.col("tte") == 0).cast("int")}
+    )
+    return ev.evaluation_frame(_gap_rule(aligned), begin, P.consider_last_event)
+
+
 @query
 def box_outcomes(spark, folder):
     return _outcomes(spark, folder)

@@ -14,7 +14,7 @@ SAMPLE_PARAMS = RetentionParams(
     train_frac=0.7,
     test_frac=0.3,
     listed_banners=("AMERICA", "ASIA", "EUROPE"),
-    default_region="NATION_1",
+    default_region="NATION_21",
     households_per_batch=100,
     excluded_card_types=("MACHINERY",),
     # Tables here have thousands of rows where production has billions.
