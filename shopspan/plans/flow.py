@@ -45,16 +45,15 @@ class RetentionFlow:
 
     def build_weekly_tables(self) -> None:
         t, p = self.tables, self.p
-        span = cal.build_span(t.dim_date, p)
-        rows = weekly.build_customer_weeks(t, cal.read_key_dates(t.dim_date, span), p.listed_banners)
+        dates, weeks = cal.read_keys(t.dim_date, cal.build_bounds(t.dim_date, p))
+        rows = weekly.build_customer_weeks(t, dates, p.listed_banners)
         rows = staged(rows, "customer-weeks")
         quality.require(quality.check_customer_weeks(rows, p), "customer_weeks")
         sinks.overwrite(rows, self.path("customer_weeks"), "year_number", "week_number")
 
         households = staged(
             weekly.build_household_weeks(
-                self.read("customer_weeks"), t, cal.read_key_weeks(t.dim_date, span),
-                p.listed_banners, p.households_per_batch,
+                self.read("customer_weeks"), t, weeks, p.listed_banners, p.households_per_batch,
             ),
             "household-weeks",
         )

@@ -60,27 +60,24 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def _setting(spark, folder):
+    """Tables, and the dates and weeks of the run."""
     t = src.sales_tables(spark, folder)
-    return t, cal.build_span(t.dim_date, P)
+    return t, *cal.read_keys(t.dim_date, cal.build_bounds(t.dim_date, P))
 
 
 def _customer_weeks(spark, folder):
-    t, span = _setting(spark, folder)
-    key = cal.read_key_dates(t.dim_date, span)
-    return t, span, weekly.build_customer_weeks(t, key, P.listed_banners)
+    t, dates, weeks = _setting(spark, folder)
+    return t, weeks, weekly.build_customer_weeks(t, dates, P.listed_banners)
 
 
 def _store_weeks(spark, folder):
-    t, span, cx = _customer_weeks(spark, folder)
-    return t, weekly.household_store_weeks(cx, t.dim_customer, cal.read_key_weeks(t.dim_date, span))
+    t, weeks, cx = _customer_weeks(spark, folder)
+    return t, weekly.household_store_weeks(cx, t.dim_customer, weeks)
 
 
 def _household_weeks(spark, folder):
-    t, span, cx = _customer_weeks(spark, folder)
-    key = cal.read_key_weeks(t.dim_date, span)
-    return t, weekly.build_household_weeks(
-        cx, t, key, P.listed_banners, P.households_per_batch
-    )
+    t, weeks, cx = _customer_weeks(spark, folder)
+    return t, weekly.build_household_weeks(cx, t, weeks, P.listed_banners, P.households_per_batch)
 
 
 # --- calendar -----------------------------------------------------------------
@@ -93,14 +90,14 @@ def min_max_complete_weeks(spark, folder):
 
 @query
 def key_dates(spark, folder):
-    t, span = _setting(spark, folder)
-    return cal.key_dates(t.dim_date, span)
+    days = src.dim_date(spark, folder)
+    return cal.key_dates(days, cal.build_bounds(days, P))
 
 
 @query
 def key_weeks(spark, folder):
-    t, span = _setting(spark, folder)
-    return cal.key_weeks(t.dim_date, span)
+    days = src.dim_date(spark, folder)
+    return cal.key_weeks(days, cal.build_bounds(days, P))
 
 
 # --- weekly tables ------------------------------------------------------------
@@ -108,8 +105,7 @@ def key_weeks(spark, folder):
 
 @query
 def transaction_grain(spark, folder):
-    t, span = _setting(spark, folder)
-    key = cal.read_key_dates(t.dim_date, span)
+    t, key, _ = _setting(spark, folder)
     return weekly.transaction_grain(
         t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners
     )
@@ -117,8 +113,7 @@ def transaction_grain(spark, folder):
 
 @query
 def ecomm_flag_join(spark, folder):
-    t, span = _setting(spark, folder)
-    key = cal.read_key_dates(t.dim_date, span)
+    t, key, _ = _setting(spark, folder)
     lines = weekly.sale_lines(t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners)
     transactions = weekly.transaction_sums(weekly.line_measures(lines))
     flags = weekly.ecommerce_flags(t.retail_sale, key)
@@ -713,14 +708,14 @@ def _annualized(t, years=2, week=LAST_WEEK):
 
 @query
 def base_tenure(spark, folder):
-    t, _ = _setting(spark, folder)
+    t = src.sales_tables(spark, folder)
     sales, customers, _ = _gold_sources(t)
     return gold.base_tenure(sales, customers, t.dim_date, LAST_WEEK, P.lookback_years, P.period_weeks)
 
 
 @query
 def annualized_sales(spark, folder):
-    return _annualized(_setting(spark, folder)[0])
+    return _annualized(src.sales_tables(spark, folder))
 
 
 def _household_churn(spark, folder):
@@ -739,7 +734,7 @@ def household_churn(spark, folder):
 @query
 def merge_annualized_sales(spark, folder):
     """A one-year table merged with its two-year successor."""
-    t, _ = _setting(spark, folder)
+    t = src.sales_tables(spark, folder)
     path = new_staging_path(spark, "annualized")
     part = "churn_max_week_ending_date"
     for years in (1, 2):
@@ -764,7 +759,7 @@ def merge_household_churn(spark, folder):
 @query
 def partition_overwrite(spark, folder):
     """Two weeks are stored; then only the newer one is written again."""
-    t, _ = _setting(spark, folder)
+    t = src.sales_tables(spark, folder)
     path = new_staging_path(spark, "overwrite")
     part = "churn_max_week_ending_date"
     both = _annualized(t, 1).unionByName(_annualized(t, 1, LAST_WEEK - timedelta(days=7)))
@@ -776,7 +771,7 @@ def partition_overwrite(spark, folder):
 
 
 def _versions(spark, folder):
-    t, _ = _setting(spark, folder)
+    t = src.sales_tables(spark, folder)
     table = VersionedTable(spark, new_staging_path(spark, "versions"))
     for years, at in ((1, datetime(2001, 6, 1)), (2, datetime(2001, 7, 15)), (1, datetime(2001, 8, 1))):
         table.write(_annualized(t, years), at=at)

@@ -44,8 +44,8 @@ def tables(spark):
 
 @pytest.fixture(scope="module")
 def keys(tables):
-    span = cal.WeekSpan(date(2020, 1, 12), date(2020, 1, 26))
-    return cal.read_key_dates(tables.dim_date, span), cal.read_key_weeks(tables.dim_date, span)
+    bounds = cal.complete_week_bounds(tables.dim_date, date(2020, 1, 27), 3)
+    return cal.read_keys(tables.dim_date, bounds)
 
 
 def test_transactions(tables, keys):
