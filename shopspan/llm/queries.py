@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.neardup import near_duplicates
+from shopspan.llm.substring import repeated_passages
 
 REGISTRY: dict = {}
 ORACLE: dict[str, str] = {}
@@ -22,3 +23,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_passages(table(spark, folder, "documents"), length=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
