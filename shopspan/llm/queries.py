@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopspan.llm.decontaminate import contaminated
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.substring import repeated_passages
 
@@ -29,3 +30,9 @@ def op1_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_passages(table(spark, folder, "documents"), length=35)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "length", "edits")
