@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
 from shopspan.llm.neardup import near_duplicates
+from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
 
 REGISTRY: dict = {}
@@ -36,3 +38,9 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op10_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "start", "length", "edits")
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return packed
