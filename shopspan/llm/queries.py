@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
+from shopspan.llm import hostquality
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -44,3 +45,11 @@ def op10_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
     return packed
+
+
+@query
+def op5_host_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return hostquality.judge(table(spark, folder, "documents")).drop("shrunk_rate")
+
+
+ORACLE["op5_host_quality_rules"] = hostquality.ORACLE_SQL
