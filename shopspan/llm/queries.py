@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
-from shopspan.llm import hostquality
+from shopspan.llm import chat, hostquality
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -53,3 +53,16 @@ def op5_host_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op5_host_quality_rules"] = hostquality.ORACLE_SQL
+
+
+@query
+def op6_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionAll(probe)
+    return chat.read_back(chat.windows(turns))
+
+
+ORACLE["op6_chat_windows"] = chat.ORACLE_SQL
