@@ -23,11 +23,14 @@ from shopspan.sources.staging import staged
 EDIT_PERCENT = 20
 #: Shorter items are no evidence: their words occur everywhere.
 LEAST_WORDS = 8
-WALKS, KEYS, STEPS_IN_KEY = 8, 8, 2
+WALKS, KEYS, STEPS_IN_KEY = 8, 12, 3
 #: Steps of a walk that a key may sample, per word of the item: a pointer advances every other step.
 STEPS_PER_WORD = 1.6
-#: Both filters have so many bits, whatever the benchmark's size; more items only let more windows pass.
+#: Every filter has so many bits, whatever the benchmark's size; more items only let more windows pass.
 FILTER_BITS = 22
+KEY_FILTER_BITS = 24  # keys set and test two bits
+#: Walks done at once, and cells of alignments.
+CHUNK, ALIGN_CELLS = 1 << 16, 1 << 23
 #: Item sizes of one class differ by less than this factor.
 CLASS_RATIO = 1.12
 
@@ -97,12 +100,26 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, kinds: np.ndarray, lows: np
     return out
 
 
-def _slot(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def pairs(words: np.ndarray) -> np.ndarray:
+    """A hash of every word and the next one; zero beside a pad."""
+    out = np.zeros(len(words), dtype=np.uint64)
+    out[:-1] = np.where((words[:-1] != 0) & (words[1:] != 0), mix(words[:-1] * _NEXT + words[1:]), np.uint64(0))
+    return out
+
+
+def _slot(values: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
+    return (values >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _pairs_kept(low: int, high: int) -> int:
+    """Least pairs of neighbours that a match keeps of an item of ``low`` to ``high`` words."""
+    sizes = np.arange(low, high + 1)
+    return int((sizes - 1 - 2 * edits_allowed(sizes)).min())
 
 
 def _embed(batches):
-    schema = pa.schema([("item_id", pa.int64()), ("item", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("item_id", pa.int64()), ("item", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64())),
+                        ("keys", pa.list_(pa.int64()))])
     for rows, data, offsets in text_blocks(batches, "text"):
         data = LOWER[data]
         found = find_words(data, offsets)
@@ -115,25 +132,30 @@ def _embed(batches):
         yield pa.RecordBatch.from_arrays([
             as_long(rows.column("item_id")).filter(pa.array(use)),
             lists(signed(words[words != 0]), n).filter(pa.array(use)),
+            lists(signed(pairs(words)[words != 0]), n).filter(pa.array(use)),
             lists(signed(keys.ravel()), np.full(len(keys), WALKS * KEYS)),
         ], schema=schema)
 
 
-def _scan(vocabulary: bytes, slots: bytes, sizes: list[int]):
+def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int]):
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()),
                         ("keys", pa.list_(pa.int64())), ("near", pa.list_(pa.int64()))])
     lows = size_classes(max(sizes, default=0) + 1)
     kinds_used = sorted(set((np.searchsorted(lows, sizes, "right") - 1).tolist()))
 
     def run(batches):
-        known, hit = (np.unpackbits(np.frombuffer(b, np.uint8), bitorder="little").astype(bool) for b in (vocabulary, slots))
+        known, coupled, hit = (
+            np.unpackbits(np.frombuffer(b, np.uint8), bitorder="little").astype(bool) for b in (vocabulary, couples, slots)
+        )
         for rows, data, offsets in text_blocks(batches, "text"):
             data = LOWER[data]
             found = find_words(data, offsets)
             words, first = with_pads(word_hashes(data, found), found.first)
             ends = first + found.counts
             member = known[_slot(mix(words))] & (words != 0)
+            two = pairs(words)
             total = np.concatenate([[0], np.cumsum(member)])
+            total_two = np.concatenate([[0], np.cumsum(coupled[_slot(two)] & (two != 0))])
             starts = np.flatnonzero(member)
             owner = np.searchsorted(first, starts, "right") - 1
             ahead = ends[owner]
@@ -141,44 +163,58 @@ def _scan(vocabulary: bytes, slots: bytes, sizes: list[int]):
             for k in kinds_used:
                 low, high = int(lows[k]), int(lows[k + 1]) - 1
                 until = np.minimum(starts + high + edits_allowed(high), ahead)
-                enough = np.flatnonzero(total[until] - total[starts] >= low - edits_allowed(low))
+                edits = edits_allowed(low)
+                enough = np.flatnonzero((total[until] - total[starts] >= low - edits)
+                                        & (total_two[until - 1] - total_two[starts] >= _pairs_kept(low, high)))
                 got.append(enough)
                 kind.append(np.full(len(enough), k))
             which, kind = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (got, kind))
-            if not len(which):
-                continue
-            keys = walk_keys(words, starts[which], kind, lows)
-            passed = hit[_slot(keys)]
-            some = np.flatnonzero(passed.any(axis=1))
-            which, kind, keys, passed = which[some], kind[some], keys[some], passed[some]
-            high = lows[kind + 1] - 1
-            begin = starts[which]
-            length = np.minimum(begin + high + edits_allowed(high), ahead[which]) - begin
-            near = np.arange(int(length.sum())) + np.repeat(begin - (np.cumsum(length) - length), length)
-            doc = owner[which]
-            yield pa.RecordBatch.from_arrays([
-                as_long(rows.column("doc_id")).take(pa.array(doc)), rows.column("text_key").take(pa.array(doc)),
-                pa.array(begin - first[doc]), lists(signed(keys[passed]), passed.sum(axis=1)),
-                lists(signed(words[near]), length),
-            ], schema=schema)
+            for part in range(0, len(which), CHUNK):
+                chosen, kinds = which[part: part + CHUNK], kind[part: part + CHUNK]
+                keys = walk_keys(words, starts[chosen], kinds, lows)
+                passed = hit[_slot(keys, KEY_FILTER_BITS)] & hit[_slot(keys << np.uint64(32), KEY_FILTER_BITS)]
+                some = np.flatnonzero(passed.any(axis=1))
+                if not len(some):
+                    continue
+                chosen, high, passed = chosen[some], lows[kinds[some] + 1] - 1, passed[some]
+                begin, doc = starts[chosen], owner[chosen]
+                length = np.minimum(begin + high + edits_allowed(high), ahead[chosen]) - begin
+                near = np.arange(int(length.sum())) + np.repeat(begin - (np.cumsum(length) - length), length)
+                yield pa.RecordBatch.from_arrays([
+                    as_long(rows.column("doc_id")).take(pa.array(doc)), rows.column("text_key").take(pa.array(doc)),
+                    pa.array(begin - first[doc]), lists(signed(keys[some][passed]), passed.sum(axis=1)),
+                    lists(signed(words[near]), length),
+                ], schema=schema)
 
     return run
 
 
+def _grid(rows: list[np.ndarray], sizes: np.ndarray, fill: int) -> np.ndarray:
+    out = np.full((len(rows), int(sizes.max(initial=1))), fill, dtype=np.int64)
+    for k, x in enumerate(rows):
+        out[k, : len(x)] = x
+    return out
+
+
 def edit_distances(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Least edits that turn each item into a beginning of its window, and how long that beginning is."""
+    """Least edits that turn each item into a beginning of its window, and how long that beginning is.
+
+    Pairs that share too few words for any allowed distance are not aligned; they get a large number.
+    """
     n, m = np.array([len(x) for x in items]), np.array([len(x) for x in windows])
-    wide, deep = int(m.max(initial=0)), int(n.max(initial=0))
-    grid = np.zeros((len(items), wide), dtype=np.int64)
-    rows = np.zeros((len(items), deep), dtype=np.int64)
-    for k, (x, y) in enumerate(zip(items, windows)):
-        rows[k, : len(x)], grid[k, : len(y)] = x, y
+    rows, grid = _grid(items, n, 0), _grid(windows, m, 2)  # word hashes are odd
     far = np.int32(1 << 20)
-    columns = np.arange(wide + 1, dtype=np.int32)
+    edits, length = np.full(len(items), far), np.zeros(len(items), dtype=np.int64)
+    common = (rows[:, :, None] == grid[:, None, :]).any(axis=2).sum(axis=1)
+    near = np.flatnonzero(common >= n - edits_allowed(n))
+    if not len(near):
+        return edits, length
+    rows, grid, n, m = rows[near], grid[near], n[near], m[near]
+    columns = np.arange(grid.shape[1] + 1, dtype=np.int32)
     outside = columns[None, :] > m[:, None]
     now = np.where(outside, far, columns[None, :]).astype(np.int32)
     last = now.copy()
-    for i in range(deep):
+    for i in range(rows.shape[1]):
         step = np.empty_like(now)
         step[:, 0] = i + 1
         step[:, 1:] = np.minimum(now[:, :-1] + (grid != rows[:, i: i + 1]), now[:, 1:] + 1)
@@ -186,16 +222,18 @@ def edit_distances(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[
         now[outside] = far
         done = n == i + 1
         last[done] = now[done]
-    best = last.min(axis=1, initial=far)
-    return best, last.argmin(axis=1) if wide or len(items) else best
+    edits[near], length[near] = last.min(axis=1), last.argmin(axis=1)
+    return edits, length
 
 
 def _verify(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("item_id", pa.int64()),
                         ("start", pa.int64()), ("length", pa.int64()), ("edits", pa.int64())])
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            rows = batch.slice(at, 2000)
+        size = [batch.column(c).value_lengths().to_numpy().max(initial=1) for c in ("item", "near")]
+        at_once = max(1, ALIGN_CELLS // int(size[0] * size[1]))
+        for at in range(0, batch.num_rows, at_once):
+            rows = batch.slice(at, at_once)
             items, near = ([x.values.to_numpy() for x in rows.column(c)] for c in ("item", "near"))
             edits, length = edit_distances(items, near)
             n = np.array([len(x) for x in items])
@@ -206,13 +244,13 @@ def _verify(batches):
             ], schema=schema)
 
 
-def _filter_bits(values: DataFrame) -> bytes:
-    """A bit for the upper bits of every value; at most 2**FILTER_BITS / 64 rows reach the driver."""
-    slot = F.shiftrightunsigned("value", 64 - FILTER_BITS)
-    rows = values.groupBy(F.shiftright(slot, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(value, {64 - FILTER_BITS}) & 63 as int))")).alias("bits")
+def _filter_bits(values: DataFrame, bits: int = FILTER_BITS, probes: int = 1) -> bytes:
+    """Bits for the upper halves (one probe) or both halves of all values; at most 2**bits / 64 rows are collected."""
+    both = [F.shiftrightunsigned(F.shiftleft("value", 32 * k), 64 - bits) for k in range(probes)]
+    rows = values.select(F.explode(F.array(*both)).alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")
     ).collect()
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
     for r in rows:
         out[r["at"]] = r["bits"]
     return out.tobytes()
@@ -234,21 +272,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     or empty texts match nothing, items of fewer than LEAST_WORDS words are left out, repeated rows give the
     row once, null ids are kept. Either table empty: an empty result.
 
-    Scale: whole documents stream through one scan. A match keeps at least 80 % of the item's words, so
-    only windows with that many benchmark words start a walk; words and keys are tested against two bit
-    sets of fixed size. The windows left meet the items in a join on keys, which Spark broadcasts only
+    Scale: whole documents stream through one scan. A match keeps at least 80 % of the item's words and, as an
+    edit breaks two pairs of neighbours, 60 % of its pairs less one, so only windows with that many words and
+    pairs of the benchmark start a walk; words, pairs and keys are tested against three bit sets of fixed size. The windows left meet the items in a join on keys, which Spark broadcasts only
     below its size limit, and skew of a popular item is split at run time.
     """
     items = staged(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-        .mapInArrow(_embed, "item_id long, item array<long>, keys array<long>"), "items",
+        .mapInArrow(_embed, "item_id long, item array<long>, pairs array<long>, keys array<long>"), "items",
     )
     sizes = [r[0] for r in items.select(F.size("item")).distinct().collect()]
-    slots = _filter_bits(items.select(F.explode("keys").alias("value")))
+    slots = _filter_bits(items.select(F.explode("keys").alias("value")), KEY_FILTER_BITS, 2)
     vocabulary = _filter_bits(items.select("item").mapInArrow(_spread, "value long"))
+    couples = _filter_bits(items.select(F.explode("pairs").alias("value")).where("value <> 0"))
     windows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key())
-        .mapInArrow(_scan(vocabulary, slots, sizes),
+        .mapInArrow(_scan(vocabulary, couples, slots, sizes),
                     "doc_id long, text_key long, start long, keys array<long>, near array<long>")
     )
     by_key = items.select("item_id", "item", F.explode(F.array_distinct("keys")).alias("key"))
