@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
-from shopspan.llm import chat, hostquality
+from shopspan.llm import chat, hostquality, language, urlfilter
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -66,3 +66,16 @@ def op6_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op6_chat_windows"] = chat.ORACLE_SQL
+
+
+@query
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, folder, "pages"))
+
+
+ORACLE["op3_url_rules"] = urlfilter.ORACLE_SQL
+
+
+@query
+def op4_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
