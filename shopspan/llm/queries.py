@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
-from shopspan.llm import chat, hostquality, language, urlfilter
+from shopspan.llm import chat, gam, hostquality, language, styletree, urlfilter
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -79,3 +79,13 @@ ORACLE["op3_url_rules"] = urlfilter.ORACLE_SQL
 @query
 def op4_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op7_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return gam.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_style_tree_text(spark: SparkSession, folder: str) -> DataFrame:
+    return styletree.extract_pages(table(spark, folder, "pages"))
