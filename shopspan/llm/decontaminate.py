@@ -306,4 +306,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item."""
     found = contaminated(docs, benchmark).select(F.col("text_key").alias("found_key")).distinct()
-    return docs.join(found, text_key() == F.col("found_key"), "left_anti")
+    return docs.join(found, text_key() == found["found_key"], "left_anti")

@@ -194,5 +194,5 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     """``docs`` with the first document of every class; a repeated id stays once, rows without id as they are."""
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null")
     ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(ids, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))

@@ -215,6 +215,6 @@ def without_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     """``docs`` with the texts that :func:`repeated_passages` leaves; other texts and columns unchanged."""
     found = repeated_passages(docs, length).where("kept_text is not null")
     new = found.groupBy(F.col("text_key").alias("changed_key")).agg(F.first("kept_text").alias("changed_text"))
-    joined = docs.join(new, text_key() == F.col("changed_key"), "left")
-    text = F.coalesce(F.col("changed_text"), docs["text"]).alias("text")
+    joined = docs.join(new, text_key() == new["changed_key"], "left")
+    text = F.coalesce(new["changed_text"], docs["text"]).alias("text")
     return joined.select(*[text if c == "text" else docs[c] for c in docs.columns])

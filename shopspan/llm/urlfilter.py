@@ -40,7 +40,7 @@ HOST_RULES = (
 )
 
 PATTERN_RULES = (
-    PatternRule(r"^https?://(www[.])?ads?[.]", ("ads",), "block"),
+    PatternRule(r"^https?://(www[.])?ads[.]", ("ads",), "block"),
     PatternRule(r"/(wp-)?login([./?#]|$)", ("login",), "block"),
     PatternRule(r"/wp-admin/", ("wp", "admin"), "block"),
     PatternRule(r"[?&]sessionid=", ("sessionid",), "block"),
