@@ -174,9 +174,10 @@ def repeated_passages(docs: DataFrame, length: int = 35) -> DataFrame:
     seeds = long_enough.select("node", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
         "node", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place")
     )
-    repeated = seeds.groupBy("seed").agg(
+    # Staged, so that the joins below read both sides from plain shuffles, whose hot keys Spark can split.
+    repeated = staged(seeds.groupBy("seed").agg(
         F.min("node").alias("n0"), F.max("node").alias("n1"), F.min("place").alias("p0"), F.max("place").alias("p1")
-    ).where("n0 <> n1 or p0 <> p1").select("seed")
+    ).where("n0 <> n1 or p0 <> p1").select("seed"), "repeated-seeds")
     places = seeds.join(repeated, "seed").groupBy("node").agg(F.collect_set("place").alias("places"))
     wanted = places.join(nodes, "node").select("node", "places", "sample.*")
     texts = (
@@ -189,9 +190,9 @@ def repeated_passages(docs: DataFrame, length: int = 35) -> DataFrame:
     windows = extended.select("node", F.explode(F.arrays_zip("windows", "starts")).alias("w")).select(
         "node", F.col("w.windows").alias("window"), F.col("w.starts").alias("start")
     )
-    again = windows.groupBy("window").agg(
+    again = staged(windows.groupBy("window").agg(
         F.min("node").alias("n0"), F.max("node").alias("n1"), F.min("start").alias("s0"), F.max("start").alias("s1")
-    ).where("n0 <> n1 or s0 <> s1").select("window")
+    ).where("n0 <> n1 or s0 <> s1").select("window"), "repeated-windows")
     starts = windows.join(again, "window").groupBy("node").agg(F.collect_set("start").alias("starts"))
     cut = (
         extended.select("node", "text").join(starts, "node")
