@@ -211,27 +211,38 @@ def mean_metrics(metrics: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def student_cdf(t, df, n_intervals: int = 2000) -> Column:
-    """P(T <= t) by Simpson's rule; meant for the single row of a test result."""
-    half = df / 2.0
-    height = weibull.gamma(half + 0.5) / (weibull.gamma(half) * F.sqrt(df * 3.141592653589793))
-    width = F.abs(t) / n_intervals
-
-    def weight(i):
-        inner = F.when(i % 2 == 1, F.lit(4.0)).otherwise(2.0)
-        return F.when((i == 0) | (i == n_intervals), F.lit(1.0)).otherwise(inner)
-
-    total = F.aggregate(
-        F.sequence(F.lit(0), F.lit(n_intervals)),
-        F.lit(0.0),
-        lambda acc, i: acc + weight(i) * F.pow(1 + F.pow(i * width, F.lit(2.0)) / df, -half - 0.5),
-    )
-    return 0.5 + F.signum(t) * height * total * width / 3
+    """P(T <= t); meant for the single row of a test result.
+
+    With x = sqrt(df) tan(angle) the density becomes cos(angle)^(df - 1), so the tail beyond |t| is
+    an integral over a part of [0, pi / 2], whatever t: Simpson's rule there has no large steps.
+    """
+    quarter = 1.5707963267948966
+
+    def integral(low):
+        width = (F.lit(quarter) - low) / n_intervals
+
+        def weight(i):
+            inner = F.when(i % 2 == 1, F.lit(4.0)).otherwise(2.0)
+            return F.when((i == 0) | (i == n_intervals), F.lit(1.0)).otherwise(inner)
+
+        # The angle is measured from pi / 2, where its cosine is the sine of a small, exact number.
+        total = F.aggregate(
+            F.sequence(F.lit(0), F.lit(n_intervals)),
+            F.lit(0.0),
+            lambda acc, i: acc + weight(i) * F.pow(F.sin(i * width), df - 1),
+        )
+        return total * width / 3
+
+    beyond = F.atan2(F.sqrt(df), F.abs(t))  # pi / 2 - atan(|t| / sqrt(df)), exact for large t
+    tail = 0.5 * integral(F.lit(quarter) - beyond) / integral(F.lit(0.0))
+    return F.when(df < 1, None).when(t < 0, tail).otherwise(1 - tail)
 
 
 def paired_t_test(folds: DataFrame, champion: str, challenger: str) -> DataFrame:
     """One-sided paired test that the champion's fold scores are below the challenger's.
 
-    ``folds`` has one row per fold with one score column per model.
+    ``folds`` has one row per fold with one score column per model. If all gaps are equal, their sign
+    decides (infinite statistic); equal scores, or fewer than two folds, have no statistic.
     """
     gap = F.col(champion) - F.col(challenger)
     summary = folds.agg(
@@ -239,9 +250,16 @@ def paired_t_test(folds: DataFrame, champion: str, challenger: str) -> DataFrame
         F.avg(gap).alias("gap"), F.stddev_samp(gap).alias("spread"),
         F.count(gap).alias("n_folds"),
     )
-    t = F.try_divide(F.col("gap"), F.col("spread") / F.sqrt("n_folds"))
+    # Gaps that differ by rounding alone are equal.
+    constant = F.col("spread") <= 1e-14 * F.greatest(F.abs("gap"), F.lit(1e-300))
+    t = (
+        F.when(F.col("n_folds") < 2, None)
+        .when((F.col("gap") == 0) & (F.col("spread") == 0), None)
+        .when(constant, F.signum("gap") * float("inf"))
+        .otherwise(F.col("gap") / (F.col("spread") / F.sqrt("n_folds")))
+    )
     return summary.withColumn("statistic", t).withColumn(
-        "p_value", student_cdf(F.col("statistic"), F.col("n_folds") - 1)
+        "p_value", F.when(F.col("statistic").isNotNull(), student_cdf(F.col("statistic"), F.col("n_folds") - 1))
     )
 
 

@@ -8,11 +8,15 @@ segments but not on the number of households; the optimiser sees only that.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopspan.functions import weibull
 from shopspan.operators.calendar import WeekSpan
 from shopspan.schemas import STORE_FEATURE
 
@@ -115,87 +119,157 @@ def _gradient(theta, t, u, w):
     return ((d_after - d_before) * pull - d_after) @ w
 
 
-def maximise(t, u, w, start_alpha: float, max_beta: float, max_steps: int = 100):
-    """Damped Newton ascent in (ln alpha, ln beta)."""
-    scale = w.sum()
-    w = w / scale
-    upper = np.log([1e6, max_beta])
-    lower = np.log([1e-3, 0.05])
+@dataclass(frozen=True)
+class FitBounds:
+    """Where the optimiser may go and when it is done.
+
+    ``max_beta`` belongs to the model; the other bounds only keep the search away from where the
+    likelihood is flat to machine precision. A fit on a bound says so.
+    """
+
+    alpha: tuple[float, float] = (1e-3, 1e6)
+    beta: tuple[float, float] = (0.05, 5.0)
+    tolerance: float = 1e-7
+    max_steps: int = 200
+
+    def logs(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.log([self.alpha[0], self.beta[0]]), np.log([self.alpha[1], self.beta[1]])
+
+
+class Fit(NamedTuple):
+    alpha: float
+    beta: float
+    mean_loglik: float
+    gradient_norm: float
+    converged: bool
+    at_bound: bool
+
+
+def _free_slope(theta, slope, lower, upper):
+    """The gradient without what points out of the bounds."""
+    stuck = ((theta <= lower) & (slope < 0)) | ((theta >= upper) & (slope > 0))
+    return np.where(stuck, 0.0, slope), stuck
+
+
+def maximise(t, u, w, start_alpha: float, bounds: FitBounds = FitBounds()) -> Fit:
+    """Damped Newton ascent in (ln alpha, ln beta).
+
+    Converged means that the free part of the gradient per row is below the tolerance.
+    """
+    w = w / w.sum()
+    lower, upper = bounds.logs()
     theta = np.clip(np.log([start_alpha, 1.0]), lower, upper)
     value = _loglik(theta, t, u, w)
-    for _ in range(max_steps):
-        slope = _gradient(theta, t, u, w)
+    for _ in range(bounds.max_steps):
+        slope, stuck = _free_slope(theta, _gradient(theta, t, u, w), lower, upper)
+        if np.linalg.norm(slope) < bounds.tolerance:
+            break
         h = 1e-5
         curve = np.array([
             (_gradient(theta + h * e, t, u, w) - _gradient(theta - h * e, t, u, w)) / (2 * h)
             for e in np.eye(2)
         ])
         curve = (curve + curve.T) / 2
-        bend = np.linalg.eigvalsh(curve)
-        if bend[-1] < -1e-10:
+        curve[stuck, :] = curve[:, stuck] = 0.0
+        curve[stuck, stuck] = -1.0
+        if np.linalg.eigvalsh(curve)[-1] < -1e-10:
             move = -np.linalg.solve(curve, slope)
         else:
             move = slope
-        size, better = 1.0, False
-        while size > 1e-8:
+        size = 1.0
+        while size > 1e-10:
             trial = np.clip(theta + size * move, lower, upper)
             reached = _loglik(trial, t, u, w)
-            if reached > value:
-                better = reached - value > 1e-13
+            # Near the top the likelihood is flat to rounding; there a smaller gradient is progress.
+            flat = abs(reached - value) <= 1e-13 * max(1.0, abs(value))
+            less = np.linalg.norm(_free_slope(trial, _gradient(trial, t, u, w), lower, upper)[0]) < np.linalg.norm(slope)
+            if reached > value and not flat or flat and less:
                 theta, value = trial, reached
                 break
             size /= 2
-        if not better:
+        else:
             break
-    return float(np.exp(theta[0])), float(np.exp(theta[1])), value
+    slope, _ = _free_slope(theta, _gradient(theta, t, u, w), lower, upper)
+    norm = float(np.linalg.norm(slope))
+    at_bound = bool(((theta <= lower) | (theta >= upper)).any())
+    alpha, beta = np.exp(theta)
+    return Fit(float(alpha), float(beta), value, norm, norm < bounds.tolerance, at_bound)
 
 
-def fit_weibull(histogram: DataFrame, by, start_alpha: float, max_beta: float = 5.0) -> DataFrame:
-    """(alpha, beta) per segment of a ``tte_histogram``; segments without events get none."""
+def fit_weibull(histogram: DataFrame, by, start_alpha: float, bounds: FitBounds = FitBounds()) -> DataFrame:
+    """(alpha, beta) per segment of a ``tte_histogram``; segments without events get none.
+
+    ``converged``, ``gradient_norm`` and ``at_bound`` tell how each fit ended.
+    """
     by = list(by)
     kinds = {f.name: f.dataType.simpleString() for f in histogram.schema.fields}
     fields = [f"{c} {kinds[c]}" for c in by]
-    schema = ", ".join(
-        [*fields, "alpha double", "beta double", "mean_loglik double", "n_rows double", "n_events double"]
-    )
+    schema = ", ".join([
+        *fields, "alpha double", "beta double", "mean_loglik double", "gradient_norm double",
+        "converged boolean", "at_bound boolean", "n_rows double", "n_events double",
+    ])
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         t, u, w = (group[c].to_numpy(dtype=float) for c in ("tte", "u", "weight"))
         events = float((u * w).sum())
         if events <= 0:
             return pd.DataFrame(columns=[f.split()[0] for f in schema.split(", ")])
-        alpha, beta, loglik = maximise(t, u, w, start_alpha, max_beta)
         head = {c: [group[c].iloc[0]] for c in by}
-        return pd.DataFrame({
-            **head, "alpha": [alpha], "beta": [beta], "mean_loglik": [loglik],
-            "n_rows": [float(w.sum())], "n_events": [events],
-        })
+        fitted = {k: [v] for k, v in maximise(t, u, w, start_alpha, bounds)._asdict().items()}
+        return pd.DataFrame({**head, **fitted, "n_rows": [float(w.sum())], "n_events": [events]})
 
     # At most two rows per week of the axis in each group.
     return histogram.groupBy(*by).applyInPandas(solve, schema)
 
 
-def fit_candidates(rows: DataFrame, start_alpha: float, min_events: int = 30) -> DataFrame:
-    """Every candidate segmentation, from one pass over the rows.
+def candidate_histograms(rows: DataFrame) -> DataFrame:
+    """Histograms of every candidate segmentation, the coarser ones as sums of the finest.
 
-    The coarser histograms are sums of the finest one. Returns rows (candidate,
-    region_id, recency_bin, frequency_bin, alpha, beta, ...), null where a candidate
-    does not use a column. Segments with few events are dropped: scoring falls back.
+    Columns a candidate does not use are null.
     """
-    finest = tte_histogram(rows, CANDIDATES["regional"])
     keys = CANDIDATES["regional"]
     levels = F.array(*[
         F.struct(F.lit(name).alias("candidate"),
                  *[(F.col(k) if k in used else F.lit(None).cast("int")).alias(k) for k in keys])
         for name, used in CANDIDATES.items()
     ])
-    stacked = finest.select("tte", "u", "weight", F.explode(levels).alias("level")).select(
+    stacked = tte_histogram(rows, keys).select("tte", "u", "weight", F.explode(levels).alias("level")).select(
         "level.*", "tte", "u", "weight"
     )
-    by = ["candidate", *keys]
-    histogram = stacked.groupBy(*by, "tte", "u").agg(F.sum("weight").alias("weight"))
-    fitted = fit_weibull(histogram, by, start_alpha)
-    return fitted.where((F.col("candidate") == "overall") | (F.col("n_events") >= min_events))
+    return stacked.groupBy("candidate", *keys, "tte", "u").agg(F.sum("weight").alias("weight"))
+
+
+def fit_candidates(rows: DataFrame, start_alpha: float, bounds: FitBounds = FitBounds()) -> DataFrame:
+    """Every candidate segmentation, from one pass over the rows.
+
+    Every segment with an event keeps its fit, whatever its size; scoring falls back only where a
+    segment has no event at all.
+    """
+    return fit_weibull(candidate_histograms(rows), ["candidate", *CANDIDATES["regional"]], start_alpha, bounds)
+
+
+def fit_optimality(histogram: DataFrame, fitted: DataFrame, bounds: FitBounds = FitBounds(), step: float = 0.01) -> DataFrame:
+    """Whether no neighbour at ``step`` inside the bounds has a higher likelihood, from the histogram itself."""
+    keys = ["candidate", *CANDIDATES["regional"]]
+    kept = [F.col(f"f.{c}").alias(c) for c in (*keys, "alpha", "beta", "converged", "n_rows", "n_events")]
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"h.{c}")) for c in keys]
+    rows = histogram.alias("h").join(fitted.alias("f"), same).select(*kept, "h.tte", "h.u", "h.weight")
+    moves = {"centre": (1, 1), "up_a": (1 + step, 1), "down_a": (1 - step, 1), "up_b": (1, 1 + step), "down_b": (1, 1 - step)}
+    sums = rows.groupBy(*keys, "alpha", "beta", "converged", "n_rows", "n_events").agg(*[
+        (F.sum(F.col("weight") * F.when(
+            F.col("u") == 1, weibull.discrete_loglik(F.col("tte"), F.col("alpha") * a, F.col("beta") * b, F.lit(1))
+        ).otherwise(-weibull.cumulative_hazard(F.col("tte") + 1, F.col("alpha") * a, F.col("beta") * b)))
+         / F.sum("weight")).alias(name)
+        for name, (a, b) in moves.items()
+    ])
+    inside = {
+        "up_a": F.col("alpha") * (1 + step) <= bounds.alpha[1], "down_a": F.col("alpha") * (1 - step) >= bounds.alpha[0],
+        "up_b": F.col("beta") * (1 + step) <= bounds.beta[1], "down_b": F.col("beta") * (1 - step) >= bounds.beta[0],
+    }
+    best = F.lit(True)
+    for name, allowed in inside.items():
+        best = best & (~allowed | (F.col(name) <= F.col("centre") + 1e-12))
+    return sums.select(*keys, "n_rows", "n_events", "converged", best.alias("best"))
 
 
 def score(rows: DataFrame, fitted: DataFrame, candidate: str = "regional") -> DataFrame:

@@ -37,13 +37,18 @@ def base_tenure(
     """Start of each household's first shopping week in the look-back window."""
     start = lookback_start(max_week, years)
     in_window = F.col("fiscal_date").between(F.lit(start), F.lit(max_week))
+    # One row per calendar day.
     days = F.broadcast(dim_date.select(F.col("date").alias("fiscal_date"), "week_end_date"))
-    return (
+    first_weeks = (
         sales.where(in_window).select("fiscal_date", "customer_hk")
         .join(days, "fiscal_date")
+        .groupBy("customer_hk").agg(F.min("week_end_date").alias("first_week"))
+    )
+    return (
+        first_weeks
         .join(customers.select("customer_hk", F.col("current_household_id").alias("hhn")), "customer_hk")
         .groupBy("hhn")
-        .agg(F.date_sub(F.min("week_end_date"), 7).alias("first_event_trunc"))
+        .agg(F.date_sub(F.min("first_week"), 7).alias("first_event_trunc"))
         .withColumns(_tenure_columns(F.col("first_event_trunc"), max_week, period_weeks))
         .withColumn("max_wed", F.lit(max_week))
         .select("hhn", "max_wed", "first_event_trunc", "weeks_since_first_shop_trunc",
@@ -58,9 +63,8 @@ def annualized_sales(
     """Mean sales per period of tenure, scaled to 52 weeks and rounded to dollars.
 
     Tenure counts every purchase of the household, sales only financial items on
-    counted cards. Both come from one scan: lines are summed per household and day
-    (map-side first, and at most one row per day after it), and the household's first
-    week is a window over those few rows.
+    counted cards. Both come from one scan: lines are summed per customer and day, then per
+    household and day, and the household's first week is a window over those few rows.
     """
     start = lookback_start(max_week, years)
     # The first week may begin up to six days before the window.
@@ -70,17 +74,21 @@ def annualized_sales(
         "customer_hk", F.col("current_household_id").alias("hhn"),
         counted_cards(excluded_cards).alias("counted_card"),
     )
-    counts = F.col("counted_card") & F.coalesce("financial", F.lit(False))
-    daily = (
+    # Lines are summed per customer and day before any join on customers: purchases without a card,
+    # which share one customer, become one row per day. Sums of financial items are kept apart.
+    per_customer = (
         sales.where(scanned).select("fiscal_date", "customer_hk", "item_hk", "merch_sales")
-        .join(holders, "customer_hk")
         .join(financial, "item_hk", "left")
-        .groupBy("hhn", "fiscal_date")
+        .groupBy("customer_hk", "fiscal_date")
         .agg(
-            F.sum(F.when(counts, F.col("merch_sales"))).alias("sales"),
-            F.count(F.when(counts, 1)).alias("n_lines"),
+            F.sum(F.when(F.col("financial"), F.col("merch_sales"))).alias("sales"),
+            F.count(F.when(F.col("financial"), 1)).alias("n_lines"),
         )
     )
+    daily = per_customer.join(holders, "customer_hk").groupBy("hhn", "fiscal_date").agg(
+        F.sum(F.when(F.col("counted_card"), F.col("sales"))).alias("sales"),
+        F.coalesce(F.sum(F.when(F.col("counted_card"), F.col("n_lines"))), F.lit(0)).alias("n_lines"),
+    )
     days = F.broadcast(dim_date.select(F.col("date").alias("fiscal_date"), "week_end_date"))
     in_window = F.when(F.col("fiscal_date") >= F.lit(start), F.col("week_end_date"))
     first_event = F.date_sub(F.min(in_window).over(Window.partitionBy("hhn")), 7)

@@ -147,6 +147,7 @@ def check_household_churn(df: DataFrame, dim_date: DataFrame, p: RetentionParams
         schema_check(df, columns)
         .unionByName(row_checks(df, [probability], not_all_zero=[]))
         .unionByName(_as_table(too_few, [("households_per_week", F.col("n"), F.col("n") == 0)]))
+        .unionByName(_as_table(df.agg(F.count(F.lit(1)).alias("n")), [("not_empty", F.col("n"), F.col("n") > 0)]))
     )
 
 

@@ -48,11 +48,9 @@ def within_weeks(key: KeyWeeks) -> Column:
     )
 
 
-def sale_lines(
-    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
-) -> DataFrame:
-    """Known customers' lines in the window, in listed stores, on active items."""
-    lines = lower_case_columns(sales).where((F.col("customer_id") != 0) & within_dates(key)).select(
+def known_lines(sales: DataFrame, key: KeyDates) -> DataFrame:
+    """Known customers' lines in the window, in any store and on any item."""
+    return lower_case_columns(sales).where((F.col("customer_id") != 0) & within_dates(key)).select(
         "fiscal_date",
         F.col("customer_id").alias("cx"),
         "transaction_number",
@@ -66,12 +64,23 @@ def sale_lines(
         "points_issued",
         "points_redeemed",
         m.unit_of_measure(F.col("weight")).alias("uom"),
+        F.col("ecomm_trans_id").isNotNull().alias("online"),
     )
-    stores = listed_stores(dim_location, banners).select(F.col("id").alias("location_id"))
+
+
+def _with_listing(lines: DataFrame, dim_location: DataFrame, dim_product: DataFrame, banners, how: str) -> DataFrame:
+    stores = listed_stores(dim_location, banners).select(F.col("id").alias("location_id"), F.lit(True).alias("listed"))
     items = lower_case_columns(dim_product).where("is_active = 1").select(
-        F.col("id").alias("item_id"), "mdm_sub_cat_id", "variant_name"
+        F.col("id").alias("item_id"), "mdm_sub_cat_id", "variant_name", F.lit(True).alias("active")
     )
-    return lines.join(stores, "location_id").join(items, "item_id")
+    return lines.join(stores, "location_id", how).join(items, "item_id", how)
+
+
+def sale_lines(
+    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
+) -> DataFrame:
+    """Known customers' lines in the window, in listed stores, on active items."""
+    return _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "inner")
 
 
 # Measure -> input column; all are sums over the lines of a transaction.
@@ -92,11 +101,11 @@ LINE_SUMS = {
 }
 
 
-def line_measures(lines: DataFrame) -> DataFrame:
+def line_measures(lines: DataFrame, *others: str) -> DataFrame:
     units, units_offer = F.col("units"), m.offer_only(F.col("units"))
     dropped = F.coalesce(m.is_non_merch(), F.lit(False))
     return lines.withColumn("units", m.units_sold()).select(
-        *TRANSACTION_KEYS,
+        *TRANSACTION_KEYS, *others,
         "item_id", "sales", "cost", "units", "quantity", "weight",
         m.offer_only(F.col("sales")).alias("sales_offer"),
         m.offer_only(F.col("cost")).alias("cost_offer"),
@@ -144,19 +153,27 @@ def transaction_grain(
     )
 
 
-def ecommerce_flags(sales: DataFrame, key: KeyDates) -> DataFrame:
-    """Distinct transactions of known customers that were placed online."""
-    return (
-        lower_case_columns(sales)
-        .where(F.col("ecomm_trans_id").isNotNull() & (F.col("customer_id") != 0) & within_dates(key))
-        .select("fiscal_date", F.col("customer_id").alias("cx"), "transaction_number")
-        .distinct()
-        .withColumn("ecomm_flag", F.lit(1))
-    )
-
+def flagged_transactions(
+    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
+) -> DataFrame:
+    """Transactions as in ``transaction_sums`` with ``ecomm_flag``, from one scan of the sales.
 
-def flag_ecommerce(transactions: DataFrame, flags: DataFrame) -> DataFrame:
-    return transactions.join(flags, ["fiscal_date", "cx", "transaction_number"], "left")
+    A transaction is online if any of its lines is, also one outside listed stores or on an inactive
+    item. So all known customers' lines are summed, but only listed ones count in the sums, and the
+    flag is looked up among the few rows of one customer's transaction.
+    """
+    lines = _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "left")
+    counts = F.coalesce(F.col("listed") & F.col("active"), F.lit(False))
+    measured = line_measures(lines.withColumn("counts", counts), "online", "counts")
+    summed = measured.groupBy(*TRANSACTION_KEYS).agg(
+        F.max("fiscal_date").alias("transaction_dt"),
+        *[F.coalesce(F.sum(F.when(F.col("counts"), F.col(c))), F.lit(0)).alias(name) for name, c in LINE_SUMS.items()],
+        F.count(F.when(F.col("counts"), 1)).alias("row_count"),
+        F.max("online").alias("online"),
+    )
+    one = Window.partitionBy("fiscal_date", "cx", "transaction_number")
+    flag = F.when(F.max("online").over(one), F.lit(1))
+    return summed.withColumn("ecomm_flag", flag).where("row_count > 0").drop("online")
 
 
 def customer_weeks(flagged: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -177,12 +194,8 @@ def customer_weeks(flagged: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def build_customer_weeks(tables, key: KeyDates, banners) -> DataFrame:
-    lines = sale_lines(
-        tables.retail_sale, tables.dim_location, tables.dim_product, key, banners
-    )
     # Measures the weekly tables do not carry are pruned together with their inputs.
-    transactions = transaction_sums(line_measures(lines))
-    flagged = flag_ecommerce(transactions, ecommerce_flags(tables.retail_sale, key))
+    flagged = flagged_transactions(tables.retail_sale, tables.dim_location, tables.dim_product, key, banners)
     return customer_weeks(flagged, tables.dim_date)
 
 
@@ -207,30 +220,18 @@ def household_store_weeks(
     )
 
 
-def rank_stores(store_weeks: DataFrame) -> DataFrame:
-    """Order a household week's stores by sales; the smaller id wins a tie.
-
-    There is one row per store in each window, so its size is bounded by the stores.
-    """
-    best_first = Window.partitionBy("hhn", "week_number", "year_number").orderBy(
-        F.desc("sales_dollars"), F.asc("location_id")
-    )
-    return store_weeks.withColumn("store_rank", F.row_number().over(best_first))
-
-
 def top_store() -> Column:
-    return F.max(F.when(F.col("store_rank") == 1, F.col("location_id")))
+    """The store with the largest sales; the smaller id wins a tie."""
+    return F.max_by("location_id", F.struct("sales_dollars", -F.col("location_id")))
 
 
 def top_stores(store_weeks: DataFrame) -> DataFrame:
-    return rank_stores(store_weeks).where("store_rank = 1").select(
-        "hhn", "week_number", "year_number", F.col("location_id").alias("maxsales_location_id")
-    )
+    return store_weeks.groupBy("hhn", "week_number", "year_number").agg(top_store().alias("maxsales_location_id"))
 
 
 def household_totals(store_weeks: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row per household and week; the ranking and the sums share one shuffle."""
-    totals = rank_stores(store_weeks).groupBy("hhn", "week_number", "year_number").agg(
+    """One row per household and week; top store and sums come from one aggregation."""
+    totals = store_weeks.groupBy("hhn", "week_number", "year_number").agg(
         F.sum("n_transaction").alias("n_transaction"),
         m.sum_of_known(F.col("n_ecomm_trans")).alias("n_ecomm_trans"),
         *[F.sum(c).alias(c) for c in HOUSEHOLD_SUMS],

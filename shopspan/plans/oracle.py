@@ -359,20 +359,20 @@ SELECT hhn, k, max(event) OVER {_AHEAD} AS u_discrete,
 ORACLE["sequence_lengths"] = "SELECT hhn, count(*) AS seq_length FROM t_dense GROUP BY 1"
 N_CUT = 17
 CTES["t_train"] = f"""
-SELECT now.hhn, next.k, next.t, {", ".join("now." + c for c in _RESCALED + _PLAIN)},
-       now.div_reg_index, next.event, next.tte, next.u
-FROM t_dense now
-JOIN (SELECT hhn, k, t, event, coalesce(min(CASE WHEN event = 1 THEN t END) OVER {_AHEAD},
-                                        max(t) OVER (PARTITION BY hhn) + 1) - t AS tte,
-             max(event) OVER {_AHEAD} AS u
-      FROM t_dense, t_axis WHERE k < n_axis - {N_CUT}) next
-  ON now.hhn = next.hhn AND now.k + 1 = next.k"""
+SELECT hhn, k, t, {", ".join(f"lag({c}) OVER by_t AS {c}" for c in _RESCALED + _PLAIN)},
+       lag(div_reg_index) OVER by_t AS div_reg_index, event,
+       coalesce(min(CASE WHEN event = 1 THEN t END) OVER {_AHEAD}, max(t) OVER (PARTITION BY hhn) + 1) - t AS tte,
+       max(event) OVER {_AHEAD} AS u
+FROM t_dense, t_axis WHERE k < n_axis - {N_CUT}
+WINDOW by_t AS (PARTITION BY hhn ORDER BY t)
+QUALIFY row_number() OVER by_t > 1"""
 _PAIR = f"hhn, k, t, {_NUMERIC}, div_reg_index, event, tte, u"
 ORACLE["train_sequences"] = f"SELECT {_PAIR} FROM t_train"
 CTES["t_pair"] = f"""
-SELECT now.hhn, next.k, next.t, {", ".join("now." + c for c in _RESCALED + _PLAIN)},
-       now.div_reg_index, next.event, next.tte, next.u
-FROM t_target now JOIN t_target next ON now.hhn = next.hhn AND now.k + 1 = next.k"""
+SELECT hhn, k, t, {", ".join(f"lag({c}) OVER by_t AS {c}" for c in _RESCALED + _PLAIN)},
+       lag(div_reg_index) OVER by_t AS div_reg_index, event, tte, u
+FROM t_target WINDOW by_t AS (PARTITION BY hhn ORDER BY t)
+QUALIFY row_number() OVER by_t > 1"""
 ORACLE["valid_sequences"] = f"""
 SELECT {_PAIR}, CAST(k >= n_axis - {N_CUT} AS DOUBLE) AS weight
 FROM t_pair, t_axis WHERE k < n_axis - {N_CUT} + 5
@@ -459,7 +459,22 @@ SELECT hhn, k, recency, n_events, region_id, recency_bin, frequency_bin FROM t_s
 ORACLE["tte_histogram"] = """
 SELECT region_id, recency_bin, frequency_bin, tte, u, CAST(count(*) AS DOUBLE) AS weight
 FROM t_step GROUP BY 1, 2, 3, 4, 5"""
-ORACLE["current_segments"] = """
+_LEVELS = {
+    "overall": ("NULL", "NULL", "NULL"),
+    "behaviour": ("NULL", "recency_bin", "frequency_bin"),
+    "regional": ("region_id", "recency_bin", "frequency_bin"),
+}
+CTES["t_segment"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS candidate, CAST({r} AS INTEGER) AS region_id, CAST({c} AS INTEGER) AS recency_bin, "
+    f"CAST({f} AS INTEGER) AS frequency_bin, CAST(count(*) AS DOUBLE) AS n_rows, CAST(sum(u) AS DOUBLE) AS n_events "
+    "FROM t_step GROUP BY 1, 2, 3, 4 HAVING sum(u) > 0"
+    for name, (r, c, f) in _LEVELS.items()
+)
+ORACLE["fit_optimality"] = """
+SELECT candidate, coalesce(region_id, -1) AS region_id, coalesce(recency_bin, -1) AS recency_bin,
+       coalesce(frequency_bin, -1) AS frequency_bin, n_rows, n_events, TRUE AS converged, TRUE AS best
+FROM t_segment"""
+CTES["t_current"] = """
 SELECT *, CAST(floor(log2(recency + 1)) AS INTEGER) AS recency_bin,
        CAST(least(floor(n_events * 5 / n_steps), 4) AS INTEGER) AS frequency_bin
 FROM (SELECT hhn, CAST((any_value(last_week) - max(week_ending_date) FILTER (n_transaction > 0)) // 7
@@ -468,6 +483,16 @@ FROM (SELECT hhn, CAST((any_value(last_week) - max(week_ending_date) FILTER (n_t
              CAST((any_value(last_week) - min(week_ending_date)) // 7 + 1 AS INTEGER) AS n_steps,
              arg_max(div_reg_index, week_ending_date) AS region_id
       FROM t_feature, t_axis GROUP BY 1)"""
+ORACLE["current_segments"] = "SELECT * FROM t_current"
+_CLOSED = "n_rows / n_events AS alpha, 1 + 1 / (1 + n_events) AS beta"
+CTES["t_closed"] = f"SELECT *, {_CLOSED} FROM t_segment"
+ORACLE["score_closed_form"] = """
+SELECT hhn, round(coalesce(r.alpha, b.alpha, o.alpha), 6) AS alpha, round(coalesce(r.beta, b.beta, o.beta), 6) AS beta
+FROM t_current c
+LEFT JOIN t_closed r ON r.candidate = 'regional' AND r.region_id = c.region_id
+  AND r.recency_bin = c.recency_bin AND r.frequency_bin = c.frequency_bin
+LEFT JOIN t_closed b ON b.candidate = 'behaviour' AND b.recency_bin = c.recency_bin AND b.frequency_bin = c.frequency_bin
+LEFT JOIN t_closed o ON o.candidate = 'overall'"""
 
 # --- churn metrics ------------------------------------------------------------------
 
@@ -585,6 +610,14 @@ SELECT round(mean_champion, 5) AS mean_champion, round(mean_challenger, 5) AS me
        round(gap, 5) AS gap, round(spread, 5) AS spread, n_folds, round(statistic, 5) AS statistic,
        round(p_value, 5) AS p_value, CASE WHEN p_value <= 0.05 THEN 'promote' ELSE 'keep' END AS decision
 FROM t_test_p"""
+CTES["t_fold_n"] = "SELECT count(DISTINCT fold) AS n, count(DISTINCT fold) FILTER (fold = 0) AS first FROM t_fold"
+ORACLE["fold_compare_edges"] = """
+SELECT 'constant_up' AS "case", n AS n_folds, FALSE AS undefined, TRUE AS p_in_0_1, TRUE AS p_near_0, 'promote' AS decision FROM t_fold_n
+UNION ALL SELECT 'constant_down', n, FALSE, TRUE, FALSE, 'keep' FROM t_fold_n
+UNION ALL SELECT 'tiny_spread', n, FALSE, TRUE, TRUE, 'promote' FROM t_fold_n
+UNION ALL SELECT 'equal', n, TRUE, FALSE, FALSE, 'keep' FROM t_fold_n
+UNION ALL SELECT 'one_fold', first, TRUE, FALSE, FALSE, 'keep' FROM t_fold_n
+UNION ALL SELECT 'no_fold', 0, TRUE, FALSE, FALSE, 'default' FROM t_fold_n"""
 ORACLE["best_run"] = """
 SELECT fold, model, round(mean_auc, 6) AS mean_auc FROM t_fold WHERE fold * 10 <= 24
 ORDER BY t_fold.mean_auc DESC LIMIT 1"""
@@ -814,7 +847,7 @@ ORACLE["quality_household_churn"] = _report_of(
         "annualized_sales churn_segment prediction_date",
         "", {"churn_probability_in_0_1": "churn_probability < 0 OR churn_probability > 1"},
     )
-    + ["SELECT 'households_per_week', 0, true"]
+    + ["SELECT 'households_per_week', 0, true", "SELECT 'not_empty', count(*), count(*) > 0 FROM t_gold"]
 )
 ORACLE["low_weeks_except_holiday"] = """
 SELECT week_ending_date AS max_week_ending_date, count(*) AS n_households FROM t_hh

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopspan.functions.dates import weeks_between
 from shopspan.functions import weibull as wb
 from shopspan.operators import calendar as cal
 from shopspan.operators import evaluation as ev
@@ -56,6 +55,10 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def weeks_apart(first, last) -> int:
+    return (last - first).days // 7
+
+
 # --- shared stages ------------------------------------------------------------
 
 
@@ -77,7 +80,8 @@ def _store_weeks(spark, folder):
 
 def _household_weeks(spark, folder):
     t, weeks, cx = _customer_weeks(spark, folder)
-    return t, weekly.build_household_weeks(cx, t, weeks, P.listed_banners, P.households_per_batch)
+    rows = weekly.build_household_weeks(cx, t, weeks, P.listed_banners, P.households_per_batch)
+    return t, staged(rows, "household-weeks")
 
 
 # --- calendar -----------------------------------------------------------------
@@ -114,10 +118,8 @@ def transaction_grain(spark, folder):
 @query
 def ecomm_flag_join(spark, folder):
     t, key, _ = _setting(spark, folder)
-    lines = weekly.sale_lines(t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners)
-    transactions = weekly.transaction_sums(weekly.line_measures(lines))
-    flags = weekly.ecommerce_flags(t.retail_sale, key)
-    return weekly.flag_ecommerce(transactions, flags).select(
+    flagged = weekly.flagged_transactions(t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners)
+    return flagged.select(
         *weekly.TRANSACTION_KEYS, F.coalesce("ecomm_flag", F.lit(0)).alias("ecomm_flag")
     )
 
@@ -156,13 +158,10 @@ def _window_rows(spark, folder):
 @query
 def week_window(spark, folder):
     t, rows = _household_weeks(spark, folder)
-    cal.week_window(t.dim_date, rows, END_DATE, P.n_weeks_total_pred)
-    first = F.date_sub("week_ending_date", 7 * (P.n_weeks_total_pred - 1))
-    last = cal.last_complete_week(t.dim_date, END_DATE)
-    return last.select(
-        first.alias("start_week_ending_date"),
-        F.col("week_ending_date").alias("end_week_ending_date"),
-        (weeks_between("week_ending_date", first) + 1).cast("int").alias("n_weeks"),
+    span = cal.week_window(t.dim_date, rows, END_DATE, P.n_weeks_total_pred)
+    return spark.createDataFrame(
+        [(span.first, span.last, weeks_apart(span.first, span.last) + 1)],
+        "start_week_ending_date date, end_week_ending_date date, n_weeks int",
     )
 
 
@@ -468,6 +467,32 @@ def fit_weibull(spark, folder):
     return rounded(fitted, 4, "alpha", "beta", "mean_loglik")
 
 
+@query
+def fit_optimality(spark, folder):
+    """Every fitted segment against its neighbours, on the histogram it was fitted to."""
+    train = _train_segments(spark, folder)
+    start = fitting.init_alpha(train).first()["init_alpha"]
+    histogram = staged(fitting.candidate_histograms(train), "histograms")
+    fitted = fitting.fit_weibull(histogram, ["candidate", *fitting.CANDIDATES["regional"]], start)
+    found = fitting.fit_optimality(histogram, staged(fitted, "fitted"))
+    return found.fillna(-1, list(fitting.CANDIDATES["regional"]))  # -1: the candidate does not use it
+
+
+@query
+def score_closed_form(spark, folder):
+    """Scoring with its fallbacks; closed-form parameters stand in for fitted ones."""
+    keys = ["candidate", *fitting.CANDIDATES["regional"]]
+    n, events = F.sum("weight"), F.sum(F.col("weight") * F.col("u"))
+    fitted = staged(
+        fitting.candidate_histograms(_train_segments(spark, folder)).groupBy(*keys)
+        .agg((n / events).alias("alpha"), (1 + 1 / (1 + events)).alias("beta"), events.alias("n_events"))
+        .where("n_events > 0"), "fitted",
+    )
+    rows, inputs = _features(spark, folder)
+    scored = fitting.score(fitting.current_segments(inputs, seq.read_axis(rows)), fitted)
+    return rounded(scored.select("hhn", "alpha", "beta"), 6, "alpha", "beta")
+
+
 @query
 def score_households(spark, folder):
     train = staged(_train_segments(spark, folder), "train")
@@ -589,6 +614,36 @@ def fold_compare(spark, folder):
     )
 
 
+@query
+def fold_compare_edges(spark, folder):
+    """The paired test where it used to break: equal gaps, tiny spread, equal scores, one fold, no fold."""
+    scores = _fold_metrics(spark, folder).where("model = 'champion'").select("fold", F.col("mean_auc").alias("champion"))
+    scores = staged(scores, "folds")
+    # Powers of two keep sums and differences exact.
+    base = F.round(F.col("champion") * 64) / 64
+    cases = {
+        "constant_up": (base, base + 0.125, F.lit(True)),
+        "constant_down": (base, base - 0.125, F.lit(True)),
+        "tiny_spread": (F.lit(0.0), 0.125 + F.col("fold") * 2.0**-20, F.lit(True)),
+        "equal": (base, base, F.lit(True)),
+        "one_fold": (base, base + 0.125, F.col("fold") == 0),
+        "no_fold": (base, base, F.lit(False)),
+    }
+    parts = []
+    for name, (champion, challenger, kept) in cases.items():
+        folds = scores.where(kept).select("fold", champion.alias("champion"), challenger.alias("challenger"))
+        test = ev.promotion(ev.paired_t_test(folds, "champion", "challenger"), P.t_test_level)
+        parts.append(test.select(
+            F.lit(name).alias("case"), "n_folds", F.col("p_value").isNull().alias("undefined"),
+            F.coalesce(F.col("p_value").between(0, 1), F.lit(False)).alias("p_in_0_1"),
+            F.coalesce(F.col("p_value") < 1e-9, F.lit(False)).alias("p_near_0"), "decision",
+        ))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query
 def best_run(spark, folder):
     """Runs are the folds' challengers and champions, started one hour apart."""

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from shopspan.operators.merging import upsert
 from shopspan.sources.staging import staged
 
+CHANGED = "_merge_changed"
+
 
 def _sized(df: DataFrame, columns) -> DataFrame:
     """Few files per partition value; adaptive execution splits a value that is large."""
@@ -42,7 +44,7 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def merge_into(
     path: str, source: DataFrame, partition: str, keys: list[str], compare: list[str], update: list[str]
 ) -> None:
-    """Upsert into a partitioned table; only partitions the source names are rewritten.
+    """Upsert into a partitioned table; only partitions in which a row changes are rewritten.
 
     The merged rows are stored before the overwrite, because they read the table
     they replace.
@@ -51,13 +53,17 @@ def merge_into(
     repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
     if not repeated.isEmpty():
         raise ValueError(f"the merge source repeats a key {keys}")
+    if not source.where(F.col(partition).isNull()).isEmpty():
+        raise ValueError(f"the merge source has rows without {partition}")
     target = read_if_exists(source.sparkSession, path)
     if target is None:
         overwrite(source, path, partition)
         return
     # One value per week of the source: a handful.
-    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    named = [r[0] for r in source.select(partition).distinct().collect()]
     same_types = source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-    current = target.where(F.col(partition).isin(touched))
-    merged = staged(upsert(current, same_types, keys, compare, update), "merged")
-    overwrite_partitions(merged, path, partition)
+    current = target.where(F.col(partition).isin(named))
+    merged = staged(upsert(current, same_types, keys, compare, update, CHANGED), "merged")
+    touched = [r[0] for r in merged.where(CHANGED).select(partition).distinct().collect()]
+    if touched:
+        overwrite_partitions(merged.where(F.col(partition).isin(touched)).drop(CHANGED), path, partition)
