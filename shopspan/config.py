@@ -24,6 +24,8 @@ class RetentionParams:
     n_validation_steps: int = 17
     n_testing_steps: int = 17
     min_box_width: int = 10
+    # Share of the steps that validation cuts off; must agree with the number if given.
+    validation_fraction: float | None = None
     consider_last_event: bool = True
 
     # Household shares taken by the hash split; None means every household.
@@ -44,6 +46,8 @@ class RetentionParams:
     fold_seed: int = 101
     t_test_level: float = 0.05
     recent_runs_hours: int = 24
+    # A model is trained anew when the newest is this old.
+    max_model_age_days: int = 60
 
     # Business rules that depend on whose data is read.
     listed_banners: tuple[str, ...] = ()

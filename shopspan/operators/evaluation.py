@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopspan.functions import weibull
-from shopspan.operators.ordering import running_sums
+from shopspan.operators.ordering import next_values, running_sums
 
 
 def evaluation_frame(
-    rows: DataFrame, begin_k: int, consider_last_event: bool, by: tuple[str, ...] = ()
+    rows: DataFrame, begin_k: int, consider_last_event: bool, by: tuple[str, ...] = (),
+    values: tuple[str, ...] = ("alpha", "beta"), known: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Parameters and time to event at step ``begin_k``, one row per household.
+    """``values`` and time to event at step ``begin_k``, one row per household.
+
+    Households without one of the ``known`` values (default: all) at that step drop out.
 
     With ``consider_last_event`` the steps since the last event as of the step before
     come along, and households without a known last event drop out.
@@ -25,9 +28,9 @@ def evaluation_frame(
     at, starts = F.col("k"), F.col("k") == begin_k
     past_event = F.when((at < begin_k) & (F.col("tte") == 0), at)
     frame = rows.where(at <= begin_k).groupBy("hhn", *by).agg(
-        *[F.max(F.when(starts, F.col(c))).alias(c) for c in ("alpha", "beta", "tte")],
+        *[F.max(F.when(starts, F.col(c))).alias(c) for c in (*values, "tte")],
         F.max(past_event).alias("last_event"),
-    ).where("alpha IS NOT NULL AND beta IS NOT NULL AND tte IS NOT NULL")
+    ).dropna(subset=[*(values if known is None else known), "tte"])
     if not consider_last_event:
         return frame.withColumn("since", F.lit(0)).drop("last_event")
     return (
@@ -146,17 +149,13 @@ def roc_points(steps: DataFrame, by: tuple[str, ...] = (), drop_collinear: bool
     keys = [*by, "box_width"]
     kept = steps
     if drop_collinear:
-        following = steps.select(
-            *keys, (F.col("cum_step") - 1).alias("cum_step"),
-            F.col("pos").alias("next_pos"), F.col("neg").alias("next_neg"),
-        )
         turns = (
             F.col("next_pos").isNull()
             | (F.col("cum_step") == 1)
             | (F.col("next_pos") != F.col("pos"))
             | (F.col("next_neg") != F.col("neg"))
         )
-        kept = steps.join(following, [*keys, "cum_step"], "left").where(turns)
+        kept = next_values(steps, keys, [F.asc("cum_step")], ["pos", "neg"]).where(turns)
     points = kept.select(
         *keys, "cum_step", F.col("score").alias("threshold"),
         F.try_divide("cum_neg", "all_neg").alias("fpr"),

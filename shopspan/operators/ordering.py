@@ -69,3 +69,21 @@ def running_sums(df: DataFrame, group: list[str], order: list, columns: list[str
             *[(F.col(f"{c}_inside") + F.col(f"{c}_before")).alias(f"cum_{c}") for c in columns],
         )
     )
+
+
+def next_values(df: DataFrame, group: list[str], order: list, columns: list[str]) -> DataFrame:
+    """Add ``next_<column>``: the value of the following row of the group, null for the last."""
+    rows = _sorted_slices(df, group, order)
+    first = F.min_by(F.struct(*columns), "slot")
+    # One row per slice and group; a slice's last row continues in the group's next slice.
+    after = Window.partitionBy(*(group or [F.lit(0)])).orderBy("slice")
+    starts = rows.groupBy(*group, "slice").agg(first.alias("start")).select(
+        *group, "slice", F.lead("start").over(after).alias("start_after")
+    )
+    inside = Window.partitionBy(*group, "slice").orderBy("slot")
+    following = F.coalesce(F.lead(F.struct(*columns)).over(inside), F.col("start_after"))
+    return (
+        rows.join(F.broadcast(starts), [*group, "slice"])
+        .withColumn("following", following)
+        .select(*df.columns, *[F.col(f"following.{c}").alias(f"next_{c}") for c in columns])
+    )

@@ -138,6 +138,19 @@ def low_weeks_except_holiday(df: DataFrame, dim_date: DataFrame, floor: int) ->
     return low.join(F.broadcast(exempt), "max_week_ending_date", "left_anti")
 
 
+def check_fits(fitted: DataFrame) -> DataFrame:
+    """Every segment's fit has converged, and there is one."""
+    one = fitted.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("converged")).alias("open"))
+    return _as_table(one, [("has_fits", F.col("n"), F.col("n") > 0), ("converged", F.col("open"), F.col("open") == 0)])
+
+
+def require_feature_count(df: DataFrame, features, keys=("hhn", "week_ending_date")) -> None:
+    """Exactly the features a model is fitted on, beside the keys."""
+    found = [c for c in df.columns if c not in keys]
+    if sorted(found) != sorted(features):
+        raise QualityError(f"expected {len(features)} features, found {len(found)}: {sorted(set(found) ^ set(features))}")
+
+
 def check_household_churn(df: DataFrame, dim_date: DataFrame, p: RetentionParams, columns) -> DataFrame:
     probability = RowRule("churn_probability_in_0_1", outside("churn_probability", 0, 1))
     too_few = low_weeks_except_holiday(df, dim_date, p.min_households_per_week).agg(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopspan.operators.calendar import WeekSpan
-from shopspan.schemas import ALL_FEATURES
+from shopspan.schemas import ALL_FEATURES, RESCALED_FEATURES
 
 
 
@@ -84,6 +84,11 @@ def densify(
     )
 
 
+def prediction_sequences(features: DataFrame, axis: WeekSpan) -> DataFrame:
+    """Dense, rescaled sequences up to the axis end, keyed by household and step, without targets."""
+    return densify(features, axis).withColumns({c: F.log1p(c) for c in RESCALED_FEATURES})
+
+
 def flag_events(dense: DataFrame, feature: str = "n_transaction") -> DataFrame:
     return dense.withColumn("event", (F.col(feature) > 0).cast("int"))
 

@@ -6,25 +6,46 @@ become visible."""
 from __future__ import annotations
 
 from datetime import datetime
+from functools import wraps
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopspan.config import RetentionParams
-from shopspan.functions.dates import normalize_end_date
+from shopspan.functions.dates import normalize_end_date, reject_future
 from shopspan.operators import calendar as cal
 from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
 from shopspan.operators import fitting, gold, quality, sampling, weekly
 from shopspan.operators import predictions as pred
 from shopspan.operators import sequences as seq
-from shopspan.schemas import HOUSEHOLD_CHURN_COLUMNS
+from shopspan.schemas import ALL_FEATURES, HOUSEHOLD_CHURN_COLUMNS, STORE_FEATURE
 from shopspan.sources import sinks
-from shopspan.sources.snapshots import VersionedTable
-from shopspan.sources.staging import staged
+from shopspan.sources.snapshots import LONG_HISTORY, SHORT_HISTORY, VersionedTable
+from shopspan.sources.staging import staged, staging_scope
 from shopspan.sources.tables import SalesTables
 
 
+class Model(NamedTuple):
+    """A candidate segmentation of one version of the fits; ``name`` labels it in results."""
+
+    name: str
+    candidate: str
+    version: int
+
+
+def _own_staging(stage):
+    """What a stage stages is removed when its result is stored."""
+
+    @wraps(stage)
+    def run(self, *args, **kwargs):
+        with staging_scope(self.spark):
+            return stage(self, *args, **kwargs)
+
+    return run
+
+
 class RetentionFlow:
     """Stages over one set of sales tables; results live under ``root``."""
 
@@ -43,6 +64,7 @@ class RetentionFlow:
 
     # --- sales -> weekly tables ---------------------------------------------------
 
+    @_own_staging
     def build_weekly_tables(self) -> None:
         t, p = self.tables, self.p
         dates, weeks = cal.read_keys(t.dim_date, cal.build_bounds(t.dim_date, p))
@@ -67,10 +89,13 @@ class RetentionFlow:
         axis = seq.read_axis(subset)
         chosen = sampling.undersample(subset, quantile, self.p.sample_seed)
         inputs = feat.household_features(chosen, lookup, self.p.default_region)
+        quality.require_feature_count(inputs, ALL_FEATURES)
         return feat.rescale(seq.densify(inputs, axis)), seq.axis_length(axis)
 
+    @_own_staging
     def prepare(self, at: datetime | None = None) -> None:
         p, rows = self.p, self.read("household_weeks")
+        reject_future(p.end_date_train)
         cal.week_window(self.tables.dim_date, rows, p.end_date_train, p.n_weeks_total_train)
         subset_key = ("year_number", "week_number")
         for name, part in (
@@ -80,91 +105,152 @@ class RetentionFlow:
             self.versioned(name).write(part, *subset_key, at=at)
         train = self.versioned("churn_train").read_as_of()
         test = self.versioned("churn_test").read_as_of()
-        sinks.overwrite(feat.region_lookup(train), self.path("region_lookup"))
-        lookup = self.read("region_lookup")
+        self.versioned("region_lookup").write(feat.region_lookup(train), at=at)
+        lookup = self.versioned("region_lookup").read_as_of()
 
         dense, n_axis = self._dense(train, lookup, p.undersample_quantile)
-        paired = seq.train_sequences(dense, n_axis, p.n_validation_steps)
+        n_cut = seq.steps_to_cut(n_axis, p.n_validation_steps, p.validation_fraction)
+        paired = seq.train_sequences(dense, n_axis, n_cut)
         sinks.overwrite(fitting.with_step_segments(paired), self.path("train_sequences"))
 
         dense, n_axis = self._dense(test, lookup, None)
         n = p.n_testing_steps
         held_out = seq.valid_sequences(dense, n_axis, n, n)
-        begin = held_out.withColumn("begin_k", F.lit(n_axis - n))
-        self.versioned("test_sequences").write(fitting.with_step_segments(begin), at=at)
+        self.versioned("test_sequences").write(fitting.with_step_segments(held_out), at=at)
+        sinks.overwrite(self.spark.createDataFrame([(n_axis - n,)], "begin_k int"), self.path("test_begin"))
+        # Train and test tables are kept for two years, what is made of them for a month.
+        for name in ("churn_train", "churn_test"):
+            self.versioned(name).expire(LONG_HISTORY, at)
+        self.versioned("test_sequences").expire(SHORT_HISTORY, at)
 
     # --- sequences -> parameters --------------------------------------------------
 
-    def fit(self, at: datetime | None = None) -> None:
-        """Fit every candidate and add one row of test metrics for each."""
+    def training_is_due(self, now: datetime | None = None) -> bool:
+        """No model yet, or the newest is too old."""
+        age = self.versioned("fitted").last_operation(now).first()["days_since"]
+        return age is None or age >= self.p.max_model_age_days
+
+    @_own_staging
+    def fit(self, at: datetime | None = None) -> int:
+        """Fit every candidate and add one row of test metrics for each; returns the version.
+
+        A version of ``fitted`` names the version of the region lookup its region numbers come from.
+        """
         train = self.read("train_sequences")
         start = fitting.init_alpha(train).first()["init_alpha"]
-        sinks.overwrite(
-            fitting.fit_candidates(train, start).withColumn("fitted_at", F.lit(at or datetime.now())),
-            self.path("fitted"),
-        )
-        metrics = self.evaluate(tuple(fitting.CANDIDATES))
-        runs = ev.mean_metrics(metrics, ("candidate",)).withColumn(
-            "start_time", F.lit(at or datetime.now())
+        fitted = staged(fitting.fit_candidates(train, start).withColumns({
+            "fitted_at": F.lit(at or datetime.now()),
+            "lookup_version": F.lit(self.versioned("region_lookup").newest_version()).cast("long"),
+        }), "fitted")
+        quality.require(quality.check_fits(fitted), "fitted")
+        version = self.versioned("fitted").write(fitted, at=at)
+        models = [Model(name, name, version) for name in fitting.CANDIDATES]
+        runs = ev.mean_metrics(self.evaluate(models), ("model",)).select(
+            F.col("model").alias("candidate"), "mean_auc", "mean_ap", "mean_ece",
+            F.lit(at or datetime.now()).alias("start_time"), F.lit(version).cast("long").alias("version"),
         )
         runs.write.mode("append").parquet(self.path("runs"))
+        return version
+
+    def _with_regions_of(self, rows: DataFrame, fitted: DataFrame) -> DataFrame:
+        """``rows`` with today's region numbers turned into those of a fit; others have none."""
+        lookups = self.versioned("region_lookup")
+        then = fitted.select("lookup_version").first()["lookup_version"]
+        if then == lookups.newest_version():
+            return rows
+        # One row per sales region.
+        numbers = lookups.read_as_of().select(feat.REGION, F.col(STORE_FEATURE).alias("region_id")).join(
+            lookups.read_as_of(then).select(feat.REGION, F.col(STORE_FEATURE).alias("number_then")), feat.REGION
+        ).drop(feat.REGION)
+        return rows.join(F.broadcast(numbers), "region_id", "left").withColumn(
+            "region_id", F.col("number_then").cast("int")
+        ).drop("number_then")
+
+    def _fitted(self, version: int) -> DataFrame:
+        return self.versioned("fitted").read_as_of(version)
+
+    def evaluate(self, models: list[Model], folds: bool = False) -> DataFrame:
+        """Metrics per horizon of the given models on the test sequences.
 
-    def _scored_test(self, candidates) -> tuple[DataFrame, int]:
-        test, fitted = self.versioned("test_sequences").read_as_of(), self.read("fitted")
-        parts = [
-            fitting.score(test, fitted, name).withColumn("candidate", F.lit(name))
-            for name in candidates
-        ]
-        scored = parts[0]
-        for part in parts[1:]:
-            scored = scored.unionByName(part)
-        begin = test.select("begin_k").first()["begin_k"]
-        return scored, begin
-
-    def evaluate(self, candidates, by: tuple[str, ...] = ("candidate",)) -> DataFrame:
-        """Metrics per horizon of the given candidates on the test sequences."""
-        p = self.p
-        scored, begin = self._scored_test(candidates)
-        if "fold" in by:
-            scored = sampling.assign_folds(scored, p.n_folds, p.fold_seed)
-        frame = ev.evaluation_frame(scored, begin, p.consider_last_event, by)
-        outcomes = ev.box_outcomes(frame, p.n_testing_steps, p.min_box_width, p.consider_last_event, by)
+        The sequences shrink to one row per household first; models are scored on those.
+        """
+        p, by = self.p, ("fold", "model") if folds else ("model",)
+        begin = self.read("test_begin").first()["begin_k"]
+        test = self.versioned("test_sequences").read_as_of()
+        segment = fitting.CANDIDATES["regional"]
+        frame = ev.evaluation_frame(
+            test, begin, p.consider_last_event, values=segment, known=("recency_bin", "frequency_bin")
+        )
+        if folds:
+            frame = sampling.assign_folds(frame, p.n_folds, p.fold_seed)
+        frame = staged(frame, "frame")
+        scored = None
+        for m in models:
+            fitted = self._fitted(m.version)
+            part = fitting.score(self._with_regions_of(frame, fitted), fitted, m.candidate)
+            part = part.withColumn("model", F.lit(m.name)).where("alpha IS NOT NULL AND beta IS NOT NULL")
+            scored = part if scored is None else scored.unionByName(part)
+        outcomes = ev.box_outcomes(scored, p.n_testing_steps, p.min_box_width, p.consider_last_event, by)
         return ev.horizon_metrics(staged(outcomes, "outcomes"), by)
 
-    def compare(self, champion: str | None, now: datetime | None = None) -> DataFrame:
-        """Paired test of the newest best candidate against the one in use."""
-        p = self.p
-        best = ev.best_run(self.read("runs"), F.lit(now or datetime.now()), p.recent_runs_hours)
-        challenger = best.first()["candidate"]
+    def promoted(self) -> Model | None:
+        """The model in use: the newest row of the promotions."""
+        rows = sinks.read_if_exists(self.spark, self.path("promoted"))
+        last = None if rows is None else rows.orderBy(F.desc("promoted_at"), F.desc("version")).first()
+        return None if last is None else Model("champion", last["candidate"], last["version"])
+
+    @_own_staging
+    def compare(self, now: datetime | None = None) -> dict:
+        """Paired test of the best recent candidate against the model in use.
+
+        On ``promote``, or ``default`` while there is none, the challenger becomes the model in use; on
+        ``keep`` the champion stays. The result names the model to use: candidate and version.
+        """
+        p, at = self.p, now or datetime.now()
+        champion = self.promoted()
+        best = ev.best_run(self.read("runs"), F.lit(at), p.recent_runs_hours).first()
+        if best is None:
+            raise ValueError(f"no run within {p.recent_runs_hours} hours before {at} has a metric")
+        challenger = Model("challenger", best["candidate"], best["version"])
         if champion is None:
-            empty = "fold int, champion double, challenger double"
-            test = ev.paired_t_test(self.spark.createDataFrame([], empty), "champion", "challenger")
+            folds = self.spark.createDataFrame([], "fold int, champion double, challenger double")
         else:
-            by = ("fold", "candidate")
-            names = tuple(dict.fromkeys([champion, challenger]))
-            means = ev.mean_metrics(self.evaluate(names, by), by)
+            means = ev.mean_metrics(self.evaluate([champion, challenger], folds=True), ("fold", "model"))
             # One row per fold and model.
-            folds = means.groupBy("fold").agg(
-                F.max(F.when(F.col("candidate") == champion, F.col("mean_auc"))).alias("champion"),
-                F.max(F.when(F.col("candidate") == challenger, F.col("mean_auc"))).alias("challenger"),
+            folds = means.groupBy("fold").agg(*[
+                F.max(F.when(F.col("model") == m, F.col("mean_auc"))).alias(m) for m in ("champion", "challenger")
+            ])
+        test = ev.promotion(ev.paired_t_test(folds, "champion", "challenger"), p.t_test_level).first().asDict()
+        chosen = champion if test["decision"] == "keep" else challenger
+        if chosen is challenger:
+            row = self.spark.createDataFrame(
+                [(at, chosen.candidate, chosen.version, test["decision"])],
+                "promoted_at timestamp, candidate string, version long, decision string",
             )
-            test = ev.paired_t_test(folds, "champion", "challenger")
-        decided = ev.promotion(test, p.t_test_level)
-        return decided.withColumn("candidate", F.lit(challenger))
+            row.coalesce(1).write.mode("append").parquet(self.path("promoted"))
+        return {**test, "candidate": chosen.candidate, "version": chosen.version}
 
     # --- parameters -> predictions ------------------------------------------------
 
-    def predict(self, candidate: str = "regional", prediction_date=None) -> None:
-        p, rows = self.p, self.read("household_weeks")
+    @_own_staging
+    def predict(self, prediction_date=None) -> None:
+        """Predictions of the model in use, with its own region lookup."""
+        p, rows, model = self.p, self.read("household_weeks"), self.promoted()
+        if model is None:
+            raise ValueError("no model is in use yet: fit and compare first")
+        reject_future(p.end_date_pred)
         cal.week_window(self.tables.dim_date, rows, p.end_date_pred, p.n_weeks_total_pred)
         chosen = sampling.prediction_subset(rows, p)
-        inputs = feat.household_features(chosen, self.read("region_lookup"), p.default_region)
+        fitted = self._fitted(model.version)
+        lookup = self.versioned("region_lookup").read_as_of(fitted.select("lookup_version").first()[0])
+        sinks.overwrite(feat.unseen_regions(chosen, lookup), self.path("unseen_regions"))
+        inputs = feat.household_features(chosen, lookup, p.default_region)
         current = fitting.current_segments(inputs, seq.read_axis(chosen))
-        scored = fitting.score(current, self.read("fitted"), candidate)
+        scored = fitting.score(current, fitted, model.candidate)
         week = cal.read_last_complete_week(self.tables.dim_date, p.end_date_pred)
         kpis = pred.household_kpis(rows, week, p.n_weeks_stats)
         output = staged(
-            pred.churn_output(scored, kpis, p.n_weeks_churn, candidate, prediction_date), "churn-output"
+            pred.churn_output(scored, kpis, p.n_weeks_churn, model.candidate, prediction_date), "churn-output"
         )
         quality.require(quality.check_churn_output(output, p), "churn_output")
         quality.require_single_value(output, "max_week_ending_date")
@@ -172,6 +258,7 @@ class RetentionFlow:
 
     # --- predictions -> gold ------------------------------------------------------
 
+    @_own_staging
     def build_gold(self, sales: DataFrame, customers: DataFrame, items: DataFrame) -> None:
         p, dates = self.p, self.tables.dim_date
         latest = staged(pred.latest_predictions(self.read("churn_output")), "latest")
@@ -179,6 +266,8 @@ class RetentionFlow:
             week = cal.newest_week(latest).first()["max_wed"]
         else:
             week = cal.read_last_complete_week(dates, normalize_end_date(p.end_date_pred))
+        # Earlier weeks have not changed since their own runs.
+        latest = latest.where(F.col("max_week_ending_date") == F.lit(week))
         annualized = gold.annualized_sales(
             sales, customers, items, dates, week, p.excluded_card_types, p.lookback_years, p.period_weeks
         )
@@ -187,7 +276,9 @@ class RetentionFlow:
             **gold.ANNUALIZED_MERGE,
         )
         churn = staged(
-            gold.household_churn(self.read("household_annualized_sales"), latest), "household-churn"
+            gold.household_churn(
+                self.read("household_annualized_sales").where(F.col("churn_max_week_ending_date") == F.lit(week)), latest
+            ), "household-churn"
         )
         quality.require(
             quality.check_household_churn(churn, dates, p, HOUSEHOLD_CHURN_COLUMNS), "household_churn"
@@ -196,9 +287,10 @@ class RetentionFlow:
 
     def run(self, sales: DataFrame, customers: DataFrame, items: DataFrame, prediction_date=None) -> DataFrame:
         self.build_weekly_tables()
-        self.prepare()
-        self.fit()
-        candidate = self.compare(None).first()["candidate"]
-        self.predict(candidate, prediction_date)
+        if self.training_is_due():
+            self.prepare()
+            self.fit()
+            self.compare()
+        self.predict(prediction_date)
         self.build_gold(sales, customers, items)
         return self.read("household_churn")

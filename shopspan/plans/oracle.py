@@ -39,22 +39,25 @@ CTES["t_sale"] = """
 SELECT o_custkey AS customer_id, l_orderkey AS transaction_number,
        CAST(o_orderdate AS DATE) AS fiscal_date, l_suppkey AS store_number, l_partkey AS item_id,
        CASE WHEN l_discount > 0.05 THEN l_linenumber ELSE 0 END AS offer_id,
-       CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS merch_sales,
+       CAST(l_extendedprice * (1 - l_discount) * CASE WHEN l_returnflag = 'R' AND l_linenumber = 4 THEN -1 ELSE 1 END
+            AS DECIMAL(18,4)) AS merch_sales,
        CAST(l_extendedprice * CAST(0.8 AS DOUBLE) AS DECIMAL(18,4)) AS product_cost,
        l_quantity AS unit_count,
        CASE WHEN l_linestatus = 'O' THEN l_quantity / 2 ELSE 0 END AS weight,
-       CAST(floor(l_extendedprice / 100) AS BIGINT) AS points_issued,
+       CAST(floor(l_extendedprice / 100) * CASE WHEN l_returnflag = 'R' AND l_linenumber = 4 THEN -1 ELSE 1 END
+            AS BIGINT) AS points_issued,
        CAST(CASE WHEN l_returnflag = 'R' THEN -l_linenumber ELSE 0 END AS BIGINT) AS points_redeemed,
        CASE WHEN o_orderpriority = '1-URGENT' THEN l_orderkey END AS ecomm_trans_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 CTES["t_customer"] = """
-SELECT c_custkey AS cx, c_custkey // 2 AS hhn, c_mktsegment AS card_type FROM customer"""
+SELECT c_custkey AS cx, c_custkey // 2 AS hhn, nullif(c_mktsegment, 'HOUSEHOLD') AS card_type,
+       c_custkey % 31 <> 0 AND c_custkey % 23 <> 0 AS live FROM customer"""
 CTES["t_store"] = f"""
 SELECT s_suppkey AS location_id, n_name AS region
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE r_name IN {BANNERS} AND s_acctbal > 0"""
+WHERE r_name IN {BANNERS} AND s_acctbal > 0 AND s_suppkey % 13 <> 0"""
 CTES["t_item"] = """
-SELECT p_partkey AS item_id, CAST(6600 + p_size * 40 AS VARCHAR) AS sub_cat, p_name AS item_name,
+SELECT p_partkey AS item_id, CAST(6600 + p_size * 40 AS VARCHAR) AS sub_cat, CASE WHEN p_partkey % 29 = 0 THEN 'C/C RECORD ' || p_name ELSE p_name END AS item_name, p_size % 17 <> 0 AS active,
        CASE WHEN p_size % 10 = 0 THEN 'N' ELSE 'Y' END AS financial
 FROM part"""
 CTES["t_date"] = """
@@ -99,7 +102,7 @@ SELECT fiscal_date, customer_id AS cx, store_number AS location_id, transaction_
         OR item_name LIKE '%C/C RECORD%') AS non_merch
 FROM t_sale JOIN t_item USING (item_id), t_key
 WHERE customer_id <> 0 AND fiscal_date BETWEEN min_date AND max_date
-  AND store_number IN (SELECT location_id FROM t_store)"""
+  AND store_number IN (SELECT location_id FROM t_store) AND active"""
 CTES["t_txn"] = """
 SELECT fiscal_date, cx, location_id, transaction_number, max(fiscal_date) AS transaction_dt,
        sum(merch_sales) AS sales_dollars, sum(product_cost) AS extended_cost,
@@ -157,7 +160,7 @@ SELECT hhn, week_number, year_number, location_id, count(*) AS n_transaction,
        sum(units_sales_offer) AS units_sales_offer, sum(points_earned) AS points_earned,
        sum(points_redeemed) AS points_redeemed, sum(redeem_count) AS redeem_count
 FROM t_cx JOIN t_customer USING (cx), t_key
-WHERE hhn <> 0 AND year_number BETWEEN start_year AND end_year
+WHERE hhn <> 0 AND live AND year_number BETWEEN start_year AND end_year
   AND NOT (year_number = start_year AND week_number < start_week)
   AND NOT (year_number = end_year AND week_number > end_week)
 GROUP BY 1, 2, 3, 4"""
@@ -340,6 +343,7 @@ SELECT hhn, week_ending_date, CAST((week_ending_date - first_week) // 7 AS INTEG
        CAST(coalesce(n_transaction, 0) > 0 AS INTEGER) AS event
 FROM t_grid LEFT JOIN t_feature USING (hhn, week_ending_date), t_axis"""
 ORACLE["densify"] = f"SELECT hhn, week_ending_date, k, t, {_NUMERIC}, div_reg_index FROM t_dense"
+ORACLE["prediction_sequences"] = ORACLE["densify"]
 _AHEAD = "(PARTITION BY hhn ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
 _LATER = "(PARTITION BY hhn ORDER BY t ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
 CTES["t_target"] = f"""
@@ -502,6 +506,8 @@ FROM t_scored
 JOIN (SELECT hhn, max(k) AS last_event FROM t_scored WHERE tte = 0 AND k < begin_k GROUP BY 1)
   USING (hhn)
 WHERE k = begin_k"""
+ORACLE["eval_frame_without_last_event"] = """
+SELECT hhn, alpha, beta, tte, 0 AS since FROM t_scored WHERE k = begin_k"""
 ORACLE["eval_frame"] = "SELECT * FROM t_frame"
 ORACLE["packed_evaluation"] = "SELECT * FROM t_frame"
 CTES["t_outcome"] = """
@@ -722,7 +728,7 @@ SELECT hhn, round(CAST(sum(merch_sales) AS DOUBLE) / n_periods_tenure * 4, 0) AS
        max_wed AS churn_max_week_ending_date
 FROM t_sale JOIN t_customer ON customer_id = cx JOIN t_item USING (item_id)
 JOIN ({_tenure(years, week)}) USING (hhn)
-WHERE hhn <> 0 AND card_type <> 'MACHINERY' AND financial = 'Y'
+WHERE hhn <> 0 AND coalesce(card_type, '') <> 'MACHINERY' AND financial = 'Y'
   AND fiscal_date > first_event_trunc AND fiscal_date <= max_wed
 GROUP BY hhn, n_periods_tenure, max_wed"""
 

@@ -273,6 +273,12 @@ def densify(spark, folder):
     return rounded(dense, 6, *ALL_FEATURES)
 
 
+@query
+def prediction_sequences(spark, folder):
+    rows, inputs = _features(spark, folder)
+    return rounded(seq.prediction_sequences(inputs, seq.read_axis(rows)), 6, *ALL_FEATURES)
+
+
 def _targets(spark, folder, **kind):
     return seq.with_targets(seq.flag_events(_dense(spark, folder)[0]), **kind)
 
@@ -519,6 +525,12 @@ def _outcomes(spark, folder):
     return staged(rounded(rows, 9, "score"), "outcomes")
 
 
+@query
+def eval_frame_without_last_event(spark, folder):
+    rows, begin = _scored_valid(spark, folder)
+    return ev.evaluation_frame(rows, begin, consider_last_event=False)
+
+
 @query
 def eval_frame(spark, folder):
     return _frame(spark, folder)

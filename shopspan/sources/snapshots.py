@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopspan.sources.sinks import overwrite, read_if_exists
+from shopspan.sources.staging import remove_folder
 
 COMMIT_SCHEMA = (
     "version long, committed_at timestamp, operation string, location string, keep_from timestamp"
@@ -53,6 +54,9 @@ class VersionedTable:
         self._append(version, at or datetime.now(), "WRITE", location, None)
         return version
 
+    def newest_version(self) -> int | None:
+        return self.history().agg(F.max("version")).first()[0]
+
     def read_as_of(self, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
         """The given version, the newest at a time, or the newest of all."""
         commits = self.history()
@@ -72,6 +76,10 @@ class VersionedTable:
         )
 
     def expire(self, keep: timedelta = SHORT_HISTORY, now: datetime | None = None) -> None:
-        """Forget older versions. Their folders stay for the storage's own clean-up."""
+        """Forget older versions and remove their folders; the newest stays."""
         at = now or datetime.now()
         self._append(None, at, "EXPIRE", None, at - keep)
+        kept = self.history().select("version")
+        gone = self._commits().where("operation = 'WRITE'").join(kept, "version", "left_anti")
+        for row in gone.select("location").collect():  # versions of one table
+            remove_folder(self.spark, row["location"])

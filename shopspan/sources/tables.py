@@ -71,6 +71,8 @@ def retail_sale(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority"
     )
     price = F.col("l_extendedprice")
+    # Some returned lines count negatively, in sales and points.
+    sign = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4), -1).otherwise(1)
     return lines.join(orders, "l_orderkey").select(
         F.col("o_custkey").alias("customer_id"),
         F.col("l_orderkey").alias("transaction_number"),
@@ -80,11 +82,11 @@ def retail_sale(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_suppkey").alias("store_number"),
         F.col("l_partkey").alias("item_id"),
         F.when(F.col("l_discount") > 0.05, F.col("l_linenumber")).otherwise(0).alias("offer_id"),
-        (price * (1 - F.col("l_discount"))).cast(MONEY).alias("merch_sales"),
+        (price * (1 - F.col("l_discount")) * sign).cast(MONEY).alias("merch_sales"),
         (price * 0.8).cast(MONEY).alias("product_cost"),
         F.col("l_quantity").alias("unit_count"),
         F.when(F.col("l_linestatus") == "O", F.col("l_quantity") / 2).otherwise(0.0).alias("weight"),
-        F.floor(price / 100).alias("points_issued"),
+        (F.floor(price / 100) * sign).alias("points_issued"),
         F.when(F.col("l_returnflag") == "R", -F.col("l_linenumber")).otherwise(0)
         .cast("bigint").alias("points_redeemed"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.col("l_orderkey")).alias("ecomm_trans_id"),
@@ -95,9 +97,9 @@ def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "customer").select(
         F.col("c_custkey").alias("ldw_customer_id"),
         F.expr("c_custkey div 2").alias("household_id"),
-        F.lit(1).alias("is_active"),
-        F.lit(0).alias("deleted_flag"),
-        F.col("c_mktsegment").alias("current_card_type"),
+        (F.col("c_custkey") % 31 != 0).cast("int").alias("is_active"),
+        (F.col("c_custkey") % 23 == 0).cast("int").alias("deleted_flag"),
+        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("current_card_type"),
     )
 
 
@@ -110,7 +112,7 @@ def dim_location(spark: SparkSession, folder: str) -> DataFrame:
         .join(region, "n_regionkey")
         .select(
             F.col("s_suppkey").alias("id"),
-            F.lit("ST").alias("location_type"),
+            F.when(F.col("s_suppkey") % 13 == 0, "DC").otherwise("ST").alias("location_type"),
             F.col("r_name").alias("banner_short_name"),
             (F.col("s_acctbal") > 0).cast("int").alias("is_active"),
             F.col("n_name").alias("divisional_regional_rollup"),
@@ -121,9 +123,10 @@ def dim_location(spark: SparkSession, folder: str) -> DataFrame:
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "part").select(
         F.col("p_partkey").alias("id"),
-        F.lit(1).alias("is_active"),
+        (F.col("p_size") % 17 != 0).cast("int").alias("is_active"),
         (6600 + F.col("p_size") * 40).cast("string").alias("mdm_sub_cat_id"),
-        F.col("p_name").alias("variant_name"),
+        F.when(F.col("p_partkey") % 29 == 0, F.concat(F.lit("C/C RECORD "), "p_name"))
+        .otherwise(F.col("p_name")).alias("variant_name"),
         F.when(F.col("p_size") % 10 == 0, "N").otherwise("Y").alias("financial_sale_flag"),
     )
 

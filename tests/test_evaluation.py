@@ -135,6 +135,28 @@ def test_paired_t_test(spark):
     assert nobody.first().decision == "default"
 
 
+def test_paired_t_test_edges(spark):
+    def outcome(gaps):
+        folds = [(k, 0.5, 0.5 + g) for k, g in enumerate(gaps)]
+        df = spark.createDataFrame(folds, "fold int, champion double, challenger double")
+        return ev.promotion(ev.paired_t_test(df, "champion", "challenger"), 0.05).first()
+
+    for gaps, want in (([0.125] * 5, "promote"), ([-0.125] * 5, "keep"), ([0.0] * 5, "keep"), ([0.125], "keep")):
+        assert outcome(gaps).decision == want
+    assert outcome([0.125] * 5).p_value == 0 and outcome([-0.125] * 5).p_value == 1
+    assert outcome([0.1, 0.1, 0.1]).decision == "promote"  # equal but for rounding
+    tiny = outcome([0.125 + k * 3.2e-5 for k in range(5)])
+    assert 0 <= tiny.p_value < 1e-9 and tiny.decision == "promote"
+    for t in (0.0, 0.5, 10.0, 1e3, 1e6):
+        exact = 0.5 - t * (t * t + 6) / (2 * (t * t + 4) ** 1.5)  # upper tail, four degrees of freedom
+        row = spark.range(1).select(ev.student_cdf(F.lit(-t), F.lit(4)).alias("low"), ev.student_cdf(F.lit(t), F.lit(4)).alias("high")).first()
+        assert math.isclose(row.low, exact, abs_tol=1e-12) and math.isclose(row.high, 1 - exact, abs_tol=1e-12)
+        if t >= 1e3:
+            assert math.isclose(row.low, 3 / t**4, rel_tol=1e-3)
+    one = spark.range(1).select(ev.student_cdf(F.lit(-1.0), F.lit(1)).alias("p")).first()  # Cauchy
+    assert math.isclose(one.p, 0.25, abs_tol=1e-9)
+
+
 def test_best_run(spark):
     now = datetime(2022, 5, 5, 12)
     rows = [("a", 0.8, datetime(2022, 5, 5, 1)), ("b", 0.9, datetime(2022, 5, 3)), ("c", None, now),

@@ -1,4 +1,6 @@
 import os
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -52,10 +54,29 @@ def test_flow_end_to_end(spark, tmp_path):
     assert rows and set(churn.columns) == set(HOUSEHOLD_CHURN_COLUMNS)
     assert all(0 <= r.churn_probability <= 1 for r in rows.values())
     assert {r.candidate for r in flow.read("runs").collect()} == {"overall", "behaviour", "regional"}
-    # Scoring and merging the same week again changes nothing.
-    flow.predict(prediction_date=END_DATE)
-    flow.predict(flow.compare(None).first()["candidate"], END_DATE)
+    assert flow.read("unseen_regions").count() == 0
+    # Scoring and merging the same week again changes nothing, not even the files.
+    written = {f: f.stat().st_mtime_ns for f in (tmp_path / "flow" / "household_churn").rglob("part-*")}
+    flow.predict(END_DATE)
     flow.build_gold(*sources)
-    assert {r.hhn: r for r in flow.read("household_churn").collect()} == rows
-    decided = flow.compare("overall").first()
-    assert decided["n_folds"] == SAMPLE_PARAMS.n_folds and decided["decision"] in ("promote", "keep")
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "flow" / "household_churn").rglob("part-*")} == written
+    # The same fit against itself: no gap, so the champion stays in use.
+    in_use = flow.promoted()
+    decided = flow.compare()
+    assert decided["n_folds"] == SAMPLE_PARAMS.n_folds and decided["decision"] == "keep"
+    assert flow.promoted() == in_use and (decided["candidate"], decided["version"]) == in_use[1:]
+    # A later fit on other households does not touch the predictions while the decision is to keep.
+    before = {r.hhn: (r.alpha, r.beta) for r in flow.read("churn_output").collect()}
+    flow.p = replace(SAMPLE_PARAMS, sample_seed=7, undersample_quantile=0.3, t_test_level=0.0)
+    flow.prepare()
+    assert flow.fit() == 1
+    kept = flow.compare()
+    assert kept["decision"] == "keep" and flow.promoted() == in_use
+    flow.predict(END_DATE)
+    assert {r.hhn: (r.alpha, r.beta) for r in flow.read("churn_output").collect()} == before
+    assert not flow.training_is_due() and flow.training_is_due(datetime.now() + timedelta(days=61))
+    with pytest.raises(ValueError, match="no run within"):
+        flow.compare(datetime.now() + timedelta(days=9))
+    with pytest.raises(ValueError, match="future"):
+        flow.p = replace(SAMPLE_PARAMS, end_date_pred="2999-01-01")
+        flow.predict(END_DATE)

@@ -81,6 +81,15 @@ def test_merge_touches_only_named_partitions(spark, tmp_path):
     assert got == {(1, 2.0, WEEK), (2, 3.0, WEEK), (1, 7.0, before)}
     with pytest.raises(ValueError, match="repeats a key"):
         sinks.merge_into(path, second.union(second), "churn_max_week_ending_date", **gold.ANNUALIZED_MERGE)
+    # A source that names both weeks but changes one leaves the other week's files alone.
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("part-*")}
+    old = files()
+    third = spark.createDataFrame([(1, 2.5, WEEK), (1, 7.0, before)], schema)
+    sinks.merge_into(path, third, "churn_max_week_ending_date", **gold.ANNUALIZED_MERGE)
+    assert {f for f, t in files().items() if old.get(f) == t} == {f for f in old if f"={before}" in str(f)}
+    nameless = spark.createDataFrame([(3, 1.0, None)], schema)
+    with pytest.raises(ValueError, match="without"):
+        sinks.merge_into(path, nameless, "churn_max_week_ending_date", **gold.ANNUALIZED_MERGE)
 
 
 def test_versions(spark, tmp_path):
@@ -96,6 +105,7 @@ def test_versions(spark, tmp_path):
     assert table.history().count() == 3
     table.expire(SHORT_HISTORY, datetime(2022, 6, 2))
     assert [r.version for r in table.history().collect()] == [2]
+    assert [p.name for p in (tmp_path / "v" / "data").iterdir()] == ["v=2"]
     assert table.write(spark.range(9), at=datetime(2022, 6, 3)) == 3 and table.read_as_of().count() == 9
 
 
@@ -142,3 +152,44 @@ def test_regions(spark):
     assert [r[0] for r in features.unseen_regions(rows, lookup).collect()] == ["c"]
     with pytest.raises(ValueError):
         features.default_index(lookup, "zz")
+
+
+def test_lines_are_summed_before_the_customer_join(spark):
+    """No exchange on the customer key carries single lines."""
+    sales = spark.createDataFrame([(0, 1, 1.0, WEEK)], "customer_hk bigint, item_hk bigint, merch_sales double, fiscal_date date")
+    customers = spark.createDataFrame([(1, 1, "a")], "customer_hk bigint, current_household_id bigint, current_card_type string")
+    items = spark.createDataFrame([(1, "Y")], "item_hk bigint, financial_sale_flag string")
+    days = spark.createDataFrame([(WEEK, WEEK)], "date date, week_end_date date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (gold.base_tenure(sales, customers, days, WEEK), gold.annualized_sales(sales, customers, items, days, WEEK)):
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            for k, line in enumerate(lines):
+                if "Exchange hashpartitioning(customer_hk" in line and "fiscal_date" not in line.split("]")[0]:
+                    assert any(x in lines[k + 1] + lines[k + 2] for x in ("HashAggregate", "Scan", "Project", "Filter"))
+                    below = "".join(lines[k + 1:k + 3])
+                    assert "HashAggregate" in below or "current_household_id" in "".join(lines[k + 1:k + 6])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_staging_needs_a_shared_folder_and_cleans_up(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from shopspan.sources import staging
+
+    for master, fine in (("local", True), ("local[4]", True), ("local-cluster[2,1,1024]", False), ("spark://h:7077", False)):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master))
+        if fine:
+            assert staging.staging_folder(fake).startswith("/tmp/")
+        else:
+            with pytest.raises(RuntimeError, match="checkpoint"):
+                staging.staging_folder(fake)
+    with staging.staging_scope(spark):
+        rows = staging.staged(spark.range(3), "x")
+        path = rows.inputFiles()[0]
+        assert rows.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -84,3 +84,8 @@ def test_top_store_tie_and_dropped_store(spark, tables, keys):
     fewer = tables._replace(dim_location=tables.dim_location.where("id <> 3"))
     weeks = weekly.build_household_weeks(cx, fewer, keys[1], ["A"]).collect()
     assert [r.week_number for r in weeks] == [2]
+
+
+def test_one_scan_of_the_sales(spark, tables, keys):
+    plan = weekly.build_customer_weeks(tables, keys[0], ["A"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ecomm_trans_id") and plan.count("Join Inner") + plan.count("Join LeftOuter") == 3

@@ -1,10 +1,12 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shopspan.functions import weibull as wb
-from shopspan.operators import fitting
+from shopspan.operators import fitting, quality
+from shopspan.sources.staging import staged
 
 
 def test_functions_match_closed_forms(spark):
@@ -77,16 +79,40 @@ def test_scores_fall_back_to_coarser_segments(spark):
     rows = (
         _draws(spark, 12.0, 1.4, 4000, 1, region_id=1, recency_bin=0, frequency_bin=1)
         .unionByName(_draws(spark, 4.0, 1.0, 10, 2, region_id=2, recency_bin=0, frequency_bin=1))
+        .unionByName(spark.createDataFrame([(3, 0)], "tte int, u int").selectExpr(
+            "tte", "u", "3 AS region_id", "0 AS recency_bin", "1 AS frequency_bin"))
     )
-    fitted = fitting.fit_candidates(rows, 8.0, min_events=50).cache()
-    seen = {(r.candidate, r.region_id) for r in fitted.collect()}
-    assert seen == {("overall", None), ("behaviour", None), ("regional", 1)}
-    current = spark.createDataFrame([(1, 1, 0, 1), (2, 2, 0, 1), (3, 2, 5, 4)], "hhn bigint, region_id int, recency_bin int, frequency_bin int")
-    level = {r.candidate: r.alpha for r in fitted.collect()}
+    fitted = staged(fitting.fit_candidates(rows, 8.0), "fitted")
+    # Ten rows are enough to keep a segment; one without an event has no fit.
+    assert {(r.candidate, r.region_id) for r in fitted.collect()} == {
+        ("overall", None), ("behaviour", None), ("regional", 1), ("regional", 2)}
+    current = spark.createDataFrame(
+        [(1, 1, 0, 1), (2, 2, 0, 1), (3, 3, 0, 1), (4, 2, 5, 4)], "hhn bigint, region_id int, recency_bin int, frequency_bin int")
+    level = {(r.candidate, r.region_id): r.alpha for r in fitted.collect()}
     got = {r.hhn: r.alpha for r in fitting.score(current, fitted).collect()}
-    assert got == {1: level["regional"], 2: level["behaviour"], 3: level["overall"]}
+    assert got == {1: level["regional", 1], 2: level["regional", 2], 3: level["behaviour", None], 4: level["overall", None]}
     coarse = {r.hhn: r.alpha for r in fitting.score(current, fitted, "overall").collect()}
-    assert set(coarse.values()) == {level["overall"]}
+    assert set(coarse.values()) == {level["overall", None]}
+
+
+def test_fits_tell_how_they_ended(spark):
+    rows = _draws(spark, 12.0, 1.4, 4000, 1, region_id=1, recency_bin=0, frequency_bin=1)
+    histogram = staged(fitting.candidate_histograms(rows), "histogram")
+    by = ["candidate", *fitting.CANDIDATES["regional"]]
+    fitted = staged(fitting.fit_weibull(histogram, by, 8.0), "fitted")
+    assert all(r.converged and not r.at_bound and r.gradient_norm < 1e-7 for r in fitted.collect())
+    assert all(r.best for r in fitting.fit_optimality(histogram, fitted).collect())
+    moved = fitted.withColumn("beta", F.col("beta") * 1.1)
+    assert not any(r.best for r in fitting.fit_optimality(histogram, moved).collect())
+    stopped = fitting.fit_weibull(histogram, by, 300.0, fitting.FitBounds(max_steps=1))
+    assert not any(r.converged for r in stopped.collect())
+    with pytest.raises(quality.QualityError, match="converged"):
+        quality.require(quality.check_fits(stopped), "fitted")
+    # All events in the same step: the likelihood rises up to the largest beta.
+    steep = spark.createDataFrame([(6, 1)] * 5, "tte int, u int").selectExpr(
+        "tte", "u", "1 AS region_id", "0 AS recency_bin", "1 AS frequency_bin")
+    at_top = fitting.fit_candidates(steep, 8.0).collect()
+    assert all(r.converged and r.at_bound and abs(r.beta - 5) < 1e-9 for r in at_top)
 
 
 def test_init_alpha(spark):
