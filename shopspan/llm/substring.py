@@ -200,16 +200,20 @@ def repeated_passages(docs: DataFrame, length: int = 35) -> DataFrame:
         .groupBy("node").agg(F.max("n_removed").alias("n_removed"), F.first("new_sha256").alias("new_sha256"),
                              F.first("kept_text").alias("kept_text"))
     )
-    copied = nodes.select("node", (F.col("copies") > 1).alias("copied"))
-    decided = copied.join(cut, "node", "left")
-    whole = F.coalesce("copied", F.lit(False))
-    nothing = F.sha2(F.lit("").cast("binary"), 256)
-    return sketches.join(decided, "node", "left").select(
-        "doc_id", "text_key", "n_words",
-        F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
-        F.when(whole, nothing).otherwise(F.coalesce("new_sha256", "kept_sha256")).alias("kept_sha256"),
-        F.when(whole, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
+    # Copies are settled by a table of nodes alone, whose hot keys Spark can split; what is left has unique nodes.
+    copied = staged(nodes.where("copies > 1").select("node", F.lit(True).alias("copied")), "copied")
+    judged = staged(
+        sketches.drop("seeds", "places").join(copied, "node", "left").withColumn("copied", F.col("copied").isNotNull()),
+        "judged",
     )
+    whole = judged.where("copied").select(
+        "doc_id", "text_key", "n_words", F.col("n_words").alias("n_removed"),
+        F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"), F.lit("").alias("kept_text"),
+    )
+    return judged.where("not copied").join(cut, "node", "left").select(
+        "doc_id", "text_key", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("new_sha256", "kept_sha256").alias("kept_sha256"), "kept_text",
+    ).unionByName(whole)
 
 
 def without_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
