@@ -29,6 +29,8 @@ STEPS_PER_WORD = 1.6
 #: Every filter has so many bits, whatever the benchmark's size; more items only let more windows pass.
 FILTER_BITS = 22
 KEY_FILTER_BITS = 24  # keys set and test two bits
+#: Bytes of text scanned at once: a walk's steps cost the same for few windows as for many.
+SCAN_BYTES = 4 << 20
 #: Walks done at once, and cells of alignments.
 CHUNK, ALIGN_CELLS = 1 << 16, 1 << 23
 #: Item sizes of one class differ by less than this factor.
@@ -147,7 +149,7 @@ def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int]):
         known, coupled, hit = (
             np.unpackbits(np.frombuffer(b, np.uint8), bitorder="little").astype(bool) for b in (vocabulary, couples, slots)
         )
-        for rows, data, offsets in text_blocks(batches, "text"):
+        for rows, data, offsets in text_blocks(batches, "text", SCAN_BYTES):
             data = LOWER[data]
             found = find_words(data, offsets)
             words, first = with_pads(word_hashes(data, found), found.first)

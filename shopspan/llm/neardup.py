@@ -3,7 +3,7 @@
 Each document is a set of distinct word shingles. Under every permutation both the smallest and the
 largest value are kept, so 128 hash evaluations give 256 signature values; each value matches with
 probability equal to the Jaccard similarity, and the two of a permutation vary less together than two
-independent minima. Eight values form a band, bands of minima and bands of maxima alike.
+independent minima. Consecutive values form bands.
 
 Documents that share a band with another one fall into candidate groups. Inside a group every pair is
 compared by signature, and pairs that may reach the similarity are confirmed on the full shingle sets.
@@ -15,7 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopspan.llm.components import connected_components
@@ -23,8 +23,9 @@ from shopspan.llm.words import LOWER, Sequences, as_long, find_words, lists, mix
 from shopspan.sources.staging import staged
 
 PERMUTATIONS = 128
-BAND = 8  # one-byte values in a band
 VALUES = 2 * PERMUTATIONS
+#: Bands are as wide as this probability, that a pair at the similarity shares none, allows.
+MISSED = 1e-4
 #: Shingles in one block of a candidate group; larger groups are split and compared block against block.
 BLOCK_SHINGLES = 1 << 21
 #: Pairs below the similarity by this many standard deviations of the signature estimate are not confirmed.
@@ -55,7 +56,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
 
 
 def signatures(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """One-byte minima and maxima of the non-empty sets, as 64-bit bands."""
+    """One-byte minima and maxima of the non-empty sets, eight in a 64-bit word."""
     starts = (np.cumsum(counts) - counts)[counts > 0]
     out = np.empty((len(starts), VALUES), dtype=np.uint8)
     if len(starts):
@@ -68,7 +69,7 @@ def signatures(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _sketch(size: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()),
-                        ("key2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+                        ("key2", pa.int64()), ("values", pa.list_(pa.int64()))])
 
     def run(batches):
         for rows, data, offsets in text_blocks(batches, "text"):
@@ -79,15 +80,33 @@ def _sketch(size: int):
             if len(starts):
                 keys[0, full] = np.add.reduceat(mix(sets), starts)
                 keys[1, full] = np.add.reduceat(mix(sets * _SECOND), starts)
-            bands = signatures(sets, n)
+            values = signatures(sets, n)
             yield pa.RecordBatch.from_arrays(
                 [as_long(rows.column("doc_id")), pa.array(n.astype(np.int64)), pa.array(signed(keys[0])),
-                 pa.array(signed(keys[1])), lists(bands.ravel(), np.where(full, bands.shape[1], 0))],
+                 pa.array(signed(keys[1])), lists(values.ravel(), np.where(full, values.shape[1], 0))],
                 schema=schema)
 
     return run
 
 
+def band_width(percent: int) -> int:
+    """One-byte values in a band: as many as keep a pair at the similarity together, eight at most."""
+    share = percent / 100
+    return max(r for r in range(1, 9) if r == 1 or (1 - share**r) ** (VALUES // r) <= MISSED)
+
+
+def _band_keys(width: int) -> list[Column]:
+    """Bands of ``width`` bytes, cut natively out of the 64-bit words that hold the values."""
+    keys = []
+    for at in range(0, VALUES - width + 1, width):
+        word, shift = divmod(8 * at, 64)
+        key = F.shiftrightunsigned(F.col("values")[word], shift) if shift else F.col("values")[word]
+        if shift + 8 * width > 64:
+            key = key.bitwiseOR(F.shiftleft(F.col("values")[word + 1], 64 - shift))
+        keys.append(key.bitwiseAND(F.lit((1 << 8 * width) - 1)) if width < 8 else key)
+    return keys
+
+
 def _linker(size: int, percent: int):
     share = percent / 100
     least = math.floor(VALUES * share - DEVIATIONS * math.sqrt(VALUES * share * (1 - share)))
@@ -98,7 +117,7 @@ def _linker(size: int, percent: int):
         node = table.column("node").to_numpy()
         block = table.column("block").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        values = pa.concat_arrays(table.column("bands").chunks).flatten().to_numpy().view(np.uint8)
+        values = pa.concat_arrays(table.column("values").chunks).flatten().to_numpy().view(np.uint8)
         values = values.reshape(len(node), VALUES)
         parts = [shingle_sets(d, o, size) for _, d, o in text_blocks(iter(table.select(["text"]).to_batches()), "text")]
         sets, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -145,23 +164,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     that of its equals with ids (not kept) or stays alone (kept, component_id null). Ties do not arise:
     the smallest id decides. An empty table gives an empty result.
 
-    Scale: texts with equal sets collapse before any pair is formed, each remaining one emits 32 band rows,
-    and a band's documents link to its smallest id, so candidates grow with documents, never with pairs.
+    Scale: texts with equal sets collapse before any pair is formed, each remaining one emits 32 to 42 band
+    rows, and a band's documents link to its smallest id, so candidates grow with documents, never with pairs.
     Groups are compared in tasks of bounded size that return only a spanning forest of confirmed links.
-    A pair at exactly 85 % shares no band with probability (1 - 0.85^8)^32, about 4e-5 (at 90 %: 1e-8).
+    A pair at exactly 85 % shares no band with probability (1 - 0.85^8)^32, about 4e-5 (at 90 %: 1e-8); for
+    80 % bands are narrower: (1 - 0.8^6)^42, about 3e-6.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = staged(
-        rows.mapInArrow(_sketch(words), "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"),
+        rows.mapInArrow(_sketch(words), "doc_id long, n_shingles long, key1 long, key2 long, values array<long>"),
         "minmax",
     )
-    equal = sketches.where("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(F.min("doc_id").alias("node"))
+    # Staged, as below, so that joins with it read plain shuffles, whose hot keys (exact copies) Spark can split.
+    equal = staged(
+        sketches.where("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(F.min("doc_id").alias("node")), "sets"
+    )
     firsts = (
         sketches.where("n_shingles > 0")
         .join(equal.where("node is not null"), ["key1", "key2", "n_shingles"])
-        .where("doc_id = node").select("node", "n_shingles", "bands")
+        .where("doc_id = node").select("node", "n_shingles", "values")
     )
-    shared = firsts.select("node", F.posexplode("bands").alias("band", "value"))
+    shared = firsts.select("node", F.posexplode(F.array(*_band_keys(band_width(percent)))).alias("band", "value"))
     heads = shared.groupBy("band", "value").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     candidates = shared.join(heads, ["band", "value"]).select("a", F.col("node").alias("b"))
     groups = staged(
@@ -176,13 +199,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .join(rows.withColumnRenamed("doc_id", "node"), "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                "block", "node", "bands", "text")
+                "block", "node", "values", "text")
     )
     links = members.groupBy("component", "i", "j").applyInArrow(_linker(words, percent), "a long, b long")
     labels = connected_components(links)
-    classes = equal.join(labels, "node", "left").select(
+    classes = staged(equal.join(labels, "node", "left").select(
         "key1", "key2", "n_shingles", F.coalesce("component", "node").alias("component_id")
-    )
+    ), "classes")
     return (
         sketches.join(classes, ["key1", "key2", "n_shingles"], "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -19,7 +19,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 #: Bytes of text handled at once; longer single texts form a block of their own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -33,7 +33,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def text_blocks(
+    batches: Iterator[pa.RecordBatch], text: str, block_bytes: int = BLOCK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets of the rows' texts in them) in blocks of bounded size; null texts are empty."""
     for batch in batches:
         column = batch.column(text)
@@ -49,7 +51,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[
         whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
         at = 0
         while at < size:
-            end = int(np.searchsorted(where, where[at] + BLOCK_BYTES, side="right")) - 1
+            end = int(np.searchsorted(where, where[at] + block_bytes, side="right")) - 1
             end = min(max(end, at + 1), size)
             yield batch.slice(at, end - at), whole[where[at] : where[end]], where[at : end + 1] - where[at]
             at = end

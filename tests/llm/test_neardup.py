@@ -77,3 +77,18 @@ def test_large_group_in_blocks(spark, prose, vocabulary, monkeypatch):
         rows.append((d, " ".join(new)))
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
     assert {r.doc_id: r.component_id for r in got} == brute(rows, 3, 85)
+
+
+def test_band_width_and_keys(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from shopspan.llm import neardup
+
+    assert [neardup.band_width(p) for p in (50, 80, 85, 95)] == [3, 6, 8, 8]
+    raw = np.random.default_rng(0).integers(0, 256, neardup.VALUES, dtype=np.uint8)
+    row = spark.createDataFrame([(raw.view(np.int64).tolist(),)], "values array<long>")
+    for width in (1, 5, 6, 7, 8):
+        got = np.array(row.select(F.array(*neardup._band_keys(width)).alias("k")).first().k, dtype=np.int64).view(np.uint64)
+        want = [int.from_bytes(raw[a:a + width].tobytes(), "little") for a in range(0, neardup.VALUES - width + 1, width)]
+        assert got.tolist() == want
