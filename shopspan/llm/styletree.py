@@ -49,6 +49,12 @@ ASIDE_NAMES = frozenset(
     "search form comment comments reply replies respond disqus discussion toolbar pagination pager tags".split()
 )
 
+#: Names that wrappers of a whole page carry as well (``with-sidebar``): an article inside is content all the same.
+LAYOUT_NAMES = frozenset("sidebar nav navbar navigation menu header footer masthead toolbar".split())
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus discussion".split())
+#: Why a branch stands beside the content: not at all, by a layout name, by anything else.
+CONTENT, LAYOUT, BESIDE = 0, 1, 2
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
@@ -63,9 +69,23 @@ def _names(attributes: str) -> list[str]:
     return _PART.findall(_CAMEL.sub(" ", joined).lower())
 
 
-def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(path, text, inside a branch beside the content, inside an article) of each block with text, in order."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+def _place(name: str, names: list[str], beside: int, main: bool) -> int:
+    """How an element stands to the content, from its own names and from where it is."""
+    if name in ("html", "body"):
+        return beside
+    if name in MAIN:
+        if not COMMENT_NAMES.isdisjoint(names):
+            return BESIDE
+        return CONTENT if beside == LAYOUT else beside
+    own = set(names) & ASIDE_NAMES - ({"header"} if main else set())
+    if name in OUTSIDE and not (name == "header" and main) or own - LAYOUT_NAMES:
+        return BESIDE
+    return max(beside, LAYOUT if own else CONTENT)
+
+
+def blocks(page: str) -> Iterator[tuple[str, str, int, bool]]:
+    """(path, text, standing to the content, inside an article) of each block with text, in order."""
+    stack: list[tuple[str, str, int, bool]] = [("", "", CONTENT, False)]
     text: list[str] = []
     at, size = 0, len(page)
 
@@ -112,8 +132,7 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         _, path, beside, main = stack[-1]
         names = _names(found[3])
         label = f"{path}/{name}" + ("." + ".".join(sorted(set(names))) if names else "")
-        outside = name in OUTSIDE and not (name == "header" and main)
-        stack.append((name, label, beside or outside or not ASIDE_NAMES.isdisjoint(names), main or name in MAIN))
+        stack.append((name, label, _place(name, names, beside, main), main or name in MAIN))
     yield from flush()
 
 

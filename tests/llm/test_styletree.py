@@ -27,6 +27,14 @@ def test_odd_markup():
     assert len(main_text("<div>" * 5000 + "deep").split()) == 1
 
 
+def test_names_on_wrappers():
+    inside = '<article class="post tags"><div class="post-header"><h1>H</h1></div><p>T</p></article>'
+    assert main_text(f'<body class="nav-open has-sidebar"><div class="with-sidebar">{inside}</div></body>') == "H\n\nT"
+    assert main_text(f'<div class="sidebar">{inside}<p>x</p></div><div class="comments"><article><p>c</p></article></div>') == "H\n\nT"
+    assert main_text('<article><p>T</p><article class="comment"><p>c</p></article></article>') == "T"
+    assert main_text("<nav><article><p>menu</p></article></nav><p>T</p>") == "T"
+
+
 def entropy(values):
     counts, n = collections.Counter(values), len(values)
     return 1.0 if n == 1 else -sum(c / n * math.log(c / n) for c in counts.values()) / math.log(n)
