@@ -37,6 +37,7 @@ class RetentionParams:
 
     # Preparation.
     undersample_quantile: float | None = 0.6
+    # Seeds and fillings that stored samples and vectors were made with.
     sample_seed: int = 123
     mask_value: float = 0.133713371337
     censor_dummy: float = 0.5

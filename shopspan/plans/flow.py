@@ -250,7 +250,9 @@ class RetentionFlow:
         week = cal.read_last_complete_week(self.tables.dim_date, p.end_date_pred)
         kpis = pred.household_kpis(rows, week, p.n_weeks_stats)
         output = staged(
-            pred.churn_output(scored, kpis, p.n_weeks_churn, model.candidate, prediction_date), "churn-output"
+            pred.churn_output(
+                scored, kpis, p.n_weeks_churn, f"{model.candidate}/{model.version}", prediction_date
+            ), "churn-output"
         )
         quality.require(quality.check_churn_output(output, p), "churn_output")
         quality.require_single_value(output, "max_week_ending_date")

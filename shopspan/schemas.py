@@ -1,4 +1,7 @@
-"""Column contracts of the produced tables."""
+"""Column contracts of the produced tables.
+
+Fixed values: the names and their order are what readers of the tables expect.
+"""
 
 from __future__ import annotations
 

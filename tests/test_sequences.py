@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shopspan.operators import sequences as seq
 from shopspan.operators.calendar import WeekSpan
 
+# The events here and the expected rows below.
 EVENTS = [0, 1, 0, 0, 1, 0, 0]
 
 
