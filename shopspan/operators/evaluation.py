@@ -164,11 +164,11 @@ def roc_points(steps: DataFrame, by: tuple[str, ...] = (), drop_collinear: bool
     return _with_end_point(points, keys, {"fpr": 0.0, "tpr": 0.0}, ["fpr", "tpr"])
 
 
-def pr_points(steps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Precision-recall curve up to the first full recall, and its end (0, 1)."""
+def pr_points(steps: DataFrame, by: tuple[str, ...] = (), to_full_recall: bool = True) -> DataFrame:
+    """Precision-recall curve and its end (0, 1); thresholds beyond the first full recall are left out if wanted."""
     keys = [*by, "box_width"]
     before_full = F.col("cum_pos") - F.col("pos") < F.col("all_pos")
-    points = steps.where(before_full).select(
+    points = (steps.where(before_full) if to_full_recall else steps).select(
         *keys, "cum_step", F.col("score").alias("threshold"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
         F.try_divide("cum_pos", "all_pos").alias("recall"),

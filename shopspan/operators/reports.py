@@ -96,23 +96,25 @@ def scale_up(outcomes: DataFrame, fraction: float) -> DataFrame:
 
 
 def score_histogram(outcomes: DataFrame, n_bins: int = 10) -> DataFrame:
-    """Equal-width counts between the smallest and largest value, scores beside labels."""
-    # Four scalars.
+    """Equal-width counts between the smallest and largest value, scores beside labels.
+
+    Without outcomes the result is empty.
+    """
     bounds = outcomes.agg(
         F.min("score").alias("score_lo"), F.max("score").alias("score_hi"),
-        F.min("churned").alias("label_lo"), F.max("churned").alias("label_hi"),
-    ).first()
+        F.min("churned").alias("churned_lo"), F.max("churned").alias("churned_hi"),
+    )
 
-    def place(value, lo, hi):
+    def place(name):
+        value, lo, hi = F.col(name), *(bounds.select(f"{name}_{end}").scalar() for end in ("lo", "hi"))
         # A single distinct value is centred in a range of width one.
-        left, width = (lo - 0.5, 1.0) if hi == lo else (lo, hi - lo)
+        left = F.when(hi == lo, lo - 0.5).otherwise(lo)
+        width = F.when(hi == lo, 1.0).otherwise(hi - lo)
         return F.least(F.floor((value - left) / width * n_bins), F.lit(n_bins - 1)).cast("int")
 
     pairs = outcomes.select(F.explode(F.array(
-        F.struct(F.lit("model").alias("series"),
-                 place(F.col("score"), bounds["score_lo"], bounds["score_hi"]).alias("bin")),
-        F.struct(F.lit("truth").alias("series"),
-                 place(F.col("churned"), bounds["label_lo"], bounds["label_hi"]).alias("bin")),
+        F.struct(F.lit("model").alias("series"), place("score").alias("bin")),
+        F.struct(F.lit("truth").alias("series"), place("churned").alias("bin")),
     )).alias("p")).select("p.*")
     counts = pairs.groupBy("series", "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = counts.select("series").distinct().withColumn(

@@ -184,6 +184,7 @@ def test_reports(spark, outcomes):
     hist = {(r.series, r.bin): r.n for r in reports.score_histogram(one).collect()}
     assert sum(v for (s, _), v in hist.items() if s == "model") == counts.sum()
     assert hist["truth", 0] + hist["truth", 9] == 700 and len(hist) == 20
+    assert reports.score_histogram(one.where("false")).collect() == []
     names = reports.risk_report(one, 4, reports.FOUR_BIN_NAMES).collect()
     assert [r.segment_name for r in names] == ["At Risk", "High", "Medium", "Low"]
     df = spark.createDataFrame([(0.0, 0), (0.25, 1), (0.999, 3), (1.0, 3)], "p double, want int")
