@@ -219,3 +219,36 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
     named = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
+
+
+#: The query with three words and 85 %: sets of shingles, links by counting, closure of the links.
+ORACLE_SQL = r"""
+WITH RECURSIVE base AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT rid, array_to_string(words[i:i + 2], ' ') AS s
+  FROM (SELECT rid, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM base WHERE len(words) > 0)
+),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+shared AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid < b.rid GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT a, b FROM both_ways
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN both_ways l ON l.a = r.b
+),
+lowest AS (SELECT a AS rid, min(doc_id) AS low FROM reached JOIN base ON rid = b GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least(low, doc_id), doc_id) AS component_id,
+       coalesce(least(low, doc_id), doc_id) = doc_id AS kept
+FROM base LEFT JOIN sizes USING (rid) LEFT JOIN lowest USING (rid)
+"""

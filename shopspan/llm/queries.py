@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
-from shopspan.llm import chat, gam, hostquality, language, styletree, urlfilter
+from shopspan.llm import chat, gam, hostquality, language, neardup, styletree, substring, urlfilter
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -29,12 +29,18 @@ def op1_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
 
+ORACLE["op1_minmax_near_duplicates"] = neardup.ORACLE_SQL
+
+
 @query
 def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_passages(table(spark, folder, "documents"), length=35)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+ORACLE["op9_repeated_passages"] = substring.ORACLE_SQL
+
+
 @query
 def op10_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -223,3 +223,26 @@ def without_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     joined = docs.join(new, text_key() == new["changed_key"], "left")
     text = F.coalesce(new["changed_text"], docs["text"]).alias("text")
     return joined.select(*[text if c == "text" else docs[c] for c in docs.columns])
+
+
+#: The query with 35 words: all windows counted as texts.
+ORACLE_SQL = r"""
+WITH base AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+windows AS (
+  SELECT rid, i, array_to_string(words[i:i + 34], ' ') AS win
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 33)) AS i FROM base WHERE len(words) >= 35)
+),
+twice AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY win) > 1),
+covered AS (SELECT DISTINCT rid, i + k AS pos FROM twice, (SELECT unnest(range(0, 35)) AS k)),
+singles AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM base),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS body FROM singles ANTI JOIN covered USING (rid, pos) GROUP BY rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM base LEFT JOIN kept USING (rid)
+"""
