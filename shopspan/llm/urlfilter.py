@@ -37,18 +37,31 @@ HOST_RULES = (
     HostRule("example.net", "/en/", "allow"),
     HostRule("example.com", "/de/", "block"),
     HostRule("org", "/fr/", "block"),
+    HostRule("adult-x.example.net", "/", "block"),  # else the parent's /en/ would allow it
 )
 
+#: Whole words of a host name that tell advertising, gambling, drug, adult and spam hosts.
+BAD_HOST_WORDS = ("adserver", "ads", "adult", "bets", "betting", "casino", "escorts", "gambling", "phishing", "pills",
+                  "poker", "porn", "spam", "viagra", "warez", "xxx")
+
+
+def _host_word(word: str) -> PatternRule:
+    """Blocks hosts with the word between dots, hyphens or other marks; user names and ports are no part of it."""
+    return PatternRule(
+        rf"^[^:/?#]*://([^/?#]*@)?([^/?#@]*[^a-z0-9/?#@])?{word}([^a-z0-9/?#@][^/?#@]*)?([/?#]|$)", (word,), "block"
+    )
+
+
 PATTERN_RULES = (
-    PatternRule(r"^https?://(www[.])?ads[.]", ("ads",), "block"),
+    *map(_host_word, BAD_HOST_WORDS),
     PatternRule(r"/(wp-)?login([./?#]|$)", ("login",), "block"),
     PatternRule(r"/wp-admin/", ("wp", "admin"), "block"),
     PatternRule(r"[?&]sessionid=", ("sessionid",), "block"),
-    PatternRule(r"[?&]page=[0-9]+&ref=[a-z0-9]+$", ("page", "ref"), "block"),
+    PatternRule(r"/(go|out|away|redirect)([.][a-z]+)?/?[?]([^#]*&)?ref=", ("ref",), "block"),
+    PatternRule(r"/blog/([^?#]*/)?(trackback|comment-page-[0-9]+)([/?#]|$)", ("blog",), "block"),
     PatternRule(r"/checkout/cart([/?#]|$)", ("checkout", "cart"), "block"),
     PatternRule(r"/tag/[^/?#]+/feed([/?#]|$)", ("tag", "feed"), "block"),
     PatternRule(r"[.](exe|apk)[?]download=1", ("download", "1"), "block"),
-    PatternRule(r"^https?://blog[.][^/?#]*/en/[0-9]+[?]page=1&", ("blog", "en", "page", "1"), "allow"),
     PatternRule(r"/docs/[a-z]+/page=[0-9]+", ("docs", "page"), "allow"),
 )
 

@@ -46,3 +46,14 @@ def test_ties_no_rules_and_empty(spark):
     assert {r.verdict for r in judge_urls(pages, [], []).collect()} == {"allow"}
     assert {r.verdict for r in judge_urls(pages, [], [PatternRule("/c$", ("c",), "block")]).collect()} == {"block"}
     assert judge_urls(pages.limit(0)).count() == 0
+
+
+def test_bad_hosts_are_blocked_and_ordinary_ones_allowed(spark):
+    bad = ["m.casino-win.example.com/en/1", "free-bets.example.com/es/2#top", "m.ads-track.example.com/en/3?utm_source=feed",
+           "www.spam-farm.example.com/en/4.html", "www.cheap-pills.example.com", "BLOG.Adult-X.example.net/en/5", "ads.foo.com/",
+           "u:p@casino.foo.com:80/x", "foo.xxx?a"]
+    good = ["blog.tionsh.example.com/en/1?page=2&ref=x", "m.ththen.example.com/en/1?page=1&ref=x", "www.downloads-pads.example.com/en/2",
+            "ththan.example.com/casino/bets", "foo.com?ads", "casino@foo.com/", "ads:x@foo.com/", "spamalot.example.org/en/3"]
+    pages = spark.createDataFrame(list(enumerate("https://" + x for x in bad + good)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in judge_urls(pages).collect()}
+    assert [got[k] for k in range(len(got))] == ["block"] * len(bad) + ["allow"] * len(good)
