@@ -61,7 +61,7 @@ PATTERN_RULES = (
     PatternRule(r"/blog/([^?#]*/)?(trackback|comment-page-[0-9]+)([/?#]|$)", ("blog",), "block"),
     PatternRule(r"/checkout/cart([/?#]|$)", ("checkout", "cart"), "block"),
     PatternRule(r"/tag/[^/?#]+/feed([/?#]|$)", ("tag", "feed"), "block"),
-    PatternRule(r"[.](exe|apk)[?]download=1", ("download", "1"), "block"),
+    PatternRule(r"[.](exe|apk)[?]download=1", ("download",), "block"),
     PatternRule(r"/docs/[a-z]+/page=[0-9]+", ("docs", "page"), "allow"),
 )
 

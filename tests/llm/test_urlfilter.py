@@ -1,7 +1,7 @@
 import random
 import re
 
-from shopspan.llm.urlfilter import HOST_RULES, PATTERN_RULES, HostRule, PatternIndex, PatternRule, judge_urls
+from shopspan.llm.urlfilter import BAD_HOST_WORDS, HOST_RULES, PATTERN_RULES, HostRule, PatternIndex, PatternRule, judge_urls
 
 
 def brute(url):
@@ -57,3 +57,20 @@ def test_bad_hosts_are_blocked_and_ordinary_ones_allowed(spark):
     pages = spark.createDataFrame(list(enumerate("https://" + x for x in bad + good)), "page_id long, url string")
     got = {r.page_id: r.verdict for r in judge_urls(pages).collect()}
     assert [got[k] for k in range(len(got))] == ["block"] * len(bad) + ["allow"] * len(good)
+
+
+def test_verdicts_do_not_hang_on_the_rarest_token():
+    rng = random.Random(4)
+    literals = [re.sub(r"[^a-z0-9]", "", w) for r in PATTERN_RULES for w in re.findall(r"[a-z]{2,}", r.pattern)]
+    urls = ["http://x.com/a.exe?download=12", "http://x.com/a.apk?download=1a", "http://x.com/a.exe?download=1&b", "http://a.com/wp-login.php",
+            "http://a.com/wp-admin/x", "http://a.com/?sessionid=1", "http://a.com/go?x=1&ref=b", "http://a.com/out.php?ref=", "http://a.com/blog/x/trackback",
+            "http://a.com/blog/comment-page-2", "http://a.com/checkout/cart?x", "http://a.com/tag/x/feed", "http://a.com/docs/ab/page=12"]
+    urls += [f"http://a.{w}-b.com/" for w in BAD_HOST_WORDS] + [f"u@{w}:8" for w in BAD_HOST_WORDS] + [f"https://u:p@{w}" for w in BAD_HOST_WORDS]
+    urls += ["".join(rng.choice([*literals, *"/?&=.-@:#1a", "://", "http://"]) for _ in range(rng.randint(2, 14))) for _ in range(20_000)]
+    for rule in PATTERN_RULES:
+        fitting = [u for u in urls if re.search(rule.pattern, u)]
+        assert fitting, rule
+        for token in rule.tokens:
+            index = PatternIndex([rule._replace(verdict="block")], {t: 2 - (t == token) for t in rule.tokens})
+            assert list(index.rules) == [token]
+            assert [u for u in fitting if index.verdict(u) != "block"] == []
