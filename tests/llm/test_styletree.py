@@ -65,3 +65,18 @@ def test_pages(spark, with_clashes):
     )
     assert all(r.n_chars == len(r.text) for r in got)
     assert styletree.extract_pages(pages.limit(0)).count() == 0
+
+
+def texts_of(spark, bodies, host="a.com"):
+    pages = spark.createDataFrame([(k, f"http://{host}/{k}", b) for k, b in enumerate(bodies)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in styletree.extract_pages(pages).collect()}
+
+
+def test_tree_alone_decides_on_pages_with_an_article(spark):
+    for tag in ("article", "main"):
+        got = texts_of(spark, [
+            f"<body><div class='lead'><p>Lead {k}</p></div><div class='strip'>Same</div><{tag}><h1>Head {k}</h1><p>Text {k}</p>"
+            f"<div class='box'><p>Join our list</p></div><div class='body'><p>More {k}</p></div></{tag}></body>" for k in range(60)])
+        assert got == {k: f"Lead {k}\n\nHead {k}\n\nText {k}\n\nMore {k}" for k in range(60)}
+    copies = texts_of(spark, ["<nav>Menu</nav><article><h1>H</h1><p>All the same</p></article>"] * 60)
+    assert set(copies.values()) == {"H\n\nAll the same"}
