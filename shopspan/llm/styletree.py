@@ -67,18 +67,24 @@ CONTENT, DOUBTED, BESIDE, CLOSED = 0, 1, 2, 3
 IN_MAIN, IN_ARTICLE = 1, 2
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])([^\s\"'=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _PART = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def _names(attributes: str, name: str, main: int) -> list[list[str]]:
-    """Words of every class, id and role."""
+    """Words of every class, id and role; ids of headings, and of sections in an article, are anchors and no names."""
     if "=" not in attributes:
         return []
-    values = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).split()
-    return [_PART.findall(_CAMEL.sub(" ", x).lower()) for x in values]
+    out = []
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), a or b or c
+        if key == "id" and (name in HEADINGS or name == "section" and main and value.lower() not in COMMENT_IDS):
+            continue
+        if key in ("class", "id", "role"):
+            out += [_PART.findall(_CAMEL.sub(" ", x).lower()) for x in value.split()]
+    return out
 
 
 def _place(name: str, names: list[list[str]], beside: int, main: int) -> int:

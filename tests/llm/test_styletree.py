@@ -80,3 +80,17 @@ def test_tree_alone_decides_on_pages_with_an_article(spark):
         assert got == {k: f"Lead {k}\n\nHead {k}\n\nText {k}\n\nMore {k}" for k in range(60)}
     copies = texts_of(spark, ["<nav>Menu</nav><article><h1>H</h1><p>All the same</p></article>"] * 60)
     assert set(copies.values()) == {"H\n\nAll the same"}
+
+
+def test_names_are_a_prior(spark):
+    kept = ("<section id='discussion'><p>D</p></section><h2 id='related-work'>R</h2><h2 id='search-algorithms'>S</h2>"
+            "<section id='form-validation'><p>F</p></section><div data-id='comments' data-role='form' title='x class=ad'>N</div>")
+    assert main_text(f"<article><p>T</p>{kept}</article>") == "T\n\nD\n\nR\n\nS\n\nF\n\nN"
+    inside = "<article class='post has-comments'><p>T</p><div class='ad'>Buy</div></article>"
+    for wrapper in ("div class='page-with-comments'", "div class='social'", "div class='ad-free'", "form action='x'", "div id='search'"):
+        assert main_text(f"<body><{wrapper}>{inside}</{wrapper.split()[0]}></body>") == "T", wrapper
+    for wrapper in ("nav", "aside", "footer", "div class='comments'", "div id='comment-list'"):
+        assert main_text(f"<{wrapper}>{inside}</{wrapper.split()[0]}><p>x</p>") == "x", wrapper
+    got = texts_of(spark, [f"<article><p>T {k}</p><div class='notice'>Note {k}</div><div class='related'>Same links</div>"
+                           f"<div class='ad'>Buy {k}</div><div class='comments'>C {k}</div></article>" for k in range(20)])
+    assert got == {k: f"T {k}\n\nNote {k}" for k in range(20)}
