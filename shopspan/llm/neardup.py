@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopspan.llm.components import connected_components
+from shopspan.llm.substring import text_key
 from shopspan.llm.words import LOWER, Sequences, as_long, find_words, lists, mix, signed, text_blocks, word_hashes
 from shopspan.sources.staging import staged
 
@@ -68,7 +69,7 @@ def signatures(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _sketch(size: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()),
                         ("key2", pa.int64()), ("values", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -82,7 +83,7 @@ def _sketch(size: int):
                 keys[1, full] = np.add.reduceat(mix(sets * _SECOND), starts)
             values = signatures(sets, n)
             yield pa.RecordBatch.from_arrays(
-                [as_long(rows.column("doc_id")), pa.array(n.astype(np.int64)), pa.array(signed(keys[0])),
+                [as_long(rows.column("doc_id")), rows.column("text_key"), pa.array(n.astype(np.int64)), pa.array(signed(keys[0])),
                  pa.array(signed(keys[1])), lists(values.ravel(), np.where(full, values.shape[1], 0))],
                 schema=schema)
 
@@ -153,72 +154,107 @@ def _linker(size: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Classes of documents linked by shingle sets with a Jaccard similarity of ``percent`` or more.
-
-    ``docs`` needs doc_id and text; other columns are not read. Returns, for every row,
-    doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included) and kept
-    (doc_id is that smallest one). Words are lower-cased in A-Z. A text with fewer words than a shingle
-    is one shingle; null, empty and blank texts have none and stay alone. Rows that repeat an id get the
-    same component and are kept or dropped together. A null doc_id never names a component: the row joins
-    that of its equals with ids (not kept) or stays alone (kept, component_id null). Ties do not arise:
-    the smallest id decides. An empty table gives an empty result.
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, each with a ``row`` number, and the classes of texts with equal shingle sets.
 
-    Scale: texts with equal sets collapse before any pair is formed, each remaining one emits 32 to 42 band
-    rows, and a band's documents link to its smallest id, so candidates grow with documents, never with pairs.
-    Groups are compared in tasks of bounded size that return only a spanning forest of confirmed links.
-    A pair at exactly 85 % shares no band with probability (1 - 0.85^8)^32, about 4e-5 (at 90 %: 1e-8); for
-    80 % bands are narrower: (1 - 0.8^6)^42, about 3e-6.
+    A class has its key1, key2, n_shingles; its component's first row is ``first_row``, whose doc_id is
+    ``component_id``. Rows with an id come before rows without, smaller ids, then smaller text keys first.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = staged(
-        rows.mapInArrow(_sketch(words), "doc_id long, n_shingles long, key1 long, key2 long, values array<long>"),
-        "minmax",
-    )
-    # Staged, as below, so that joins with it read plain shuffles, whose hot keys (exact copies) Spark can split.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key())
+    sketches = staged(rows.mapInArrow(_sketch(words), (
+        "doc_id long, text_key long, n_shingles long, key1 long, key2 long, values array<long>"
+    )).withColumn("row", F.monotonically_increasing_id()), "minmax")
+    keys = ["key1", "key2", "n_shingles"]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key", "row")).alias("first")
+    # Sorted, so that the smallest node of a component is its first class. Staged, as below, so that joins with it read
+    # plain shuffles, whose hot keys (exact copies) Spark can split.
     equal = staged(
-        sketches.where("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(F.min("doc_id").alias("node")), "sets"
+        sketches.where("n_shingles > 0").groupBy(*keys).agg(first).select(*keys, "first.*")
+        .orderBy("nameless", "doc_id", "text_key").drop("nameless").withColumn("node", F.monotonically_increasing_id()),
+        "sets",
     )
     firsts = (
-        sketches.where("n_shingles > 0")
-        .join(equal.where("node is not null"), ["key1", "key2", "n_shingles"])
-        .where("doc_id = node").select("node", "n_shingles", "values")
+        sketches.where("n_shingles > 0").select(*keys, "row", "values")
+        .join(equal.select(*keys, "node", F.col("row").alias("first_row")), keys)
+        .where("row = first_row").select("node", "n_shingles", "values")
     )
     shared = firsts.select("node", F.posexplode(F.array(*_band_keys(band_width(percent)))).alias("band", "value"))
     heads = shared.groupBy("band", "value").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     candidates = shared.join(heads, ["band", "value"]).select("a", F.col("node").alias("b"))
-    groups = staged(
-        connected_components(candidates).join(firsts.dropDuplicates(["node"]), "node"), "groups"
-    )
+    groups = staged(connected_components(candidates).join(firsts, "node"), "groups")
     sizes = groups.groupBy("component").agg(
         F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
+    wanted = groups.select("node").join(equal, "node").select(
+        "node", F.col("doc_id").alias("first_id"), F.col("text_key").alias("first_key")
+    )
+    # A row that stands in the table more than once gives its text once.
+    texts = (
+        rows.join(wanted, (rows.text_key == wanted.first_key) & rows.doc_id.eqNullSafe(wanted.first_id))
+        .select("node", "text").dropDuplicates(["node"])
+    )
     members = (
         groups.join(sizes, "component")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .join(rows.withColumnRenamed("doc_id", "node"), "node")
+        .join(texts, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                 "block", "node", "values", "text")
     )
     links = members.groupBy("component", "i", "j").applyInArrow(_linker(words, percent), "a long, b long")
-    labels = connected_components(links)
-    classes = staged(equal.join(labels, "node", "left").select(
-        "key1", "key2", "n_shingles", F.coalesce("component", "node").alias("component_id")
+    leaders = equal.select(F.col("node").alias("component"), F.struct("doc_id", "row").alias("leader"))
+    led = connected_components(links).join(leaders, "component").select("node", "leader")
+    leader = F.coalesce("leader", F.struct("doc_id", "row"))
+    return sketches, staged(equal.join(led, "node", "left").select(
+        *keys, leader["doc_id"].alias("component_id"), leader["row"].alias("first_row")
     ), "classes")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Classes of documents linked by shingle sets with a Jaccard similarity of ``percent`` or more.
+
+    ``docs`` needs doc_id and text; other columns are not read. Returns, for every row,
+    doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included) and kept
+    (doc_id is that smallest one). Words are lower-cased in A-Z. A text with fewer words than a shingle
+    is one shingle; null, empty and blank texts have none and stay alone. Rows are judged by their texts: those
+    that repeat an id with another text may be in another class. A null doc_id never names a component: the
+    row joins that of its equals and near copies with ids (not kept); of a component without any id, whose
+    component_id is null, one row is kept. Ties do not arise: the smallest id decides. An empty table gives an
+    empty result.
+
+    Scale: texts with equal sets collapse before any pair is formed, each remaining one emits 32 to 42 band
+    rows, and a band's documents link to its smallest node, so candidates grow with documents, never with pairs.
+    Groups are compared in tasks of bounded size that return only a spanning forest of confirmed links.
+    A pair at exactly 85 % shares no band with probability (1 - 0.85^8)^32, about 4e-5 (at 90 %: 1e-8); for
+    80 % bands are narrower: (1 - 0.8^6)^42, about 3e-6.
+    """
+    sketches, classes = _classes(docs, words, percent)
     return (
         sketches.join(classes, ["key1", "key2", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.expr("doc_id <=> component_id"))
+        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        .withColumn("kept", F.expr("doc_id <=> component_id and (doc_id is not null or row = coalesce(first_row, row))"))
+        .select("doc_id", "n_shingles", "component_id", "kept")
     )
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the first document of every class; a repeated id stays once, rows without id as they are."""
-    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null")
-    ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """``docs`` with the first row of every component, rows without id included.
+
+    Rows with an id come first, the smallest id of all. Texts without words stay; a row that repeats an id with the
+    same text stays once, and one that repeats it with another text is judged by that text.
+    """
+    sketches, classes = _classes(docs, words, percent)
+    kept = (
+        sketches.where("n_shingles > 0").join(classes, ["key1", "key2", "n_shingles"]).where("row = first_row")
+        .select("doc_id", "text_key")
+        .unionByName(sketches.where("n_shingles = 0 and doc_id is not null").select("doc_id", "text_key").distinct())
+        .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    )
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (text_key() == kept["kept_key"])
+    blank = ~F.coalesce(docs["text"], F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(
+        docs.where(docs["doc_id"].isNull() & blank)
+    )
 
 
 #: The query with three words and 85 %: sets of shingles, links by counting, closure of the links.

@@ -92,3 +92,16 @@ def test_band_width_and_keys(spark):
         got = np.array(row.select(F.array(*neardup._band_keys(width)).alias("k")).first().k, dtype=np.int64).view(np.uint64)
         want = [int.from_bytes(raw[a:a + width].tobytes(), "little") for a in range(0, neardup.VALUES - width + 1, width)]
         assert got.tolist() == want
+
+
+def test_rows_without_id_keep_one_of_each_class(spark, prose):
+    a, b, c = prose(71, 120), prose(72, 120), prose(73, 120)
+    near = b.split()
+    near[60] = "changed"
+    rows = [(7, a), (None, a), (None, b), (None, b), (None, " ".join(near)), (None, c), (None, None), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in without_near_duplicates(docs).collect()]
+    assert len(kept) == 5 and {(7, a), (None, c), (None, None), (None, " ")} <= set(kept)
+    assert len({b, " ".join(near)} & {t for _, t in kept}) == 1
+    got = [(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()]
+    assert sorted(got, key=repr) == sorted([(7, 7, True), (None, 7, False), *[(None, None, False)] * 2, *[(None, None, True)] * 4], key=repr)

@@ -76,3 +76,13 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd_docs, folder):
         if name != "packing":
             assert docs.columns == empty.columns == odd_docs.columns
     assert docs.count() > 0
+
+
+def test_a_copy_without_id_leaves_the_text(spark, odd_docs, folder):
+    docs, copy = odd_docs, odd_docs.where("doc_id = 7").first().text
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder[0])
+    assert [(r.doc_id, r.text) for r in docs.where("doc_id = 7 or doc_id is null").collect() if r.text in ("", copy)] == [(7, copy)]
+    ids = [i for r in sorted(corpus_pipeline.packing(spark, docs, folder[0]).where("doc_id = 7").collect(), key=lambda r: r.piece) for i in r.ids]
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert ids == tokens.encode(copy, add_special_tokens=False).ids + [0]
