@@ -105,3 +105,12 @@ def test_rows_without_id_keep_one_of_each_class(spark, prose):
     assert len({b, " ".join(near)} & {t for _, t in kept}) == 1
     got = [(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()]
     assert sorted(got, key=repr) == sorted([(7, 7, True), (None, 7, False), *[(None, None, False)] * 2, *[(None, None, True)] * 4], key=repr)
+
+
+def test_texts_of_a_repeated_id_are_judged_on_their_own(spark, prose):
+    a, b, c = prose(81, 120), prose(82, 120), prose(83, 120)
+    rows = [(1, a), (5, a), (5, b), (5, b), (9, b + " end"), (9, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in without_near_duplicates(docs).collect()) == sorted([(1, a), (5, b), (9, c)])
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (5, 1, False), (5, 5, True), (5, 5, True), (9, 5, False), (9, 9, True)]
