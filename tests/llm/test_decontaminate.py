@@ -118,3 +118,24 @@ def test_odd_rows(spark, odd_docs):
     assert d.contaminated(odd_docs, bench.limit(0)).count() == 0
     assert d.contaminated(odd_docs.limit(0), bench).count() == 0
     assert d.decontaminated(odd_docs, bench.limit(0)).count() == odd_docs.count()
+
+
+def test_recall_of_walks_with_edits_at_every_position():
+    """A passage whose first word is edited is found from a later word of the item."""
+    rng = random.Random(2)
+    for n in (10, 20, 40):
+        found = 0
+        for k in range(60):
+            a = words(n, k).astype(np.uint64).tolist()
+            b = list(a)
+            for _ in range(d.edits_allowed(n)):
+                p = rng.randrange(len(b))
+                b[p:p + rng.randrange(2)] = words(rng.randrange(2), 5000 + k).astype(np.uint64).tolist()
+            text = np.array(a + b + words(30, k + 9).astype(np.uint64).tolist(), dtype=np.uint64)
+            w, first = d.with_pads(text, np.array([0, n, len(text)]))
+            later = [first[1] + j for j in range(d.edits_allowed(n) + 1) if b[j] in a]
+            starts = np.array([first[0], *later])
+            lows = d.size_classes(n + 1)
+            keys = d.walk_keys(w, starts, np.full(len(starts), np.searchsorted(lows, n, "right") - 1), lows)
+            found += bool((keys[1:] == keys[0]).any())
+        assert found >= 0.9 * 60
