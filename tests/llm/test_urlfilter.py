@@ -1,7 +1,11 @@
 import random
 import re
 
-from shopspan.llm.urlfilter import BAD_HOST_WORDS, HOST_RULES, PATTERN_RULES, HostRule, PatternIndex, PatternRule, judge_urls
+import pytest
+
+from shopspan.llm.urlfilter import BAD_HOST_WORDS, HOST_RULES, PATTERN_RULES, HostRule, PatternIndex, PatternRule, judge_urls, rules_from
+
+DEALT = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def brute(url):
@@ -10,7 +14,7 @@ def brute(url):
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host):])[0]
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
-    fits = [r for r in HOST_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    fits = [r for r in map(HostRule._make, DEALT) if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     if fits:
         rule = max(fits, key=lambda r: len(r.name))
         return host, path, rule.name, rule.verdict
@@ -50,7 +54,7 @@ def test_ties_no_rules_and_empty(spark):
 
 def test_bad_hosts_are_blocked_and_ordinary_ones_allowed(spark):
     bad = ["m.casino-win.example.com/en/1", "free-bets.example.com/es/2#top", "m.ads-track.example.com/en/3?utm_source=feed",
-           "www.spam-farm.example.com/en/4.html", "www.cheap-pills.example.com", "BLOG.Adult-X.example.net/en/5", "ads.foo.com/",
+           "www.spam-farm.example.com/en/4.html", "www.cheap-pills.example.com", "BLOG.Adult-X.example.com/en/5", "ads.foo.com/",
            "u:p@casino.foo.com:80/x", "foo.xxx?a"]
     good = ["blog.tionsh.example.com/en/1?page=2&ref=x", "m.ththen.example.com/en/1?page=1&ref=x", "www.downloads-pads.example.com/en/2",
             "ththan.example.com/casino/bets", "foo.com?ads", "casino@foo.com/", "ads:x@foo.com/", "spamalot.example.org/en/3"]
@@ -74,3 +78,42 @@ def test_verdicts_do_not_hang_on_the_rarest_token():
             index = PatternIndex([rule._replace(verdict="block")], {t: 2 - (t == token) for t in rule.tokens})
             assert list(index.rules) == [token]
             assert [u for u in fitting if index.verdict(u) != "block"] == []
+
+
+def test_the_four_host_rules(spark):
+    assert [tuple(r) for r in HOST_RULES] == DEALT
+    want = [
+        ("http://a.net/x", "net/", "block"), ("https://NET/en/", "net/", "block"), ("http://example.net/de/", "net/", "block"),
+        ("http://example.net/en/1", "example.net/en/", "allow"), ("http://adult-x.example.net/en/5", "example.net/en/", "allow"),
+        ("http://adult-x.example.net/x", "net/", "block"), ("http://m.example.com/de/x", "example.com/de/", "block"),
+        ("http://example.com/de", None, "allow"), ("http://a.org/fr/", "org/fr/", "allow"), ("http://casino.a.org/fr/1", "org/fr/", "allow"),
+        ("http://casino.a.org/en/1", None, "block"), ("http://a.org/fra/", None, "allow"), ("http://anet/x", None, "allow"),
+    ]
+    pages = spark.createDataFrame(list(enumerate(u for u, _, _ in want)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages).collect()}
+    assert [got[k] for k in range(len(want))] == [w[1:] for w in want]
+
+
+def test_ten_thousand_rules_of_a_table(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6000)]
+    rules = []
+    for _ in range(10_000):
+        a, b = rng.choice(words), rng.choice(words[:50])
+        rules.append((rf"/{b}/([^?#]*/)?{a}([/?#]|$)", [a, b], rng.choice(["block", "block", "allow"])))
+    loaded = rules_from(spark.createDataFrame(rules, "pattern string, tokens array<string>, verdict string"))
+    assert len(loaded) == 10_000
+    urls = []
+    for p, (a, b), _ in rng.sample(rules, 300):
+        urls += [f"http://x.org/{b}/{a}", f"http://x.org/{b}/y/{a}?z", f"http://x.org/{a}/{b}", f"http://x.org/{b}/{a}x/{rng.choice(words)}"]
+    counts = {b: 1000 for b in words[:50]}
+    index = PatternIndex(loaded, counts)
+    compiled = [(re.compile(p), v) for p, _, v in rules]
+    for url in urls[:400]:
+        hits = {v for p, v in compiled if p.search(url)}
+        assert index.verdict(url) == ("allow" if "allow" in hits else "block" if hits else "allow"), url
+    assert index.runs < 5 * 400  # of 4,000,000 that all rules on all URLs would take
+    with pytest.raises(ValueError):
+        rules_from(spark.createDataFrame([("/a", [], "block")], "pattern string, tokens array<string>, verdict string"))
+    with pytest.raises(ValueError):
+        rules_from(spark.createDataFrame([("/a", ["a"], "maybe")], "pattern string, tokens array<string>, verdict string"))
