@@ -36,8 +36,8 @@ class Encoder:
     """Ids of ``tokenizers`` for a vocabulary file.
 
     Plain byte-level vocabularies, whose ids stand in merge order, run through the merge loop of tiktoken,
-    which gives the same ids in a third of the time; other files, and texts that contain the string of an
-    added token, go through ``tokenizers`` itself.
+    which gives the same ids in a third of the time; other files, texts that contain the string of an added
+    token, and single texts whose white space is too long for the loop's pattern go through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -69,7 +69,10 @@ class Encoder:
             return np.zeros(0, dtype="<u4")
         if self.fast is None or any(t in text for t in self.added):
             return np.array(self.reference.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=())
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        except ValueError:  # the split pattern's look-ahead gives up on very long white space
+            return np.array(self.reference.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 @lru_cache(maxsize=2)

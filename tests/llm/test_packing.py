@@ -60,6 +60,19 @@ def test_ids_equal_the_tokenizer(reference, text):
     assert encode.ids(text).tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    " " * 2_000_000, "\n" * 2_000_000, "a" + " \n\t" * 700_000 + "b c", "x " + "\r\n" * 1_000_000, "\u3000" * 1_000_000 + "é", "ab" * 300_000,
+])
+def test_very_long_runs_equal_the_tokenizer(reference, text):
+    assert np.array_equal(Encoder(PATH).ids(text), reference.encode(text, add_special_tokens=False).ids)
+
+
+def test_long_white_space_is_packed(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, " " * 2_000_000), (3, None)], "doc_id long, text string").coalesce(1)
+    got = pack(docs, PATH, with_ids=False).groupBy("doc_id").sum("length").collect()
+    assert {r.doc_id for r in got} == {1, 2, 3}
+
+
 def test_other_vocabularies_use_the_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
     encode = Encoder(path)
