@@ -10,6 +10,7 @@ from shopspan.llm import chat, gam, hostquality, language, neardup, styletree, s
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
+from shopspan.llm.tiers import pack_tiers
 
 REGISTRY: dict = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +96,8 @@ def op7_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_style_tree_text(spark: SparkSession, folder: str) -> DataFrame:
     return styletree.extract_pages(table(spark, folder, "pages"))
+
+
+@query
+def op13_tiered_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_tiers(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
