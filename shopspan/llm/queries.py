@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
-from shopspan.llm import chat, gam, hostquality, language, neardup, styletree, substring, urlfilter
+from shopspan.llm import chat, gam, hostquality, importance, language, neardup, styletree, substring, urlfilter
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -101,3 +101,11 @@ def op8_style_tree_text(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_tiered_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_tiers(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op11_importance_resampling"] = importance.ORACLE_SQL
