@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopspan.llm.decontaminate import contaminated
-from shopspan.llm import chat, gam, hostquality, importance, language, neardup, styletree, substring, urlfilter
+from shopspan.llm import chat, divergence, gam, hostquality, importance, language, neardup, styletree, substring, urlfilter
 from shopspan.llm.neardup import near_duplicates
 from shopspan.llm.packing import pack
 from shopspan.llm.substring import repeated_passages
@@ -109,3 +109,11 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op11_importance_resampling"] = importance.ORACLE_SQL
+
+
+@query
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+ORACLE["op12_source_divergence"] = divergence.ORACLE_SQL
