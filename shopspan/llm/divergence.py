@@ -10,35 +10,60 @@ terms as if both lacked them, plus what each source's own terms change, plus wha
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopspan.sources.staging import staged
+from shopspan.llm.importance import words_of
+from shopspan.llm.words import lists, signed, text_blocks, word_hashes
+from shopspan.sources.staging import new_staging_path, staged
 
 LEAST_DOCUMENTS = 10
 #: The largest integer: a vectorizer drops no term for want of room.
 VOCABULARY = 2**31 - 1
 #: A vocabulary passes the driver and is broadcast, so a vectorizer gets at most about as many distinct terms; a language with more is
 #: dealt to several by the hash of the term.
-TERMS_AT_ONCE = 4_000_000
+TERMS_AT_ONCE = 2_000_000
 TOP = 10
 _SCALE = 1_000_000_000
 #: Stands in every document, so that no fit is without a vocabulary. No term holds a space.
 _ALWAYS = " "
 
 
-def terms_of(text: Column) -> Column:
-    """Runs of letters A-Z, lower-cased, a-z, and characters outside ASCII."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(low, F.lit(r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"), 1)
+#: Of all different terms, one in so many, picked by its hash, is counted exactly to tell how many there are.
+_PICK = 512
+#: Folders over which languages are dealt, so that a fit reads little but its own language.
+_FOLDERS = 16
+
+_LETTERS = np.zeros(256, dtype=bool)
+_LETTERS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
+def _tokens(batches):
+    """Runs of letters A-Z, lower-cased, a-z, and characters outside ASCII; and the hashes of the picked ones."""
+    for rows, data, offsets in text_blocks(batches, "text"):
+        data, words = words_of(data, offsets, _LETTERS)
+        ends = np.zeros(len(words.start) + 1, dtype=np.int32)
+        np.cumsum(words.length, out=ends[1:])
+        # The words are all there is between the other bytes, one after the other.
+        letters = np.ascontiguousarray(data[_LETTERS[data]])
+        terms = pa.StringArray.from_buffers(len(words.start), pa.py_buffer(ends), pa.py_buffer(letters))
+        hashes = word_hashes(data, words)
+        at = np.flatnonzero(hashes % np.uint64(_PICK) == 0)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("lang"), rows.column("source"), lists(terms, words.counts),
+             lists(signed(hashes[at]), np.diff(np.searchsorted(at, words.first)))],
+            ["lang", "source", "terms", "picked"],
+        )
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(1e9 (count + 2) / (total + 2 terms)), exact for every count."""
-    return F.expr("1") + F.call_function(
-        "div", (count + 2).cast("decimal(20,0)") * F.lit(_SCALE).cast("decimal(10,0)"), (total + 2 * terms).cast("decimal(20,0)")
-    )
+    """1 + floor(1e9 (count + 2) / (total + 2 terms)), exact for every count; only counts beyond 8e9 need decimals."""
+    places = total + 2 * terms
+    large = F.call_function("div", (count + 2).cast("decimal(20,0)") * F.lit(_SCALE).cast("decimal(10,0)"), places.cast("decimal(20,0)"))
+    return 1 + F.when(count < 8_000_000_000, F.call_function("div", (count + 2) * F.lit(_SCALE).cast("long"), places)).otherwise(large)
 
 
 def _apart(p: Column, q: Column) -> Column:
@@ -51,18 +76,23 @@ def source_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, terms
     spark = docs.sparkSession
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     # Tokens are written once: every language is fitted and transformed from them.
-    rows = staged(texts.select("lang", "source", terms_of(F.col("text")).alias("terms")), "terms")
+    path = new_staging_path(spark, "terms")
+    folder = F.pmod(F.xxhash64("lang"), F.lit(_FOLDERS)).cast("int")
+    texts.mapInArrow(_tokens, "lang string, source string, terms array<string>, picked array<long>").withColumn(
+        "folder", folder
+    ).write.partitionBy("folder").parquet(path)
+    rows = spark.read.schema("lang string, source string, terms array<string>, picked array<long>, folder int").parquet(path)
     groups = staged(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents")), "groups")
     distinct = {
-        r.lang: r.n for r in rows.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
+        r.lang: r.n * _PICK for r in rows.select("lang", F.explode_outer("picked").alias("term"))
         .groupBy("lang").agg(F.approx_count_distinct("term").alias("n")).collect()
     }
     parts = []
     for r in groups.groupBy("lang").agg(F.sum("documents").alias("documents")).orderBy("lang").collect():
-        if r.documents < least_documents or r.lang not in distinct:
+        if r.documents < least_documents:
             continue
-        of_lang = rows.where(F.col("lang") == r.lang)
-        shards = -(-distinct[r.lang] // terms_at_once)
+        of_lang = rows.where((F.col("folder") == F.pmod(F.xxhash64(F.lit(r.lang)), F.lit(_FOLDERS)).cast("int")) & (F.col("lang") == r.lang))
+        shards = max(-(-distinct[r.lang] // terms_at_once), 1)
         for shard in range(shards):
             mine = F.col("terms") if shards == 1 else F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == shard)
             one = of_lang.select("source", F.concat(F.array(F.lit(_ALWAYS)), mine).alias("terms"))
@@ -71,10 +101,10 @@ def source_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, terms
             ).fit(one)
             vocabulary = spark.createDataFrame(list(enumerate(model.vocabulary)), "at int, term string").where(F.col("term") != _ALWAYS)
             vector = F.unwrap_udt("vector")
-            entries = model.transform(one).select(
-                "source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("entry")
-            )
-            summed = entries.groupBy("source", "entry.at").agg(F.sum("entry.n").cast("long").alias("n"))
+            entries = model.transform(one).select("source", vector["indices"].alias("at"), vector["values"].alias("n")).select(
+                "source", "at", F.posexplode("n").alias("k", "n")
+            ).select("source", F.col("at")[F.col("k")].alias("at"), "n")
+            summed = entries.groupBy("source", "at").agg(F.sum("n").cast("long").alias("n"))
             parts.append(staged(
                 summed.join(vocabulary, "at").select(F.lit(r.lang).alias("lang"), "source", "term", "n"), "counts"
             ))
@@ -95,7 +125,7 @@ def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int
     by item in UTF-8 order. Repeated rows count as often as they stand there. A language with one source has no pairs; one with
     fewer documents than ``least_documents`` keeps no term. An empty table gives an empty result.
 
-    Scale: documents are read once and their tokens staged. Entries are summed per task before they are shuffled, so a hot source
+    Scale: documents are read once and their tokens staged, by language. Entries are summed per task before they are shuffled, so a hot source
     or term costs one row a task. What passes the driver is one vocabulary of about ``terms_at_once`` terms at most. The join on terms pairs sources, not
     documents: a term meets at most as many pairs as the result has.
     """

@@ -42,10 +42,10 @@ _T = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(25
 _LONG_WORD = 256
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, Words]:
-    """The lower-cased bytes of a block and its words."""
+def words_of(data: np.ndarray, offsets: np.ndarray, of_words: np.ndarray = _INSIDE) -> tuple[np.ndarray, Words]:
+    """The lower-cased bytes of a block and its words, runs of the bytes ``of_words``."""
     data = LOWER[data]
-    inside = _INSIDE[data]
+    inside = of_words[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
