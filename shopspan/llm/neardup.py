@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopspan.llm.components import connected_components
+from shopspan.llm.membership import may_be_in
 from shopspan.llm.substring import text_key
 from shopspan.llm.words import LOWER, Sequences, as_long, find_words, lists, mix, signed, text_blocks, word_hashes
 from shopspan.sources.staging import staged
@@ -178,9 +179,11 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         .join(equal.select(*keys, "node", F.col("row").alias("first_row")), keys)
         .where("row = first_row").select("node", "n_shingles", "values")
     )
-    shared = firsts.select("node", F.posexplode(F.array(*_band_keys(band_width(percent)))).alias("band", "value"))
-    heads = shared.groupBy("band", "value").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    candidates = shared.join(heads, ["band", "value"]).select("a", F.col("node").alias("b"))
+    # One number stands for a band's place and value: where two of them collide, the sets are compared in vain.
+    bands = [F.xxhash64(F.lit(k), key) for k, key in enumerate(_band_keys(band_width(percent)))]
+    shared = firsts.select("node", F.explode(F.array(*bands)).alias("band"))
+    heads = shared.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    candidates = shared.join(heads.select("band", "a"), "band").select("a", F.col("node").alias("b"))
     groups = staged(connected_components(candidates).join(firsts, "node"), "groups")
     sizes = groups.groupBy("component").agg(
         F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks")
@@ -188,9 +191,10 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     wanted = groups.select("node").join(equal, "node").select(
         "node", F.col("doc_id").alias("first_id"), F.col("text_key").alias("first_key")
     )
-    # A row that stands in the table more than once gives its text once.
+    # Only texts of groups are dealt, but for a few that the filter cannot tell from them. A row that stands in the table
+    # more than once gives its text once.
     texts = (
-        rows.join(wanted, (rows.text_key == wanted.first_key) & rows.doc_id.eqNullSafe(wanted.first_id))
+        rows.where(may_be_in(wanted.select("first_key"))(F.col("text_key"))).join(wanted, (rows.text_key == wanted.first_key) & rows.doc_id.eqNullSafe(wanted.first_id))
         .select("node", "text").dropDuplicates(["node"])
     )
     members = (
@@ -202,11 +206,12 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
                 "block", "node", "values", "text")
     )
     links = members.groupBy("component", "i", "j").applyInArrow(_linker(words, percent), "a long, b long")
-    leaders = equal.select(F.col("node").alias("component"), F.struct("doc_id", "row").alias("leader"))
+    own = F.struct("doc_id", "row", "text_key")
+    leaders = equal.select(F.col("node").alias("component"), own.alias("leader"))
     led = connected_components(links).join(leaders, "component").select("node", "leader")
-    leader = F.coalesce("leader", F.struct("doc_id", "row"))
+    leader = F.coalesce("leader", own)
     return sketches, staged(equal.join(led, "node", "left").select(
-        *keys, leader["doc_id"].alias("component_id"), leader["row"].alias("first_row")
+        *keys, leader["doc_id"].alias("component_id"), leader["row"].alias("first_row"), leader["text_key"].alias("first_key")
     ), "classes")
 
 
@@ -244,17 +249,38 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     same text stays once, and one that repeats it with another text is judged by that text.
     """
     sketches, classes = _classes(docs, words, percent)
-    kept = (
-        sketches.where("n_shingles > 0").join(classes, ["key1", "key2", "n_shingles"]).where("row = first_row")
-        .select("doc_id", "text_key")
-        .unionByName(sketches.where("n_shingles = 0 and doc_id is not null").select("doc_id", "text_key").distinct())
-        .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-    )
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (text_key() == kept["kept_key"])
-    blank = ~F.coalesce(docs["text"], F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(
-        docs.where(docs["doc_id"].isNull() & blank)
+    key = ["kept_id", "kept_null", "kept_key"]
+    named = [F.coalesce("doc_id", F.lit(0)).alias(key[0]), F.col("doc_id").isNull().alias(key[1]), F.col("text_key").alias(key[2])]
+    blank = sketches.where("n_shingles = 0").select(*named).distinct()
+    first = classes.select(
+        F.coalesce("component_id", F.lit(0)).alias(key[0]), F.col("component_id").isNull().alias(key[1]), F.col("first_key").alias(key[2])
+    ).distinct()
+    # Blank rows without id all stay; of others only one row of an id and text.
+    several = sketches.where("n_shingles > 0 or doc_id is not null").select(*named).groupBy(*key).count().where("count > 1").drop("count")
+    kept = staged(first.unionByName(blank).join(several.withColumn("several", F.lit(True)), key, "left"), "kept")
+    # Rows whose text is no one's copy stay where they are; only the others, which may go, are dealt by their key.
+    suspects = sketches.select(*named).join(kept.where("several is null"), key, "left_anti").select("kept_key")
+    suspect = may_be_in(suspects)(text_key())
+    place = _unused(docs, "key")
+    rows = docs.where(suspect).withColumn(place, F.struct(
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("id"), docs["doc_id"].isNull().alias("null"), text_key().alias("text")
+    ))
+    joined = lambda of: rows.join(
+        of.select(F.struct(F.col(key[0]).alias("id"), F.col(key[1]).alias("null"), F.col(key[2]).alias("text")).alias(place)), place, "left_semi"
     )
+    once = joined(kept.where("several is null"))
+    # Keyed anew, so that repeated rows are cut down within tasks before they are dealt again.
+    again = _unused(docs, "again")
+    repeated = joined(kept.where("several")).withColumn(again, F.col(place)["text"]).dropDuplicates([place, again]).drop(again)
+    return docs.where(~suspect).unionByName(once.unionByName(repeated).drop(place))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 #: The query with three words and 85 %: sets of shingles, links by counting, closure of the links.

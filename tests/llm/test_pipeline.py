@@ -47,7 +47,7 @@ def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_dedup", "substring_dedup", "decontamination", "packing"]
     numbers = {int(q[2:].split("_")[0]) for q in entry.queries() if q.startswith("op") and q[2].isdigit()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 def test_stages_equal_brute_force(spark, folder):
