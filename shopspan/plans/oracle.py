@@ -498,6 +498,62 @@ LEFT JOIN t_closed r ON r.candidate = 'regional' AND r.region_id = c.region_id
 LEFT JOIN t_closed b ON b.candidate = 'behaviour' AND b.recency_bin = c.recency_bin AND b.frequency_bin = c.frequency_bin
 LEFT JOIN t_closed o ON o.candidate = 'overall'"""
 
+# --- parameters from the features ---------------------------------------------------
+
+_INPUTS = [*_RESCALED, *_PLAIN, "log_recency", "purchase_share"]
+_WEEK = ", ".join([f"ln(1 + {c}) AS {c}" for c in _RESCALED] + _PLAIN)
+CTES["t_input"] = f"""
+SELECT s.hhn, s.k, s.tte, s.u, ln(1 + s.recency) AS log_recency, s.n_events / CAST(s.t AS DOUBLE) AS purchase_share,
+       {", ".join(f"w.{c}" for c in _RESCALED + _PLAIN)}
+FROM t_step s JOIN (SELECT hhn, k, {_WEEK} FROM t_train) w USING (hhn, k)"""
+CTES["t_input_scale"] = "SELECT " + ", ".join(
+    f"avg({c}) AS mean_{c}, CASE WHEN stddev_pop({c}) > 1e-9 THEN stddev_pop({c}) ELSE 1 END AS spread_{c}" for c in _INPUTS
+) + " FROM t_input"
+
+
+def _weight(k: int) -> str:
+    return repr((k % 5 - 2) * 0.05)
+
+
+def _raw_score(head: int) -> str:
+    at = head * (len(_INPUTS) + 1)
+    return " + ".join(
+        [_weight(at)] + [f"({c} - mean_{c}) / spread_{c} * {_weight(at + 1 + k)}" for k, c in enumerate(_INPUTS)]
+    )
+
+
+_TO_PARAMETERS = "10 * exp(x0) AS alpha, 5 / (1 + exp(-(x1 - ln(4.0::DOUBLE)))) AS beta"
+CTES["t_input_slope"] = f"""
+SELECT *, u * (after - before + ln(1 - exp(before - after))) - after AS loglik,
+       u * pull * (a0 - b0) - a0 AS slope_alpha, u * pull * (a1 - b1) - a1 AS slope_beta
+FROM (
+  SELECT *, 1 / (1 - exp(before - after)) AS pull, -beta * after AS a0, -beta * before AS b0,
+         after * ln((tte + 1) / alpha) * turn AS a1,
+         CASE WHEN tte > 0 THEN before * ln(greatest(tte, 1) / alpha) * turn ELSE 0 END AS b1
+  FROM (
+    SELECT *, pow((tte + 1) / alpha, beta) AS after, pow(tte / alpha, beta) AS before, beta * (1 - beta / 5) AS turn
+    FROM (SELECT *, {_TO_PARAMETERS} FROM (
+      SELECT *, {_raw_score(0)} AS x0, {_raw_score(1)} AS x1 FROM t_input, t_input_scale))))"""
+ORACLE["feature_likelihood"] = "SELECT 'all' AS head, 'loglik' AS input, round(avg(loglik), 6) AS value FROM t_input_slope" + "".join(
+    f" UNION ALL SELECT '{head}', '{c}', round(avg(slope_{head}{f' * (({c} - mean_{c}) / spread_{c})' if c != 'intercept' else ''}), 6)"
+    " FROM t_input_slope"
+    for head in ("alpha", "beta") for c in ["intercept", *_INPUTS]
+)
+ORACLE["feature_fit_optimality"] = " UNION ALL ".join(
+    f"SELECT '{head}' AS head, '{c}' AS input, TRUE AS flat, TRUE AS converged" for head in ("alpha", "beta") for c in ["intercept", *_INPUTS]
+)
+_AT_END = ", ".join(
+    [f"coalesce(max(ln(1 + {c})) FILTER (week_ending_date = last_week), 0) AS {c}" for c in _RESCALED]
+    + [f"coalesce(max({c}) FILTER (week_ending_date = last_week), 0) AS {c}" for c in _PLAIN]
+)
+CTES["t_current_input"] = f"""
+SELECT c.hhn, ln(1 + c.recency) AS log_recency, c.n_events / CAST(c.n_steps AS DOUBLE) AS purchase_share,
+       {", ".join(f"w.{c}" for c in _RESCALED + _PLAIN)}
+FROM t_current c JOIN (SELECT hhn, {_AT_END} FROM t_feature, t_axis GROUP BY 1) w USING (hhn)"""
+ORACLE["feature_scores"] = f"""
+SELECT hhn, round(alpha, 6) AS alpha, round(beta, 6) AS beta FROM (SELECT hhn, {_TO_PARAMETERS} FROM (
+  SELECT *, {_raw_score(0)} AS x0, {_raw_score(1)} AS x1 FROM t_current_input, t_input_scale))"""
+
 # --- churn metrics ------------------------------------------------------------------
 
 CTES["t_frame"] = """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from functools import wraps
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
 from shopspan.operators import fitting, gold, quality, reports
 from shopspan.operators import predictions as pred
+from shopspan.operators import regression as reg
 from shopspan.operators import sampling, weekly
 from shopspan.operators import sequences as seq
 from shopspan.plans.sample_setting import END_DATE, SAMPLE_PARAMS
@@ -509,6 +511,71 @@ def score_households(spark, folder):
     return rounded(scored.select("hhn", "alpha", "beta"), 4, "alpha", "beta")
 
 
+# --- parameters from the features --------------------------------------------------
+
+
+def _head_rows(spark, folder):
+    return staged(reg.with_history(_train_segments(spark, folder)), "head-rows")
+
+
+def _ruled_heads(rows):
+    """Weights by a rule in place of fitted ones, so that SQL can follow."""
+    weights = np.array([((k % 5) - 2) * 0.05 for k in range(2 * (len(reg.INPUTS) + 1))])
+    return reg.HeadFit(weights, reg.scales(rows), 10.0, 0.0, 0.0, 0.0, True, 0.0)
+
+
+@query
+def feature_likelihood(spark, folder):
+    """Mean log-likelihood and its gradient as the fit adds them up, at weights by a rule."""
+    rows = _head_rows(spark, folder)
+    fit = _ruled_heads(rows)
+    sums = reg.likelihood_sums(rows, fit.weights, fit.scale, fit.start_alpha)
+    names = [(head, c) for head in reg.HEADS for c in ("intercept", *reg.INPUTS)]
+    found = [("all", "loglik", float(sums.loglik / sums.n))] + [
+        (head, c, float(g / sums.n)) for (head, c), g in zip(names, sums.gradient)
+    ]
+    return rounded(spark.createDataFrame(found, "head string, input string, value double"), 6, "value")
+
+
+@query
+def feature_fit_optimality(spark, folder):
+    """The fitted heads: no input has a slope left, by the likelihood's own expressions."""
+    rows = _head_rows(spark, folder)
+    fit = reg.fit_heads(rows, fitting.init_alpha(rows).first()["init_alpha"])
+    return reg.head_gradient(rows, fit).select(
+        "head", "input", (F.abs("gradient") < 1e-4).alias("flat"), F.lit(fit.converged).alias("converged")
+    )
+
+
+@query
+def feature_scores(spark, folder):
+    """Households scored as of the axis end by heads with weights by a rule."""
+    fit = _ruled_heads(_head_rows(spark, folder))
+    rows, inputs = _features(spark, folder)
+    scored = reg.score_heads(reg.current_inputs(inputs, seq.read_axis(rows)), fit)
+    return rounded(scored.select("hhn", "alpha", "beta"), 6, "alpha", "beta")
+
+
+@query
+def feature_model_metrics(spark, folder):
+    """Held-out metrics of the feature model beside those of the segment fits."""
+    train = _head_rows(spark, folder)
+    start = fitting.init_alpha(train).first()["init_alpha"]
+    fitted = staged(fitting.fit_candidates(train, start), "fitted")
+    rows, _, begin = _valid(spark, folder)
+    held_out = staged(reg.with_history(fitting.with_step_segments(rows)), "held-out")
+    scored = reg.score_heads(held_out, reg.fit_heads(train, start)).withColumn("model", F.lit("features"))
+    keep = ["model", *rows.columns, "alpha", "beta"]
+    scored = scored.select(*keep)
+    for name in fitting.CANDIDATES:
+        part = fitting.score(held_out, fitted, name).withColumn("model", F.lit(name))
+        scored = scored.unionByName(part.where("alpha IS NOT NULL").select(*keep))
+    outcomes = ev.evaluation_frame(scored, begin, P.consider_last_event, ("model",))
+    boxes = ev.box_outcomes(outcomes, P.n_testing_steps, P.min_box_width, P.consider_last_event, ("model",))
+    means = ev.mean_metrics(ev.horizon_metrics(staged(boxes, "outcomes"), ("model",)), ("model",))
+    return rounded(means.select("model", "mean_auc", "mean_ap", "mean_ece"), 6, "mean_auc", "mean_ap", "mean_ece")
+
+
 # --- churn metrics ----------------------------------------------------------------
 
 
