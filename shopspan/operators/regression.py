@@ -147,13 +147,29 @@ class HeadFit:
         """One row per head and input: its mean, spread and weight."""
         names = ("intercept", *INPUTS)
         mean, spread = [0.0, *self.scale.mean.tolist()], [1.0, *self.scale.spread.tolist()]
+        fit = (self.start_alpha, self.ridge, self.mean_loglik, self.gradient_norm, self.converged, self.n_rows)
         return spark.createDataFrame(
-            [(head, name, mean[k], spread[k], float(self.weights[h * len(names) + k]))
+            [(head, name, mean[k], spread[k], float(self.weights[h * len(names) + k]), *fit)
              for h, head in enumerate(HEADS) for k, name in enumerate(names)],
-            "head string, input string, mean double, spread double, weight double",
+            "head string, input string, mean double, spread double, weight double, start_alpha double, ridge double, "
+            "mean_loglik double, gradient_norm double, converged boolean, n_rows double",
         )
 
 
+def heads_of(table: DataFrame) -> HeadFit:
+    """The fit that ``HeadFit.table`` wrote down."""
+    rows = {(r["head"], r["input"]): r for r in table.collect()}
+    names = ("intercept", *INPUTS)
+    if set(rows) != {(h, c) for h in HEADS for c in names}:
+        raise ValueError("these heads were fitted to other inputs")
+    of = lambda field, inputs: np.array([rows["alpha", c][field] for c in inputs])
+    one = rows["alpha", "intercept"]
+    return HeadFit(
+        np.array([rows[h, c]["weight"] for h in HEADS for c in names]), Scales(of("mean", INPUTS), of("spread", INPUTS)),
+        one["start_alpha"], one["ridge"], one["mean_loglik"], one["gradient_norm"], one["converged"], one["n_rows"],
+    )
+
+
 def _penalty(ridge: float) -> np.ndarray:
     """The ridge on every weight but the intercepts."""
     one = np.full(len(INPUTS) + 1, ridge)
@@ -188,7 +204,7 @@ def fit_heads(rows: DataFrame, start_alpha: float, ridge: float = 1e-3, toleranc
         else:
             damping = max(10 * damping, 1e-3)
     norm = float(np.linalg.norm(now.gradient / now.n - penalty * theta))
-    return HeadFit(theta, scale, start_alpha, ridge, now.loglik / now.n, norm, norm < tolerance, now.n)
+    return HeadFit(theta, scale, float(start_alpha), ridge, float(now.loglik / now.n), norm, norm < tolerance, float(now.n))
 
 
 def _raw(weights: np.ndarray, scale: Scales) -> Column:

@@ -19,6 +19,7 @@ from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
 from shopspan.operators import fitting, gold, quality, sampling, weekly
 from shopspan.operators import predictions as pred
+from shopspan.operators import regression as reg
 from shopspan.operators import sequences as seq
 from shopspan.schemas import ALL_FEATURES, HOUSEHOLD_CHURN_COLUMNS, STORE_FEATURE
 from shopspan.sources import sinks
@@ -27,8 +28,12 @@ from shopspan.sources.staging import staged, staging_scope
 from shopspan.sources.tables import SalesTables
 
 
+#: The candidate that is no segmentation: two heads linear in the features.
+FEATURES = "features"
+
+
 class Model(NamedTuple):
-    """A candidate segmentation of one version of the fits; ``name`` labels it in results."""
+    """A candidate of one version of the fits, a segmentation or FEATURES; ``name`` labels it in results."""
 
     name: str
     candidate: str
@@ -134,17 +139,23 @@ class RetentionFlow:
     def fit(self, at: datetime | None = None) -> int:
         """Fit every candidate and add one row of test metrics for each; returns the version.
 
-        A version of ``fitted`` names the version of the region lookup its region numbers come from.
+        A version of ``fitted`` names the version of the region lookup its region numbers come from and that of the
+        feature model fitted beside it.
         """
         train = self.read("train_sequences")
         start = fitting.init_alpha(train).first()["init_alpha"]
+        heads = reg.fit_heads(staged(reg.with_history(train), "head-rows"), start)
+        heads_version = self.versioned("heads").write(heads.table(self.spark), at=at)
         fitted = staged(fitting.fit_candidates(train, start).withColumns({
+            "heads_version": F.lit(heads_version).cast("long"),
             "fitted_at": F.lit(at or datetime.now()),
             "lookup_version": F.lit(self.versioned("region_lookup").newest_version()).cast("long"),
         }), "fitted")
         quality.require(quality.check_fits(fitted), "fitted")
         version = self.versioned("fitted").write(fitted, at=at)
-        models = [Model(name, name, version) for name in fitting.CANDIDATES]
+        # Heads that did not converge are stored but not compared.
+        names = [*fitting.CANDIDATES, *([FEATURES] if heads.converged else [])]
+        models = [Model(name, name, version) for name in names]
         runs = ev.mean_metrics(self.evaluate(models), ("model",)).select(
             F.col("model").alias("candidate"), "mean_auc", "mean_ap", "mean_ece",
             F.lit(at or datetime.now()).alias("start_time"), F.lit(version).cast("long").alias("version"),
@@ -169,6 +180,14 @@ class RetentionFlow:
     def _fitted(self, version: int) -> DataFrame:
         return self.versioned("fitted").read_as_of(version)
 
+    def _score(self, rows: DataFrame, model: Model) -> DataFrame:
+        """Alpha and beta of rows with segments and inputs, by a model of any kind."""
+        fitted = self._fitted(model.version)
+        if model.candidate == FEATURES:
+            version = fitted.select("heads_version").first()["heads_version"]
+            return reg.score_heads(rows, reg.heads_of(self.versioned("heads").read_as_of(version)))
+        return fitting.score(self._with_regions_of(rows, fitted), fitted, model.candidate)
+
     def evaluate(self, models: list[Model], folds: bool = False) -> DataFrame:
         """Metrics per horizon of the given models on the test sequences.
 
@@ -176,19 +195,17 @@ class RetentionFlow:
         """
         p, by = self.p, ("fold", "model") if folds else ("model",)
         begin = self.read("test_begin").first()["begin_k"]
-        test = self.versioned("test_sequences").read_as_of()
-        segment = fitting.CANDIDATES["regional"]
+        test = reg.with_history(self.versioned("test_sequences").read_as_of())
+        values = (*fitting.CANDIDATES["regional"], *reg.INPUTS)
         frame = ev.evaluation_frame(
-            test, begin, p.consider_last_event, values=segment, known=("recency_bin", "frequency_bin")
+            test, begin, p.consider_last_event, values=values, known=("recency_bin", "frequency_bin")
         )
         if folds:
             frame = sampling.assign_folds(frame, p.n_folds, p.fold_seed)
         frame = staged(frame, "frame")
         scored = None
         for m in models:
-            fitted = self._fitted(m.version)
-            part = fitting.score(self._with_regions_of(frame, fitted), fitted, m.candidate)
-            part = part.withColumn("model", F.lit(m.name)).where("alpha IS NOT NULL AND beta IS NOT NULL")
+            part = self._score(frame, m).withColumn("model", F.lit(m.name)).where("alpha IS NOT NULL AND beta IS NOT NULL")
             scored = part if scored is None else scored.unionByName(part)
         outcomes = ev.box_outcomes(scored, p.n_testing_steps, p.min_box_width, p.consider_last_event, by)
         return ev.horizon_metrics(staged(outcomes, "outcomes"), by)
@@ -245,8 +262,12 @@ class RetentionFlow:
         lookup = self.versioned("region_lookup").read_as_of(fitted.select("lookup_version").first()[0])
         sinks.overwrite(feat.unseen_regions(chosen, lookup), self.path("unseen_regions"))
         inputs = feat.household_features(chosen, lookup, p.default_region)
-        current = fitting.current_segments(inputs, seq.read_axis(chosen))
-        scored = fitting.score(current, fitted, model.candidate)
+        current = reg.current_inputs(inputs, seq.read_axis(chosen))
+        # The region numbers of ``current`` are those of the fit already.
+        if model.candidate == FEATURES:
+            scored = self._score(current, model)
+        else:
+            scored = fitting.score(current, fitted, model.candidate)
         week = cal.read_last_complete_week(self.tables.dim_date, p.end_date_pred)
         kpis = pred.household_kpis(rows, week, p.n_weeks_stats)
         output = staged(

@@ -43,6 +43,10 @@ def test_fit_finds_the_features_that_matter(spark):
     assert max(abs(r["gradient"]) for r in reg.head_gradient(rows, fit).collect()) < 1e-4
     flat = reg.likelihood_sums(rows, np.zeros_like(fit.weights), fit.scale, 6.0)
     assert fit.mean_loglik > flat.loglik / flat.n + 0.02
+    again = reg.heads_of(fit.table(spark))
+    assert again.weights.tolist() == fit.weights.tolist() and again.scale.spread.tolist() == fit.scale.spread.tolist()
+    with pytest.raises(ValueError):
+        reg.heads_of(fit.table(spark).where("input <> 'intercept'"))
     scored = reg.score_heads(rows, fit).agg({"alpha": "min", "beta": "max"}).first()
     assert scored[0] > 0 and scored[1] < reg.MAX_BETA
 
