@@ -29,10 +29,10 @@ STEPS_PER_WORD = 1.6
 #: Every filter has so many bits, whatever the benchmark's size; more items only let more windows pass.
 FILTER_BITS = 22
 KEY_FILTER_BITS = 24  # keys set and test two bits
-#: Bytes of text scanned at once: a walk's steps cost the same for few windows as for many.
-SCAN_BYTES = 4 << 20
-#: Walks done at once, and cells of alignments.
-CHUNK, ALIGN_CELLS = 1 << 16, 1 << 23
+#: Bytes of text scanned at once, and walks done at once: a start has WALKS * KEYS keys of eight bytes in several arrays.
+SCAN_BYTES, CHUNK = 1 << 20, 1 << 14
+#: Cells of alignments at once.
+ALIGN_CELLS = 1 << 22
 #: Item sizes of one class differ by less than this factor.
 CLASS_RATIO = 1.12
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.reference = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.added = [t["content"] for t in spec["added_tokens"]]
@@ -64,6 +64,11 @@ class Encoder:
         ranks = {bytes(byte_of[c] for c in t): i for t, i in words.items()}
         return tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def reference(self) -> Tokenizer:
+        """Loaded when a text first needs it, since a worker keeps it from then on."""
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype="<u4")
