@@ -29,8 +29,9 @@ STEPS_PER_WORD = 1.6
 #: Every filter has so many bits, whatever the benchmark's size; more items only let more windows pass.
 FILTER_BITS = 22
 KEY_FILTER_BITS = 24  # keys set and test two bits
-#: Bytes of text scanned at once, and walks done at once: a start has WALKS * KEYS keys of eight bytes in several arrays.
-SCAN_BYTES, CHUNK = 1 << 20, 1 << 14
+#: Walks done at once, over 64 bytes of text each: a walk's steps cost the same for few windows as for many, but a start has
+#: WALKS * KEYS keys of eight bytes in several arrays. The pipeline, whose workers hold more beside them, takes fewer.
+CHUNK, SMALL_CHUNK = 1 << 16, 1 << 14
 #: Cells of alignments at once.
 ALIGN_CELLS = 1 << 22
 #: Item sizes of one class differ by less than this factor.
@@ -139,7 +140,7 @@ def _embed(batches):
         ], schema=schema)
 
 
-def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int]):
+def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int], chunk: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()),
                         ("keys", pa.list_(pa.int64())), ("near", pa.list_(pa.int64()))])
     lows = size_classes(max(sizes, default=0) + 1)
@@ -149,7 +150,7 @@ def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int]):
         known, coupled, hit = (
             np.unpackbits(np.frombuffer(b, np.uint8), bitorder="little").astype(bool) for b in (vocabulary, couples, slots)
         )
-        for rows, data, offsets in text_blocks(batches, "text", SCAN_BYTES):
+        for rows, data, offsets in text_blocks(batches, "text", 64 * chunk):
             data = LOWER[data]
             found = find_words(data, offsets)
             words, first = with_pads(word_hashes(data, found), found.first)
@@ -171,8 +172,8 @@ def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int]):
                 got.append(enough)
                 kind.append(np.full(len(enough), k))
             which, kind = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (got, kind))
-            for part in range(0, len(which), CHUNK):
-                chosen, kinds = which[part: part + CHUNK], kind[part: part + CHUNK]
+            for part in range(0, len(which), chunk):
+                chosen, kinds = which[part: part + chunk], kind[part: part + chunk]
                 keys = walk_keys(words, starts[chosen], kinds, lows)
                 passed = hit[_slot(keys, KEY_FILTER_BITS)] & hit[_slot(keys << np.uint64(32), KEY_FILTER_BITS)]
                 some = np.flatnonzero(passed.any(axis=1))
@@ -265,7 +266,7 @@ def _spread(batches):
         yield pa.RecordBatch.from_arrays([pa.array(signed(mix(words)))], ["value"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Passages of ``docs`` that match a benchmark item with at most a fifth of the item's words edited.
 
     Needs doc_id and text of ``docs``, item_id and text of ``benchmark``; other columns are not read.
@@ -289,7 +290,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     couples = _filter_bits(items.select(F.explode("pairs").alias("value")).where("value <> 0"))
     windows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key())
-        .mapInArrow(_scan(vocabulary, couples, slots, sizes),
+        .mapInArrow(_scan(vocabulary, couples, slots, sizes, chunk),
                     "doc_id long, text_key long, start long, keys array<long>, near array<long>")
     )
     by_key = items.select("item_id", "item", F.explode(F.array_distinct("keys")).alias("key"))
@@ -307,5 +308,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item."""
-    found = contaminated(docs, benchmark).select(F.col("text_key").alias("found_key")).distinct()
+    found = contaminated(docs, benchmark, SMALL_CHUNK).select(F.col("text_key").alias("found_key")).distinct()
     return docs.join(found, text_key() == found["found_key"], "left_anti")
