@@ -151,25 +151,52 @@ def _free_slope(theta, slope, lower, upper):
     return np.where(stuck, 0.0, slope), stuck
 
 
-def maximise(t, u, w, start_alpha: float, bounds: FitBounds = FitBounds()) -> Fit:
-    """Damped Newton ascent in (ln alpha, ln beta).
+class Prior(NamedTuple):
+    """Where (ln alpha, ln beta) is expected to lie, and the variances around it."""
+
+    centre: np.ndarray
+    spread: np.ndarray
+
+
+def curvature(gradient, theta, h: float = 1e-5) -> np.ndarray:
+    """Second derivatives from a gradient function."""
+    curve = np.array([(gradient(theta + h * e) - gradient(theta - h * e)) / (2 * h) for e in np.eye(2)])
+    return (curve + curve.T) / 2
+
+
+def sampling_variances(fit: Fit, t, u, w) -> np.ndarray | None:
+    """Variances of (ln alpha, ln beta) by the observed information; None where a fit has none."""
+    if not fit.converged or fit.at_bound:
+        return None
+    curve = curvature(lambda at: _gradient(at, t, u, w), np.log([fit.alpha, fit.beta]))
+    return np.diag(np.linalg.inv(-curve)) if np.linalg.eigvalsh(curve)[-1] < -1e-10 else None
+
+
+def maximise(
+    t, u, w, start_alpha: float, bounds: FitBounds = FitBounds(), start_beta: float = 1.0, prior: Prior | None = None
+) -> Fit:
+    """Damped Newton ascent in (ln alpha, ln beta), of the likelihood or, with a prior, of the posterior.
 
     Converged means that the free part of the gradient per row is below the tolerance.
     """
+    pull = np.zeros(2) if prior is None else 1 / (prior.spread * w.sum())
+    centre = np.zeros(2) if prior is None else prior.centre
     w = w / w.sum()
+
+    def value_at(at):
+        return _loglik(at, t, u, w) - float(pull @ (at - centre) ** 2) / 2
+
+    def slope_at(at):
+        return _gradient(at, t, u, w) - pull * (at - centre)
+
     lower, upper = bounds.logs()
-    theta = np.clip(np.log([start_alpha, 1.0]), lower, upper)
-    value = _loglik(theta, t, u, w)
+    theta = np.clip(np.log([start_alpha, start_beta]), lower, upper)
+    value = value_at(theta)
     for _ in range(bounds.max_steps):
-        slope, stuck = _free_slope(theta, _gradient(theta, t, u, w), lower, upper)
+        slope, stuck = _free_slope(theta, slope_at(theta), lower, upper)
         if np.linalg.norm(slope) < bounds.tolerance:
             break
-        h = 1e-5
-        curve = np.array([
-            (_gradient(theta + h * e, t, u, w) - _gradient(theta - h * e, t, u, w)) / (2 * h)
-            for e in np.eye(2)
-        ])
-        curve = (curve + curve.T) / 2
+        curve = curvature(slope_at, theta)
         curve[stuck, :] = curve[:, stuck] = 0.0
         curve[stuck, stuck] = -1.0
         if np.linalg.eigvalsh(curve)[-1] < -1e-10:
@@ -179,21 +206,21 @@ def maximise(t, u, w, start_alpha: float, bounds: FitBounds = FitBounds()) -> Fi
         size = 1.0
         while size > 1e-10:
             trial = np.clip(theta + size * move, lower, upper)
-            reached = _loglik(trial, t, u, w)
+            reached = value_at(trial)
             # Near the top the likelihood is flat to rounding; there a smaller gradient is progress.
             flat = abs(reached - value) <= 1e-13 * max(1.0, abs(value))
-            less = np.linalg.norm(_free_slope(trial, _gradient(trial, t, u, w), lower, upper)[0]) < np.linalg.norm(slope)
+            less = np.linalg.norm(_free_slope(trial, slope_at(trial), lower, upper)[0]) < np.linalg.norm(slope)
             if reached > value and not flat or flat and less:
                 theta, value = trial, reached
                 break
             size /= 2
         else:
             break
-    slope, _ = _free_slope(theta, _gradient(theta, t, u, w), lower, upper)
+    slope, _ = _free_slope(theta, slope_at(theta), lower, upper)
     norm = float(np.linalg.norm(slope))
     at_bound = bool(((theta <= lower) | (theta >= upper)).any())
     alpha, beta = np.exp(theta)
-    return Fit(float(alpha), float(beta), value, norm, norm < bounds.tolerance, at_bound)
+    return Fit(float(alpha), float(beta), _loglik(theta, t, u, w), norm, norm < bounds.tolerance, at_bound)
 
 
 def fit_weibull(histogram: DataFrame, by, start_alpha: float, bounds: FitBounds = FitBounds()) -> DataFrame:

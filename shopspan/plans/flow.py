@@ -17,7 +17,7 @@ from shopspan.functions.dates import normalize_end_date, reject_future
 from shopspan.operators import calendar as cal
 from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
-from shopspan.operators import fitting, gold, quality, sampling, weekly
+from shopspan.operators import fitting, gold, pooling, quality, sampling, weekly
 from shopspan.operators import predictions as pred
 from shopspan.operators import regression as reg
 from shopspan.operators import sequences as seq
@@ -30,10 +30,12 @@ from shopspan.sources.tables import SalesTables
 
 #: The candidate that is no segmentation: two heads linear in the features.
 FEATURES = "features"
+#: The finest segmentation with its fits drawn towards coarser ones.
+POOLED = "pooled"
 
 
 class Model(NamedTuple):
-    """A candidate of one version of the fits, a segmentation or FEATURES; ``name`` labels it in results."""
+    """A candidate of one version of the fits, a segmentation, POOLED or FEATURES; ``name`` labels it in results."""
 
     name: str
     candidate: str
@@ -137,7 +139,7 @@ class RetentionFlow:
 
     @_own_staging
     def fit(self, at: datetime | None = None) -> int:
-        """Fit every candidate and add one row of test metrics for each; returns the version.
+        """Fit every candidate, segments also pooled, and add one row of test metrics for each; returns the version.
 
         A version of ``fitted`` names the version of the region lookup its region numbers come from and that of the
         feature model fitted beside it.
@@ -146,7 +148,11 @@ class RetentionFlow:
         start = fitting.init_alpha(train).first()["init_alpha"]
         heads = reg.fit_heads(staged(reg.with_history(train), "head-rows"), start)
         heads_version = self.versioned("heads").write(heads.table(self.spark), at=at)
-        fitted = staged(fitting.fit_candidates(train, start).withColumns({
+        histogram = staged(fitting.candidate_histograms(train), "histograms")
+        own = fitting.fit_weibull(histogram, list(pooling.KEYS), start)
+        drawn = pooling.fit_pooled(histogram, start).select(*own.columns)
+        both = own.withColumn("pooled", F.lit(False)).unionByName(drawn.withColumn("pooled", F.lit(True)))
+        fitted = staged(both.withColumns({
             "heads_version": F.lit(heads_version).cast("long"),
             "fitted_at": F.lit(at or datetime.now()),
             "lookup_version": F.lit(self.versioned("region_lookup").newest_version()).cast("long"),
@@ -154,7 +160,7 @@ class RetentionFlow:
         quality.require(quality.check_fits(fitted), "fitted")
         version = self.versioned("fitted").write(fitted, at=at)
         # Heads that did not converge are stored but not compared.
-        names = [*fitting.CANDIDATES, *([FEATURES] if heads.converged else [])]
+        names = [*fitting.CANDIDATES, POOLED, *([FEATURES] if heads.converged else [])]
         models = [Model(name, name, version) for name in names]
         runs = ev.mean_metrics(self.evaluate(models), ("model",)).select(
             F.col("model").alias("candidate"), "mean_auc", "mean_ap", "mean_ece",
@@ -186,7 +192,11 @@ class RetentionFlow:
         if model.candidate == FEATURES:
             version = fitted.select("heads_version").first()["heads_version"]
             return reg.score_heads(rows, reg.heads_of(self.versioned("heads").read_as_of(version)))
-        return fitting.score(self._with_regions_of(rows, fitted), fitted, model.candidate)
+        return self._by_segment(self._with_regions_of(rows, fitted), fitted, model)
+
+    def _by_segment(self, rows: DataFrame, fitted: DataFrame, model: Model) -> DataFrame:
+        drawn = model.candidate == POOLED
+        return fitting.score(rows, fitted.where(F.col("pooled") == drawn), "regional" if drawn else model.candidate)
 
     def evaluate(self, models: list[Model], folds: bool = False) -> DataFrame:
         """Metrics per horizon of the given models on the test sequences.
@@ -267,7 +277,7 @@ class RetentionFlow:
         if model.candidate == FEATURES:
             scored = self._score(current, model)
         else:
-            scored = fitting.score(current, fitted, model.candidate)
+            scored = self._by_segment(current, fitted, model)
         week = cal.read_last_complete_week(self.tables.dim_date, p.end_date_pred)
         kpis = pred.household_kpis(rows, week, p.n_weeks_stats)
         output = staged(

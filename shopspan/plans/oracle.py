@@ -498,6 +498,49 @@ LEFT JOIN t_closed r ON r.candidate = 'regional' AND r.region_id = c.region_id
 LEFT JOIN t_closed b ON b.candidate = 'behaviour' AND b.recency_bin = c.recency_bin AND b.frequency_bin = c.frequency_bin
 LEFT JOIN t_closed o ON o.candidate = 'overall'"""
 
+# --- pooled segments ----------------------------------------------------------------
+
+CTES["t_any_segment"] = CTES["t_segment"].replace(" HAVING sum(u) > 0", "")
+_PARAMETERS = ("alpha", "beta")
+CTES["t_estimate"] = """
+SELECT candidate, region_id, recency_bin, frequency_bin,
+       CASE WHEN n_events > 0 THEN ln(n_rows / n_events) END AS ln_alpha,
+       CASE WHEN n_events > 0 THEN 1 / (1 + n_events) END AS ln_beta,
+       CASE WHEN n_events > 0 THEN 1 / n_events END AS variance_alpha,
+       CASE WHEN n_events > 0 THEN 2 / n_events END AS variance_beta
+FROM t_any_segment"""
+
+
+def _pooled_level(name: str, parent: str, on: str) -> None:
+    """Gaps to the parents, their spread by moments in two steps, and the posterior means of a level."""
+    CTES[f"t_gap_{name}"] = f"""
+SELECT e.*, p.ln_alpha AS centre_alpha, p.ln_beta AS centre_beta
+FROM t_estimate e JOIN {parent} p ON {on} WHERE e.candidate = '{name}'"""
+    for step, weight in (("once", "1 / variance_{p}"), ("twice", "1 / (variance_{p} + spread_{p})")):
+        rows = f"t_gap_{name}" if step == "once" else f"t_gap_{name}, t_once_{name}"
+        CTES[f"t_{step}_{name}"] = "SELECT " + ", ".join(
+            f"greatest(sum({weight} * (pow(ln_{{p}} - centre_{{p}}, 2) - variance_{{p}})) / sum({weight}), 1e-6) AS spread_{{p}}".format(p=p)
+            for p in _PARAMETERS
+        ) + f" FROM {rows}"
+    CTES[f"t_pooled_{name}"] = "SELECT candidate, region_id, recency_bin, frequency_bin, " + ", ".join(
+        f"CASE WHEN ln_{p} IS NULL THEN centre_{p} ELSE (ln_{p} * spread_{p} + centre_{p} * variance_{p}) / (spread_{p} + variance_{p}) END AS ln_{p}, "
+        f"centre_{p}, spread_{p}" for p in _PARAMETERS
+    ) + f" FROM t_gap_{name}, t_twice_{name}"
+
+
+CTES["t_pooled_overall"] = """
+SELECT candidate, region_id, recency_bin, frequency_bin, ln_alpha, CAST(NULL AS DOUBLE) AS centre_alpha, CAST(NULL AS DOUBLE) AS spread_alpha,
+       ln_beta, CAST(NULL AS DOUBLE) AS centre_beta, CAST(NULL AS DOUBLE) AS spread_beta
+FROM t_estimate WHERE candidate = 'overall' AND ln_alpha IS NOT NULL"""
+_pooled_level("behaviour", "t_pooled_overall", "TRUE")
+_pooled_level("regional", "t_pooled_behaviour", "e.recency_bin = p.recency_bin AND e.frequency_bin = p.frequency_bin")
+ORACLE["segment_pooling"] = " UNION ALL ".join(
+    "SELECT candidate, " + ", ".join(f"coalesce({c}, -1) AS {c}" for c in ("region_id", "recency_bin", "frequency_bin")) + ", "
+    + ", ".join(f"round({k}_{p}, 6) AS {k}_{p}" for k in ("ln", "centre", "spread") for p in _PARAMETERS) + f" FROM t_pooled_{name}"
+    for name in ("overall", "behaviour", "regional")
+)
+ORACLE["pooled_fit_optimality"] = ORACLE["fit_optimality"].replace("t_segment", "t_any_segment")
+
 # --- parameters from the features ---------------------------------------------------
 
 _INPUTS = [*_RESCALED, *_PLAIN, "log_recency", "purchase_share"]

@@ -14,7 +14,7 @@ from shopspan.functions import weibull as wb
 from shopspan.operators import calendar as cal
 from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
-from shopspan.operators import fitting, gold, quality, reports
+from shopspan.operators import fitting, gold, pooling, quality, reports
 from shopspan.operators import predictions as pred
 from shopspan.operators import regression as reg
 from shopspan.operators import sampling, weekly
@@ -511,6 +511,58 @@ def score_households(spark, folder):
     return rounded(scored.select("hhn", "alpha", "beta"), 4, "alpha", "beta")
 
 
+# --- pooled segments ---------------------------------------------------------------
+
+
+def _closed_estimates(spark, folder):
+    """Estimates of each segment by rules that SQL can follow, in place of fitted ones."""
+    keys = list(pooling.KEYS)
+    n, events = F.sum("weight"), F.sum(F.col("weight") * F.col("u"))
+    return fitting.candidate_histograms(_train_segments(spark, folder)).groupBy(*keys).agg(
+        n.alias("n_rows"), events.alias("n_events")
+    ).select(
+        *keys, F.when(F.col("n_events") > 0, F.ln(F.col("n_rows") / F.col("n_events"))).alias("ln_alpha"),
+        F.when(F.col("n_events") > 0, 1 / (1 + F.col("n_events"))).alias("ln_beta"),
+        *[F.when(F.col("n_events") > 0, k / F.col("n_events")).alias(f"variance_{p}") for p, k in (("alpha", 1), ("beta", 2))],
+    )
+
+
+@query
+def segment_pooling(spark, folder):
+    """Priors and closed-form posteriors of all segments, from estimates by a rule."""
+    found = pooling.pooled(_closed_estimates(spark, folder)).drop("variance_alpha", "variance_beta")
+    numbers = [f"{k}_{p}" for k in ("ln", "centre", "spread") for p in pooling.PARAMETERS]
+    return rounded(found, 6, *numbers).fillna(-1, list(fitting.CANDIDATES["regional"]))
+
+
+@query
+def pooled_fit_optimality(spark, folder):
+    """Every pooled fit against its neighbours: no higher posterior on the segment's own histogram."""
+    train = staged(_train_segments(spark, folder), "train")
+    start = fitting.init_alpha(train).first()["init_alpha"]
+    histogram = staged(fitting.candidate_histograms(train), "histograms")
+    found = pooling.pooled_optimality(histogram, staged(pooling.fit_pooled(histogram, start), "fitted"))
+    return found.fillna(-1, list(fitting.CANDIDATES["regional"]))
+
+
+@query
+def pooled_held_out(spark, folder):
+    """Likelihood of the held-out steps under the pooled fits and under the segments' own fits."""
+    train = staged(_train_segments(spark, folder), "train")
+    start = fitting.init_alpha(train).first()["init_alpha"]
+    histogram = staged(fitting.candidate_histograms(train), "histograms")
+    fits = {"own": fitting.fit_weibull(histogram, list(pooling.KEYS), start), "pooled": pooling.fit_pooled(histogram, start)}
+    rows, _, begin = _valid(spark, folder)
+    held_out = staged(fitting.with_step_segments(rows).where(F.col("k") >= begin), "held-out")
+    parts = [
+        fitting.score(held_out, staged(fitted, name)).agg(
+            F.lit(name).alias("fits"), F.count(F.lit(1)).alias("n_rows"), F.avg(pooling.row_loglik()).alias("mean_loglik")
+        )
+        for name, fitted in fits.items()
+    ]
+    return rounded(parts[0].unionByName(parts[1]), 6, "mean_loglik")
+
+
 # --- parameters from the features --------------------------------------------------
 
 

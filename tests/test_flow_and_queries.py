@@ -53,7 +53,7 @@ def test_flow_end_to_end(spark, tmp_path):
     rows = {r.hhn: r for r in churn.collect()}
     assert rows and set(churn.columns) == set(HOUSEHOLD_CHURN_COLUMNS)
     assert all(0 <= r.churn_probability <= 1 for r in rows.values())
-    assert {r.candidate for r in flow.read("runs").collect()} == {"overall", "behaviour", "regional", "features"}
+    assert {r.candidate for r in flow.read("runs").collect()} == {"overall", "behaviour", "regional", "pooled", "features"}
     assert flow.read("unseen_regions").count() == 0
     # Scoring and merging the same week again changes nothing, not even the files.
     written = {f: f.stat().st_mtime_ns for f in (tmp_path / "flow" / "household_churn").rglob("part-*")}
