@@ -49,7 +49,8 @@ def _frequency_bin(n_events, n_steps) -> Column:
     return F.least(F.floor(n_events * 5 / n_steps), F.lit(4)).cast("int")
 
 
-def _segments(df: DataFrame) -> DataFrame:
+def with_bins(df: DataFrame) -> DataFrame:
+    """Add the bins of ``recency`` and of ``n_events`` in ``n_steps``."""
     return df.withColumns(
         {
             "recency_bin": _recency_bin(F.col("recency")),
@@ -66,7 +67,7 @@ def with_step_segments(paired: DataFrame) -> DataFrame:
     # Step 0 is the first purchase and has no target row of its own.
     last_event = F.coalesce(F.max(F.when(F.col("event") == 1, F.col("t"))).over(before), F.lit(0))
     known_region = F.when(F.col(STORE_FEATURE) > 0, F.col(STORE_FEATURE))
-    return _segments(
+    return with_bins(
         paired.withColumns(
             {
                 "recency": F.col("t") - 1 - last_event,
@@ -82,7 +83,7 @@ def current_segments(features: DataFrame, axis: WeekSpan) -> DataFrame:
     """Segment of each household as of the axis end, straight from its active weeks."""
     active = F.col("n_transaction") > 0
     week = F.col("week_ending_date")
-    return _segments(
+    return with_bins(
         features.groupBy("hhn").agg(
             (F.datediff(F.lit(axis.last), F.max(F.when(active, week))) / 7).cast("int").alias("recency"),
             F.count(F.when(active, 1)).alias("n_events"),

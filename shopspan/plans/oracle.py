@@ -498,6 +498,16 @@ LEFT JOIN t_closed r ON r.candidate = 'regional' AND r.region_id = c.region_id
 LEFT JOIN t_closed b ON b.candidate = 'behaviour' AND b.recency_bin = c.recency_bin AND b.frequency_bin = c.frequency_bin
 LEFT JOIN t_closed o ON o.candidate = 'overall'"""
 
+# --- weekly state -------------------------------------------------------------------
+
+ORACLE["household_state"] = """
+SELECT hhn, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) AS weeks,
+       coalesce(string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) FILTER (n_transaction > 0), '') AS events,
+       arg_max(divisional_regional_rollup, day) AS divisional_regional_rollup
+FROM (SELECT *, week_ending_date - DATE '1970-01-01' AS day FROM t_window, t_axis WHERE week_ending_date > last_week - 140)
+GROUP BY 1"""
+ORACLE["state_segments"] = ORACLE["current_segments"]
+
 # --- pooled segments ----------------------------------------------------------------
 
 CTES["t_any_segment"] = CTES["t_segment"].replace(" HAVING sum(u) > 0", "")

@@ -15,6 +15,7 @@ from shopspan.operators import calendar as cal
 from shopspan.operators import evaluation as ev
 from shopspan.operators import features as feat
 from shopspan.operators import fitting, gold, pooling, quality, reports
+from shopspan.operators import household_state as hs
 from shopspan.operators import predictions as pred
 from shopspan.operators import regression as reg
 from shopspan.operators import sampling, weekly
@@ -511,6 +512,38 @@ def score_households(spark, folder):
     return rounded(scored.select("hhn", "alpha", "beta"), 4, "alpha", "beta")
 
 
+# --- weekly state ------------------------------------------------------------------
+
+
+def _moved_state(spark, rows, last, n_weeks, n_moves):
+    """Path of states: a full build ``n_moves`` weeks ago, then one stored week after the other."""
+    path = new_staging_path(spark, "household-state")
+    for back in range(n_moves, -1, -1):
+        hs.advance_stored(path, rows, last - timedelta(weeks=back), n_weeks)
+    return path
+
+
+@query
+def household_state(spark, folder):
+    """State of a window of 20 weeks after six weekly moves, in which six weeks leave it."""
+    rows = staged(_window_rows(spark, folder)[1], "rows")
+    last = seq.read_axis(rows).last
+    state = hs.stored_state(_moved_state(spark, rows, last, 20, 6), spark, last)
+    return state.select(
+        "hhn", *[F.array_join(F.transform(c, lambda d: d.cast("string")), ",").alias(c) for c in ("weeks", "events")], feat.REGION
+    )
+
+
+@query
+def state_segments(spark, folder):
+    """Segments from a state moved on twice, over all weeks of the prediction window."""
+    rows = staged(_window_rows(spark, folder)[1], "rows")
+    axis = seq.read_axis(rows)
+    path = _moved_state(spark, rows, axis.last, seq.axis_length(axis), 2)
+    lookup = staged(feat.region_lookup(rows), "regions")
+    return hs.state_segments(hs.stored_state(path, spark, axis.last), axis.last, lookup, P.default_region)
+
+
 # --- pooled segments ---------------------------------------------------------------
 
 

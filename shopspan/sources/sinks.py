@@ -32,9 +32,10 @@ def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The table, or None without one; with a schema, a table without any file is empty."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
