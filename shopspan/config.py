@@ -58,6 +58,8 @@ class RetentionParams:
     # Gold tables.
     lookback_years: int = 2
     period_weeks: int = 13
+    # Keep each customer's sums of the window and move them on by one week of lines a run.
+    rolling_sales: bool = False
 
     # Data-quality floors.
     min_rows_per_week: int = 600_000

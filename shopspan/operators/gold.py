@@ -21,7 +21,7 @@ def counted_cards(excluded) -> Column:
     return ~card.isin(*excluded) | card.isNull()
 
 
-def _tenure_columns(first_event: Column, max_week: date, period_weeks: int) -> dict:
+def tenure_columns(first_event: Column, max_week: date, period_weeks: int) -> dict:
     weeks = (F.datediff(F.lit(max_week), first_event) / 7).cast("int")
     return {
         "weeks_since_first_shop_trunc": weeks,
@@ -49,7 +49,7 @@ def base_tenure(
         .join(customers.select("customer_hk", F.col("current_household_id").alias("hhn")), "customer_hk")
         .groupBy("hhn")
         .agg(F.date_sub(F.min("first_week"), 7).alias("first_event_trunc"))
-        .withColumns(_tenure_columns(F.col("first_event_trunc"), max_week, period_weeks))
+        .withColumns(tenure_columns(F.col("first_event_trunc"), max_week, period_weeks))
         .withColumn("max_wed", F.lit(max_week))
         .select("hhn", "max_wed", "first_event_trunc", "weeks_since_first_shop_trunc",
                 "period_length_weeks", "n_periods_tenure")
@@ -97,7 +97,7 @@ def annualized_sales(
         daily.join(days, "fiscal_date", "left")
         .withColumn("first_event_trunc", first_event)
         .where(F.col("fiscal_date") > F.col("first_event_trunc"))
-        .withColumns(_tenure_columns(F.col("first_event_trunc"), max_week, period_weeks))
+        .withColumns(tenure_columns(F.col("first_event_trunc"), max_week, period_weeks))
         .groupBy("hhn", "n_periods_tenure")
         .agg(
             F.round(F.coalesce(per_period * (52 / period_weeks), F.lit(0.0)), 0).alias("annualized_sales"),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopspan.functions import measures as m
+from shopspan.operators import stable_batches
 from shopspan.operators.calendar import KeyDates, KeyWeeks, unique_weeks
 from shopspan.operators.ordering import ordered_positions
 from shopspan.sources.staging import staged
@@ -269,9 +272,9 @@ def household_batches(totals: DataFrame, per_batch: int = 25_000) -> DataFrame:
 
 
 def finish_household_weeks(
-    totals: DataFrame, dim_location: DataFrame, banners, per_batch: int
+    totals: DataFrame, dim_location: DataFrame, banners, per_batch: int, batches: DataFrame | None = None
 ) -> DataFrame:
-    """Attach region, weekly globals and batch number.
+    """Attach region, weekly globals and batch number, of ``batches`` where given.
 
     ``totals`` is read three times, so pass a stored table. Weeks whose top store
     is not a listed active store drop out here, after globals and batches.
@@ -281,7 +284,7 @@ def finish_household_weeks(
     )
     # One row per week of the window.
     globals_ = F.broadcast(weekly_globals(totals))
-    batches = household_batches(totals, per_batch).select("hhn", "hhn_batch_num")
+    batches = (household_batches(totals, per_batch) if batches is None else batches).select("hhn", "hhn_batch_num")
     return (
         totals.join(stores, "maxsales_location_id")
         .join(globals_, ["year_number", "week_number"], "left")
@@ -300,7 +303,14 @@ def build_household_weeks(
     banners,
     per_batch: int = 25_000,
     true_counts: bool = False,
+    numbers_path: str | None = None,
+    run_date: date | None = None,
 ) -> DataFrame:
+    """Household weeks; batches follow the numbers kept at ``numbers_path``, extended by the run, or are counted anew."""
     store_weeks = household_store_weeks(customer_week_rows, tables.dim_customer, key, true_counts)
     totals = staged(household_totals(store_weeks, tables.dim_date), "household-totals")
-    return finish_household_weeks(totals, tables.dim_location, banners, per_batch)
+    batches = None
+    if numbers_path:
+        stable_batches.extend(numbers_path, totals.select("hhn"), run_date)
+        batches = stable_batches.batches(numbers_path, totals.sparkSession, per_batch)
+    return finish_household_weeks(totals, tables.dim_location, banners, per_batch, batches)

@@ -20,6 +20,7 @@ from shopspan.operators import features as feat
 from shopspan.operators import fitting, gold, pooling, quality, sampling, weekly
 from shopspan.operators import predictions as pred
 from shopspan.operators import regression as reg
+from shopspan.operators import rolling_sales as rolling
 from shopspan.operators import sequences as seq
 from shopspan.schemas import ALL_FEATURES, HOUSEHOLD_CHURN_COLUMNS, STORE_FEATURE
 from shopspan.sources import sinks
@@ -83,6 +84,7 @@ class RetentionFlow:
         households = staged(
             weekly.build_household_weeks(
                 self.read("customer_weeks"), t, weeks, p.listed_banners, p.households_per_batch,
+                numbers_path=self.path("household_numbers"), run_date=dates.max_date,
             ),
             "household-weeks",
         )
@@ -301,9 +303,16 @@ class RetentionFlow:
             week = cal.read_last_complete_week(dates, normalize_end_date(p.end_date_pred))
         # Earlier weeks have not changed since their own runs.
         latest = latest.where(F.col("max_week_ending_date") == F.lit(week))
-        annualized = gold.annualized_sales(
-            sales, customers, items, dates, week, p.excluded_card_types, p.lookback_years, p.period_weeks
-        )
+        if p.rolling_sales:
+            path = self.path("rolling_sales")
+            rolling.advance_stored(path, sales, items, dates, week, p.lookback_years)
+            annualized = rolling.annualized_from_window(
+                rolling.stored_window(path, sales, week), customers, week, p.excluded_card_types, p.period_weeks
+            )
+        else:
+            annualized = gold.annualized_sales(
+                sales, customers, items, dates, week, p.excluded_card_types, p.lookback_years, p.period_weeks
+            )
         sinks.merge_into(
             self.path("household_annualized_sales"), annualized, "churn_max_week_ending_date",
             **gold.ANNUALIZED_MERGE,

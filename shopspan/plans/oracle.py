@@ -210,6 +210,11 @@ LEFT JOIN t_global USING (year_number, week_number) JOIN t_batch USING (hhn)"""
 ORACLE["household_weeks"] = "SELECT * FROM t_hh"
 ORACLE["household_batches"] = """
 SELECT hhn, unique_hhn_num, unique_hhn_num // 100 AS hhn_batch_num FROM t_batch"""
+ORACLE["stable_household_batches"] = """
+SELECT hhn, unique_hhn_num, unique_hhn_num // 100 AS hhn_batch_num, run
+FROM (SELECT hhn, run, row_number() OVER (ORDER BY run, hhn) - 1 AS unique_hhn_num
+      FROM (SELECT hhn, CASE WHEN min(week_ending_date) <= (SELECT min(week_ending_date) FROM t_total) + 28 THEN 1 ELSE 2 END AS run
+            FROM t_total GROUP BY 1))"""
 
 # --- windows, splits, sampling ----------------------------------------------------
 
@@ -847,6 +852,7 @@ CTES["t_annual"] = _annual(2)
 CTES["t_annual_short"] = _annual(1)
 CTES["t_annual_before"] = _annual(1, f"{LAST_WEEK} - 7")
 ORACLE["annualized_sales"] = "SELECT * FROM t_annual"
+ORACLE["rolling_sales"] = "SELECT * FROM t_annual_short UNION ALL SELECT * FROM t_annual_before"
 CTES["t_gold"] = """
 SELECT max_week_ending_date, hhn, p AS churn_probability, weeks_since_last_shop,
        round(1 - exp(-pow(1 / alpha, beta)), 4) AS next_week_shop_prob, annualized_sales,

@@ -18,7 +18,8 @@ from shopspan.operators import fitting, gold, pooling, quality, reports
 from shopspan.operators import household_state as hs
 from shopspan.operators import predictions as pred
 from shopspan.operators import regression as reg
-from shopspan.operators import sampling, weekly
+from shopspan.operators import rolling_sales as rolling
+from shopspan.operators import sampling, stable_batches, weekly
 from shopspan.operators import sequences as seq
 from shopspan.plans.sample_setting import END_DATE, SAMPLE_PARAMS
 from shopspan.schemas import ALL_FEATURES, HOUSEHOLD_CHURN_COLUMNS, NUMERIC_FEATURES
@@ -149,6 +150,21 @@ def household_batches(spark, folder):
     return weekly.household_batches(totals, P.households_per_batch)
 
 
+@query
+def stable_household_batches(spark, folder):
+    """Numbers of three runs: households of the first five weeks, then all, then all again."""
+    t, store_weeks = _store_weeks(spark, folder)
+    rows = staged(weekly.household_totals(store_weeks, t.dim_date).select("hhn", "week_ending_date"), "household-ids")
+    path = new_staging_path(spark, "household-numbers")
+    first = rows.agg(F.min("week_ending_date")).first()[0] + timedelta(weeks=4)
+    for run, ids in enumerate((rows.where(F.col("week_ending_date") <= F.lit(first)), rows, rows)):
+        stable_batches.extend(path, ids, first + timedelta(weeks=run))
+    runs = stable_batches.numbers(path, spark).select(
+        "hhn", (F.datediff("added", F.lit(first)) / 7 + 1).cast("int").alias("run")
+    )
+    return stable_batches.batches(path, spark, P.households_per_batch).join(runs, "hhn")
+
+
 # --- windows, splits, sampling ------------------------------------------------
 
 
@@ -937,6 +953,22 @@ def annualized_sales(spark, folder):
     return _annualized(src.sales_tables(spark, folder))
 
 
+@query
+def rolling_sales(spark, folder):
+    """Two successive weeks of a one-year window, built two weeks earlier and moved on by one week of lines a step."""
+    t = src.sales_tables(spark, folder)
+    sales, customers, items = _gold_sources(t)
+    path = new_staging_path(spark, "rolling-sales")
+    for back in (3, 2, 1, 0):
+        rolling.advance_stored(path, sales, items, t.dim_date, LAST_WEEK - timedelta(weeks=back), 1)
+    now, before = (
+        rolling.annualized_from_window(
+            rolling.stored_window(path, sales, week), customers, week, P.excluded_card_types, P.period_weeks
+        ) for week in (LAST_WEEK, LAST_WEEK - timedelta(weeks=1))
+    )
+    return now.unionAll(before)
+
+
 def _household_churn(spark, folder):
     t, runs = _two_runs(spark, folder)
     return t, gold.household_churn(_annualized(t), pred.latest_predictions(runs))
