@@ -15,9 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUDGET, HISTORY = 1024, 128
-#: A turn's tokens are estimated: its marks, and one for every four characters.
+#: A turn's tokens are estimated: its marks, and one for every four characters as written, that is escaped.
 MARK_TOKENS, CHARS_PER_TOKEN = 8, 4
 _HEAD_START = -(10**12)  # out of every history's reach
+#: Spans are cut in blocks of so many rooms, each on its own; what is gathered to cut one is bounded by that.
+BLOCK_ROOMS = 16
+#: Any two spans in a row pass the room, so a block has fewer spans than this.
+SPANS_IN_BLOCK = 64
 
 
 def escaped(c: Column) -> Column:
@@ -32,6 +36,40 @@ def _written(turn: Column) -> Column:
     return F.concat(F.lit("<turn "), escaped(turn["role"]), F.lit(">"), escaped(turn["text"]), F.lit("</turn>\n"))
 
 
+def _span_starts() -> Column:
+    """Numbers (from 1) of the turns that open a span: the block's first, and each that would take its span past the room."""
+    start = F.struct(
+        F.lit(0).alias("n"), F.col("turns")[0]["begin"].alias("from"), F.array(F.lit(1)).alias("starts")
+    )
+
+    def read(s, t):
+        opens = (t["begin"] > s["from"]) & (t["begin"] + t["counted"] - s["from"] > F.col("room"))
+        return F.struct(
+            (s["n"] + 1).alias("n"), F.when(opens, t["begin"]).otherwise(s["from"]).alias("from"),
+            F.when(opens, F.array_append(s["starts"], s["n"] + 1)).otherwise(s["starts"]).alias("starts"),
+        )
+
+    return F.aggregate("turns", start, read, lambda s: s["starts"])
+
+
+def _spans(history: int) -> Column:
+    """Each span's turns, and the turns of the history before it, of this block or of the one before."""
+    seen = F.concat(
+        F.coalesce("past", F.array()),
+        F.transform("turns", lambda t: F.struct(*[t[c].alias(c) for c in ("pos", "at", "role", "text")])),
+    )
+
+    def cut(first, k):
+        after = F.coalesce(F.get("starts", k + 1), F.size("turns") + 1)
+        begin = F.get("turns", first - 1)["begin"]
+        return F.struct(
+            F.slice("turns", first, after - first).alias("span"),
+            F.filter(seen, lambda t: (t["at"] >= begin - history) & (t["at"] < begin)).alias("past"),
+        )
+
+    return F.transform("starts", cut)
+
+
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Training windows: conv_id, window (from 0, may skip), formatted, n_repeated, loss.
 
@@ -39,36 +77,41 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     and text; repeated rows are turns of their own. Null texts and roles are empty, null turns come first, and
     rows without conv_id form one conversation. The first turn counts as system turn if its role is
     ``system``. ``n_repeated`` leading turns were shown before; ``loss`` lists (start from 1, length) of the
-    targets in code points of ``formatted``. A window keeps to the budget unless one turn alone takes more
-    than half the room beside system turn and history; no turn is cut or dropped. Empty table: empty result.
+    targets in code points of ``formatted``. A span takes turns as long as they fit beside system turn and
+    history, so only a window whose span is one turn can pass the budget; no turn is cut or dropped. Empty
+    table: empty result.
 
     Scale: one shuffle by conversation; prefix sums and histories are window functions over sorted rows
-    that spill, and what is gathered is one window's turns.
+    that spill. Prefix sums deal turns to blocks of BLOCK_ROOMS rooms, in which spans are cut greedily: what is
+    gathered is one block's turns, whatever the conversation's length.
     """
     text = F.coalesce("text", F.lit(""))
     turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
     turns = turns.withColumn(
-        "tokens", (F.ceil(F.char_length("text") / CHARS_PER_TOKEN) + MARK_TOKENS).cast("long")
+        "tokens", (F.ceil(F.char_length(escaped(F.col("text"))) / CHARS_PER_TOKEN) + MARK_TOKENS).cast("long")
     )
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     turns = turns.withColumn("pos", F.row_number().over(order))
     turns = turns.withColumn("is_head", (F.col("pos") == 1) & (F.col("role") == "system"))
     by_pos = Window.partitionBy("conv_id").orderBy("pos")
-    counted = F.when(F.col("is_head"), F.lit(0)).otherwise(F.col("tokens"))
+    turns = turns.withColumn("counted", F.when(F.col("is_head"), F.lit(0)).otherwise(F.col("tokens")))
     turns = turns.withColumn(
         "head", F.first(F.when(F.col("is_head"), F.struct("role", "text", "tokens")), ignorenulls=False).over(by_pos)
-    ).withColumn("at", F.when(F.col("is_head"), F.lit(_HEAD_START)).otherwise(F.sum(counted).over(by_pos) - counted))
-    room = F.greatest(F.lit(1), F.floor((budget - history - F.coalesce(F.col("head")["tokens"], F.lit(0))) / 2))
-    turns = turns.withColumn("window", F.floor(F.greatest("at", F.lit(0)) / room).cast("long"))
+    ).withColumn("begin", F.sum("counted").over(by_pos) - F.col("counted"))
+    turns = turns.withColumn("at", F.when(F.col("is_head"), F.lit(_HEAD_START)).otherwise(F.col("begin")))
+    room = F.greatest(F.lit(1), budget - history - F.coalesce(F.col("head")["tokens"], F.lit(0)))
+    turns = turns.withColumn("room", room).withColumn("block", F.floor(F.col("begin") / (BLOCK_ROOMS * F.col("room"))))
     before = Window.partitionBy("conv_id").orderBy("at").rangeBetween(-history, -1)
     turns = turns.withColumn(
-        "past", F.collect_list(F.struct("pos", "role", "text")).over(before)
-    ).withColumn("past", F.when(~F.col("window").eqNullSafe(F.lag("window").over(by_pos)), F.col("past")))
-    spans = turns.groupBy("conv_id", "window").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "role", "text", "is_head"))).alias("span"),
-        F.min_by("past", "pos").alias("past"),
-        F.first("head").alias("head"),
+        "past", F.collect_list(F.struct("pos", "at", "role", "text")).over(before)
+    ).withColumn("past", F.when(~F.col("block").eqNullSafe(F.lag("block").over(by_pos)), F.col("past")))
+    blocks = turns.groupBy("conv_id", "block").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "at", "begin", "counted", "role", "text", "is_head"))).alias("turns"),
+        F.min_by("past", "pos").alias("past"), F.first("head").alias("head"), F.first("room").alias("room"),
     )
+    spans = blocks.withColumn("starts", _span_starts()).select(
+        "conv_id", "block", "head", F.posexplode(_spans(history)).alias("number", "one")
+    ).select("conv_id", (F.col("block") * SPANS_IN_BLOCK + F.col("number")).alias("window"), "head", "one.span", "one.past")
     repeat_head = F.col("head").isNotNull() & ~F.col("span")[0]["is_head"]
     head = F.when(repeat_head, F.array(F.struct(F.col("head")["role"].alias("role"), F.col("head")["text"].alias("text"))))
     shown = lambda c: F.transform(c, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
@@ -124,38 +167,53 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 ORACLE_SQL = r"""
-WITH source AS (
+WITH RECURSIVE source AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ),
-turns AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
-         CAST(ceil(length(text) / 4.0) AS BIGINT) + 8 AS tokens,
-         15 + length(role || text) + 4 * (length(role || text) - length(replace(role || text, '&', '')))
-            + 3 * (length(role || text) - length(replace(replace(role || text, '<', ''), '>', ''))) AS chars
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         length(text) + 4 * (length(text) - length(replace(text, '&', '')))
+            + 3 * (length(text) - length(replace(replace(text, '<', ''), '>', ''))) AS text_chars,
+         15 + length(role) + 4 * (length(role) - length(replace(role, '&', '')))
+            + 3 * (length(role) - length(replace(replace(role, '<', ''), '>', ''))) AS other_chars
   FROM source
 ),
+turns AS (
+  SELECT *, CAST(ceil(text_chars / 4.0) AS BIGINT) + 8 AS tokens, text_chars + other_chars AS chars FROM numbered
+),
 heads AS (
   SELECT *, pos = 1 AND role = 'system' AS is_head,
-         max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id) AS head_tokens,
-         max(CASE WHEN pos = 1 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id) AS head_chars
+         max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY c) AS head_tokens,
+         max(CASE WHEN pos = 1 AND role = 'system' THEN chars END) OVER (PARTITION BY c) AS head_chars
   FROM turns
 ),
 placed AS (
-  SELECT *, CASE WHEN is_head THEN -1000000000000 ELSE
-         sum(CASE WHEN is_head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY pos) - tokens END AS begin_at
+  SELECT *, CASE WHEN is_head THEN 0 ELSE tokens END AS counted,
+         sum(CASE WHEN is_head THEN 0 ELSE tokens END) OVER (PARTITION BY c ORDER BY pos)
+            - CASE WHEN is_head THEN 0 ELSE tokens END AS begin_at,
+         greatest(1, 1024 - 128 - coalesce(head_tokens, 0)) AS room
   FROM heads
 ),
-cut AS (
-  SELECT *, CAST(floor(greatest(begin_at, 0) / greatest(1, floor((1024 - 128 - coalesce(head_tokens, 0)) / 2.0))) AS BIGINT) AS win,
-         coalesce(sum(chars) OVER (PARTITION BY conv_id ORDER BY begin_at RANGE BETWEEN 128 PRECEDING AND 1 PRECEDING), 0) AS past
+dealt AS (
+  SELECT *, begin_at // (16 * room) AS block,
+         coalesce(sum(chars) OVER (PARTITION BY c, is_head ORDER BY begin_at RANGE BETWEEN 128 PRECEDING AND 1 PRECEDING), 0) AS past
   FROM placed
 ),
+indexed AS (SELECT *, row_number() OVER (PARTITION BY c, block ORDER BY pos) AS i FROM dealt),
+walk AS (
+  SELECT c, block, i, pos, begin_at AS span FROM indexed WHERE i = 1
+  UNION ALL
+  SELECT t.c, t.block, t.i, t.pos,
+         CASE WHEN t.begin_at > w.span AND t.begin_at + t.counted - w.span > t.room THEN t.begin_at ELSE w.span END
+  FROM walk w JOIN indexed t ON t.c = w.c AND t.block = w.block AND t.i = w.i + 1
+),
 lengths AS (
-  SELECT conv_id, win, sum(chars) + arg_min(past, pos)
+  SELECT any_value(conv_id) AS conv_id, sum(chars) + arg_min(CASE WHEN is_head THEN 0 ELSE past END, pos)
          + CASE WHEN bool_or(is_head) THEN 0 ELSE coalesce(any_value(head_chars), 0) END AS chars
-  FROM cut GROUP BY conv_id, win
+  FROM indexed JOIN walk USING (c, block, i, pos) GROUP BY c, block, span
 ),
 whole AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM lengths GROUP BY conv_id)
 SELECT t.conv_id, count(*) AS n_turns,

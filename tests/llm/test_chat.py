@@ -50,7 +50,7 @@ def test_windows_by_hand(spark, turns):
     table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     esc = lambda x: html.escape(x, quote=False)
     write = lambda t: f"<turn {esc(t[1])}>{esc(t[2])}</turn>\n"
-    cost = lambda t: -(-len(t[2]) // 4) + 8
+    cost = lambda t: -(-len(esc(t[2])) // 4) + 8
     got = {}
     for r in chat.windows(table, budget, history).collect():
         got.setdefault(r.conv_id, []).append(r)
@@ -61,16 +61,19 @@ def test_windows_by_hand(spark, turns):
         rows.sort()
         head = rows[0] if rows[0][1] == "system" else None
         body = rows[1:] if head else rows
-        room = max(1, (budget - history - (cost(head) if head else 0)) // 2)
-        at, starts = 0, []
-        for t in body:
+        room = max(1, budget - history - (cost(head) if head else 0))
+        at, starts, spans = 0, [], []
+        for k, t in enumerate(body):
+            new_block = not k or at // (16 * room) != starts[-1] // (16 * room)
+            if new_block or at + cost(t) - starts[spans[-1][0]] > room:
+                spans.append([])
             starts.append(at)
+            spans[-1].append(k)
             at += cost(t)
-        numbers = sorted({s // room for s in starts} | ({0} if head else set()))
+        spans = spans or [[]]
         seen = sorted(got[c], key=lambda r: r.window)
-        assert [r.window for r in seen] == numbers
-        for r in seen:
-            own = [k for k, s in enumerate(starts) if s // room == r.window]
+        assert len(seen) == len(spans)
+        for r, own in zip(seen, spans):
             past = [k for k, s in enumerate(starts) if own and starts[own[0]] - history <= s < starts[own[0]]]
             lead = ([head] if head and r.window else []) + [body[k] for k in past]
             first = [head] if head and not r.window else []
@@ -78,10 +81,23 @@ def test_windows_by_hand(spark, turns):
             assert r.formatted == "".join(map(write, shown)) and r.n_repeated == len(lead)
             targets = [esc(t[2]) for t in first + [body[k] for k in own] if t[1] == "assistant"]
             assert [r.formatted[x.start - 1:x.start - 1 + x.length] for x in r.loss] == targets
-            if room > 1 and all(cost(body[k]) <= room for k in own):
+            if len(own) > 1 or own and cost(body[own[0]]) <= room:
                 assert sum(map(cost, shown)) <= budget
 
 
+def test_a_large_turn_beside_small_ones(spark):
+    """A turn of 90 % of the room late in a span, one larger than the room, and many blocks of small turns."""
+    sizes = [40, 700, 3160, 40, 40, 9000, 40] + [100 + k % 50 for k in range(3000)]
+    rows = [(1, t, ("user", "assistant")[t % 2], "x" * n) for t, n in enumerate(sizes)]
+    got = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    tokens = lambda r: [-(-(len(x) - x.index(">") - 1) // 4) + 8 for x in r.formatted.split("</turn>\n")[:-1]]
+    passing = [r for r in got if sum(tokens(r)) > chat.BUDGET]
+    assert len(passing) == 1 and len(tokens(passing[0])) - passing[0].n_repeated == 1
+    # Spans are nearly full: two in a row pass the room.
+    whole = sum(-(-n // 4) + 8 for n in sizes)
+    assert len(got) <= 1.15 * whole / (chat.BUDGET - chat.HISTORY) + 4
+
+
 def test_empty_and_native(spark, turns):
     table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     assert chat.windows(table.limit(0)).count() == 0 and chat.read_back(chat.windows(table.limit(0))).count() == 0
