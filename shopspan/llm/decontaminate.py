@@ -21,7 +21,7 @@ from shopspan.sources.staging import staged
 
 #: Share of an item's words that may be edited.
 EDIT_PERCENT = 20
-#: Shorter items are no evidence: their words occur everywhere.
+#: Shorter items allow too few edits for walks: they are matched word for word, by a hash of their whole word sequence.
 LEAST_WORDS = 8
 WALKS, KEYS, STEPS_IN_KEY = 8, 12, 3
 #: Steps of a walk that a key may sample, per word of the item: a pointer advances every other step.
@@ -42,7 +42,7 @@ _NEXT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def edits_allowed(words):
-    return words * EDIT_PERCENT // 100
+    return words * EDIT_PERCENT // 100 * (words >= LEAST_WORDS)
 
 
 def size_classes(largest: int) -> np.ndarray:
@@ -110,6 +110,14 @@ def pairs(words: np.ndarray) -> np.ndarray:
     return out
 
 
+def runs(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the ``n`` words from each place on; meaningless where a pad is among them."""
+    out = np.full(max(0, len(words) - n + 1), np.uint64(n))
+    for j in range(n):
+        out = mix(out * _NEXT + words[j: j + len(out)])
+    return out
+
+
 def _slot(values: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
     return (values >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -129,22 +137,28 @@ def _embed(batches):
         n = found.counts
         words, starts = with_pads(word_hashes(data, found), found.first)
         lows = size_classes(int(n.max(initial=0)) + 1)
+        ids, item, two = as_long(rows.column("item_id")), lists(signed(words[words != 0]), n), lists(signed(pairs(words)[words != 0]), n)
+
+        def of(use, keys):
+            return pa.RecordBatch.from_arrays(
+                [*(x.filter(pa.array(use)) for x in (ids, item, two)), lists(signed(keys.ravel()), np.full(len(keys), keys.shape[1]))],
+                schema=schema,
+            )
+
         use = n >= LEAST_WORDS
         kinds = np.searchsorted(lows, n, "right") - 1
-        keys = walk_keys(words, starts[use], kinds[use], lows)
-        yield pa.RecordBatch.from_arrays([
-            as_long(rows.column("item_id")).filter(pa.array(use)),
-            lists(signed(words[words != 0]), n).filter(pa.array(use)),
-            lists(signed(pairs(words)[words != 0]), n).filter(pa.array(use)),
-            lists(signed(keys.ravel()), np.full(len(keys), WALKS * KEYS)),
-        ], schema=schema)
+        yield of(use, walk_keys(words, starts[use], kinds[use], lows))
+        for size in range(1, LEAST_WORDS):
+            if (n == size).any():
+                yield of(n == size, runs(words, size)[starts[n == size]][:, None])
 
 
 def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int], chunk: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()),
                         ("keys", pa.list_(pa.int64())), ("near", pa.list_(pa.int64()))])
     lows = size_classes(max(sizes, default=0) + 1)
-    kinds_used = sorted(set((np.searchsorted(lows, sizes, "right") - 1).tolist()))
+    walked, short = [n for n in sizes if n >= LEAST_WORDS], [n for n in sizes if 0 < n < LEAST_WORDS]
+    kinds_used = sorted(set((np.searchsorted(lows, walked, "right") - 1).tolist()))
 
     def run(batches):
         known, coupled, hit = (
@@ -159,6 +173,20 @@ def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int], chu
             two = pairs(words)
             total = np.concatenate([[0], np.cumsum(member)])
             total_two = np.concatenate([[0], np.cumsum(coupled[_slot(two)] & (two != 0))])
+            ids, text_keys = as_long(rows.column("doc_id")), rows.column("text_key")
+            for n in short:
+                keys = runs(words, n)
+                at = np.flatnonzero(hit[_slot(keys, KEY_FILTER_BITS)] & hit[_slot(keys << np.uint64(32), KEY_FILTER_BITS)])
+                doc = np.searchsorted(first, at, "right") - 1
+                inside = at + n <= ends[doc]
+                at, doc = at[inside], doc[inside]
+                # The first of equal runs of a text stands for all: it is the one that the result names.
+                at, doc = (x[np.sort(np.unique(np.stack([doc, keys[at].view(np.int64)]), axis=1, return_index=True)[1])] for x in (at, doc))
+                yield pa.RecordBatch.from_arrays([
+                    ids.take(pa.array(doc)), text_keys.take(pa.array(doc)), pa.array(at - first[doc]),
+                    lists(signed(keys[at]), np.ones(len(at), np.int64)),
+                    lists(signed(words[(at[:, None] + np.arange(n)).ravel()]), np.full(len(at), n)),
+                ], schema=schema)
             starts = np.flatnonzero(member)
             owner = np.searchsorted(first, starts, "right") - 1
             ahead = ends[owner]
@@ -184,7 +212,7 @@ def _scan(vocabulary: bytes, couples: bytes, slots: bytes, sizes: list[int], chu
                 length = np.minimum(begin + high + edits_allowed(high), ahead[chosen]) - begin
                 near = np.arange(int(length.sum())) + np.repeat(begin - (np.cumsum(length) - length), length)
                 yield pa.RecordBatch.from_arrays([
-                    as_long(rows.column("doc_id")).take(pa.array(doc)), rows.column("text_key").take(pa.array(doc)),
+                    ids.take(pa.array(doc)), text_keys.take(pa.array(doc)),
                     pa.array(begin - first[doc]), lists(signed(keys[some][passed]), passed.sum(axis=1)),
                     lists(signed(words[near]), length),
                 ], schema=schema)
@@ -272,8 +300,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chunk: int = CHUNK) -> D
     Needs doc_id and text of ``docs``, item_id and text of ``benchmark``; other columns are not read.
     Returns one row per (doc_id, text_key, item_id): start (word), length (words) and edits of the best
     passage; fewer edits, then the earlier start win a tie. Words are compared with A-Z lower-cased. Null
-    or empty texts match nothing, items of fewer than LEAST_WORDS words are left out, repeated rows give the
-    row once, null ids are kept. Either table empty: an empty result.
+    or empty texts match nothing, items of fewer than LEAST_WORDS words match only word for word, repeated rows
+    give the row once, null ids are kept. Either table empty: an empty result.
 
     Scale: whole documents stream through one scan. A match keeps at least 80 % of the item's words and, as an
     edit breaks two pairs of neighbours, 60 % of its pairs less one, so only windows with that many words and
@@ -286,8 +314,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chunk: int = CHUNK) -> D
     )
     sizes = [r[0] for r in items.select(F.size("item")).distinct().collect()]
     slots = _filter_bits(items.select(F.explode("keys").alias("value")), KEY_FILTER_BITS, 2)
-    vocabulary = _filter_bits(items.select("item").mapInArrow(_spread, "value long"))
-    couples = _filter_bits(items.select(F.explode("pairs").alias("value")).where("value <> 0"))
+    long_items = items.where(F.size("item") >= LEAST_WORDS)
+    vocabulary = _filter_bits(long_items.select("item").mapInArrow(_spread, "value long"))
+    couples = _filter_bits(long_items.select(F.explode("pairs").alias("value")).where("value <> 0"))
     windows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key())
         .mapInArrow(_scan(vocabulary, couples, slots, sizes, chunk),
