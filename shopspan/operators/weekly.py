@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopspan.functions import measures as m
 from shopspan.operators import stable_batches
 from shopspan.operators.calendar import KeyDates, KeyWeeks, unique_weeks
-from shopspan.operators.ordering import ordered_positions
+from shopspan.operators.ordering import ordered_positions, running_sums
 from shopspan.sources.staging import staged
 from shopspan.sources.tables import lower_case_columns
 
@@ -251,14 +251,42 @@ def household_totals(store_weeks: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
+MEDIANS = {"median_sales": "sales_dollars", "median_units_sales": "units_sales"}
+
+
+def weekly_medians(totals: DataFrame) -> DataFrame:
+    """Exact medians per week, of an even number the lower middle; no week is gathered in one task.
+
+    Both measures go through one sort: a row holds a value of one of them and null in the other.
+    """
+    week = ["year_number", "week_number"]
+    values = F.array(*[
+        F.struct(F.lit(name).alias("median"), *[(F.col(c) if c == own else F.lit(None).cast(totals.schema[c].dataType)).alias(c)
+                                                for c in MEDIANS.values()])
+        for name, own in MEDIANS.items()
+    ])
+    counted = (
+        totals.select(*week, F.explode(values).alias("v")).select(*week, "v.*")
+        .where(F.col("sales_dollars").isNotNull() | F.col("units_sales").isNotNull())
+        .groupBy(*week, "median", *MEDIANS.values()).agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = running_sums(counted, [*week, "median"], [F.asc(c) for c in MEDIANS.values()], ["n"])
+    # Two rows per week of the window.
+    sizes = F.broadcast(ranked.groupBy(*week, "median").agg(F.sum("n").alias("total")))
+    middle = F.expr("(total + 1) div 2")
+    return ranked.join(sizes, [*week, "median"]).where((F.col("cum_n") >= middle) & (F.col("cum_n") - F.col("n") < middle)).groupBy(*week).agg(*[
+        F.max(F.when(F.col("median") == name, F.col(c))).alias(name) for name, c in MEDIANS.items()
+    ])
+
+
 def weekly_globals(totals: DataFrame) -> DataFrame:
     """Median and mean behaviour of all households, per week."""
-    return totals.groupBy("year_number", "week_number").agg(
-        F.percentile_approx("sales_dollars", 0.5).alias("median_sales"),
-        F.percentile_approx("units_sales", 0.5).alias("median_units_sales"),
+    week = ["year_number", "week_number"]
+    means = totals.groupBy(*week).agg(
         F.avg("n_transaction").cast("decimal(27,5)").alias("avg_n_transaction"),
         F.avg("n_ecomm_trans").cast("decimal(27,5)").alias("avg_n_ecomm_trans"),
     )
+    return means.join(weekly_medians(totals), week, "left")
 
 
 def household_batches(totals: DataFrame, per_batch: int = 25_000) -> DataFrame:
@@ -276,7 +304,7 @@ def finish_household_weeks(
 ) -> DataFrame:
     """Attach region, weekly globals and batch number, of ``batches`` where given.
 
-    ``totals`` is read three times, so pass a stored table. Weeks whose top store
+    ``totals`` is read four times, so pass a stored table. Weeks whose top store
     is not a listed active store drop out here, after globals and batches.
     """
     stores = listed_stores(dim_location, banners).select(

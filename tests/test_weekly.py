@@ -89,3 +89,17 @@ def test_top_store_tie_and_dropped_store(spark, tables, keys):
 def test_one_scan_of_the_sales(spark, tables, keys):
     plan = weekly.build_customer_weeks(tables, keys[0], ["A"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ecomm_trans_id") and plan.count("Join Inner") + plan.count("Join LeftOuter") == 3
+
+
+def test_medians_are_exact_for_many_households(spark):
+    # More different values than an approximate percentile tells apart; other weeks of one, two and no known values.
+    n = 120_001
+    big = spark.range(n).selectExpr(
+        "2020 AS year_number", "7 AS week_number", f"CAST(pmod(id * 7919, {n}) AS decimal(28,4)) / 4 AS sales_dollars",
+        f"CAST(pmod(id * 104729, {n}) AS double) / 2 AS units_sales")
+    few = spark.sql("""SELECT * FROM VALUES (2020, 8, 5, 2D), (2020, 8, 3, 1D), (2020, 9, 4, 6D), (2020, 10, null, 9D), (2020, 11, null, null)
+        AS t(year_number, week_number, sales_dollars, units_sales)""")
+    rows = big.unionAll(few).selectExpr("year_number", "week_number", "CAST(sales_dollars AS decimal(28,4)) AS sales_dollars", "units_sales",
+                                        "1L AS n_transaction", "0L AS n_ecomm_trans")
+    got = {r.week_number: (r.median_sales, r.median_units_sales) for r in weekly.weekly_globals(rows).collect()}
+    assert got == {7: (Decimal("15000.0000"), 30000.0), 8: (3, 1.0), 9: (4, 6.0), 10: (None, 9.0), 11: (None, None)}
