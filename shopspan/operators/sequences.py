@@ -47,6 +47,17 @@ def axis_length(axis: WeekSpan, step_days: int = 7) -> int:
     return (axis.last - axis.first).days // step_days + 1
 
 
+#: Dense rows of one task: what its windows sort and keep in memory.
+ROWS_PER_TASK = 200_000
+
+
+def dense_tasks(features: DataFrame, axis: WeekSpan, step_days: int = 7, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for the dense rows, from their exact number: first weeks say how many each household will have."""
+    first = features.groupBy("hhn").agg(F.min("week_ending_date").alias("first"))
+    steps = F.floor(F.datediff(F.lit(axis.last), "first") / step_days) + 1
+    return max(1, math.ceil((first.agg(F.sum(steps)).first()[0] or 0) / rows_per_task))
+
+
 def densify(
     features: DataFrame, axis: WeekSpan, columns=ALL_FEATURES, step_days: int = 7
 ) -> DataFrame:
@@ -55,10 +66,13 @@ def densify(
     Steps without a row get zero in every feature. Each row is expanded over the gap
     up to the household's next row, so no axis table is joined in. Several rows of
     one household and week are averaged.
+
+    Households are dealt by the number of their dense rows: by the few rows before the expansion
+    Spark would choose far too few tasks for what follows.
     """
     forward = Window.partitionBy("hhn").orderBy("week_ending_date")
     per_week = (
-        features.repartition("hhn")
+        features.repartition(dense_tasks(features, axis, step_days), "hhn")
         .groupBy("hhn", "week_ending_date")
         .agg(*[F.avg(c).alias(c) for c in columns])
     )

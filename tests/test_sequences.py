@@ -123,3 +123,16 @@ def test_pack_and_unpack(spark):
         1: [5.0, 2.0, 6.0, 1.0, -1.0, 0.5], 2: [7.0, 0.0, -1.0, 0.5, -1.0, 0.5]}
     back = seq.unpack_sequences(packed, ["x", "tte"])
     assert {tuple(r) for r in back.where("x <> -1").collect()} == set(rows) and back.count() == 6
+
+
+def test_dense_rows_are_dealt_by_their_number(spark, monkeypatch):
+    # 40 households with one purchase each, at the axis start: 40 rows become 40 * 100.
+    first = date(2021, 1, 3)
+    df = spark.createDataFrame([(h, first, 1.0) for h in range(40)], "hhn bigint, week_ending_date date, n_transaction double")
+    axis = WeekSpan(first, first + timedelta(weeks=99))
+    assert seq.dense_tasks(df, axis) == 1 and seq.dense_tasks(df.limit(0), axis) == 1
+    assert seq.dense_tasks(df, axis, rows_per_task=500) == 8
+    monkeypatch.setattr(seq.dense_tasks, "__defaults__", (7, 500))
+    dense = seq.densify(df, axis, ["n_transaction"])
+    parts = [r[0] for r in dense.groupBy(F.spark_partition_id()).count().collect()]
+    assert dense.count() == 4000 and dense.rdd.getNumPartitions() == 8 and len(parts) > 4
