@@ -280,12 +280,15 @@ def features(spark, folder):
 # --- sequences ----------------------------------------------------------------
 
 
-def _dense(spark, folder):
-    rows, inputs = _features(spark, folder)
+def _dense_of(rows, inputs):
     axis = seq.read_axis(rows)
     return feat.rescale(seq.densify(inputs, axis)), seq.axis_length(axis)
 
 
+def _dense(spark, folder):
+    return _dense_of(*_features(spark, folder))
+
+
 @query
 def densify(spark, folder):
     dense, _ = _dense(spark, folder)
@@ -331,13 +334,19 @@ def sequence_lengths(spark, folder):
 
 
 def _train(spark, folder):
-    dense, n_axis = _dense(spark, folder)
+    return _train_of(*_dense(spark, folder))
+
+
+def _train_of(dense, n_axis):
     return seq.train_sequences(dense, n_axis, P.n_validation_steps)
 
 
 def _valid(spark, folder):
     """Held-out sequences with the step at which the evaluation starts."""
-    dense, n_axis = _dense(spark, folder)
+    return _valid_of(*_dense(spark, folder))
+
+
+def _valid_of(dense, n_axis):
     n = P.n_testing_steps
     return seq.valid_sequences(dense, n_axis, n, n), n_axis, n_axis - n
 
@@ -465,6 +474,11 @@ def _train_segments(spark, folder):
     return fitting.with_step_segments(_train(spark, folder))
 
 
+def _train_segments_of(rows, inputs):
+    """The same from features that the query reads again for something else."""
+    return fitting.with_step_segments(_train_of(*_dense_of(rows, inputs)))
+
+
 @query
 def step_segments(spark, folder):
     rows = _train_segments(spark, folder)
@@ -508,22 +522,22 @@ def score_closed_form(spark, folder):
     """Scoring with its fallbacks; closed-form parameters stand in for fitted ones."""
     keys = ["candidate", *fitting.CANDIDATES["regional"]]
     n, events = F.sum("weight"), F.sum(F.col("weight") * F.col("u"))
+    rows, inputs = _features(spark, folder)
     fitted = staged(
-        fitting.candidate_histograms(_train_segments(spark, folder)).groupBy(*keys)
+        fitting.candidate_histograms(_train_segments_of(rows, inputs)).groupBy(*keys)
         .agg((n / events).alias("alpha"), (1 + 1 / (1 + events)).alias("beta"), events.alias("n_events"))
         .where("n_events > 0"), "fitted",
     )
-    rows, inputs = _features(spark, folder)
     scored = fitting.score(fitting.current_segments(inputs, seq.read_axis(rows)), fitted)
     return rounded(scored.select("hhn", "alpha", "beta"), 6, "alpha", "beta")
 
 
 @query
 def score_households(spark, folder):
-    train = staged(_train_segments(spark, folder), "train")
+    rows, inputs = _features(spark, folder)
+    train = staged(_train_segments_of(rows, inputs), "train")
     start = fitting.init_alpha(train).first()["init_alpha"]
     fitted = staged(fitting.fit_candidates(train, start), "fitted")
-    rows, inputs = _features(spark, folder)
     scored = fitting.score(fitting.current_segments(inputs, seq.read_axis(rows)), fitted)
     return rounded(scored.select("hhn", "alpha", "beta"), 4, "alpha", "beta")
 
@@ -597,11 +611,12 @@ def pooled_fit_optimality(spark, folder):
 @query
 def pooled_held_out(spark, folder):
     """Likelihood of the held-out steps under the pooled fits and under the segments' own fits."""
-    train = staged(_train_segments(spark, folder), "train")
+    dense = _dense(spark, folder)
+    train = staged(fitting.with_step_segments(_train_of(*dense)), "train")
     start = fitting.init_alpha(train).first()["init_alpha"]
     histogram = staged(fitting.candidate_histograms(train), "histograms")
     fits = {"own": fitting.fit_weibull(histogram, list(pooling.KEYS), start), "pooled": pooling.fit_pooled(histogram, start)}
-    rows, _, begin = _valid(spark, folder)
+    rows, _, begin = _valid_of(*dense)
     held_out = staged(fitting.with_step_segments(rows).where(F.col("k") >= begin), "held-out")
     parts = [
         fitting.score(held_out, staged(fitted, name)).agg(
@@ -616,7 +631,11 @@ def pooled_held_out(spark, folder):
 
 
 def _head_rows(spark, folder):
-    return staged(reg.with_history(_train_segments(spark, folder)), "head-rows")
+    return _head_rows_of(_train_segments(spark, folder))
+
+
+def _head_rows_of(segments):
+    return staged(reg.with_history(segments), "head-rows")
 
 
 def _ruled_heads(rows):
@@ -651,8 +670,8 @@ def feature_fit_optimality(spark, folder):
 @query
 def feature_scores(spark, folder):
     """Households scored as of the axis end by heads with weights by a rule."""
-    fit = _ruled_heads(_head_rows(spark, folder))
     rows, inputs = _features(spark, folder)
+    fit = _ruled_heads(_head_rows_of(_train_segments_of(rows, inputs)))
     scored = reg.score_heads(reg.current_inputs(inputs, seq.read_axis(rows)), fit)
     return rounded(scored.select("hhn", "alpha", "beta"), 6, "alpha", "beta")
 
@@ -660,10 +679,11 @@ def feature_scores(spark, folder):
 @query
 def feature_model_metrics(spark, folder):
     """Held-out metrics of the feature model beside those of the segment fits."""
-    train = _head_rows(spark, folder)
+    dense = _dense(spark, folder)
+    train = _head_rows_of(fitting.with_step_segments(_train_of(*dense)))
     start = fitting.init_alpha(train).first()["init_alpha"]
     fitted = staged(fitting.fit_candidates(train, start), "fitted")
-    rows, _, begin = _valid(spark, folder)
+    rows, _, begin = _valid_of(*dense)
     held_out = staged(reg.with_history(fitting.with_step_segments(rows)), "held-out")
     scored = reg.score_heads(held_out, reg.fit_heads(train, start)).withColumn("model", F.lit("features"))
     keep = ["model", *rows.columns, "alpha", "beta"]
