@@ -954,8 +954,15 @@ def _gold_sources(t):
     )
 
 
-def _annualized(t, years=2, week=LAST_WEEK):
-    sales, customers, items = _gold_sources(t)
+def _stored_sales(sales, first_week, years):
+    """Lines of the look-back windows of ``first_week`` to ``LAST_WEEK``, joined from the star schema once and stored."""
+    first = gold.lookback_start(first_week, years) - timedelta(days=6)
+    return staged(sales.where(F.col("fiscal_date").between(F.lit(first), F.lit(LAST_WEEK))), "sales")
+
+
+def _annualized(t, years=2, week=LAST_WEEK, sales=None):
+    all_sales, customers, items = _gold_sources(t)
+    sales = all_sales if sales is None else sales
     return gold.annualized_sales(
         sales, customers, items, t.dim_date, week, P.excluded_card_types, years, P.period_weeks
     )
@@ -978,6 +985,7 @@ def rolling_sales(spark, folder):
     """Two successive weeks of a one-year window, built two weeks earlier and moved on by one week of lines a step."""
     t = src.sales_tables(spark, folder)
     sales, customers, items = _gold_sources(t)
+    sales = _stored_sales(sales, LAST_WEEK - timedelta(weeks=3), 1)
     path = new_staging_path(spark, "rolling-sales")
     for back in (3, 2, 1, 0):
         rolling.advance_stored(path, sales, items, t.dim_date, LAST_WEEK - timedelta(weeks=back), 1)
@@ -1044,8 +1052,9 @@ def partition_overwrite(spark, folder):
 def _versions(spark, folder):
     t = src.sales_tables(spark, folder)
     table = VersionedTable(spark, new_staging_path(spark, "versions"))
+    sales = _stored_sales(_gold_sources(t)[0], LAST_WEEK, 2)
     for years, at in ((1, datetime(2001, 6, 1)), (2, datetime(2001, 7, 15)), (1, datetime(2001, 8, 1))):
-        table.write(_annualized(t, years), at=at)
+        table.write(_annualized(t, years, sales=sales), at=at)
     return table
 
 
