@@ -12,7 +12,7 @@ from shopspan.operators import stable_batches
 from shopspan.operators.calendar import KeyDates, KeyWeeks, unique_weeks
 from shopspan.operators.ordering import ordered_positions, running_sums
 from shopspan.sources.staging import staged
-from shopspan.sources.tables import lower_case_columns
+from shopspan.sources.tables import dealt, lower_case_columns
 
 TRANSACTION_KEYS = ("fiscal_date", "cx", "location_id", "transaction_number")
 CARRIED_SUMS = (
@@ -133,14 +133,15 @@ def transaction_sums(lines: DataFrame) -> DataFrame:
 
 
 def transaction_grain(
-    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
+    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners, tasks: int = 0
 ) -> DataFrame:
     """``transaction_sums`` plus the numbers of distinct items, in all and on offer.
 
     Lines are first summed per item, so the distinct items are plain row counts; a
     distinct aggregate would copy every line once per distinct column instead.
     """
-    lines = line_measures(sale_lines(sales, dim_location, dim_product, key, banners))
+    listed = dealt(sale_lines(sales, dim_location, dim_product, key, banners), tasks, "transaction_number")
+    lines = line_measures(listed)
     per_item = lines.groupBy(*TRANSACTION_KEYS, "item_id").agg(
         *[F.sum(c).alias(c) for c in LINE_SUMS.values()],
         F.max("is_item").alias("is_item"),
@@ -157,7 +158,7 @@ def transaction_grain(
 
 
 def flagged_transactions(
-    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
+    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners, tasks: int = 0
 ) -> DataFrame:
     """Transactions as in ``transaction_sums`` with ``ecomm_flag``, from one scan of the sales.
 
@@ -167,7 +168,8 @@ def flagged_transactions(
     """
     lines = _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "left")
     counts = F.coalesce(F.col("listed") & F.col("active"), F.lit(False))
-    measured = line_measures(lines.withColumn("counts", counts), "online", "counts")
+    counted = dealt(lines.withColumn("counts", counts).drop("listed", "active"), tasks, "transaction_number")
+    measured = line_measures(counted, "online", "counts")
     summed = measured.groupBy(*TRANSACTION_KEYS).agg(
         F.max("fiscal_date").alias("transaction_dt"),
         *[F.coalesce(F.sum(F.when(F.col("counts"), F.col(c))), F.lit(0)).alias(name) for name, c in LINE_SUMS.items()],
@@ -179,15 +181,15 @@ def flagged_transactions(
     return summed.withColumn("ecomm_flag", flag).where("row_count > 0").drop("online")
 
 
-def customer_weeks(flagged: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row per customer, week and store."""
+def customer_weeks(flagged: DataFrame, dim_date: DataFrame, tasks: int = 0) -> DataFrame:
+    """One row per customer, week and store, in as many tasks as the lines need."""
     days = dim_date.select(
         F.col("date").alias("fiscal_date"),
         F.col("week").alias("week_number"),
         F.col("year").alias("year_number"),
     )
     # One row per calendar day: bounded by the calendar, whatever the sales volume.
-    return flagged.join(F.broadcast(days), "fiscal_date").groupBy(
+    return dealt(flagged.join(F.broadcast(days), "fiscal_date"), tasks, "cx").groupBy(
         "cx", "week_number", "year_number", "location_id"
     ).agg(
         F.count(F.lit(1)).alias("n_transaction"),
@@ -198,22 +200,22 @@ def customer_weeks(flagged: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def build_customer_weeks(tables, key: KeyDates, banners) -> DataFrame:
     # Measures the weekly tables do not carry are pruned together with their inputs.
-    flagged = flagged_transactions(tables.retail_sale, tables.dim_location, tables.dim_product, key, banners)
-    return customer_weeks(flagged, tables.dim_date)
+    tasks = tables.line_tasks
+    flagged = flagged_transactions(tables.retail_sale, tables.dim_location, tables.dim_product, key, banners, tasks)
+    return customer_weeks(flagged, tables.dim_date, tasks)
 
 
 def household_store_weeks(
-    customer_week_rows: DataFrame, dim_customer: DataFrame, key: KeyWeeks, true_counts: bool = False
+    customer_week_rows: DataFrame, dim_customer: DataFrame, key: KeyWeeks, true_counts: bool = False, tasks: int = 0
 ) -> DataFrame:
-    """One row per household, week and store.
+    """One row per household, week and store; all of a household's lie in one task.
 
     ``n_transaction`` counts the merged customer-week rows; ``true_counts`` sums
     their transactions instead.
     """
     counted = F.sum("n_transaction") if true_counts else F.count(F.lit(1))
     return (
-        customer_week_rows.where(within_weeks(key))
-        .join(live_customers(dim_customer), "cx")
+        dealt(customer_week_rows.where(within_weeks(key)).join(live_customers(dim_customer), "cx"), tasks, "hhn")
         .groupBy("hhn", "week_number", "year_number", "location_id")
         .agg(
             counted.alias("n_transaction"),
@@ -335,7 +337,7 @@ def build_household_weeks(
     run_date: date | None = None,
 ) -> DataFrame:
     """Household weeks; batches follow the numbers kept at ``numbers_path``, extended by the run, or are counted anew."""
-    store_weeks = household_store_weeks(customer_week_rows, tables.dim_customer, key, true_counts)
+    store_weeks = household_store_weeks(customer_week_rows, tables.dim_customer, key, true_counts, tables.line_tasks)
     totals = staged(household_totals(store_weeks, tables.dim_date), "household-totals")
     batches = None
     if numbers_path:

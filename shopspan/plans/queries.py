@@ -79,7 +79,7 @@ def _customer_weeks(spark, folder):
 
 def _store_weeks(spark, folder):
     t, weeks, cx = _customer_weeks(spark, folder)
-    return t, weekly.household_store_weeks(cx, t.dim_customer, weeks)
+    return t, weekly.household_store_weeks(cx, t.dim_customer, weeks, tasks=t.line_tasks)
 
 
 def _household_weeks(spark, folder):
@@ -115,14 +115,16 @@ def key_weeks(spark, folder):
 def transaction_grain(spark, folder):
     t, key, _ = _setting(spark, folder)
     return weekly.transaction_grain(
-        t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners
+        t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners, t.line_tasks
     )
 
 
 @query
 def ecomm_flag_join(spark, folder):
     t, key, _ = _setting(spark, folder)
-    flagged = weekly.flagged_transactions(t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners)
+    flagged = weekly.flagged_transactions(
+        t.retail_sale, t.dim_location, t.dim_product, key, P.listed_banners, t.line_tasks
+    )
     return flagged.select(
         *weekly.TRANSACTION_KEYS, F.coalesce("ecomm_flag", F.lit(0)).alias("ecomm_flag")
     )

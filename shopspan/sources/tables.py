@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 from typing import NamedTuple
 
@@ -31,6 +32,17 @@ class SalesTables(NamedTuple):
     dim_location: DataFrame
     dim_product: DataFrame
     dim_customer: DataFrame
+    #: Tasks that the sales lines need; none if not known.
+    line_tasks: int = 0
+
+
+#: Sales lines of one task: what its join sorts and its sums keep in memory.
+LINES_PER_TASK = 250_000
+
+
+def dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``tasks``, where Spark's own number of tasks is smaller; else left to Spark."""
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,11 +77,16 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     return calendar_between(spark, span["first"], span["last"])
 
 
-def retail_sale(spark: SparkSession, folder: str) -> DataFrame:
-    lines = load(spark, folder, "lineitem")
-    orders = load(spark, folder, "orders").select(
+def line_tasks(spark: SparkSession, folder: str, lines_per_task: int = LINES_PER_TASK) -> int:
+    """Tasks for the sales lines, by their number; it stands in the files' footers, so no line is read."""
+    return math.ceil(load(spark, folder, "lineitem").count() / lines_per_task)
+
+
+def retail_sale(spark: SparkSession, folder: str, tasks: int = 0) -> DataFrame:
+    lines = dealt(load(spark, folder, "lineitem"), tasks, "l_orderkey")
+    orders = dealt(load(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority"
-    )
+    ), tasks, "l_orderkey")
     price = F.col("l_extendedprice")
     # Some returned lines count negatively, in sales and points.
     sign = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4), -1).otherwise(1)
@@ -132,12 +149,14 @@ def dim_product(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_tables(spark: SparkSession, folder: str) -> SalesTables:
+    tasks = line_tasks(spark, folder)
     return SalesTables(
-        retail_sale(spark, folder),
+        retail_sale(spark, folder, tasks),
         dim_date(spark, folder),
         dim_location(spark, folder),
         dim_product(spark, folder),
         dim_customer(spark, folder),
+        tasks,
     )
 
 

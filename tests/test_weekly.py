@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -5,7 +6,8 @@ import pytest
 
 from shopspan.operators import calendar as cal
 from shopspan.operators import weekly
-from shopspan.sources.tables import SalesTables, calendar_between
+from shopspan.plans import queries
+from shopspan.sources.tables import SalesTables, calendar_between, line_tasks
 
 SALE = (
     "customer_id bigint, transaction_number bigint, fiscal_date date, store_number bigint, item_id bigint, "
@@ -103,3 +105,20 @@ def test_medians_are_exact_for_many_households(spark):
                                         "1L AS n_transaction", "0L AS n_ecomm_trans")
     got = {r.week_number: (r.median_sales, r.median_units_sales) for r in weekly.weekly_globals(rows).collect()}
     assert got == {7: (Decimal("15000.0000"), 30000.0), 8: (3, 1.0), 9: (4, 6.0), 10: (None, 9.0), 11: (None, None)}
+
+
+@pytest.mark.parametrize("name", ["transaction_grain", "customer_weeks", "household_batches", "quality_customer_weeks"])
+def test_weekly_steps_are_dealt_by_the_number_of_lines(spark, monkeypatch, name):
+    folder = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    assert line_tasks(spark, folder, 700) == -(-lines // 700) == 9
+    few = sorted(map(tuple, queries.REGISTRY[name](spark, folder).collect()), key=str)
+    monkeypatch.setattr(queries.src, "line_tasks", lambda *a: 9)
+    many = queries.REGISTRY[name](spark, folder)
+    assert sorted(map(tuple, many.collect()), key=str) == few
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    # Lines and orders meet, transactions and customers' weeks are summed, all in nine tasks.
+    keys = {"transaction_grain": ["l_orderkey", "transaction_number"], "household_batches": []}
+    for key in keys.get(name, ["l_orderkey", "transaction_number", "cx"]):
+        assert re.search(rf"hashpartitioning\({key}#\d+L, 9\)", plan)
+    assert not re.search(r"hashpartitioning\((fiscal_date|cx|hhn)#[^()]*, 4\)", plan)
