@@ -1,8 +1,8 @@
 """How the sources of a language differ in their words.
 
-A CountVectorizer per language, with a least document frequency and no limit of the vocabulary, turns documents into exact sparse
-vectors. Their entries are summed per source, which gives one sparse count vector a source; smoothed shares of those are
-compared between sources and with the language as a whole.
+A CountVectorizer per language, with a least document frequency and no limit of the vocabulary, finds the terms that are kept. Occurrences
+are summed per source, first within blocks of text, which gives one exact sparse count vector a source without a vector per document;
+smoothed shares of those are compared between sources and with the language as a whole.
 
 A term that two sources both lack has the same two shares everywhere, so a pair's sum is evaluated over entries only: the value of all
 terms as if both lacked them, plus what each source's own terms change, plus what changes again where both have the term.
@@ -41,9 +41,17 @@ _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+#: Text whose words are summed at once, before Spark sums them.
+_BLOCK_BYTES = 4 << 20
+_TOKENS = "lang string, source string, terms array<string>, picked array<long>, counts array<long>, summed boolean"
+
+
 def _tokens(batches):
-    """Runs of letters A-Z, lower-cased, a-z, and characters outside ASCII; and the hashes of the picked ones."""
-    for rows, data, offsets in text_blocks(batches, "text"):
+    """Runs of letters A-Z, lower-cased, a-z, and characters outside ASCII; and the hashes of the picked ones.
+
+    After the rows of a block's documents comes one for each of its groups, ``summed``: its different terms and their counts.
+    """
+    for rows, data, offsets in text_blocks(batches, "text", _BLOCK_BYTES):
         data, words = words_of(data, offsets, _LETTERS)
         ends = np.zeros(len(words.start) + 1, dtype=np.int32)
         np.cumsum(words.length, out=ends[1:])
@@ -52,13 +60,31 @@ def _tokens(batches):
         terms = pa.StringArray.from_buffers(len(words.start), pa.py_buffer(ends), pa.py_buffer(letters))
         hashes = word_hashes(data, words)
         at = np.flatnonzero(hashes % np.uint64(_PICK) == 0)
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("lang"), rows.column("source"), lists(terms, words.counts),
-             lists(signed(hashes[at]), np.diff(np.searchsorted(at, words.first)))],
-            ["lang", "source", "terms", "picked"],
+        yield _token_rows(rows, lists(terms, words.counts), lists(signed(hashes[at]), np.diff(np.searchsorted(at, words.first))), None)
+        lang, source = (rows.column(c).dictionary_encode() for c in ("lang", "source"))
+        place = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+        _, first, group = np.unique(place, return_index=True, return_inverse=True)
+        of_word = np.repeat(group, words.counts)
+        order = np.lexsort((hashes, of_word))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (of_word[order[1:]] != of_word[order[:-1]])
+        starts = np.flatnonzero(new)
+        one = order[starts]
+        sizes = np.bincount(of_word[one], minlength=len(first))
+        yield _token_rows(
+            rows.take(pa.array(first)), lists(terms.take(pa.array(one)), sizes), None, lists(np.diff(starts, append=len(order)), sizes)
         )
 
 
+def _token_rows(rows, terms, picked, counts):
+    numbers = pa.list_(pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [rows.column("lang"), rows.column("source"), terms, pa.nulls(len(rows), numbers) if picked is None else picked,
+         pa.nulls(len(rows), numbers) if counts is None else counts, pa.array([counts is not None] * len(rows), pa.bool_())],
+        ["lang", "source", "terms", "picked", "counts", "summed"],
+    )
+
+
 def _share(count: Column, total: Column, terms: Column) -> Column:
     """1 + floor(1e9 (count + 2) / (total + 2 terms)), exact for every count; only counts beyond 8e9 need decimals."""
     places = total + 2 * terms
@@ -75,19 +101,18 @@ def source_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, terms
     """(lang, source) of every group, and (lang, source, term, n) of every kept term that occurs in the group."""
     spark = docs.sparkSession
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    # Tokens are written once: every language is fitted and transformed from them.
+    # Tokens are written once: every language is fitted and summed from them.
     path = new_staging_path(spark, "terms")
     folder = F.pmod(F.xxhash64("lang"), F.lit(_FOLDERS)).cast("int")
-    texts.mapInArrow(_tokens, "lang string, source string, terms array<string>, picked array<long>").withColumn(
-        "folder", folder
-    ).write.partitionBy("folder").parquet(path)
-    rows = spark.read.schema("lang string, source string, terms array<string>, picked array<long>, folder int").parquet(path)
+    texts.mapInArrow(_tokens, _TOKENS).withColumn("folder", folder).write.partitionBy("summed", "folder").parquet(path)
+    written = spark.read.schema(_TOKENS + ", folder int").parquet(path)
+    rows = written.where("not summed")
     groups = staged(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents")), "groups")
     distinct = {
         r.lang: r.n * _PICK for r in rows.select("lang", F.explode_outer("picked").alias("term"))
         .groupBy("lang").agg(F.approx_count_distinct("term").alias("n")).collect()
     }
-    parts = []
+    kept = []
     for r in groups.groupBy("lang").agg(F.sum("documents").alias("documents")).orderBy("lang").collect():
         if r.documents < least_documents:
             continue
@@ -95,23 +120,21 @@ def source_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, terms
         shards = max(-(-distinct[r.lang] // terms_at_once), 1)
         for shard in range(shards):
             mine = F.col("terms") if shards == 1 else F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == shard)
-            one = of_lang.select("source", F.concat(F.array(F.lit(_ALWAYS)), mine).alias("terms"))
+            one = of_lang.select(F.concat(F.array(F.lit(_ALWAYS)), mine).alias("terms"))
             model = CountVectorizer(
                 inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=VOCABULARY
             ).fit(one)
-            vocabulary = spark.createDataFrame(list(enumerate(model.vocabulary)), "at int, term string").where(F.col("term") != _ALWAYS)
-            vector = F.unwrap_udt("vector")
-            entries = model.transform(one).select("source", vector["indices"].alias("at"), vector["values"].alias("n")).select(
-                "source", "at", F.posexplode("n").alias("k", "n")
-            ).select("source", F.col("at")[F.col("k")].alias("at"), "n")
-            summed = entries.groupBy("source", "at").agg(F.sum("n").cast("long").alias("n"))
-            parts.append(staged(
-                summed.join(vocabulary, "at").select(F.lit(r.lang).alias("lang"), "source", "term", "n"), "counts"
-            ))
-    counts = parts[0] if parts else spark.createDataFrame([], "lang string, source string, term string, n long")
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    return groups.select("lang", "source"), counts
+            vocabulary = spark.createDataFrame([(t,) for t in model.vocabulary if t != _ALWAYS], "term string")
+            kept.append(staged(vocabulary.select(F.lit(r.lang).alias("lang"), "term"), "vocabulary"))
+    vocabularies = kept[0] if kept else spark.createDataFrame([], "lang string, term string")
+    for part in kept[1:]:
+        vocabularies = vocabularies.unionByName(part)
+    summed = written.where("summed").select("lang", "source", F.explode(F.arrays_zip("terms", "counts")).alias("e")).groupBy(
+        "lang", "source", F.col("e.terms").alias("term")
+    ).agg(F.sum("e.counts").alias("n"))
+    return groups.select("lang", "source"), staged(
+        summed.join(vocabularies, ["lang", "term"]).select("lang", "source", "term", "n"), "counts"
+    )
 
 
 def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int = TOP, terms_at_once: int = TERMS_AT_ONCE) -> DataFrame:
@@ -125,8 +148,8 @@ def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int
     by item in UTF-8 order. Repeated rows count as often as they stand there. A language with one source has no pairs; one with
     fewer documents than ``least_documents`` keeps no term. An empty table gives an empty result.
 
-    Scale: documents are read once and their tokens staged, by language. Entries are summed per task before they are shuffled, so a hot source
-    or term costs one row a task. What passes the driver is one vocabulary of about ``terms_at_once`` terms at most. The join on terms pairs sources, not
+    Scale: documents are read once and their tokens staged, by language. Occurrences are summed per block of text and per task before they
+    are shuffled, so a hot source or term costs one row a task. Terms are told apart by 64-bit hashes within a block of four megabytes. What passes the driver is one vocabulary of about ``terms_at_once`` terms at most. The join on terms pairs sources, not
     documents: a term meets at most as many pairs as the result has.
     """
     groups, counts = source_counts(docs, least_documents, terms_at_once)

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from shopspan.llm.divergence import divergence, source_counts
+from shopspan.llm.divergence import _tokens, divergence, source_counts
 
 TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -82,3 +82,15 @@ def test_counts_are_sparse_and_exact(docs, rows):
 def test_empty(docs):
     got = divergence(docs.limit(0))
     assert got.count() == 0 and got.columns == ["lang", "source", "part", "item", "value", "rank"]
+
+
+def test_no_vector_per_document(docs, monkeypatch):
+    """A source's counts come from sums of whole blocks, so the vectorizer only gives the vocabulary."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    monkeypatch.setattr(CountVectorizerModel, "transform", lambda *a: pytest.fail("documents turned into vectors"))
+    assert source_counts(docs)[1].count() > 0
+    batch = docs.select("lang", "source", "text").fillna("").where("source = 's1'").limit(50).toArrow().combine_chunks().to_batches()[0]
+    found = list(_tokens([batch]))
+    summed = {(r["lang"], r["source"], t): n for b in found for r in b.to_pylist() if r["summed"] for t, n in zip(r["terms"], r["counts"])}
+    assert summed == Counter((r["lang"], r["source"], t) for r in batch.to_pylist() for t in terms_of(r["text"]))
