@@ -42,14 +42,14 @@ _LETTERS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
 #: Text whose words are summed at once, before Spark sums them.
-_BLOCK_BYTES = 4 << 20
+_BLOCK_BYTES = 8 << 20
 _TOKENS = "lang string, source string, terms array<string>, picked array<long>, counts array<long>, summed boolean"
 
 
 def _tokens(batches):
     """Runs of letters A-Z, lower-cased, a-z, and characters outside ASCII; and the hashes of the picked ones.
 
-    After the rows of a block's documents comes one for each of its groups, ``summed``: its different terms and their counts.
+    A document's row has each of its terms once. After the rows of a block's documents comes one for each of its groups, ``summed``: its different terms and their counts.
     """
     for rows, data, offsets in text_blocks(batches, "text", _BLOCK_BYTES):
         data, words = words_of(data, offsets, _LETTERS)
@@ -59,21 +59,34 @@ def _tokens(batches):
         letters = np.ascontiguousarray(data[_LETTERS[data]])
         terms = pa.StringArray.from_buffers(len(words.start), pa.py_buffer(ends), pa.py_buffer(letters))
         hashes = word_hashes(data, words)
-        at = np.flatnonzero(hashes % np.uint64(_PICK) == 0)
-        yield _token_rows(rows, lists(terms, words.counts), lists(signed(hashes[at]), np.diff(np.searchsorted(at, words.first))), None)
+        # Each document's different words once, with how often they stand in it.
+        of_doc = np.repeat(np.arange(len(rows)), words.counts)
+        entries, times = _different(hashes, of_doc)
+        of_doc = of_doc[entries]
+        at = entries[hashes[entries] % np.uint64(_PICK) == 0]
+        doc_sizes = np.bincount(of_doc, minlength=len(rows))
+        picked = np.bincount(np.repeat(np.arange(len(rows)), words.counts)[at], minlength=len(rows))
+        yield _token_rows(rows, lists(terms.take(pa.array(entries)), doc_sizes), lists(signed(hashes[at]), picked), None)
         lang, source = (rows.column(c).dictionary_encode() for c in ("lang", "source"))
         place = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
         _, first, group = np.unique(place, return_index=True, return_inverse=True)
-        of_word = np.repeat(group, words.counts)
-        order = np.lexsort((hashes, of_word))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (of_word[order[1:]] != of_word[order[:-1]])
-        starts = np.flatnonzero(new)
-        one = order[starts]
-        sizes = np.bincount(of_word[one], minlength=len(first))
-        yield _token_rows(
-            rows.take(pa.array(first)), lists(terms.take(pa.array(one)), sizes), None, lists(np.diff(starts, append=len(order)), sizes)
-        )
+        one, n = _different(hashes[entries], group[of_doc], times)
+        sizes = np.bincount(group[of_doc[one]], minlength=len(first))
+        yield _token_rows(rows.take(pa.array(first)), lists(terms.take(pa.array(entries[one])), sizes), None, lists(n, sizes))
+
+
+def _different(hashes, owner, times=None):
+    """Places of one each of the different hashes of every owner, in the order of owners, and how often they stand there."""
+    order = np.argsort(hashes)
+    # Small integers are sorted by radix.
+    small = owner.astype(np.uint16) if len(owner) and owner.max() < 1 << 16 else owner
+    order = order[np.argsort(small[order], kind="stable")]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
+    starts = np.flatnonzero(new)
+    if times is None:
+        return order[starts], np.diff(starts, append=len(order))
+    return order[starts], np.add.reduceat(times[order], starts) if len(starts) else times
 
 
 def _token_rows(rows, terms, picked, counts):
@@ -149,7 +162,7 @@ def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int
     fewer documents than ``least_documents`` keeps no term. An empty table gives an empty result.
 
     Scale: documents are read once and their tokens staged, by language. Occurrences are summed per block of text and per task before they
-    are shuffled, so a hot source or term costs one row a task. Terms are told apart by 64-bit hashes within a block of four megabytes. What passes the driver is one vocabulary of about ``terms_at_once`` terms at most. The join on terms pairs sources, not
+    are shuffled, so a hot source or term costs one row a task. Terms are told apart by 64-bit hashes within a block of eight megabytes. What passes the driver is one vocabulary of about ``terms_at_once`` terms at most. The join on terms pairs sources, not
     documents: a term meets at most as many pairs as the result has.
     """
     groups, counts = source_counts(docs, least_documents, terms_at_once)
