@@ -125,7 +125,7 @@ def source_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, terms
         r.lang: r.n * _PICK for r in rows.select("lang", F.explode_outer("picked").alias("term"))
         .groupBy("lang").agg(F.approx_count_distinct("term").alias("n")).collect()
     }
-    kept = []
+    kept, n_kept = [], 0
     for r in groups.groupBy("lang").agg(F.sum("documents").alias("documents")).orderBy("lang").collect():
         if r.documents < least_documents:
             continue
@@ -137,17 +137,19 @@ def source_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, terms
             model = CountVectorizer(
                 inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=VOCABULARY
             ).fit(one)
+            n_kept += len(model.vocabulary)
             vocabulary = spark.createDataFrame([(t,) for t in model.vocabulary if t != _ALWAYS], "term string")
             kept.append(staged(vocabulary.select(F.lit(r.lang).alias("lang"), "term"), "vocabulary"))
     vocabularies = kept[0] if kept else spark.createDataFrame([], "lang string, term string")
     for part in kept[1:]:
         vocabularies = vocabularies.unionByName(part)
-    summed = written.where("summed").select("lang", "source", F.explode(F.arrays_zip("terms", "counts")).alias("e")).groupBy(
-        "lang", "source", F.col("e.terms").alias("term")
-    ).agg(F.sum("e.counts").alias("n"))
-    return groups.select("lang", "source"), staged(
-        summed.join(vocabularies, ["lang", "term"]).select("lang", "source", "term", "n"), "counts"
+    # No larger than one vectorizer's vocabulary, the kept terms go to every task, and others are dropped before the shuffle.
+    known = F.broadcast(vocabularies) if n_kept <= terms_at_once else vocabularies
+    entries = written.where("summed").select("lang", "source", F.explode(F.arrays_zip("terms", "counts")).alias("e")).select(
+        "lang", "source", F.col("e.terms").alias("term"), F.col("e.counts").alias("n")
     )
+    summed = entries.join(known, ["lang", "term"]).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    return groups.select("lang", "source"), staged(summed, "counts")
 
 
 def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int = TOP, terms_at_once: int = TERMS_AT_ONCE) -> DataFrame:
