@@ -28,6 +28,8 @@ PERMUTATIONS = 128
 VALUES = 2 * PERMUTATIONS
 #: Bands are as wide as this probability, that a pair at the similarity shares none, allows.
 MISSED = 1e-4
+#: Bands that link texts first; what they join counts as one text in the other bands.
+FIRST_BANDS = 4
 #: Shingles in one block of a candidate group; larger groups are split and compared block against block.
 BLOCK_SHINGLES = 1 << 21
 #: Pairs below the similarity by this many standard deviations of the signature estimate are not confirmed.
@@ -155,6 +157,29 @@ def _linker(size: int, percent: int):
     return run
 
 
+def _linked(shared: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that share a ``band`` with another one; each is linked to the band's smallest."""
+    heads = shared.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    return connected_components(shared.join(heads.select("band", "a"), "band").select("a", F.col("node").alias("b")))
+
+
+def _candidate_groups(firsts: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all nodes that are linked by shared bands, the component being the smallest node.
+
+    A few bands go first. They join most of a group of near copies, which in the other bands stands as its smallest node: there
+    a large group has one row of a band and value, where its members would have one each and link to as many heads as there are bands.
+    """
+    # One number stands for a band's place and value: where two of them collide, the sets are compared in vain.
+    bands = [F.xxhash64(F.lit(k), key) for k, key in enumerate(_band_keys(band_width(percent)))]
+    joined = _linked(firsts.select("node", F.explode(F.array(*bands[:FIRST_BANDS])).alias("band")))
+    rest = F.explode(F.array(*bands[FIRST_BANDS:])).alias("band")
+    alone = firsts.join(joined, "node", "left_anti").select("node", rest)
+    as_one = firsts.join(joined, "node").select(F.col("component").alias("node"), rest).distinct()
+    again = _linked(alone.unionByName(as_one)).select(F.col("node").alias("component"), F.col("component").alias("smallest"))
+    both = joined.join(again, "component", "full")
+    return both.select(F.coalesce("node", "component").alias("node"), F.coalesce("smallest", "component").alias("component"))
+
+
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Sketches of all rows, each with a ``row`` number, and the classes of texts with equal shingle sets.
 
@@ -174,17 +199,12 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         .orderBy("nameless", "doc_id", "text_key").drop("nameless").withColumn("node", F.monotonically_increasing_id()),
         "sets",
     )
-    firsts = (
+    firsts = staged(
         sketches.where("n_shingles > 0").select(*keys, "row", "values")
         .join(equal.select(*keys, "node", F.col("row").alias("first_row")), keys)
-        .where("row = first_row").select("node", "n_shingles", "values")
+        .where("row = first_row").select("node", "n_shingles", "values"), "firsts",
     )
-    # One number stands for a band's place and value: where two of them collide, the sets are compared in vain.
-    bands = [F.xxhash64(F.lit(k), key) for k, key in enumerate(_band_keys(band_width(percent)))]
-    shared = firsts.select("node", F.explode(F.array(*bands)).alias("band"))
-    heads = shared.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
-    candidates = shared.join(heads.select("band", "a"), "band").select("a", F.col("node").alias("b"))
-    groups = staged(connected_components(candidates).join(firsts, "node"), "groups")
+    groups = staged(_candidate_groups(firsts, percent).join(firsts, "node"), "groups")
     sizes = groups.groupBy("component").agg(
         F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
@@ -228,7 +248,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     empty result.
 
     Scale: texts with equal sets collapse before any pair is formed, each remaining one emits 32 to 42 band
-    rows, and a band's documents link to its smallest node, so candidates grow with documents, never with pairs.
+    rows, and a band's documents link to its smallest node, so candidates grow with documents, never with pairs. What the
+    first bands join counts once in the others, so near copies of one text have few links each.
     Groups are compared in tasks of bounded size that return only a spanning forest of confirmed links.
     A pair at exactly 85 % shares no band with probability (1 - 0.85^8)^32, about 4e-5 (at 90 %: 1e-8); for
     80 % bands are narrower: (1 - 0.8^6)^42, about 3e-6.

@@ -114,3 +114,26 @@ def test_texts_of_a_repeated_id_are_judged_on_their_own(spark, prose):
     assert sorted((r.doc_id, r.text) for r in without_near_duplicates(docs).collect()) == sorted([(1, a), (5, b), (9, c)])
     got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect())
     assert got == [(1, 1, True), (5, 1, False), (5, 5, True), (5, 5, True), (9, 5, False), (9, 9, True)]
+
+
+def test_large_group_has_few_links(spark, prose, vocabulary, monkeypatch):
+    """Near copies of one text link in the first bands; in the others their group counts as one."""
+    from shopspan.llm import neardup
+
+    rng, rows, size = random.Random(5), [], 250
+    words = prose(77, 300).split()
+    for d in range(size):
+        new = list(words)
+        for _ in range(rng.randint(1, 6)):
+            new[rng.randrange(len(new))] = rng.choice(vocabulary)
+        rows.append((d, " ".join(new)))
+    docs, counted, linked = spark.createDataFrame(rows, "doc_id long, text string"), [], neardup.connected_components
+
+    def counting(links):
+        counted.append(links.count())
+        return linked(links)
+
+    monkeypatch.setattr(neardup, "connected_components", counting)
+    got = near_duplicates(docs, 5, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows, 5, 80)
+    assert max(counted) <= 4 * size
