@@ -71,19 +71,24 @@ def known_lines(sales: DataFrame, key: KeyDates) -> DataFrame:
     )
 
 
-def _with_listing(lines: DataFrame, dim_location: DataFrame, dim_product: DataFrame, banners, how: str) -> DataFrame:
+def _with_listing(
+    lines: DataFrame, dim_location: DataFrame, dim_product: DataFrame, banners, how: str, tasks: int = 0
+) -> DataFrame:
+    """Lines with what is listed of their store and item. Lines follow the tasks of a table that is not broadcast."""
     stores = listed_stores(dim_location, banners).select(F.col("id").alias("location_id"), F.lit(True).alias("listed"))
     items = lower_case_columns(dim_product).where("is_active = 1").select(
         F.col("id").alias("item_id"), "mdm_sub_cat_id", "variant_name", F.lit(True).alias("active")
     )
-    return lines.join(stores, "location_id", how).join(items, "item_id", how)
+    return lines.join(dealt(stores, tasks, "location_id"), "location_id", how).join(
+        dealt(items, tasks, "item_id"), "item_id", how
+    )
 
 
 def sale_lines(
-    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners
+    sales: DataFrame, dim_location: DataFrame, dim_product: DataFrame, key: KeyDates, banners, tasks: int = 0
 ) -> DataFrame:
     """Known customers' lines in the window, in listed stores, on active items."""
-    return _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "inner")
+    return _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "inner", tasks)
 
 
 # Measure -> input column; all are sums over the lines of a transaction.
@@ -140,7 +145,7 @@ def transaction_grain(
     Lines are first summed per item, so the distinct items are plain row counts; a
     distinct aggregate would copy every line once per distinct column instead.
     """
-    listed = dealt(sale_lines(sales, dim_location, dim_product, key, banners), tasks, "transaction_number")
+    listed = dealt(sale_lines(sales, dim_location, dim_product, key, banners, tasks), tasks, "transaction_number")
     lines = line_measures(listed)
     per_item = lines.groupBy(*TRANSACTION_KEYS, "item_id").agg(
         *[F.sum(c).alias(c) for c in LINE_SUMS.values()],
@@ -166,7 +171,7 @@ def flagged_transactions(
     item. So all known customers' lines are summed, but only listed ones count in the sums, and the
     flag is looked up among the few rows of one customer's transaction.
     """
-    lines = _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "left")
+    lines = _with_listing(known_lines(sales, key), dim_location, dim_product, banners, "left", tasks)
     counts = F.coalesce(F.col("listed") & F.col("active"), F.lit(False))
     counted = dealt(lines.withColumn("counts", counts).drop("listed", "active"), tasks, "transaction_number")
     measured = line_measures(counted, "online", "counts")
@@ -302,9 +307,9 @@ def household_batches(totals: DataFrame, per_batch: int = 25_000) -> DataFrame:
 
 
 def finish_household_weeks(
-    totals: DataFrame, dim_location: DataFrame, banners, per_batch: int, batches: DataFrame | None = None
+    totals: DataFrame, dim_location: DataFrame, banners, per_batch: int, batches: DataFrame | None = None, tasks: int = 0
 ) -> DataFrame:
-    """Attach region, weekly globals and batch number, of ``batches`` where given.
+    """Attach region, weekly globals and batch number, of ``batches`` where given, in as many tasks as the lines need.
 
     ``totals`` is read four times, so pass a stored table. Weeks whose top store
     is not a listed active store drop out here, after globals and batches.
@@ -316,9 +321,9 @@ def finish_household_weeks(
     globals_ = F.broadcast(weekly_globals(totals))
     batches = (household_batches(totals, per_batch) if batches is None else batches).select("hhn", "hhn_batch_num")
     return (
-        totals.join(stores, "maxsales_location_id")
+        totals.join(dealt(stores, tasks, "maxsales_location_id"), "maxsales_location_id")
         .join(globals_, ["year_number", "week_number"], "left")
-        .join(batches, "hhn")
+        .join(dealt(batches, tasks, "hhn"), "hhn")
         .select(
             *totals.columns, "divisional_regional_rollup", "median_sales", "median_units_sales",
             "avg_n_transaction", "avg_n_ecomm_trans", "hhn_batch_num",
@@ -343,4 +348,4 @@ def build_household_weeks(
     if numbers_path:
         stable_batches.extend(numbers_path, totals.select("hhn"), run_date)
         batches = stable_batches.batches(numbers_path, totals.sparkSession, per_batch)
-    return finish_household_weeks(totals, tables.dim_location, banners, per_batch, batches)
+    return finish_household_weeks(totals, tables.dim_location, banners, per_batch, batches, tables.line_tasks)

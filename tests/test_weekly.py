@@ -122,3 +122,30 @@ def test_weekly_steps_are_dealt_by_the_number_of_lines(spark, monkeypatch, name)
     for key in keys.get(name, ["l_orderkey", "transaction_number", "cx"]):
         assert re.search(rf"hashpartitioning\({key}#\d+L, 9\)", plan)
     assert not re.search(r"hashpartitioning\((fiscal_date|cx|hhn)#[^()]*, 4\)", plan)
+
+
+def test_joins_with_items_stores_and_batches_are_dealt_too(spark, monkeypatch):
+    """Where Spark broadcasts none of them, as on large tables, rows of a task follow the lines, not the shuffle partitions."""
+    folder = "/root/testdata/sf0.001"
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    few = sorted(map(tuple, queries.REGISTRY["household_weeks"](spark, folder).collect()), key=str)
+    monkeypatch.setattr(queries.src, "line_tasks", lambda *a: 9)
+    plans, write = [], weekly.staged
+
+    def record(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(weekly, "staged", record)
+    monkeypatch.setattr(queries, "staged", record)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = sorted(map(tuple, queries.REGISTRY["household_weeks"](spark, folder).collect()), key=str)
+    finally:
+        spark.conf.set(key, before)
+    assert rows == few and len(plans) == 2
+    for plan, joined in zip(plans, (["item_id", "location_id", "cx"], ["maxsales_location_id", "hhn"])):
+        for name in joined:
+            found = re.findall(rf"hashpartitioning\({name}#\d+L?, (\d+)\)", plan)
+            assert found and set(found) == {"9"}, (name, found)
