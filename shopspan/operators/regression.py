@@ -2,7 +2,7 @@
 
 Both heads are linear in the standardised features; ``functions.weibull.output_transform`` turns them into alpha
 and beta. The censored discrete likelihood, less a ridge, is maximised by Newton steps. A step is one aggregate over
-the long rows: every task adds up the likelihood, its gradient and its curvature over its rows and hands back one row, so
+rows with their numbers (most weeks are empty, and alike but for the history): every task adds up the likelihood, its gradient and its curvature over its rows and hands back one row, so
 what is shuffled depends on the number of features and tasks, never on households or weeks.
 """
 
@@ -21,6 +21,7 @@ from shopspan.functions import weibull
 from shopspan.operators.calendar import WeekSpan
 from shopspan.operators.fitting import current_segments
 from shopspan.schemas import NUMERIC_FEATURES, RESCALED_FEATURES
+from shopspan.sources.staging import staged
 
 #: What the rows say beside the week's features: weeks since the last purchase (log) and share of weeks with one.
 HISTORY = ("log_recency", "purchase_share")
@@ -62,6 +63,21 @@ def scales(rows: DataFrame) -> Scales:
     return Scales(mean, np.where(spread > 1e-9, spread, 1.0))
 
 
+def alike_rows(rows: DataFrame) -> DataFrame:
+    """INPUTS, tte and u of ``rows`` with ``n_alike``, the number of rows that each stands for.
+
+    Weeks whose features are all zero differ by history and target only and are counted; all others stand for themselves.
+    There are no more different empty weeks than histories in a window, however many households there are.
+    """
+    empty = F.lit(True)
+    for c in NUMERIC_FEATURES:
+        empty = empty & F.coalesce(F.col(c) == 0, F.lit(False))
+    needed = rows.select(*INPUTS, "tte", "u")
+    counted = needed.where(empty).groupBy(*HISTORY, "tte", "u").agg(F.count(F.lit(1)).cast("double").alias("n_alike"))
+    zeros = counted.select(*[F.lit(0).cast(needed.schema[c].dataType).alias(c) for c in NUMERIC_FEATURES], *counted.columns)
+    return needed.where(~empty).withColumn("n_alike", F.lit(1.0)).unionByName(zeros)
+
+
 @dataclass(frozen=True)
 class Sums:
     """Over all rows: how many, their log-likelihood, its gradient and its curvature in both heads' weights."""
@@ -104,11 +120,12 @@ def _adder(weights: np.ndarray, scale: Scales, start_alpha: float):
         n, total = 0, 0.0
         gradient, curvature = np.zeros(2 * size), np.zeros((2 * size, 2 * size))
         for batch in batches:
-            t, u = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("tte", "u"))
+            t, u, w = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("tte", "u", "n_alike"))
             raw = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in INPUTS], axis=1)
             x = np.concatenate([np.ones((len(t), 1)), (raw - scale.mean) / scale.spread], axis=1)
-            loglik, (g0, g1), (h00, h01, h11) = row_derivatives(t, u, x @ weights[:size], x @ weights[size:], start_alpha)
-            n, total = n + len(t), total + float(loglik.sum())
+            loglik, first, second = row_derivatives(t, u, x @ weights[:size], x @ weights[size:], start_alpha)
+            (g0, g1), (h00, h01, h11) = [w * g for g in first], [w * h for h in second]
+            n, total = n + float(w.sum()), total + float(w @ loglik)
             gradient += np.concatenate([x.T @ g0, x.T @ g1])
             mixed = x.T @ (x * h01[:, None])
             curvature += np.block([[x.T @ (x * h00[:, None]), mixed], [mixed, x.T @ (x * h11[:, None])]])
@@ -119,9 +136,11 @@ def _adder(weights: np.ndarray, scale: Scales, start_alpha: float):
 
 
 def likelihood_sums(rows: DataFrame, weights: np.ndarray, scale: Scales, start_alpha: float) -> Sums:
-    """One aggregate over ``rows`` (INPUTS, tte, u); ``weights`` holds intercept and inputs of alpha, then of beta."""
+    """One aggregate over ``rows`` (INPUTS, tte, u, and n_alike if they stand for several); ``weights`` holds intercept and
+    inputs of alpha, then of beta."""
     size = 2 * (len(INPUTS) + 1)
-    inputs = rows.select(*[F.col(c).cast("double").alias(c) for c in INPUTS], F.col("tte").cast("double"), F.col("u").cast("double"))
+    counted = rows if "n_alike" in rows.columns else rows.withColumn("n_alike", F.lit(1.0))
+    inputs = counted.select(*[F.col(c).cast("double").alias(c) for c in (*INPUTS, "tte", "u", "n_alike")])
     found = (
         inputs.mapInArrow(_adder(weights, scale, start_alpha), "place int, value double")
         .groupBy("place").agg(F.sum("value").alias("value")).collect()
@@ -180,10 +199,11 @@ def _penalty(ridge: float) -> np.ndarray:
 def fit_heads(rows: DataFrame, start_alpha: float, ridge: float = 1e-3, tolerance: float = 1e-6, max_steps: int = 40) -> HeadFit:
     """Weights at the highest mean log-likelihood less ``ridge / 2`` times their squares.
 
-    ``rows`` should be stored: every step reads them once. Converged means that the gradient per row is below ``tolerance``.
+    ``rows`` should be stored: they are read for their scales and to be counted; every step reads ``alike_rows``. Converged means that the gradient per row is below ``tolerance``.
     A step that does not climb is damped more and tried again, so the value never falls. No rows: no fit (an error).
     """
     scale, penalty = scales(rows), _penalty(ridge)
+    rows = staged(alike_rows(rows), "alike-rows")
     theta = np.zeros(2 * (len(INPUTS) + 1))
     now = likelihood_sums(rows, theta, scale, start_alpha)
     if not now.n:

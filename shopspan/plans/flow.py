@@ -148,7 +148,7 @@ class RetentionFlow:
         """
         train = self.read("train_sequences")
         start = fitting.init_alpha(train).first()["init_alpha"]
-        heads = reg.fit_heads(staged(reg.with_history(train), "head-rows"), start)
+        heads = reg.fit_heads(reg.with_history(train), start)
         heads_version = self.versioned("heads").write(heads.table(self.spark), at=at)
         histogram = staged(fitting.candidate_histograms(train), "histograms")
         own = fitting.fit_weibull(histogram, list(pooling.KEYS), start)

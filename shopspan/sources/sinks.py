@@ -18,8 +18,11 @@ def _sized(df: DataFrame, columns) -> DataFrame:
 
 
 def overwrite(df: DataFrame, path: str, *columns: str) -> None:
-    writer = _sized(df, columns).write.mode("overwrite")
-    (writer.partitionBy(*columns) if columns else writer).parquet(path)
+    """Without partition columns every task writes its rows as they are: nothing is moved only for the size of files."""
+    if columns:
+        _sized(df, columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:

@@ -193,3 +193,10 @@ def test_staging_needs_a_shared_folder_and_cleans_up(spark, tmp_path):
         assert rows.count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_a_table_without_partitions_is_written_where_its_rows_are(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 5)
+    sinks.overwrite(rows, str(tmp_path / "plain"))
+    assert len(list((tmp_path / "plain").glob("part-*"))) == 5
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "plain")).collect()) == list(range(40))

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shopspan.operators import regression as reg
 
@@ -63,3 +64,28 @@ def test_sums_do_not_depend_on_partitions(spark):
 def test_no_rows(spark):
     with pytest.raises(ValueError):
         reg.fit_heads(_rows(spark, 20).limit(0), 5.0)
+
+
+def test_empty_weeks_are_counted_and_give_the_same_sums(spark):
+    some = _rows(spark, 300)
+    empty = spark.range(5000).selectExpr(
+        *[f"0D AS {c}" for c in reg.NUMERIC_FEATURES], "log1p(CAST(id % 4 AS double)) AS log_recency",
+        "1 / (1 + id % 3) AS purchase_share", "CAST(id % 5 AS int) AS tte", "CAST(id % 2 AS int) AS u", "CAST(id AS int) AS hhn")
+    unknown = empty.limit(7).withColumn(reg.NUMERIC_FEATURES[0], F.lit(None).cast("double"))
+    rows = some.unionByName(empty)
+    alike = reg.alike_rows(rows)
+    assert alike.count() == 300 + 60 and alike.agg({"n_alike": "sum"}).first()[0] == 5300
+    assert reg.alike_rows(rows.unionByName(unknown)).count() == 300 + 60 + 7
+    w, scale = np.linspace(-0.2, 0.2, 2 * (len(reg.INPUTS) + 1)), reg.scales(rows)
+    one, all_ = (reg.likelihood_sums(r, w, scale, 5.0) for r in (alike, rows))
+    assert one.n == all_.n == 5300 and abs(one.loglik - all_.loglik) < 1e-8 * abs(all_.loglik)
+    np.testing.assert_allclose(one.gradient, all_.gradient, rtol=1e-8, atol=1e-7)
+    np.testing.assert_allclose(one.curvature, all_.curvature, rtol=1e-8, atol=1e-7)
+
+
+def test_steps_read_counted_rows(spark, monkeypatch):
+    rows, read, sums = _rows(spark, 50), [], reg.likelihood_sums
+    empty = rows.selectExpr(*[f"0D AS {c}" for c in reg.NUMERIC_FEATURES], "0D AS log_recency", "1D AS purchase_share", "tte", "u", "hhn")
+    monkeypatch.setattr(reg, "likelihood_sums", lambda r, *a: read.append(r.count()) or sums(r, *a))
+    fit = reg.fit_heads(rows.unionByName(empty), 6.0)
+    assert fit.n_rows == 100 and max(read) == 50 + empty.select("tte", "u").distinct().count() < 100
